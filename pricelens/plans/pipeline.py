@@ -1,0 +1,36 @@
+"""The daily pipeline as one lazy lineage: raw -> formatted -> usage.
+
+Steps 4 and 5 of the reference (combine, then enrich in place) fuse into one plan
+with one write, so the read-back / temp-directory / move dance disappears.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from pricelens.operators import formatting as FMT
+from pricelens.operators import market as MKT
+from pricelens.sources import fixtures as FX
+
+# Fixed run parameters so results are reproducible (dates are arguments, never today()).
+COMPUTATION_DATE = "2024-12-31"
+INGESTION_DATE = "2024-12-31"
+
+
+def formatted_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return FMT.format_sales(FX.raw_sales(spark, sf_dir))
+
+
+def formatted_rents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return FMT.format_rents(FX.raw_rents(spark, sf_dir))
+
+
+def formatted_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return FMT.format_rates(FX.raw_rates(spark, sf_dir), INGESTION_DATE)
+
+
+def estimates(spark: SparkSession, sf_dir: str, exact: bool = False,
+              computation_date: str = COMPUTATION_DATE) -> DataFrame:
+    """The 16-column usage table from the driver's tables."""
+    return MKT.fair_price_estimates(formatted_sales(spark, sf_dir), formatted_rents(spark, sf_dir),
+                                    formatted_rates(spark, sf_dir), computation_date, exact=exact)
