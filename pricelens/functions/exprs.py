@@ -43,7 +43,7 @@ def strict_date(c, fmt: str = "yyyy-MM-dd") -> Column:
 
 def decimal_comma_double(c) -> Column:
     """``"250000,50"`` -> 250000.5; blank or malformed -> NULL (PRJ-3)."""
-    return F.regexp_replace(_c(c).cast("string"), ",", ".").try_cast("double")
+    return F.translate(_c(c).cast("string"), ",", ".").try_cast("double")
 
 
 def lenient_int(c) -> Column:
@@ -64,6 +64,13 @@ def property_type(raw) -> Column:
             .otherwise(OTHER))
 
 
+def is_positive(c) -> Column:
+    """Strictly positive and not NaN (NaN sorts above every number, and text "nan"
+    parses to it). NULL -> NULL, which a filter drops. The value is referenced once, so
+    a parse expression feeding it is evaluated once."""
+    return F.nanvl(_c(c), F.lit(-1.0)) > 0
+
+
 def is_residential(raw) -> Column:
     """FLT-4: NULL type is rejected (``isin`` on NULL is NULL, which a filter drops)."""
     return F.lower(_c(raw)).isin(RAW_TYPE_APARTMENT, RAW_TYPE_HOUSE)
@@ -84,8 +91,12 @@ def rooms_bucket(rooms) -> Column:
 
 
 def sale_id(sale_date, code, price, surface) -> Column:
-    """SHA-256 of ``date|commune|price|surface`` (NULL parts are skipped) (PRJ-11)."""
-    return F.sha2(F.concat_ws("|", _c(sale_date), _c(code), _c(price), _c(surface)), 256)
+    """SHA-256 of ``date|commune|price|surface`` (NULL parts are skipped) (PRJ-11).
+
+    ``concat_ws`` never returns NULL, so neither does the hash; the ``coalesce`` only
+    tells the optimizer so (a non-nullable column lets ``count(sale_id)`` skip hashing)."""
+    digest = F.sha2(F.concat_ws("|", _c(sale_date), _c(code), _c(price), _c(surface)), 256)
+    return F.coalesce(digest, F.lit(""))
 
 
 def rent_for_type(ptype, apt, house) -> Column:

@@ -30,7 +30,6 @@ REJECT_SURFACE = "invalid_surface"
 REJECT_DATE = "invalid_date"
 REJECT_TYPE = "not_residential"
 
-
 def _typed_sales(raw: DataFrame) -> DataFrame:
     """PRJ-1 ... PRJ-6: rename what is present, then parse every field leniently."""
     df = raw.withColumnsRenamed({k: v for k, v in SALES_RENAMES.items() if k in raw.columns})
@@ -48,18 +47,13 @@ def _typed_sales(raw: DataFrame) -> DataFrame:
         F.col("property_type_raw"),
     )
 
-
 def _positive(c) -> "F.Column":
-    col = F.col(c)
-    # NaN parses from text "nan" and compares greater than every number: reject it too.
-    return col.isNotNull() & (col > 0) & ~F.isnan(col)
-
+    return X.is_positive(c)
 
 def parse_sales(raw: DataFrame) -> DataFrame:
     """Typed sales before any row is rejected (the ``sales_parse`` view)."""
     return _typed_sales(raw)
 
-
 def format_sales(raw: DataFrame) -> DataFrame:
     """Raw sales -> the 12-column formatted sales (PRJ-1…12, FLT-1…4)."""
     df = _typed_sales(raw).filter(
@@ -77,7 +71,6 @@ def format_sales(raw: DataFrame) -> DataFrame:
         X.price_per_m2("sale_price", "surface_m2").alias("price_per_m2"),
     )
 
-
 def sales_reject_reason(raw: DataFrame) -> DataFrame:
     """DQ-3: each raw row with the first rule it fails (or OK), in filter order."""
     df = _typed_sales(raw)
@@ -88,7 +81,6 @@ def sales_reject_reason(raw: DataFrame) -> DataFrame:
               .otherwise(REJECT_OK))
     return df.withColumn("reject_reason", reason)
 
-
 def merge_rents(apartment: DataFrame, house: DataFrame) -> DataFrame:
     """JOIN-2 + SRC-7 + SRC-8: the apartment and house files -> one raw rent table.
 
@@ -124,10 +116,6 @@ def merge_rents(apartment: DataFrame, house: DataFrame) -> DataFrame:
     order = ["code_commune", "loyer_m2_appartement", "nom_commune", "loyer_m2_maison", "source_year"]
     return merged.select(*[c for c in order if c in merged.columns])
 
-
-
-
-
 def format_rents(raw: DataFrame, source_year: int | None = None) -> DataFrame:
     """Raw rents -> formatted rents (SRC-7, SRC-8, PRJ-3, PRJ-5, PRJ-13, FLT-5, FLT-6).
 
@@ -153,7 +141,6 @@ def format_rents(raw: DataFrame, source_year: int | None = None) -> DataFrame:
     return C.select_present(df, ["commune_code", "commune_name", "rent_m2_apartment",
                                  "rent_m2_house", "source_year"])
 
-
 def format_rates(raw: DataFrame, ingestion_date) -> DataFrame:
     """Raw rates -> typed rates (PRJ-2, PRJ-13, PRJ-14, FLT-7), all observations.
 
@@ -171,7 +158,6 @@ def format_rates(raw: DataFrame, ingestion_date) -> DataFrame:
     )
     return df.filter(F.col("rate_date").isNotNull() & F.col("rate_value").isNotNull())
 
-
 def _rate_order(df: DataFrame):
     """Newest first, then any tie-break columns present, then the value itself."""
     order = [F.col("rate_date").desc()]
@@ -181,14 +167,12 @@ def _rate_order(df: DataFrame):
     order.append(F.col("rate_value").desc())
     return order
 
-
 def latest_rates_per_type(rates: DataFrame) -> DataFrame:
     """WIN-1: the newest observation per rate type (row_number = 1, deterministic)."""
     w = Window.partitionBy("rate_type").orderBy(*_rate_order(rates))
     return (rates.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1)
             .select("rate_date", "rate_value", "rate_type", "ingestion_date"))
 
-
 def last_n_rates(rates: DataFrame, n: int = 30) -> DataFrame:
     """TOP-4: the last ``n`` observations per rate type (a per-key top-k)."""
     w = Window.partitionBy("rate_type").orderBy(*_rate_order(rates))

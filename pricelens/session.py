@@ -68,6 +68,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+_SCHEMAS: dict[str, object] = {}
+
+
 def sf_table(spark: SparkSession, sf_dir: str, name: str):
-    """One driver table (``<sf_dir>/<name>.parquet``)."""
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    """One driver table (``<sf_dir>/<name>.parquet``). The footer schema is read once
+    per path and then passed explicitly, so repeated reads skip schema discovery."""
+    path = os.path.join(sf_dir, f"{name}.parquet")
+    schema = _SCHEMAS.get(path)
+    if schema is None:
+        df = spark.read.parquet(path)
+        _SCHEMAS[path] = df.schema
+        return df
+    return spark.read.schema(schema).parquet(path)
