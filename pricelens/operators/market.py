@@ -24,6 +24,14 @@ CENTS = "decimal(28,2)"
 # percentile_approx accuracy: relative rank error 1/accuracy; groups smaller than this
 # are answered exactly (an element of the input, like percentile_disc).
 APPROX_ACCURACY = 10000
+# KLL sketch size: a sketch holds every value until it has seen SKETCH_K of them, so a
+# segment of up to SKETCH_K sales gets exact percentile_disc quantiles; beyond that the
+# normalised rank error is of order 1e-4, like APPROX_ACCURACY's.
+SKETCH_K = 10000
+# Salt buckets for the two-level sketch merge: each map task feeds one bucket, so a
+# segment that appears in every task reaches any one reducer from at most
+# (map tasks / SALT_BUCKETS) tasks, and the final merge sees at most SALT_BUCKETS sketches.
+SALT_BUCKETS = 256
 
 
 def _mean_cents(sum_dec, n):
@@ -36,17 +44,27 @@ def _transaction_count(sales: DataFrame):
     return F.count("sale_id").alias("transaction_count")
 
 
-def segment_stats(sales: DataFrame, exact: bool = False) -> DataFrame:
+def segment_stats(sales: DataFrame, exact: bool = False, method: str = "sketch") -> DataFrame:
     """AGG-1…5: count, median, mean, q25 and q75 of price/m2 per segment (rounded to 2).
 
-    ``exact=False`` (default, as the reference): one ``percentile_approx`` call for
-    the three quantiles -- a mergeable sketch, so the aggregate is partial/final.
-    ``exact=True``: SQL ``percentile_disc`` semantics (smallest value whose cumulative
-    share reaches q), computed from a pre-aggregated (segment, price) histogram so a hot
-    segment is bounded by its number of distinct prices, never by its row count.
+    Quantiles are ``percentile_disc`` values (the smallest price whose cumulative share
+    reaches q); the methods differ only in how they scale:
+
+    * ``"sketch"`` (default): mergeable KLL sketches aggregated in two levels -- per
+      (segment, map-task salt), then per segment. Exact up to ``SKETCH_K`` sales per
+      segment; a segment holding a third of all sales is merged by ``SALT_BUCKETS``
+      reducers in parallel instead of one reducer receiving a buffer from every task.
+    * ``"approx"``: one ``percentile_approx`` call (the reference's function), partial
+      and final aggregation in one shuffle; the final merge of a hot segment takes one
+      buffer per map task in a single reducer.
+    * ``"exact"`` (or ``exact=True``): exact at any size, from a pre-aggregated
+      (segment, price) histogram, so a hot segment is bounded by its number of distinct
+      prices, never by its row count.
     """
-    if exact:
+    if exact or method == "exact":
         return _segment_stats_exact(sales)
+    if method == "sketch":
+        return _segment_stats_sketch(sales)
     q = F.percentile_approx("price_per_m2", list(QUANTILES), APPROX_ACCURACY)
     agg = sales.groupBy(*KEYS).agg(
         _transaction_count(sales),
@@ -63,6 +81,33 @@ def segment_stats(sales: DataFrame, exact: bool = False) -> DataFrame:
     )
 
 
+def _segment_stats_sketch(sales: DataFrame) -> DataFrame:
+    salted = sales.withColumn("_salt", F.spark_partition_id() % SALT_BUCKETS)
+    level1 = salted.groupBy(*KEYS, "_salt").agg(
+        F.kll_sketch_agg_double("price_per_m2", SKETCH_K).alias("_sk"),
+        _transaction_count(sales).alias("_cnt"),
+        F.sum(F.col("price_per_m2").cast(CENTS)).alias("_sum"),
+        F.count("price_per_m2").alias("_n"),
+    )
+    level2 = level1.groupBy(*KEYS).agg(
+        F.kll_merge_agg_double("_sk", SKETCH_K).alias("_sk"),
+        F.sum("_cnt").alias("transaction_count"),
+        F.sum("_sum").alias("_sum"),
+        F.sum("_n").alias("_n"),
+    )
+
+    def quantile(q):
+        return F.when(F.col("_n") > 0, F.round(F.kll_sketch_get_quantile_double("_sk", F.lit(q)), 2))
+
+    return level2.select(
+        *KEYS, "transaction_count",
+        quantile(0.5).alias("median_price_m2"),
+        _mean_cents(F.col("_sum"), F.col("_n")).alias("avg_price_m2"),
+        quantile(0.25).alias("q25_price_m2"),
+        quantile(0.75).alias("q75_price_m2"),
+    )
+
+
 def _segment_stats_exact(sales: DataFrame) -> DataFrame:
     hist = (sales.filter(F.col("price_per_m2").isNotNull())
             .groupBy(*KEYS, "price_per_m2").agg(F.count(F.lit(1)).alias("_c")))
@@ -135,8 +180,8 @@ def enrich(combined: DataFrame, computation_date) -> DataFrame:
 
 
 def fair_price_estimates(sales: DataFrame, rents: DataFrame, rates: DataFrame,
-                         computation_date, exact: bool = False) -> DataFrame:
+                         computation_date, exact: bool = False, method: str = "sketch") -> DataFrame:
     """The usage table: 16 columns per segment, one lazy lineage (combine + enrich fused)."""
-    seg = segment_stats(sales, exact=exact)
+    seg = segment_stats(sales, exact=exact, method=method)
     seg = attach_rate(attach_rent(seg, rents), rates)
     return C.select_present(enrich(seg, computation_date), C.ESTIMATE_COLUMNS)

@@ -319,6 +319,7 @@ ORACLE: dict[str, str] = {
     "rates_json_roundtrip": _with([RAW_RATES, RATES],
                                   "SELECT rate_date, rate_value, rate_type, ingestion_date FROM rates"),
     "segment_stats": _with(SALES_BASE + [SEGMENTS], "SELECT * FROM segments"),
+    "segment_stats_approx": _with(SALES_BASE + [SEGMENTS], "SELECT * FROM segments"),
     "segment_stats_exact": _with(SALES_BASE + [SEGMENTS], "SELECT * FROM segments"),
     "segment_rent": _with(SALES_BASE + [SEGMENTS, RAW_RENTS, RENTS, RENTS_LATEST, SEG_RENT],
                           "SELECT * FROM seg_rent"),

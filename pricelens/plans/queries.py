@@ -160,6 +160,10 @@ def segment_stats(spark, sf_dir):
     return MKT.segment_stats(P.formatted_sales(spark, sf_dir))
 
 
+def segment_stats_approx(spark, sf_dir):
+    return MKT.segment_stats(P.formatted_sales(spark, sf_dir), method="approx")
+
+
 def segment_stats_exact(spark, sf_dir):
     return MKT.segment_stats(P.formatted_sales(spark, sf_dir), exact=True)
 
@@ -281,7 +285,7 @@ QUERIES: dict[str, Query] = {f.__name__: f for f in [
     rents_merged, rents_formatted, rents_latest, delimiter_detect,
     rates_formatted, rates_latest_per_type, rates_last_n, rate_latest, rates_fallback,
     rates_sdmx, rates_json_roundtrip,
-    segment_stats, segment_stats_exact, segment_rent, segment_rate, segment_liquidity,
+    segment_stats, segment_stats_approx, segment_stats_exact, segment_rent, segment_rate, segment_liquidity,
     segment_yield, segment_confidence, fair_price_estimates, estimates_latest,
     estimates_roundtrip, landing_roundtrip, contract_violations,
     listing_ranges, listing_verdicts, listing_unmatched, verdict_summary,
