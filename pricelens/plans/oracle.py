@@ -343,6 +343,7 @@ ORACLE: dict[str, str] = {
           FROM history) WHERE rn = 1"""),
     "estimates_roundtrip": _with(EST_BASE, "SELECT * FROM est"),
     "landing_roundtrip": _with(SALES_BASE, "SELECT * FROM sales"),
+    "sales_incremental": _with(SALES_BASE, "SELECT * FROM sales"),
     "contract_violations": _with(EST_BASE, """
         SELECT 0 AS missing_columns, 0 AS type_mismatches,
                count(*) FILTER (WHERE fair_price_confidence IS NULL

@@ -233,6 +233,22 @@ def landing_roundtrip(spark, sf_dir):
     return FMT.format_sales(raw)
 
 
+def sales_incremental(spark, sf_dir):
+    """Two landings (sales shipped before 1998, then the rest, as two ingestion dates),
+    each followed by an ``availableNow`` streaming run; the table then holds every
+    sale exactly once, although the second run could see both landings."""
+    from pricelens.streaming.ingest import format_landed_sales
+    root = scratch_path(spark, "incremental")
+    landed, table, ckpt = root + "/landed", root + "/sales", root + "/checkpoint"
+    raw = FX.raw_sales(spark, sf_dir)
+    early = F.coalesce(F.substring("date_mutation", 1, 4) < "1998", F.lit(False))
+    SK.land_csv(raw.filter(early), landed, "2024-12-30")
+    format_landed_sales(spark, landed, table, ckpt)
+    SK.land_csv(raw.filter(~early), landed, "2024-12-31")
+    format_landed_sales(spark, landed, table, ckpt)
+    return spark.read.parquet(table).select(*C.SALES.fieldNames())
+
+
 def contract_violations(spark, sf_dir):
     est = P.estimates(spark, sf_dir)
     missing = len(C.missing_columns(est, C.ESTIMATES))
@@ -287,7 +303,7 @@ QUERIES: dict[str, Query] = {f.__name__: f for f in [
     rates_sdmx, rates_json_roundtrip,
     segment_stats, segment_stats_approx, segment_stats_exact, segment_rent, segment_rate, segment_liquidity,
     segment_yield, segment_confidence, fair_price_estimates, estimates_latest,
-    estimates_roundtrip, landing_roundtrip, contract_violations,
+    estimates_roundtrip, landing_roundtrip, sales_incremental, contract_violations,
     listing_ranges, listing_verdicts, listing_unmatched, verdict_summary,
     communes, commune_count, market_profile, documents,
 ]}

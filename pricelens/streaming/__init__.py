@@ -1,0 +1 @@
+"""Structured Streaming jobs (incremental formatting of landed files)."""
