@@ -1,10 +1,10 @@
 """Valuation operators: classify whole tables of listings against the estimates.
 
 The reference answers one listing per request; here one plan values any number of
-listings. The estimates side is one row per segment (bounded by the number of
-segments, not by sales volume), so AQE's size-checked broadcast keeps the listing side
-from shuffling; above the threshold Spark falls back to a shuffled join on the three
-lookup keys, with AQE's skew-join splitting for a hot segment.
+listings. The estimates side is one row per segment; it is materialised, counted and
+broadcast when within ``BROADCAST_MAX_ROWS`` (``operators/joins.py``), so the listing
+side is never shuffled; above the threshold Spark falls back to a shuffled join on the
+three lookup keys, with AQE's skew-join splitting for a hot segment.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from pricelens import contracts as C
 from pricelens.functions import exprs as X
+from pricelens.operators.joins import BROADCAST_MAX_ROWS, size_checked_side
 
 LOOKUP = list(C.LOOKUP_KEYS)
 STATUS_OK = "OK"
@@ -75,7 +76,8 @@ def _reference(estimates: DataFrame) -> DataFrame:
     )
 
 
-def value_listings(listings: DataFrame, estimates: DataFrame, bounds: str = "quote") -> DataFrame:
+def value_listings(listings: DataFrame, estimates: DataFrame, bounds: str = "quote",
+                   broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """JOIN-3 + PRJ-21…23 + FLT-10/11: every valid listing with its fair range, label and
     segment facts; listings without a segment get status NO_REFERENCE and NULL facts.
 
@@ -84,7 +86,8 @@ def value_listings(listings: DataFrame, estimates: DataFrame, bounds: str = "quo
     """
     extra = [c for c in listings.columns if c not in {"commune_code", "property_type", "rooms_bucket",
                                                       "surface_m2", "asked_price"}]
-    j = valid_listings(listings).join(_reference(estimates), on=LOOKUP, how="left")
+    ref, _ = size_checked_side(_reference(estimates), broadcast_max_rows)
+    j = valid_listings(listings).join(ref, on=LOOKUP, how="left")
     low_x = X.fair_bound("_q25", "surface_m2", whole_euros=False)
     high_x = X.fair_bound("_q75", "surface_m2", whole_euros=False)
     low = F.bround(low_x, 0)
@@ -110,9 +113,10 @@ def value_listings(listings: DataFrame, estimates: DataFrame, bounds: str = "quo
     )
 
 
-def unmatched_listings(listings: DataFrame, estimates: DataFrame) -> DataFrame:
+def unmatched_listings(listings: DataFrame, estimates: DataFrame,
+                       broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """JOIN-5: valid listings with no segment (left anti join on the lookup keys)."""
-    ref = estimates.select(*LOOKUP)
+    ref, _ = size_checked_side(estimates.select(*LOOKUP).distinct(), broadcast_max_rows)
     return valid_listings(listings).join(ref, on=LOOKUP, how="left_anti")
 
 
