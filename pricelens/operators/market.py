@@ -35,7 +35,8 @@ SALT_BUCKETS = 256
 
 
 def _mean_cents(sum_dec, n):
-    return F.round(sum_dec / n.cast("decimal(20,0)"), 2).cast("double")
+    """Exact decimal mean, HALF_UP to cents; NULL when there is nothing to average."""
+    return F.round(F.try_divide(sum_dec, n.cast("decimal(20,0)")), 2).cast("double")
 
 
 def _transaction_count(sales: DataFrame):
@@ -109,29 +110,28 @@ def _segment_stats_sketch(sales: DataFrame) -> DataFrame:
 
 
 def _segment_stats_exact(sales: DataFrame) -> DataFrame:
-    hist = (sales.filter(F.col("price_per_m2").isNotNull())
-            .groupBy(*KEYS, "price_per_m2").agg(F.count(F.lit(1)).alias("_c")))
+    # One pass: a (segment, price) histogram that also carries the sale-id count, so
+    # the transaction count needs no second scan. NULL prices keep their own bucket for
+    # the count but weigh nothing in the quantiles and the mean.
+    hist = sales.groupBy(*KEYS, "price_per_m2").agg(
+        F.count("sale_id").alias("_ids"), F.count(F.lit(1)).alias("_rows"))
+    hist = hist.withColumn("_c", F.when(F.col("price_per_m2").isNotNull(), F.col("_rows")).otherwise(F.lit(0)))
     running = Window.partitionBy(*KEYS).orderBy("price_per_m2").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     whole = Window.partitionBy(*KEYS)
     hist = hist.withColumns({"_cum": F.sum("_c").over(running), "_n": F.sum("_c").over(whole)})
 
     def disc(q):
-        reached = F.col("_cum") >= F.ceil(F.col("_n") * F.lit(q))
+        reached = F.col("price_per_m2").isNotNull() & (F.col("_cum") >= F.ceil(F.col("_n") * F.lit(q)))
         return F.round(F.min(F.when(reached, F.col("price_per_m2"))), 2)
 
-    counts = sales.groupBy(*KEYS).agg(_transaction_count(sales))
-    stats = hist.groupBy(*KEYS).agg(
+    return hist.groupBy(*KEYS).agg(
+        F.sum("_ids").alias("transaction_count"),
         disc(0.5).alias("median_price_m2"),
         _mean_cents(F.sum(F.col("price_per_m2").cast(CENTS) * F.col("_c")), F.sum("_c")).alias("avg_price_m2"),
         disc(0.25).alias("q25_price_m2"),
         disc(0.75).alias("q75_price_m2"),
     )
-    # Null-safe join on the segment keys (a NULL commune name is its own segment).
-    cond = [counts[k].eqNullSafe(stats[k]) for k in KEYS]
-    j = counts.join(stats, cond, "left")
-    return j.select(*[counts[k] for k in KEYS], "transaction_count", "median_price_m2",
-                    "avg_price_m2", "q25_price_m2", "q75_price_m2")
 
 
 def latest_rents(rents: DataFrame) -> DataFrame:

@@ -132,3 +132,13 @@ def test_communes_sorted_nulls_last(spark):
     got = [(r.commune_code, r.commune_name) for r in VAL.list_communes(est).collect()]
     assert got == [("01003", "A"), ("01001", "B"), ("01002", None)]
     assert VAL.commune_count(est).first().commune_count == 3
+
+
+def test_segment_with_only_null_prices(spark):
+    df = spark.createDataFrame([("a", "01001", "N", "1", "House", "1 room", None)],
+                               "sale_id string, commune_code string, commune_name string, "
+                               "department_code string, property_type string, rooms_bucket string, "
+                               "price_per_m2 double")
+    for method in ("sketch", "approx", "exact"):
+        r = MKT.segment_stats(df, method=method).first()
+        assert r.transaction_count == 1 and r.median_price_m2 is None and r.avg_price_m2 is None
