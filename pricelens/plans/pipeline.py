@@ -34,3 +34,45 @@ def estimates(spark: SparkSession, sf_dir: str, exact: bool = False,
     """The 16-column usage table from the driver's tables."""
     return MKT.fair_price_estimates(formatted_sales(spark, sf_dir), formatted_rents(spark, sf_dir),
                                     formatted_rates(spark, sf_dir), computation_date, exact=exact)
+
+
+def run_pipeline(spark: SparkSession, raw_root: str, lake_root: str, computation_date: str,
+                 ingestion_date: str, snapshot: str = "all", rates_schema=None,
+                 rent_source_year: int | None = None) -> dict[str, int]:
+    """The daily run over landed files: raw -> formatted layer -> usage table.
+
+    ``raw_root`` holds ``dvf/`` and ``rents/`` (CSV landings) and ``rates/`` (JSON
+    landings), each in ``ingestion_date=`` folders. Each formatted table is written once
+    (sales by year, rents by edition, rates by date) and read back, which cuts the
+    lineage between stages; the usage table is written by computation date with dynamic
+    overwrite, so earlier runs stay next to it. Returns the row count of every stage,
+    gathered by ``observe`` on the writes (no extra passes).
+    """
+    from pricelens import contracts as C
+    from pricelens import sinks as SK
+    from pricelens.sources import readers as R
+
+    counts: dict[str, int] = {}
+    fmt_root, usage = f"{lake_root}/formatted", f"{lake_root}/usage/fair_price_estimates"
+
+    raw_sales, obs_sales = SK.counted(R.read_landed_csv(spark, f"{raw_root}/dvf", snapshot=snapshot), "raw_sales")
+    counts["formatted_sales"] = SK.write_parquet(FMT.format_sales(raw_sales), f"{fmt_root}/sales",
+                                                 partition_by=["year"], stage="formatted_sales")
+    counts["raw_sales"] = int(obs_sales.get.get("rows", 0))
+
+    raw_rents = R.read_landed_csv(spark, f"{raw_root}/rents", sep=R.detect_delimiter(spark, f"{raw_root}/rents"),
+                                  snapshot=snapshot)
+    counts["formatted_rents"] = SK.write_parquet(FMT.format_rents(raw_rents, rent_source_year),
+                                                 f"{fmt_root}/rents", partition_by=["source_year"],
+                                                 stage="formatted_rents")
+
+    raw_rates = R.read_json_records(spark, f"{raw_root}/rates", rates_schema or C.RAW_RATES, multiline=False)
+    counts["formatted_rates"] = SK.write_parquet(FMT.format_rates(raw_rates, ingestion_date),
+                                                 f"{fmt_root}/rates", partition_by=["rate_date"],
+                                                 stage="formatted_rates")
+
+    est = MKT.fair_price_estimates(spark.read.parquet(f"{fmt_root}/sales"), spark.read.parquet(f"{fmt_root}/rents"),
+                                   spark.read.parquet(f"{fmt_root}/rates"), computation_date)
+    counts["segments"] = SK.write_parquet(est, usage, partition_by=["computation_date"], dynamic=True,
+                                          stage="segments")
+    return counts

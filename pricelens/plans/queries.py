@@ -249,6 +249,21 @@ def sales_incremental(spark, sf_dir):
     return spark.read.parquet(table).select(*C.SALES.fieldNames())
 
 
+def pipeline_run(spark, sf_dir):
+    """The daily run end to end over files: land the three raw tables, format each into
+    the formatted layer, compute and write the usage table, read it back."""
+    from pyspark.sql import types as T
+    root = scratch_path(spark, "lake")
+    raw_root = root + "/raw"
+    SK.land_csv(FX.raw_sales(spark, sf_dir), raw_root + "/dvf", P.INGESTION_DATE)
+    SK.land_csv(FX.raw_rents(spark, sf_dir), raw_root + "/rents", P.INGESTION_DATE, sep=";")
+    SK.land_json(FX.raw_rates(spark, sf_dir), raw_root + "/rates", P.INGESTION_DATE)
+    schema = T.StructType(C.RAW_RATES.fields + [T.StructField("ts", T.TimestampNTZType()),
+                                                T.StructField("event_id", T.LongType())])
+    P.run_pipeline(spark, raw_root, root + "/lake", P.COMPUTATION_DATE, P.INGESTION_DATE, rates_schema=schema)
+    return R.read_estimates(spark, root + "/lake/usage/fair_price_estimates")
+
+
 def contract_violations(spark, sf_dir):
     est = P.estimates(spark, sf_dir)
     missing = len(C.missing_columns(est, C.ESTIMATES))
@@ -303,7 +318,7 @@ QUERIES: dict[str, Query] = {f.__name__: f for f in [
     rates_sdmx, rates_json_roundtrip,
     segment_stats, segment_stats_approx, segment_stats_exact, segment_rent, segment_rate, segment_liquidity,
     segment_yield, segment_confidence, fair_price_estimates, estimates_latest,
-    estimates_roundtrip, landing_roundtrip, sales_incremental, contract_violations,
+    estimates_roundtrip, landing_roundtrip, sales_incremental, pipeline_run, contract_violations,
     listing_ranges, listing_verdicts, listing_unmatched, verdict_summary,
     communes, commune_count, market_profile, documents,
 ]}
