@@ -71,6 +71,17 @@ def format_sales(raw: DataFrame) -> DataFrame:
         X.price_per_m2("sale_price", "surface_m2").alias("price_per_m2"),
     )
 
+def scope_sales(sales: DataFrame, years=None, departments=None) -> DataFrame:
+    """FLT-13: keep the configured sale years and departments. On a formatted table
+    written by ``year`` the year predicate prunes partitions at the scan."""
+    cond = F.lit(True)
+    if years is not None:
+        cond = cond & F.col("year").isin(list(years))
+    if departments is not None:
+        cond = cond & F.col("department_code").isin([str(d) for d in departments])
+    return sales.filter(cond)
+
+
 def sales_reject_reason(raw: DataFrame) -> DataFrame:
     """DQ-3: each raw row with the first rule it fails (or OK), in filter order."""
     df = _typed_sales(raw)

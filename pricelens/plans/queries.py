@@ -60,8 +60,7 @@ def sales_by_year(spark, sf_dir):
 
 
 def sales_scoped(spark, sf_dir):
-    s = P.formatted_sales(spark, sf_dir)
-    return s.filter(F.col("year").isin(SCOPE_YEARS) & F.col("department_code").isin(SCOPE_DEPARTMENTS))
+    return FMT.scope_sales(P.formatted_sales(spark, sf_dir), SCOPE_YEARS, SCOPE_DEPARTMENTS)
 
 
 def rooms_bucket_counts(spark, sf_dir):

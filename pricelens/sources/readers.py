@@ -95,7 +95,8 @@ def read_whitelisted_csv(spark: SparkSession, paths, whitelist=SALES_WHITELIST,
     for p in ([paths] if isinstance(paths, str) else list(paths)):
         try:
             df = (spark.read.option("header", True).option("inferSchema", False)
-                  .option("sep", sep).option("mode", "PERMISSIVE").csv(p))
+                  .option("sep", sep).option("mode", "PERMISSIVE")
+                  .option("ignoreCorruptFiles", tolerant).option("ignoreMissingFiles", tolerant).csv(p))
             keep = [c for c in df.columns if c in set(whitelist)]
         except Exception as exc:  # noqa: BLE001 - AnalysisException for a missing path
             if not tolerant:
@@ -117,9 +118,9 @@ def delimiter_counts(spark: SparkSession, path: str) -> DataFrame:
     """SRC-5 as a distributed count: occurrences of ``;`` and ``,`` per file, and the
     delimiter a sniffer would choose (``;`` only if strictly more frequent)."""
     lines = spark.read.option("encoding", "UTF-8").text(path).select(
-        F.input_file_name().alias("file"), F.col("value"))
-    n_semi = F.sum(F.length("value") - F.length(F.regexp_replace("value", ";", "")))
-    n_comma = F.sum(F.length("value") - F.length(F.regexp_replace("value", ",", "")))
+        F.col("_metadata.file_path").alias("file"), F.col("value"))
+    n_semi = F.sum(F.length("value") - F.length(F.translate("value", ";", "")))
+    n_comma = F.sum(F.length("value") - F.length(F.translate("value", ",", "")))
     agg = lines.groupBy("file").agg(n_semi.alias("n_semicolon"), n_comma.alias("n_comma"),
                                     F.count(F.lit(1)).alias("n_lines"))
     return agg.withColumn("delimiter", F.when(F.col("n_semicolon") > F.col("n_comma"), ";").otherwise(","))

@@ -149,3 +149,16 @@ def test_last_n_rates(spark):
     raw = spark.createDataFrame([(f"2024-11-{d:02d}", float(d), "A", "s") for d in range(1, 21)], C.RAW_RATES)
     rows = FMT.last_n_rates(FMT.format_rates(raw, "2024-12-01"), 5).collect()
     assert sorted(r.rate_value for r in rows) == [16.0, 17.0, 18.0, 19.0, 20.0]
+
+
+def test_scope_prunes_year_partitions(spark, tmp_out):
+    from pyspark.sql import functions as F
+    df = FMT.format_sales(spark.createDataFrame(
+        [tuple(dict(DEFAULT_SALE, date_mutation=d, code_departement=dep).values())
+         for d, dep in [("2022-01-01", "75"), ("2023-01-01", "75"), ("2023-01-01", "44")]], C.RAW_SALES))
+    df.write.partitionBy("year").parquet(tmp_out + "/sales")
+    scoped = FMT.scope_sales(spark.read.parquet(tmp_out + "/sales"), [2023], ["75"])
+    assert scoped.count() == 1
+    plan = scoped._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(year" in plan and "year" in plan
+    assert FMT.scope_sales(df).count() == 3 and F is not None
