@@ -25,6 +25,28 @@ SCALE_CONF = {
 }
 
 
+# Starting points for a large cluster (about 100 TB of input, ~1000 executors). AQE
+# coalesces the many shuffle partitions down to ~256 MB each, so the high partition
+# count only bounds the largest partition; skew-join splitting handles hot join keys;
+# the broadcast threshold stays at a size every executor can hold.
+CLUSTER_CONF = {
+    **SCALE_CONF,
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+}
+
+
+def apply_conf(spark: SparkSession, conf: dict = CLUSTER_CONF) -> SparkSession:
+    """Set the runtime SQL settings above on an existing session (static settings such
+    as the checkpoint folder come from the cluster and are left alone)."""
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    return spark
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "pricelens") -> SparkSession:
     """A local session with the web UI off and the driver bound to loopback."""

@@ -142,3 +142,14 @@ def test_segment_with_only_null_prices(spark):
     for method in ("sketch", "approx", "exact"):
         r = MKT.segment_stats(df, method=method).first()
         assert r.transaction_count == 1 and r.median_price_m2 is None and r.avg_price_m2 is None
+
+
+def test_value_listings_shuffle_path_matches_broadcast_path(spark):
+    from pricelens.sources import fixtures as FX
+    est = P.estimates(spark, SF_SMALL)
+    lst = FX.listings(spark, SF_SMALL)
+    a = VAL.value_listings(lst, est)
+    b = VAL.value_listings(lst, est, broadcast_max_rows=0)  # above the limit: shuffle join
+    assert sorted(map(tuple, a.collect()), key=str) == sorted(map(tuple, b.collect()), key=str)
+    assert VAL.unmatched_listings(lst, est, broadcast_max_rows=0).count() == \
+        VAL.unmatched_listings(lst, est).count()
