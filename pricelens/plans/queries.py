@@ -263,6 +263,16 @@ def pipeline_run(spark, sf_dir):
     return R.read_estimates(spark, root + "/lake/usage/fair_price_estimates")
 
 
+def sales_deduplicated(spark, sf_dir):
+    """Q-5: the same raw sales landed on two ingestion dates, read together, formatted
+    with ``dedup=True`` -- every distinct formatted sale once."""
+    path = scratch_path(spark, "dvf-replayed")
+    raw = FX.raw_sales(spark, sf_dir)
+    SK.land_csv(raw, path, "2024-12-30")
+    SK.land_csv(raw, path, P.INGESTION_DATE)
+    return FMT.format_sales(R.read_landed_csv(spark, path), dedup=True)
+
+
 def contract_violations(spark, sf_dir):
     est = P.estimates(spark, sf_dir)
     missing = len(C.missing_columns(est, C.ESTIMATES))
@@ -317,7 +327,7 @@ QUERIES: dict[str, Query] = {f.__name__: f for f in [
     rates_sdmx, rates_json_roundtrip,
     segment_stats, segment_stats_approx, segment_stats_exact, segment_rent, segment_rate, segment_liquidity,
     segment_yield, segment_confidence, fair_price_estimates, estimates_latest,
-    estimates_roundtrip, landing_roundtrip, sales_incremental, pipeline_run, contract_violations,
+    estimates_roundtrip, landing_roundtrip, sales_incremental, sales_deduplicated, pipeline_run, contract_violations,
     listing_ranges, listing_verdicts, listing_unmatched, verdict_summary,
     communes, commune_count, market_profile, documents,
 ]}
