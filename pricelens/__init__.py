@@ -15,4 +15,4 @@ from pricelens.operators.valuation import (  # noqa: F401
     commune_count, latest_estimates, list_communes, market_profiles, unmatched_listings,
     value_listings, verdict_summary,
 )
-from pricelens.plans.pipeline import run_pipeline  # noqa: F401
+from pricelens.plans.daily import run_daily  # noqa: F401

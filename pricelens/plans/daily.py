@@ -36,7 +36,7 @@ def estimates(spark: SparkSession, sf_dir: str, exact: bool = False,
                                     formatted_rates(spark, sf_dir), computation_date, exact=exact)
 
 
-def run_pipeline(spark: SparkSession, raw_root: str, lake_root: str, computation_date: str,
+def run_daily(spark: SparkSession, raw_root: str, lake_root: str, computation_date: str,
                  ingestion_date: str, snapshot: str = "all", rates_schema=None,
                  rent_source_year: int | None = None) -> dict[str, int]:
     """The daily run over landed files: raw -> formatted layer -> usage table.

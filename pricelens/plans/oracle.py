@@ -344,7 +344,7 @@ ORACLE: dict[str, str] = {
     "estimates_roundtrip": _with(EST_BASE, "SELECT * FROM est"),
     "landing_roundtrip": _with(SALES_BASE, "SELECT * FROM sales"),
     "sales_incremental": _with(SALES_BASE, "SELECT * FROM sales"),
-    "pipeline_run": _with(EST_BASE, "SELECT * FROM est"),
+    "daily_run": _with(EST_BASE, "SELECT * FROM est"),
     "sales_deduplicated": _with(SALES_BASE, "SELECT DISTINCT * FROM sales"),
     "contract_violations": _with(EST_BASE, """
         SELECT 0 AS missing_columns, 0 AS type_mismatches,

@@ -15,7 +15,7 @@ from pricelens import sinks as SK
 from pricelens.operators import formatting as FMT
 from pricelens.operators import market as MKT
 from pricelens.operators import valuation as VAL
-from pricelens.plans import pipeline as P
+from pricelens.plans import daily as P
 from pricelens.session import scratch_path
 from pricelens.sources import fixtures as FX
 from pricelens.sources import readers as R
@@ -248,7 +248,7 @@ def sales_incremental(spark, sf_dir):
     return spark.read.parquet(table).select(*C.SALES.fieldNames())
 
 
-def pipeline_run(spark, sf_dir):
+def daily_run(spark, sf_dir):
     """The daily run end to end over files: land the three raw tables, format each into
     the formatted layer, compute and write the usage table, read it back."""
     from pyspark.sql import types as T
@@ -259,7 +259,7 @@ def pipeline_run(spark, sf_dir):
     SK.land_json(FX.raw_rates(spark, sf_dir), raw_root + "/rates", P.INGESTION_DATE)
     schema = T.StructType(C.RAW_RATES.fields + [T.StructField("ts", T.TimestampNTZType()),
                                                 T.StructField("event_id", T.LongType())])
-    P.run_pipeline(spark, raw_root, root + "/lake", P.COMPUTATION_DATE, P.INGESTION_DATE, rates_schema=schema)
+    P.run_daily(spark, raw_root, root + "/lake", P.COMPUTATION_DATE, P.INGESTION_DATE, rates_schema=schema)
     return R.read_estimates(spark, root + "/lake/usage/fair_price_estimates")
 
 
@@ -327,7 +327,7 @@ QUERIES: dict[str, Query] = {f.__name__: f for f in [
     rates_sdmx, rates_json_roundtrip,
     segment_stats, segment_stats_approx, segment_stats_exact, segment_rent, segment_rate, segment_liquidity,
     segment_yield, segment_confidence, fair_price_estimates, estimates_latest,
-    estimates_roundtrip, landing_roundtrip, sales_incremental, sales_deduplicated, pipeline_run, contract_violations,
+    estimates_roundtrip, landing_roundtrip, sales_incremental, sales_deduplicated, daily_run, contract_violations,
     listing_ranges, listing_verdicts, listing_unmatched, verdict_summary,
     communes, commune_count, market_profile, documents,
 ]}

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 log = logging.getLogger(__name__)
 
-DEFAULT_INDEX = "real_estate_fair_price_estimates"
+DEFAULT_INDEX = "fair_price_estimates"
 
 
 def counted(df: DataFrame, stage: str) -> tuple[DataFrame, Observation]:

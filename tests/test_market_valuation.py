@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pricelens import contracts as C
 from pricelens.operators import market as MKT
 from pricelens.operators import valuation as VAL
-from pricelens.plans import pipeline as P
+from pricelens.plans import daily as P
 from tests.conftest import SF_SMALL
 
 

@@ -4,19 +4,19 @@ from pyspark.sql import types as T
 
 from pricelens import contracts as C
 from pricelens import sinks as SK
-from pricelens.plans import pipeline as P
+from pricelens.plans import daily as P
 from pricelens.sources import fixtures as FX
 from tests.conftest import SF_SMALL
 
 
-def test_run_pipeline_counts_and_output(spark, tmp_out):
+def test_run_daily_counts_and_output(spark, tmp_out):
     raw = tmp_out + "/raw"
     n_raw = SK.land_csv(FX.raw_sales(spark, SF_SMALL), raw + "/dvf", "2024-12-31")
     SK.land_csv(FX.raw_rents(spark, SF_SMALL), raw + "/rents", "2024-12-31", sep=";")
     SK.land_json(FX.raw_rates(spark, SF_SMALL), raw + "/rates", "2024-12-31")
     schema = T.StructType(C.RAW_RATES.fields + [T.StructField("ts", T.TimestampNTZType()),
                                                 T.StructField("event_id", T.LongType())])
-    counts = P.run_pipeline(spark, raw, tmp_out + "/lake", "2024-12-31", "2024-12-31", rates_schema=schema)
+    counts = P.run_daily(spark, raw, tmp_out + "/lake", "2024-12-31", "2024-12-31", rates_schema=schema)
     assert counts["raw_sales"] == n_raw
     assert counts["formatted_sales"] == P.formatted_sales(spark, SF_SMALL).count() == 3705
     assert counts["segments"] == 100
@@ -25,5 +25,5 @@ def test_run_pipeline_counts_and_output(spark, tmp_out):
     expected = {tuple(r) for r in P.estimates(spark, SF_SMALL).collect()}
     assert {tuple(r[c] for c in C.ESTIMATE_COLUMNS) for r in usage.collect()} == expected
     # A second run on another date keeps the first (dynamic partition overwrite).
-    P.run_pipeline(spark, raw, tmp_out + "/lake", "2025-01-01", "2025-01-01", rates_schema=schema)
+    P.run_daily(spark, raw, tmp_out + "/lake", "2025-01-01", "2025-01-01", rates_schema=schema)
     assert spark.read.parquet(tmp_out + "/lake/usage/fair_price_estimates").count() == 200
