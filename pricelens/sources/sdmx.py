@@ -2,9 +2,11 @@
 service), so the SDMX scan (``readers.parse_sdmx``) can be run on data derived from
 the driver's tables.
 
-Each document holds one series of at most ``DOC_SIZE`` observations of one rate type
-(observations are bucketed by id), so no document -- and no task building one -- grows
-with the table. Every document also carries one observation with a NULL value and one
+Each document holds one series of at most ``DOC_SIZE`` observations of one rate type:
+observations are blocked by their position within their input partition
+(``monotonically_increasing_id`` is the partition index plus the row position, stable
+when a task is re-run), so no document -- and no task building one -- grows with the
+table, even if one id or one rate type repeats across a third of all rows. Every document also carries one observation with a NULL value and one
 whose index points past the period list; the scan must skip both.
 """
 
@@ -19,7 +21,7 @@ SERIES_KEY = "0:0:0"
 
 def pack_sdmx(obs: DataFrame, doc_size: int = DOC_SIZE) -> DataFrame:
     """(period, rate_value, rate_type, source, event_id) -> (rate_type, source, json)."""
-    bucket = F.floor(F.col("event_id") / F.lit(doc_size)).alias("_doc")
+    bucket = F.floor(F.monotonically_increasing_id() / F.lit(doc_size)).alias("_doc")
     docs = obs.groupBy("rate_type", "source", bucket).agg(
         F.array_sort(F.collect_list(F.struct("event_id", "period", "rate_value"))).alias("o"))
     n = F.size("o")
