@@ -30,6 +30,7 @@ REJECT_SURFACE = "invalid_surface"
 REJECT_DATE = "invalid_date"
 REJECT_TYPE = "not_residential"
 
+
 def _typed_sales(raw: DataFrame) -> DataFrame:
     """PRJ-1 ... PRJ-6: rename what is present, then parse every field leniently."""
     df = raw.withColumnsRenamed({k: v for k, v in SALES_RENAMES.items() if k in raw.columns})
@@ -47,13 +48,12 @@ def _typed_sales(raw: DataFrame) -> DataFrame:
         F.col("property_type_raw"),
     )
 
-def _positive(c) -> "F.Column":
-    return X.is_positive(c)
 
 def parse_sales(raw: DataFrame) -> DataFrame:
     """Typed sales before any row is rejected (the ``sales_parse`` view)."""
     return _typed_sales(raw)
 
+
 def format_sales(raw: DataFrame, dedup: bool = False) -> DataFrame:
     """Raw sales -> the 12-column formatted sales (PRJ-1…12, FLT-1…4).
 
@@ -69,7 +69,7 @@ def format_sales(raw: DataFrame, dedup: bool = False) -> DataFrame:
 
 def _format_sales(raw: DataFrame) -> DataFrame:
     df = _typed_sales(raw).filter(
-        _positive("sale_price") & _positive("surface_m2")
+        X.is_positive("sale_price") & X.is_positive("surface_m2")
         & F.col("sale_date").isNotNull() & X.is_residential("property_type_raw"))
     return df.select(
         X.sale_id("sale_date", "commune_code", "sale_price", "surface_m2").alias("sale_id"),
@@ -83,6 +83,7 @@ def _format_sales(raw: DataFrame) -> DataFrame:
         X.price_per_m2("sale_price", "surface_m2").alias("price_per_m2"),
     )
 
+
 def scope_sales(sales: DataFrame, years=None, departments=None) -> DataFrame:
     """FLT-13: keep the configured sale years and departments. On a formatted table
     written by ``year`` the year predicate prunes partitions at the scan."""
@@ -97,13 +98,14 @@ def scope_sales(sales: DataFrame, years=None, departments=None) -> DataFrame:
 def sales_reject_reason(raw: DataFrame) -> DataFrame:
     """DQ-3: each raw row with the first rule it fails (or OK), in filter order."""
     df = _typed_sales(raw)
-    reason = (F.when(~F.coalesce(_positive("sale_price"), F.lit(False)), REJECT_PRICE)
-              .when(~F.coalesce(_positive("surface_m2"), F.lit(False)), REJECT_SURFACE)
+    reason = (F.when(~F.coalesce(X.is_positive("sale_price"), F.lit(False)), REJECT_PRICE)
+              .when(~F.coalesce(X.is_positive("surface_m2"), F.lit(False)), REJECT_SURFACE)
               .when(F.col("sale_date").isNull(), REJECT_DATE)
               .when(~F.coalesce(X.is_residential("property_type_raw"), F.lit(False)), REJECT_TYPE)
               .otherwise(REJECT_OK))
     return df.withColumn("reject_reason", reason)
 
+
 def merge_rents(apartment: DataFrame, house: DataFrame) -> DataFrame:
     """JOIN-2 + SRC-7 + SRC-8: the apartment and house files -> one raw rent table.
 
@@ -139,6 +141,7 @@ def merge_rents(apartment: DataFrame, house: DataFrame) -> DataFrame:
     order = ["code_commune", "loyer_m2_appartement", "nom_commune", "loyer_m2_maison", "source_year"]
     return merged.select(*[c for c in order if c in merged.columns])
 
+
 def format_rents(raw: DataFrame, source_year: int | None = None) -> DataFrame:
     """Raw rents -> formatted rents (SRC-7, SRC-8, PRJ-3, PRJ-5, PRJ-13, FLT-5, FLT-6).
 
@@ -164,6 +167,7 @@ def format_rents(raw: DataFrame, source_year: int | None = None) -> DataFrame:
     return C.select_present(df, ["commune_code", "commune_name", "rent_m2_apartment",
                                  "rent_m2_house", "source_year"])
 
+
 def format_rates(raw: DataFrame, ingestion_date) -> DataFrame:
     """Raw rates -> typed rates (PRJ-2, PRJ-13, PRJ-14, FLT-7), all observations.
 
@@ -181,6 +185,7 @@ def format_rates(raw: DataFrame, ingestion_date) -> DataFrame:
     )
     return df.filter(F.col("rate_date").isNotNull() & F.col("rate_value").isNotNull())
 
+
 def _rate_order(df: DataFrame):
     """Newest first, then any tie-break columns present, then the value itself."""
     order = [F.col("rate_date").desc()]
@@ -190,12 +195,14 @@ def _rate_order(df: DataFrame):
     order.append(F.col("rate_value").desc())
     return order
 
+
 def latest_rates_per_type(rates: DataFrame) -> DataFrame:
     """WIN-1: the newest observation per rate type (row_number = 1, deterministic)."""
     w = Window.partitionBy("rate_type").orderBy(*_rate_order(rates))
     return (rates.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1)
             .select("rate_date", "rate_value", "rate_type", "ingestion_date"))
 
+
 def last_n_rates(rates: DataFrame, n: int = 30) -> DataFrame:
     """TOP-4: the last ``n`` observations per rate type (a per-key top-k)."""
     w = Window.partitionBy("rate_type").orderBy(*_rate_order(rates))
