@@ -38,14 +38,15 @@ def estimates(spark: SparkSession, sf_dir: str, exact: bool = False,
 
 def run_daily(spark: SparkSession, raw_root: str, lake_root: str, computation_date: str,
                  ingestion_date: str, snapshot: str = "all", rates_schema=None,
-                 rent_source_year: int | None = None) -> dict[str, int]:
+                 rent_source_year: int | None = None, years=None, departments=None) -> dict[str, int]:
     """The daily run over landed files: raw -> formatted layer -> usage table.
 
     ``raw_root`` holds ``dvf/`` and ``rents/`` (CSV landings) and ``rates/`` (JSON
     landings), each in ``ingestion_date=`` folders. Each formatted table is written once
     (sales by year, rents by edition, rates by date) and read back, which cuts the
     lineage between stages; the usage table is written by computation date with dynamic
-    overwrite, so earlier runs stay next to it. Returns the row count of every stage,
+    overwrite, so earlier runs stay next to it. ``years`` / ``departments`` scope the
+    sales that feed the segments. Returns the row count of every stage,
     gathered by ``observe`` on the writes (no extra passes).
     """
     from pricelens import contracts as C
@@ -71,7 +72,9 @@ def run_daily(spark: SparkSession, raw_root: str, lake_root: str, computation_da
                                                  f"{fmt_root}/rates", partition_by=["rate_date"],
                                                  stage="formatted_rates")
 
-    est = MKT.fair_price_estimates(spark.read.parquet(f"{fmt_root}/sales"), spark.read.parquet(f"{fmt_root}/rents"),
+    # FLT-13: the configured scope; on the year-partitioned table it prunes partitions.
+    sales = FMT.scope_sales(spark.read.parquet(f"{fmt_root}/sales"), years, departments)
+    est = MKT.fair_price_estimates(sales, spark.read.parquet(f"{fmt_root}/rents"),
                                    spark.read.parquet(f"{fmt_root}/rates"), computation_date)
     counts["segments"] = SK.write_parquet(est, usage, partition_by=["computation_date"], dynamic=True,
                                           stage="segments")

@@ -153,3 +153,20 @@ def test_value_listings_shuffle_path_matches_broadcast_path(spark):
     assert sorted(map(tuple, a.collect()), key=str) == sorted(map(tuple, b.collect()), key=str)
     assert VAL.unmatched_listings(lst, est, broadcast_max_rows=0).count() == \
         VAL.unmatched_listings(lst, est).count()
+
+
+def test_exact_method_beyond_sketch_size(spark):
+    rnd = random.Random(11)
+    rows = [("Apartment", "3 rooms", round(rnd.uniform(1000, 9000), 2)) for _ in range(MKT.SKETCH_K * 2 + 7)]
+    df = sales_df(spark, rows).repartition(16)
+    vals = [p for _, _, p in rows]
+    exact = MKT.segment_stats(df, method="exact").first()
+    assert (exact.q25_price_m2, exact.median_price_m2, exact.q75_price_m2) == \
+        (disc(vals, .25), disc(vals, .5), disc(vals, .75))
+    # The sketch methods are approximate past the sketch size: within a small rank error.
+    srt = sorted(vals)
+    for method in ("sketch", "approx"):
+        r = MKT.segment_stats(df, method=method).first()
+        for q, v in ((.25, r.q25_price_m2), (.5, r.median_price_m2), (.75, r.q75_price_m2)):
+            rank = sum(1 for x in srt if x <= v) / len(srt)
+            assert abs(rank - q) < 0.01
