@@ -364,6 +364,19 @@ ORACLE: dict[str, str] = {
                              "SELECT status, label, count(*) AS n_listings FROM verdicts GROUP BY status, label"),
     "communes": _with(EST_BASE, "SELECT DISTINCT commune_code, commune_name, department_code FROM est "
                                 "ORDER BY commune_name NULLS LAST, commune_code"),
+    "market_profile_rows": _with(EST_BASE, """
+        SELECT commune_code,
+               first_value(commune_name) OVER w AS profile_name,
+               first_value(department_code) OVER w AS profile_department,
+               count(*) OVER (PARTITION BY commune_code) AS segment_count,
+               CAST(row_number() OVER w - 1 AS INTEGER) AS segment_pos,
+               property_type, rooms_bucket, commune_name, department_code, transaction_count,
+               median_price_m2, avg_price_m2, q25_price_m2, q75_price_m2, rent_m2,
+               estimated_gross_yield, latest_rate_value, market_liquidity_score, fair_price_confidence,
+               strftime(computation_date, '%Y-%m-%d') AS computation_date
+        FROM est
+        WINDOW w AS (PARTITION BY commune_code ORDER BY property_type NULLS FIRST, rooms_bucket NULLS FIRST, commune_name NULLS FIRST, department_code NULLS FIRST, transaction_count NULLS FIRST, median_price_m2 NULLS FIRST, avg_price_m2 NULLS FIRST, q25_price_m2 NULLS FIRST, q75_price_m2 NULLS FIRST, rent_m2 NULLS FIRST, estimated_gross_yield NULLS FIRST, latest_rate_value NULLS FIRST, market_liquidity_score NULLS FIRST, fair_price_confidence NULLS FIRST, computation_date NULLS FIRST
+                     ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)"""),
     "commune_count": _with(EST_BASE, "SELECT count(*) AS commune_count FROM "
                                      "(SELECT DISTINCT commune_code, commune_name, department_code FROM est)"),
 }

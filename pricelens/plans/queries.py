@@ -315,6 +315,17 @@ def market_profile(spark, sf_dir):
     return VAL.market_profiles(P.estimates(spark, sf_dir))
 
 
+def market_profile_rows(spark, sf_dir):
+    """The profiles flattened: one row per listed segment, with its commune's header
+    (name, department, segment count), so the content is checkable row by row."""
+    prof = VAL.market_profiles(P.estimates(spark, sf_dir))
+    return prof.select(
+        "commune_code", F.col("commune_name").alias("profile_name"),
+        F.col("department_code").alias("profile_department"), "segment_count",
+        F.posexplode("segments").alias("segment_pos", "s")).select(
+        "commune_code", "profile_name", "profile_department", "segment_count", "segment_pos", "s.*")
+
+
 def documents(spark, sf_dir):
     return SK.documents(P.estimates(spark, sf_dir))
 
@@ -329,5 +340,5 @@ QUERIES: dict[str, Query] = {f.__name__: f for f in [
     segment_yield, segment_confidence, fair_price_estimates, estimates_latest,
     estimates_roundtrip, landing_roundtrip, sales_incremental, sales_deduplicated, daily_run, contract_violations,
     listing_ranges, listing_verdicts, listing_unmatched, verdict_summary,
-    communes, commune_count, market_profile, documents,
+    communes, commune_count, market_profile, market_profile_rows, documents,
 ]}
