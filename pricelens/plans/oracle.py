@@ -377,6 +377,9 @@ ORACLE: dict[str, str] = {
         FROM est
         WINDOW w AS (PARTITION BY commune_code ORDER BY property_type NULLS FIRST, rooms_bucket NULLS FIRST, commune_name NULLS FIRST, department_code NULLS FIRST, transaction_count NULLS FIRST, median_price_m2 NULLS FIRST, avg_price_m2 NULLS FIRST, q25_price_m2 NULLS FIRST, q75_price_m2 NULLS FIRST, rent_m2 NULLS FIRST, estimated_gross_yield NULLS FIRST, latest_rate_value NULLS FIRST, market_liquidity_score NULLS FIRST, fair_price_confidence NULLS FIRST, computation_date NULLS FIRST
                      ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)"""),
+    "documents_parsed": _with(EST_BASE, f"""
+        SELECT 'fair_price_estimates' AS _index, {EST_COLS.replace('computation_date',
+               "strftime(computation_date, '%Y-%m-%d') AS computation_date")} FROM est"""),
     "commune_count": _with(EST_BASE, "SELECT count(*) AS commune_count FROM "
                                      "(SELECT DISTINCT commune_code, commune_name, department_code FROM est)"),
 }

@@ -330,6 +330,16 @@ def documents(spark, sf_dir):
     return SK.documents(P.estimates(spark, sf_dir))
 
 
+def documents_parsed(spark, sf_dir):
+    """The export read back: every document parsed with the estimates contract (dates
+    as their ISO text), so the exported content is checked field by field."""
+    from pyspark.sql import types as T
+    schema = T.StructType([f if f.name != "computation_date" else T.StructField(f.name, T.StringType())
+                           for f in C.ESTIMATES.fields])
+    docs = SK.documents(P.estimates(spark, sf_dir))
+    return docs.select("_index", F.from_json("_source", schema).alias("d")).select("_index", "d.*")
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in [
     sales_parse, sales_filtered, sales_formatted, sales_reject_reasons, sales_by_year,
     sales_union_years, sales_scoped, rooms_bucket_counts,
@@ -340,5 +350,5 @@ QUERIES: dict[str, Query] = {f.__name__: f for f in [
     segment_yield, segment_confidence, fair_price_estimates, estimates_latest,
     estimates_roundtrip, landing_roundtrip, sales_incremental, sales_deduplicated, daily_run, contract_violations,
     listing_ranges, listing_verdicts, listing_unmatched, verdict_summary,
-    communes, commune_count, market_profile, market_profile_rows, documents,
+    communes, commune_count, market_profile, market_profile_rows, documents, documents_parsed,
 ]}
