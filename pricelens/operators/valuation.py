@@ -40,6 +40,9 @@ def latest_estimates(estimates: DataFrame) -> DataFrame:
     for c in ("commune_name", "department_code"):
         if c in estimates.columns:
             order.append(F.col(c).asc_nulls_last())
+    # Any other columns close the order, so the pick never depends on row arrival.
+    ranked = set(LOOKUP) | {"computation_date", "transaction_count", "commune_name", "department_code"}
+    order += [F.col(c).asc_nulls_last() for c in estimates.columns if c not in ranked]
     w = Window.partitionBy(*LOOKUP).orderBy(*order)
     return estimates.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
 

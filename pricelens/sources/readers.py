@@ -51,6 +51,8 @@ def resolve_aliases(df: DataFrame, aliases: dict, required=()) -> DataFrame:
     with no candidate raises, listing the columns that were found."""
     renames = {}
     for target, candidates in aliases.items():
+        if target in df.columns:
+            continue  # already named: renaming another candidate onto it would duplicate it
         found = find_column(df, candidates)
         if found is None:
             if target in required:

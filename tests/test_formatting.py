@@ -162,3 +162,10 @@ def test_scope_prunes_year_partitions(spark, tmp_out):
     plan = scoped._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(year" in plan and "year" in plan
     assert FMT.scope_sales(df).count() == 3 and F is not None
+
+
+def test_rents_alias_does_not_duplicate_an_existing_target(spark):
+    raw = spark.createDataFrame([("44109", "X", "15.8", "12.5")],
+                                ["commune_code", "code_commune", "loyer_m2_appartement", "loyer_m2_maison"])
+    r = FMT.format_rents(raw, source_year=2025).first()
+    assert r.commune_code == "44109"
