@@ -82,7 +82,13 @@ def segment_stats(sales: DataFrame, exact: bool = False, method: str = "sketch")
     )
 
 
-def _segment_stats_sketch(sales: DataFrame) -> DataFrame:
+def segment_sketches(sales: DataFrame) -> DataFrame:
+    """Mergeable per-segment state: a KLL sketch of price/m2, the sale count, the exact
+    cent sum and the priced-sale count. Built in two levels (per segment and map-task
+    salt, then per segment), so a hot segment is merged by many reducers first.
+
+    States of disjoint sales merge with ``merge_segment_sketches``: a day's new sales
+    can be folded into a stored state without re-reading the history."""
     salted = sales.withColumn("_salt", F.spark_partition_id() % SALT_BUCKETS)
     level1 = salted.groupBy(*KEYS, "_salt").agg(
         F.kll_sketch_agg_double("price_per_m2", SKETCH_K).alias("_sk"),
@@ -90,17 +96,32 @@ def _segment_stats_sketch(sales: DataFrame) -> DataFrame:
         F.sum(F.col("price_per_m2").cast(CENTS)).alias("_sum"),
         F.count("price_per_m2").alias("_n"),
     )
-    level2 = level1.groupBy(*KEYS).agg(
+    return _merge_level(level1, "_cnt")
+
+
+def _merge_level(df: DataFrame, count_col: str) -> DataFrame:
+    return df.groupBy(*KEYS).agg(
         F.kll_merge_agg_double("_sk", SKETCH_K).alias("_sk"),
-        F.sum("_cnt").alias("transaction_count"),
-        F.sum("_sum").alias("_sum"),
+        F.sum(count_col).alias("transaction_count"),
+        F.sum("_sum").cast("decimal(38,2)").alias("_sum"),
         F.sum("_n").alias("_n"),
     )
 
+
+def merge_segment_sketches(*states: DataFrame) -> DataFrame:
+    """Fold several ``segment_sketches`` states (of disjoint sales) into one."""
+    union = states[0]
+    for st in states[1:]:
+        union = union.unionByName(st)
+    return _merge_level(union, "transaction_count")
+
+
+def stats_from_sketches(state: DataFrame) -> DataFrame:
+    """AGG-2…5 read off a merged state (same columns as ``segment_stats``)."""
     def quantile(q):
         return F.when(F.col("_n") > 0, F.round(F.kll_sketch_get_quantile_double("_sk", F.lit(q)), 2))
 
-    return level2.select(
+    return state.select(
         *KEYS, "transaction_count",
         quantile(0.5).alias("median_price_m2"),
         _mean_cents(F.col("_sum"), F.col("_n")).alias("avg_price_m2"),
@@ -109,6 +130,10 @@ def _segment_stats_sketch(sales: DataFrame) -> DataFrame:
     )
 
 
+def _segment_stats_sketch(sales: DataFrame) -> DataFrame:
+    return stats_from_sketches(segment_sketches(sales))
+
+
 def _segment_stats_exact(sales: DataFrame) -> DataFrame:
     # One pass: a (segment, price) histogram that also carries the sale-id count, so
     # the transaction count needs no second scan. NULL prices keep their own bucket for

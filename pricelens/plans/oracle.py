@@ -320,6 +320,7 @@ ORACLE: dict[str, str] = {
                                   "SELECT rate_date, rate_value, rate_type, ingestion_date FROM rates"),
     "segment_stats": _with(SALES_BASE + [SEGMENTS], "SELECT * FROM segments"),
     "segment_stats_approx": _with(SALES_BASE + [SEGMENTS], "SELECT * FROM segments"),
+    "segment_stats_merged": _with(SALES_BASE + [SEGMENTS], "SELECT * FROM segments"),
     "segment_stats_exact": _with(SALES_BASE + [SEGMENTS], "SELECT * FROM segments"),
     "segment_rent": _with(SALES_BASE + [SEGMENTS, RAW_RENTS, RENTS, RENTS_LATEST, SEG_RENT],
                           "SELECT * FROM seg_rent"),
@@ -345,6 +346,7 @@ ORACLE: dict[str, str] = {
     "landing_roundtrip": _with(SALES_BASE, "SELECT * FROM sales"),
     "sales_incremental": _with(SALES_BASE, "SELECT * FROM sales"),
     "daily_run": _with(EST_BASE, "SELECT * FROM est"),
+    "daily_incremental": _with(EST_BASE, "SELECT * FROM est"),
     "sales_deduplicated": _with(SALES_BASE, "SELECT DISTINCT * FROM sales"),
     "contract_violations": _with(EST_BASE, """
         SELECT 0 AS missing_columns, 0 AS type_mismatches,

@@ -163,6 +163,16 @@ def segment_stats_approx(spark, sf_dir):
     return MKT.segment_stats(P.formatted_sales(spark, sf_dir), method="approx")
 
 
+def segment_stats_merged(spark, sf_dir):
+    """Segment statistics from two states merged: one over sales up to 1998 (the stored
+    history) and one over the later sales (the new landing)."""
+    sales = P.formatted_sales(spark, sf_dir)
+    old = F.col("year") <= EARLIER_RUN_LAST_YEAR
+    history = MKT.segment_sketches(sales.filter(old))
+    new = MKT.segment_sketches(sales.filter(~old))
+    return MKT.stats_from_sketches(MKT.merge_segment_sketches(history, new))
+
+
 def segment_stats_exact(spark, sf_dir):
     return MKT.segment_stats(P.formatted_sales(spark, sf_dir), exact=True)
 
@@ -273,6 +283,27 @@ def sales_deduplicated(spark, sf_dir):
     return FMT.format_sales(R.read_landed_csv(spark, path), dedup=True)
 
 
+def daily_incremental(spark, sf_dir):
+    """Two days of the incremental run: day one lands the sales shipped up to 1998, day
+    two the rest; each run formats only its own landing and merges segment state. The
+    second day's usage table equals a full recomputation over all sales."""
+    from pyspark.sql import types as T
+    root = scratch_path(spark, "lake-incremental")
+    raw_root, lake = root + "/raw", root + "/lake"
+    raw = FX.raw_sales(spark, sf_dir)
+    early = F.coalesce(F.substring("date_mutation", 1, 4) <= str(EARLIER_RUN_LAST_YEAR), F.lit(False))
+    schema = T.StructType(C.RAW_RATES.fields + [T.StructField("ts", T.TimestampNTZType()),
+                                                T.StructField("event_id", T.LongType())])
+    SK.land_csv(FX.raw_rents(spark, sf_dir), raw_root + "/rents", P.INGESTION_DATE, sep=";")
+    SK.land_json(FX.raw_rates(spark, sf_dir), raw_root + "/rates", P.INGESTION_DATE)
+    SK.land_csv(raw.filter(early), raw_root + "/dvf", "2024-12-30")
+    P.run_daily_incremental(spark, raw_root, lake, "2024-12-30", "2024-12-30", rates_schema=schema)
+    SK.land_csv(raw.filter(~early), raw_root + "/dvf", P.INGESTION_DATE)
+    P.run_daily_incremental(spark, raw_root, lake, P.COMPUTATION_DATE, P.INGESTION_DATE, rates_schema=schema)
+    usage = R.read_estimates(spark, lake + "/usage/fair_price_estimates")
+    return usage.filter(F.col("computation_date") == F.lit(P.COMPUTATION_DATE).cast("date"))
+
+
 def contract_violations(spark, sf_dir):
     est = P.estimates(spark, sf_dir)
     missing = len(C.missing_columns(est, C.ESTIMATES))
@@ -346,9 +377,9 @@ QUERIES: dict[str, Query] = {f.__name__: f for f in [
     rents_merged, rents_formatted, rents_latest, delimiter_detect,
     rates_formatted, rates_latest_per_type, rates_last_n, rate_latest, rates_fallback,
     rates_sdmx, rates_json_roundtrip,
-    segment_stats, segment_stats_approx, segment_stats_exact, segment_rent, segment_rate, segment_liquidity,
+    segment_stats, segment_stats_approx, segment_stats_merged, segment_stats_exact, segment_rent, segment_rate, segment_liquidity,
     segment_yield, segment_confidence, fair_price_estimates, estimates_latest,
-    estimates_roundtrip, landing_roundtrip, sales_incremental, sales_deduplicated, daily_run, contract_violations,
+    estimates_roundtrip, landing_roundtrip, sales_incremental, sales_deduplicated, daily_run, daily_incremental, contract_violations,
     listing_ranges, listing_verdicts, listing_unmatched, verdict_summary,
     communes, commune_count, market_profile, market_profile_rows, documents, documents_parsed,
 ]}
