@@ -1,6 +1,7 @@
 """Command line: the jobs a user runs, each one Spark application.
 
     python -m pricelens daily    --raw-root R --lake-root L --date 2024-12-31
+    python -m pricelens daily-incremental --raw-root R --lake-root L --date 2024-12-31
     python -m pricelens value    --estimates E --listings X --out O [--bounds exact]
     python -m pricelens communes --estimates E --out O
     python -m pricelens profiles --estimates E --out O [--commune 44109]
@@ -41,6 +42,12 @@ def main(argv=None, spark: SparkSession | None = None) -> dict:
     ap.add_argument("--cluster-conf", action="store_true", help="apply CLUSTER_CONF to the session")
     sub = ap.add_subparsers(dest="cmd", required=True)
 
+    inc = sub.add_parser("daily-incremental", help="newest landing only, merged into stored segment state")
+    inc.add_argument("--raw-root", required=True)
+    inc.add_argument("--lake-root", required=True)
+    inc.add_argument("--date", required=True, help="computation and ingestion date, yyyy-MM-dd")
+    inc.add_argument("--rent-source-year", type=int)
+
     d = sub.add_parser("daily", help="landed files -> formatted layer -> usage table")
     d.add_argument("--raw-root", required=True)
     d.add_argument("--lake-root", required=True)
@@ -71,7 +78,10 @@ def main(argv=None, spark: SparkSession | None = None) -> dict:
     if args.cluster_conf:
         apply_conf(spark)
 
-    if args.cmd == "daily":
+    if args.cmd == "daily-incremental":
+        result = D.run_daily_incremental(spark, args.raw_root, args.lake_root, args.date, args.date,
+                                         rent_source_year=args.rent_source_year)
+    elif args.cmd == "daily":
         result = D.run_daily(spark, args.raw_root, args.lake_root, args.date, args.date,
                              snapshot=args.snapshot, rent_source_year=args.rent_source_year,
                              years=args.years, departments=args.departments)

@@ -26,3 +26,6 @@ def test_daily_then_value_communes_profiles_export(spark, tmp_out):
     assert cli.main(["profiles", "--estimates", est, "--out", tmp_out + "/p", "--commune", "01003"],
                     spark=spark)["communes"] == 1
     assert cli.main(["export", "--estimates", est, "--out", tmp_out + "/e"], spark=spark)["documents"] == 100
+    res = cli.main(["daily-incremental", "--raw-root", raw, "--lake-root", tmp_out + "/lake2",
+                    "--date", "2024-12-31"], spark=spark)
+    assert res["estimates"] == 100
