@@ -42,7 +42,7 @@ def main(argv=None, spark: SparkSession | None = None) -> dict:
     ap.add_argument("--cluster-conf", action="store_true", help="apply CLUSTER_CONF to the session")
     sub = ap.add_subparsers(dest="cmd", required=True)
 
-    inc = sub.add_parser("daily-incremental", help="newest landing only, merged into stored segment state")
+    inc = sub.add_parser("daily-incremental", help="landings since the last state only, merged into stored segment state")
     inc.add_argument("--raw-root", required=True)
     inc.add_argument("--lake-root", required=True)
     inc.add_argument("--date", required=True, help="computation and ingestion date, yyyy-MM-dd")

@@ -86,13 +86,14 @@ def run_daily_incremental(spark: SparkSession, raw_root: str, lake_root: str, co
                           rent_source_year: int | None = None) -> dict[str, int]:
     """The daily run in time proportional to the new data.
 
-    Only the newest sales landing is formatted; its mergeable segment state (KLL
-    sketches, counts, exact sums) is folded into the newest stored state older than this
-    run, and the result is written as a new ``as_of=`` version (an input is never
+    Only the sales landed since the newest stored state (older than this run) are
+    formatted; their mergeable segment state (KLL sketches, counts, exact sums) is folded
+    into that stored state, and the result is written as a new ``as_of=`` version (an input is never
     overwritten, and a failed run leaves the previous version intact). Rents and rates
     are small and are formatted from their newest landing. The usage table is then
     derived from the merged state. Equal to ``run_daily`` over all landings when each
-    landing holds new sales.
+    landing holds new sales (a replayed landing is new data to this run, as it is to
+    ``run_daily``).
     """
     from pyspark.sql import functions as F
 
@@ -104,14 +105,18 @@ def run_daily_incremental(spark: SparkSession, raw_root: str, lake_root: str, co
     usage = f"{lake_root}/usage/fair_price_estimates"
     counts: dict[str, int] = {}
 
-    fresh = FMT.format_sales(R.read_landed_csv(spark, f"{raw_root}/dvf", snapshot="latest"))
-    state = MKT.segment_sketches(fresh)
+    run_date = F.lit(computation_date).cast("date")
     try:
         versions = spark.read.parquet(state_root).select("as_of")
-        newest = (versions.filter(F.col("as_of") < F.lit(computation_date).cast("date"))
-                  .agg(F.max("as_of")).first()[0])  # one date: the version to build on
+        newest = versions.filter(F.col("as_of") < run_date).agg(F.max("as_of")).first()[0]
     except Exception:  # noqa: BLE001 - first run: no stored state yet
         newest = None
+    # Every landing after the state being built on, up to this run (a missed day is
+    # folded in by the next run); the predicate prunes ``ingestion_date=`` folders.
+    landed = R.read_landed_csv(spark, f"{raw_root}/dvf").filter(F.col("ingestion_date") <= run_date)
+    if newest is not None:
+        landed = landed.filter(F.col("ingestion_date") > F.lit(newest.isoformat()).cast("date"))
+    state = MKT.segment_sketches(FMT.format_sales(landed))
     if newest is not None:
         # Read that version's folder only, so this run's own folder is never an input.
         previous = spark.read.parquet(f"{state_root}/as_of={newest.isoformat()}")

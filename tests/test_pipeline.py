@@ -50,3 +50,23 @@ def test_incremental_daily_run_equals_full_recomputation(spark, tmp_out):
     P.run_daily_incremental(spark, raw_root, lake, "2024-12-31", "2024-12-31", rates_schema=schema)
     usage = spark.read.parquet(lake + "/usage/fair_price_estimates").filter("computation_date = '2024-12-31'")
     assert {tuple(r[c] for c in C.ESTIMATE_COLUMNS) for r in usage.collect()} == expected
+
+
+def test_incremental_run_folds_in_a_missed_day(spark, tmp_out):
+    from pyspark.sql import functions as F
+    raw_root, lake = tmp_out + "/raw", tmp_out + "/lake"
+    schema = T.StructType(C.RAW_RATES.fields + [T.StructField("ts", T.TimestampNTZType()),
+                                                T.StructField("event_id", T.LongType())])
+    sales = FX.raw_sales(spark, SF_SMALL)
+    year = F.substring("date_mutation", 1, 4)
+    SK.land_csv(FX.raw_rents(spark, SF_SMALL), raw_root + "/rents", "2024-12-29", sep=";")
+    SK.land_json(FX.raw_rates(spark, SF_SMALL), raw_root + "/rates", "2024-12-29")
+    SK.land_csv(sales.filter(F.coalesce(year <= "1996", F.lit(False))), raw_root + "/dvf", "2024-12-29")
+    P.run_daily_incremental(spark, raw_root, lake, "2024-12-29", "2024-12-29", rates_schema=schema)
+    # Two landings, but the run of 2024-12-30 never happens.
+    SK.land_csv(sales.filter(year.between("1997", "1998")), raw_root + "/dvf", "2024-12-30")
+    SK.land_csv(sales.filter(F.coalesce(year > "1998", F.lit(True))), raw_root + "/dvf", "2024-12-31")
+    P.run_daily_incremental(spark, raw_root, lake, "2024-12-31", "2024-12-31", rates_schema=schema)
+    usage = spark.read.parquet(lake + "/usage/fair_price_estimates").filter("computation_date = '2024-12-31'")
+    expected = {tuple(r) for r in P.estimates(spark, SF_SMALL).collect()}
+    assert {tuple(r[c] for c in C.ESTIMATE_COLUMNS) for r in usage.collect()} == expected
