@@ -12,7 +12,7 @@ from pricelens.operators.market import (  # noqa: F401
     attach_rate, attach_rent, enrich, fair_price_estimates, latest_rate, latest_rents, segment_stats,
 )
 from pricelens.operators.valuation import (  # noqa: F401
-    commune_count, latest_estimates, list_communes, market_profiles, unmatched_listings,
+    commune_count, latest_estimates, list_communes, market_profiles, quote, unmatched_listings,
     value_listings, verdict_summary,
 )
-from pricelens.plans.daily import run_daily  # noqa: F401
+from pricelens.plans.daily import run_daily, run_daily_incremental  # noqa: F401

@@ -164,3 +164,24 @@ def market_profiles(estimates: DataFrame, commune_code: str | None = None) -> Da
         F.count(F.lit(1)).alias("segment_count"),
         F.sort_array(F.collect_list(seg)).alias("segments"),
     )
+
+
+def quote(estimates: DataFrame, commune_code: str, property_type: str, rooms_bucket: str,
+          surface_m2: float, asked_price: float, bounds: str = "quote") -> dict:
+    """One listing valued through the same batch plan (the request/response form):
+    non-positive surface or price raises ``ValueError``; a listing with no segment
+    raises ``LookupError``; otherwise the quote fields come back as a dict. Only the one
+    answer row reaches the driver."""
+    if not (surface_m2 > 0 and asked_price > 0):
+        raise ValueError("surface_m2 and asked_price must be greater than 0")
+    spark = estimates.sparkSession
+    one = spark.createDataFrame([(commune_code, property_type, rooms_bucket, float(surface_m2), float(asked_price))],
+                                C.LISTINGS)
+    # One listing: filter the estimates to its segment key instead of broadcasting them.
+    ref = estimates.filter((F.col("commune_code") == commune_code) & (F.col("property_type") == property_type)
+                           & (F.col("rooms_bucket") == rooms_bucket))
+    row = value_listings(one, ref, bounds=bounds).first()
+    if row is None or row["status"] != STATUS_OK:
+        raise LookupError(f"no market reference for commune={commune_code}, type={property_type}, "
+                          f"rooms={rooms_bucket}")
+    return {k: row[k] for k in QUOTE_COLUMNS if k != "status"}

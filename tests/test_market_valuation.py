@@ -170,3 +170,16 @@ def test_exact_method_beyond_sketch_size(spark):
         for q, v in ((.25, r.q25_price_m2), (.5, r.median_price_m2), (.75, r.q75_price_m2)):
             rank = sum(1 for x in srt if x <= v) / len(srt)
             assert abs(rank - q) < 0.01
+
+
+def test_quote_one_listing(spark):
+    import pytest
+    est = _estimates(spark)
+    q = VAL.quote(est, "01001", "Apartment", "3 rooms", 55, 250000)
+    assert (q["label"], q["low_fair_price"], q["high_fair_price"], q["estimated_fair_price"]) == \
+        ("FAIRLY_PRICED", 220000.0, 258500.0, 236500.0)
+    assert q["confidence"] == "HIGH" and q["computation_date"] == "2024-12-31" and q["transaction_count"] == 120
+    with pytest.raises(LookupError):
+        VAL.quote(est, "99999", "Apartment", "3 rooms", 55, 250000)
+    with pytest.raises(ValueError):
+        VAL.quote(est, "01001", "Apartment", "3 rooms", 0, 250000)
