@@ -47,6 +47,7 @@ def main(argv=None, spark: SparkSession | None = None) -> dict:
     inc.add_argument("--lake-root", required=True)
     inc.add_argument("--date", required=True, help="computation and ingestion date, yyyy-MM-dd")
     inc.add_argument("--rent-source-year", type=int)
+    inc.add_argument("--rates-json-array", action="store_true", help="rate files are JSON arrays")
 
     d = sub.add_parser("daily", help="landed files -> formatted layer -> usage table")
     d.add_argument("--raw-root", required=True)
@@ -56,6 +57,7 @@ def main(argv=None, spark: SparkSession | None = None) -> dict:
     d.add_argument("--rent-source-year", type=int)
     d.add_argument("--years", type=int, nargs="*")
     d.add_argument("--departments", nargs="*")
+    d.add_argument("--rates-json-array", action="store_true", help="rate files are JSON arrays")
 
     v = sub.add_parser("value", help="classify a table of listings")
     v.add_argument("--estimates", required=True)
@@ -80,11 +82,13 @@ def main(argv=None, spark: SparkSession | None = None) -> dict:
 
     if args.cmd == "daily-incremental":
         result = D.run_daily_incremental(spark, args.raw_root, args.lake_root, args.date, args.date,
-                                         rent_source_year=args.rent_source_year)
+                                         rent_source_year=args.rent_source_year,
+                                         rates_json_array=args.rates_json_array)
     elif args.cmd == "daily":
         result = D.run_daily(spark, args.raw_root, args.lake_root, args.date, args.date,
                              snapshot=args.snapshot, rent_source_year=args.rent_source_year,
-                             years=args.years, departments=args.departments)
+                             years=args.years, departments=args.departments,
+                             rates_json_array=args.rates_json_array)
     else:
         est = R.read_estimates(spark, args.estimates)
         if args.cmd == "value":

@@ -38,11 +38,13 @@ def estimates(spark: SparkSession, sf_dir: str, exact: bool = False,
 
 def run_daily(spark: SparkSession, raw_root: str, lake_root: str, computation_date: str,
                  ingestion_date: str, snapshot: str = "all", rates_schema=None,
-                 rent_source_year: int | None = None, years=None, departments=None) -> dict[str, int]:
+                 rent_source_year: int | None = None, years=None, departments=None,
+                 rates_json_array: bool = False) -> dict[str, int]:
     """The daily run over landed files: raw -> formatted layer -> usage table.
 
     ``raw_root`` holds ``dvf/`` and ``rents/`` (CSV landings) and ``rates/`` (JSON
-    landings), each in ``ingestion_date=`` folders. Each formatted table is written once
+    landings: records one per line, or JSON-array files with ``rates_json_array``), each
+    in ``ingestion_date=`` folders. Each formatted table is written once
     (sales by year, rents by edition, rates by date) and read back, which cuts the
     lineage between stages; the usage table is written by computation date with dynamic
     overwrite, so earlier runs stay next to it. ``years`` / ``departments`` scope the
@@ -67,7 +69,8 @@ def run_daily(spark: SparkSession, raw_root: str, lake_root: str, computation_da
                                                  f"{fmt_root}/rents", partition_by=["source_year"],
                                                  stage="formatted_rents")
 
-    raw_rates = R.read_json_records(spark, f"{raw_root}/rates", rates_schema or C.RAW_RATES, multiline=False)
+    raw_rates = R.read_json_records(spark, f"{raw_root}/rates", rates_schema or C.RAW_RATES,
+                                    multiline=rates_json_array)
     counts["formatted_rates"] = SK.write_parquet(FMT.format_rates(raw_rates, ingestion_date),
                                                  f"{fmt_root}/rates", partition_by=["rate_date"],
                                                  stage="formatted_rates")
@@ -83,7 +86,8 @@ def run_daily(spark: SparkSession, raw_root: str, lake_root: str, computation_da
 
 def run_daily_incremental(spark: SparkSession, raw_root: str, lake_root: str, computation_date: str,
                           ingestion_date: str, rates_schema=None,
-                          rent_source_year: int | None = None) -> dict[str, int]:
+                          rent_source_year: int | None = None,
+                          rates_json_array: bool = False) -> dict[str, int]:
     """The daily run in time proportional to the new data.
 
     Only the sales landed since the newest stored state (older than this run) are
@@ -129,7 +133,8 @@ def run_daily_incremental(spark: SparkSession, raw_root: str, lake_root: str, co
     sep = R.detect_delimiter(spark, f"{raw_root}/rents")
     rents = FMT.format_rents(R.read_landed_csv(spark, f"{raw_root}/rents", sep=sep, snapshot="latest"),
                              rent_source_year)
-    raw_rates = R.read_json_records(spark, f"{raw_root}/rates", rates_schema or C.RAW_RATES, multiline=False)
+    raw_rates = R.read_json_records(spark, f"{raw_root}/rates", rates_schema or C.RAW_RATES,
+                                    multiline=rates_json_array)
     rates = FMT.format_rates(raw_rates, ingestion_date)
     seg = MKT.attach_rate(MKT.attach_rent(MKT.stats_from_sketches(merged.drop("as_of")), rents), rates)
     est = C.select_present(MKT.enrich(seg, computation_date), C.ESTIMATE_COLUMNS)

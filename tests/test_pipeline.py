@@ -70,3 +70,19 @@ def test_incremental_run_folds_in_a_missed_day(spark, tmp_out):
     usage = spark.read.parquet(lake + "/usage/fair_price_estimates").filter("computation_date = '2024-12-31'")
     expected = {tuple(r) for r in P.estimates(spark, SF_SMALL).collect()}
     assert {tuple(r[c] for c in C.ESTIMATE_COLUMNS) for r in usage.collect()} == expected
+
+
+def test_daily_run_reads_json_array_rate_files(spark, tmp_out):
+    import json
+    import os
+    raw = tmp_out + "/raw"
+    SK.land_csv(FX.raw_sales(spark, SF_SMALL), raw + "/dvf", "2024-12-31")
+    SK.land_csv(FX.raw_rents(spark, SF_SMALL), raw + "/rents", "2024-12-31", sep=";")
+    os.makedirs(raw + "/rates/ingestion_date=2024-12-31")
+    with open(raw + "/rates/ingestion_date=2024-12-31/estr.json", "w") as fh:
+        json.dump([{"date": "2024-11-20", "rate_value": 3.4, "rate_type": "ESTR", "source": "ECB"},
+                   {"date": "2024-11-21", "rate_value": 3.2, "rate_type": "ESTR", "source": "ECB"}], fh, indent=2)
+    counts = P.run_daily(spark, raw, tmp_out + "/lake", "2024-12-31", "2024-12-31", rates_json_array=True)
+    assert counts["formatted_rates"] == 2
+    usage = spark.read.parquet(tmp_out + "/lake/usage/fair_price_estimates")
+    assert {r.latest_rate_value for r in usage.select("latest_rate_value").collect()} == {3.2}
