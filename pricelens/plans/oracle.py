@@ -321,6 +321,7 @@ ORACLE: dict[str, str] = {
     "segment_stats": _with(SALES_BASE + [SEGMENTS], "SELECT * FROM segments"),
     "segment_stats_approx": _with(SALES_BASE + [SEGMENTS], "SELECT * FROM segments"),
     "segment_stats_merged": _with(SALES_BASE + [SEGMENTS], "SELECT * FROM segments"),
+    "segment_stats_streamed": _with(SALES_BASE + [SEGMENTS], "SELECT * FROM segments"),
     "segment_stats_exact": _with(SALES_BASE + [SEGMENTS], "SELECT * FROM segments"),
     "segment_rent": _with(SALES_BASE + [SEGMENTS, RAW_RENTS, RENTS, RENTS_LATEST, SEG_RENT],
                           "SELECT * FROM seg_rent"),

@@ -304,6 +304,21 @@ def daily_incremental(spark, sf_dir):
     return usage.filter(F.col("computation_date") == F.lit(P.COMPUTATION_DATE).cast("date"))
 
 
+def segment_stats_streamed(spark, sf_dir):
+    """Segment statistics kept by a file stream: two landings, each followed by an
+    ``availableNow`` run that merges the new files' sketches into the stored state."""
+    from pricelens.streaming.ingest import segment_stats_from_state, update_segment_state
+    root = scratch_path(spark, "segment-state")
+    landed, state, ckpt = root + "/landed", root + "/state", root + "/checkpoint"
+    raw = FX.raw_sales(spark, sf_dir)
+    early = F.coalesce(F.substring("date_mutation", 1, 4) <= str(EARLIER_RUN_LAST_YEAR), F.lit(False))
+    SK.land_csv(raw.filter(early), landed, "2024-12-30")
+    update_segment_state(spark, landed, state, ckpt)
+    SK.land_csv(raw.filter(~early), landed, P.INGESTION_DATE)
+    update_segment_state(spark, landed, state, ckpt)
+    return segment_stats_from_state(spark, state)
+
+
 def contract_violations(spark, sf_dir):
     est = P.estimates(spark, sf_dir)
     missing = len(C.missing_columns(est, C.ESTIMATES))
@@ -379,7 +394,7 @@ QUERIES: dict[str, Query] = {f.__name__: f for f in [
     rates_sdmx, rates_json_roundtrip,
     segment_stats, segment_stats_approx, segment_stats_merged, segment_stats_exact, segment_rent, segment_rate, segment_liquidity,
     segment_yield, segment_confidence, fair_price_estimates, estimates_latest,
-    estimates_roundtrip, landing_roundtrip, sales_incremental, sales_deduplicated, daily_run, daily_incremental, contract_violations,
+    estimates_roundtrip, landing_roundtrip, sales_incremental, sales_deduplicated, daily_run, daily_incremental, segment_stats_streamed, contract_violations,
     listing_ranges, listing_verdicts, listing_unmatched, verdict_summary,
     communes, commune_count, market_profile, market_profile_rows, documents, documents_parsed,
 ]}

@@ -39,3 +39,54 @@ def format_landed_sales(spark: SparkSession, landed_path: str, formatted_path: s
              .start())
     query.awaitTermination()
     return sum(int(p.get("numInputRows", 0)) for p in query.recentProgress)
+
+
+def _newest_version(spark: SparkSession, state_root: str, below: int):
+    """The newest ``batch=`` version of the state older than ``below`` (None if none)."""
+    from pyspark.sql import functions as F
+    try:
+        versions = spark.read.parquet(state_root).select("batch")
+    except Exception:  # noqa: BLE001 - no state written yet
+        return None
+    return versions.filter(F.col("batch") < below).agg(F.max("batch")).first()[0]
+
+
+def update_segment_state(spark: SparkSession, landed_path: str, state_root: str,
+                         checkpoint_path: str) -> int:
+    """Fold every sales file landed since the last call into the segment state.
+
+    A file stream over the landing folder; each micro-batch is formatted, reduced to
+    mergeable segment sketches (``market.segment_sketches``) and merged with the newest
+    state version, and the result is written as ``batch=<id>``. A retried batch rewrites
+    its own version from the same predecessor, so the sink is idempotent; the stream's
+    checkpoint makes every file count once. Returns the number of landed rows read by
+    this call (from the progress log).
+    """
+    from pricelens.operators import market as MKT
+    from pricelens.sinks import write_parquet
+
+    def merge_batch(batch, batch_id: int) -> None:
+        state = MKT.segment_sketches(batch)
+        prev = _newest_version(spark, state_root, batch_id)
+        if prev is not None:
+            state = MKT.merge_segment_sketches(spark.read.parquet(f"{state_root}/batch={prev}"), state)
+        write_parquet(state, f"{state_root}/batch={batch_id}", stage="segment_state")
+
+    raw = (spark.readStream.schema(LANDED_SALES).option("header", True)
+           .option("inferSchema", False).option("encoding", "UTF-8").csv(landed_path))
+    query = (format_sales(raw).writeStream.foreachBatch(merge_batch)
+             .option("checkpointLocation", checkpoint_path)
+             .trigger(availableNow=True).start())
+    query.awaitTermination()
+    return sum(int(p.get("numInputRows", 0)) for p in query.recentProgress)
+
+
+def segment_stats_from_state(spark: SparkSession, state_root: str):
+    """Segment statistics from the newest state version (same columns as
+    ``market.segment_stats``)."""
+    from pyspark.sql import functions as F
+
+    from pricelens.operators import market as MKT
+    state = spark.read.parquet(state_root)
+    newest = state.agg(F.max("batch")).scalar()
+    return MKT.stats_from_sketches(state.filter(F.col("batch") == newest).drop("batch"))
