@@ -183,3 +183,14 @@ def test_quote_one_listing(spark):
         VAL.quote(est, "99999", "Apartment", "3 rooms", 55, 250000)
     with pytest.raises(ValueError):
         VAL.quote(est, "01001", "Apartment", "3 rooms", 0, 250000)
+
+
+def test_value_listings_defaults_for_absent_columns(spark):
+    est = _estimates(spark).drop("fair_price_confidence", "transaction_count", "estimated_gross_yield",
+                                 "latest_rate_value", "computation_date").limit(1)
+    listing = spark.createDataFrame([(1, "01001", "Apartment", "3 rooms", 55.0, 250000.0)],
+                                    "id long, commune_code string, property_type string, rooms_bucket string, "
+                                    "surface_m2 double, asked_price double")
+    r = VAL.value_listings(listing, est).first()
+    assert (r.confidence, r.transaction_count, r.estimated_gross_yield, r.latest_rate_value,
+            r.computation_date, r.status) == ("LOW", 0, None, None, None, "OK")
