@@ -67,16 +67,22 @@ def resolve_aliases(df: DataFrame, aliases: dict, required=()) -> DataFrame:
 
 def read_landed_csv(spark: SparkSession, path: str, sep: str = ",", snapshot: str = "all",
                     schema: T.StructType | None = None) -> DataFrame:
-    """SRC-1: header on, no inference (all text), every ``ingestion_date=`` folder.
+    """SRC-1: header on, no inference (all text), every ``ingestion_date=`` folder; every
+    file's header is checked against the columns (mismatch -> error, not misreading).
 
     ``snapshot="latest"`` keeps only the newest ingestion date (a scalar subquery, so
     the choice is made inside the plan rather than by a driver round trip).
     """
     reader = (spark.read.option("header", True).option("inferSchema", False)
               .option("sep", sep).option("encoding", "UTF-8"))
-    if schema is not None:
-        reader = reader.schema(schema)
-    df = reader.csv(path)
+    if schema is None:
+        # Column names come from one file's header; with them as an explicit schema and
+        # enforceSchema off, Spark checks every file's header against it, so a landing
+        # with reordered columns fails loudly instead of being read by position.
+        first = reader.csv(path)
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in first.columns
+                               if c != "ingestion_date"])
+    df = reader.schema(schema).option("enforceSchema", False).csv(path)
     if snapshot == "latest" and "ingestion_date" in df.columns:
         newest = df.agg(F.max("ingestion_date")).scalar()
         df = df.filter(F.col("ingestion_date") == newest)

@@ -47,3 +47,16 @@ def test_q13_json_snapshot_keeps_leading_zeros(spark, tmp_out):
         fh.write('{"commune_code": "01001", "transaction_count": 3}\n')
     r = R.read_estimates(spark, None, p).first()
     assert r.commune_code == "01001"
+
+
+def test_reordered_landing_header_fails_loudly(spark, tmp_out):
+    import pytest
+    p = tmp_out + "/dvf"
+    df = spark.createDataFrame([ROW], C.RAW_SALES)
+    SK.land_csv(df, p, "2024-12-30")
+    SK.land_csv(df.select(*reversed(df.columns)), p, "2024-12-31")
+    with pytest.raises(Exception):
+        R.read_landed_csv(spark, p).collect()
+    # Files with differing headers are read by their own header instead.
+    u = R.read_whitelisted_csv(spark, [p + "/ingestion_date=2024-12-30", p + "/ingestion_date=2024-12-31"], sep=",")
+    assert {r.valeur_fonciere for r in u.collect()} == {"250000"}
