@@ -1,10 +1,12 @@
 """Market operators: formatted sales/rents/rates -> per-segment estimates.
 
-Plan shape (checked with ``explain``): one hash shuffle on the five segment keys with
-map-side partial aggregation (the percentile sketches merge partially, so a segment
-holding a third of all sales costs one sketch per map task, not a third of the rows in
-one reducer); the rent and rate sides are aggregates of bounded size joined by AQE's
+Plan shape (checked with ``explain``, see docs/PLANS.md): the segment aggregate is
+partial on the map side and merged in two levels -- per (segment, map-task salt), then
+per segment -- so a segment holding a third of all sales reaches no single reducer from
+every task; the rent and rate sides are aggregates of bounded size joined by AQE's
 size-checked broadcast; the latest rate is a scalar subquery, not a driver round trip.
+The same statistics are available as a mergeable state (``segment_sketches``) so new
+sales can be folded into stored results without re-reading history.
 """
 
 from __future__ import annotations
