@@ -1,7 +1,8 @@
 """Formatting operators: raw text tables -> typed, filtered tables.
 
-All narrow (map-side) transformations except the two rent files' FULL OUTER merge and
-the latest-per-type window on rates.
+All narrow (map-side) transformations except the two rent files' FULL OUTER merge, the
+latest-per-type / last-n windows on rates (partial top-k before their shuffle) and the
+opt-in de-duplication of replayed landings (map-side pre-aggregated).
 """
 
 from __future__ import annotations

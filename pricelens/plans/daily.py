@@ -1,4 +1,9 @@
-"""The daily pipeline as one lazy lineage: raw -> formatted -> usage.
+"""The daily run: raw -> formatted -> usage.
+
+``estimates`` is the whole computation as one lazy lineage over the driver's tables;
+``run_daily`` runs it over landed files with a written formatted layer and stage
+counts; ``run_daily_incremental`` processes only the landings since the stored segment
+state.
 
 Steps 4 and 5 of the reference (combine, then enrich in place) fuse into one plan
 with one write, so the read-back / temp-directory / move dance disappears.
