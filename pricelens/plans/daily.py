@@ -116,7 +116,7 @@ def run_daily_incremental(spark: SparkSession, raw_root: str, lake_root: str, co
 
     run_date = F.lit(computation_date).cast("date")
     try:
-        versions = spark.read.parquet(state_root).select("as_of")
+        versions = R.partition_values(spark, state_root).select("as_of")  # a listing, no reads
         newest = versions.filter(F.col("as_of") < run_date).agg(F.max("as_of")).first()[0]
     except Exception:  # noqa: BLE001 - first run: no stored state yet
         newest = None

@@ -70,8 +70,8 @@ def read_landed_csv(spark: SparkSession, path: str, sep: str = ",", snapshot: st
     """SRC-1: header on, no inference (all text), every ``ingestion_date=`` folder; every
     file's header is checked against the columns (mismatch -> error, not misreading).
 
-    ``snapshot="latest"`` keeps only the newest ingestion date (a scalar subquery, so
-    the choice is made inside the plan rather than by a driver round trip).
+    ``snapshot="latest"`` keeps only the newest ingestion date: a scalar subquery over the
+    file listing (no file is read for it) that also prunes the scan to that folder.
     """
     reader = (spark.read.option("header", True).option("inferSchema", False)
               .option("sep", sep).option("encoding", "UTF-8"))
@@ -84,11 +84,18 @@ def read_landed_csv(spark: SparkSession, path: str, sep: str = ",", snapshot: st
                                if c != "ingestion_date"])
     df = reader.schema(schema).option("enforceSchema", False).csv(path)
     if snapshot == "latest" and "ingestion_date" in df.columns:
-        newest = df.agg(F.max("ingestion_date")).scalar()
+        newest = partition_values(spark, path).agg(F.max("ingestion_date")).scalar()
         df = df.filter(F.col("ingestion_date") == newest)
     return df
 
 
+def partition_values(spark: SparkSession, path: str) -> DataFrame:
+    """One row per file under ``path`` with its partition columns, from the file listing
+    alone: the ``binaryFile`` source reads no content unless its ``content`` column is
+    selected. Questions such as "newest ingestion date" cost a listing, not a scan."""
+    return spark.read.format("binaryFile").load(path).drop("content")
+
+
 def read_whitelisted_csv(spark: SparkSession, paths, whitelist=SALES_WHITELIST, sep: str = "|",
                          tolerant: bool = True) -> DataFrame:
     """SRC-4 + SET-1 + SRC-12: read each file with its own header, keep only whitelisted

@@ -45,7 +45,8 @@ def _newest_version(spark: SparkSession, state_root: str, below: int):
     """The newest ``batch=`` version of the state older than ``below`` (None if none)."""
     from pyspark.sql import functions as F
     try:
-        versions = spark.read.parquet(state_root).select("batch")
+        from pricelens.sources.readers import partition_values
+        versions = partition_values(spark, state_root).select("batch")  # a listing, no reads
     except Exception:  # noqa: BLE001 - no state written yet
         return None
     return versions.filter(F.col("batch") < below).agg(F.max("batch")).first()[0]
