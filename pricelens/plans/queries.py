@@ -69,20 +69,20 @@ def rooms_bucket_counts(spark, sf_dir):
 
 
 def sales_union_years(spark, sf_dir):
-    """SRC-4 + SET-1 + SRC-12: land one pipe-delimited file set per sale year, with the
-    columns of alternate years in a different order plus a column outside the
-    whitelist, then read every file by its own header and union by name."""
+    """SRC-4 + SET-1 + SRC-12: land one pipe-delimited file set per sale year -- the
+    earlier years with one column order, the later ones reversed, each with a column
+    outside the whitelist -- then read every file set by its own header and union by
+    name. Every row is landed and read back."""
     raw = FX.raw_sales(spark, sf_dir).withColumn(
         "_year", F.substring("date_mutation", 1, 4)).withColumn("id_parcelle", F.lit("x"))
     root = scratch_path(spark, "dvf-years")
     cols = list(C.RAW_SALES_COLUMNS)
-    even = cols + ["id_parcelle"]
-    odd = ["id_parcelle"] + cols[::-1]
-    (raw.select(*even, "_year").filter(F.col("_year").try_cast("int") % 2 == 0)
-     .write.partitionBy("_year").option("header", True).option("sep", "|").csv(root + "/even"))
-    (raw.select(*odd, "_year").filter(F.coalesce(F.col("_year").try_cast("int") % 2 != 0, F.lit(True)))
-     .write.partitionBy("_year").option("header", True).option("sep", "|").csv(root + "/odd"))
-    paths = [root + "/even", root + "/odd", root + "/missing-department"]
+    early = F.coalesce(F.col("_year") <= str(EARLIER_RUN_LAST_YEAR), F.lit(False))
+    (raw.select(*cols, "id_parcelle", "_year").filter(early)
+     .write.partitionBy("_year").option("header", True).option("sep", "|").csv(root + "/early"))
+    (raw.select("id_parcelle", *cols[::-1], "_year").filter(~early)
+     .write.partitionBy("_year").option("header", True).option("sep", "|").csv(root + "/late"))
+    paths = [root + "/early", root + "/late", root + "/missing-department"]
     union = R.read_whitelisted_csv(spark, paths, sep="|")
     return FMT.parse_sales(union)
 
