@@ -21,7 +21,8 @@ from pricelens.operators.formatting import latest_rates_per_type
 KEYS = list(C.SEGMENT_KEYS)
 QUANTILES = (0.25, 0.5, 0.75)
 # Cents as an exact decimal: averages are computed on it so the mean does not depend
-# on the order in which partial sums are combined.
+# on the order in which partial sums are combined. A value too large for it (a
+# malformed price) is left out of the mean rather than failing the job under ANSI.
 CENTS = "decimal(28,2)"
 # percentile_approx accuracy: relative rank error 1/accuracy; groups smaller than this
 # are answered exactly (an element of the input, like percentile_disc).
@@ -72,8 +73,8 @@ def segment_stats(sales: DataFrame, exact: bool = False, method: str = "sketch")
     agg = sales.groupBy(*KEYS).agg(
         _transaction_count(sales),
         q.alias("_q"),
-        F.sum(F.col("price_per_m2").cast(CENTS)).alias("_sum"),
-        F.count("price_per_m2").alias("_n"),
+        F.sum(F.col("price_per_m2").try_cast(CENTS)).alias("_sum"),
+        F.count(F.col("price_per_m2").try_cast(CENTS)).alias("_n"),
     )
     return agg.select(
         *KEYS, "transaction_count",
@@ -95,8 +96,8 @@ def segment_sketches(sales: DataFrame) -> DataFrame:
     level1 = salted.groupBy(*KEYS, "_salt").agg(
         F.kll_sketch_agg_double("price_per_m2", SKETCH_K).alias("_sk"),
         _transaction_count(sales).alias("_cnt"),
-        F.sum(F.col("price_per_m2").cast(CENTS)).alias("_sum"),
-        F.count("price_per_m2").alias("_n"),
+        F.sum(F.col("price_per_m2").try_cast(CENTS)).alias("_sum"),
+        F.count(F.col("price_per_m2").try_cast(CENTS)).alias("_n"),
     )
     return _merge_level(level1, "_cnt")
 
@@ -155,7 +156,9 @@ def _segment_stats_exact(sales: DataFrame) -> DataFrame:
     return hist.groupBy(*KEYS).agg(
         F.sum("_ids").alias("transaction_count"),
         disc(0.5).alias("median_price_m2"),
-        _mean_cents(F.sum(F.col("price_per_m2").cast(CENTS) * F.col("_c")), F.sum("_c")).alias("avg_price_m2"),
+        _mean_cents(F.sum(F.col("price_per_m2").try_cast(CENTS) * F.col("_c")),
+                    F.sum(F.when(F.col("price_per_m2").try_cast(CENTS).isNotNull(), F.col("_c")))
+                    ).alias("avg_price_m2"),
         disc(0.25).alias("q25_price_m2"),
         disc(0.75).alias("q75_price_m2"),
     )

@@ -194,3 +194,10 @@ def test_value_listings_defaults_for_absent_columns(spark):
     r = VAL.value_listings(listing, est).first()
     assert (r.confidence, r.transaction_count, r.estimated_gross_yield, r.latest_rate_value,
             r.computation_date, r.status) == ("LOW", 0, None, None, None, "OK")
+
+
+def test_absurd_price_does_not_fail_the_job(spark):
+    df = sales_df(spark, [("House", "1 room", 1e300), ("House", "1 room", 100.0), ("House", "1 room", 300.0)])
+    for method in ("sketch", "approx", "exact"):
+        r = MKT.segment_stats(df, method=method).first()
+        assert r.transaction_count == 3 and r.avg_price_m2 == 200.0 and r.q75_price_m2 == 1e300
