@@ -26,7 +26,8 @@ def format_landed_sales(spark: SparkSession, landed_path: str, formatted_path: s
     append it to the Parquet table at ``formatted_path`` (partitioned by ``year``).
     Returns the number of landed rows read by this call (from the progress log)."""
     reader = (spark.readStream.schema(LANDED_SALES).option("header", True)
-              .option("inferSchema", False).option("encoding", "UTF-8"))
+              .option("inferSchema", False).option("encoding", "UTF-8")
+              .option("enforceSchema", False))  # every file's header is checked
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     raw = reader.csv(landed_path)
@@ -74,7 +75,8 @@ def update_segment_state(spark: SparkSession, landed_path: str, state_root: str,
         write_parquet(state, f"{state_root}/batch={batch_id}", stage="segment_state")
 
     raw = (spark.readStream.schema(LANDED_SALES).option("header", True)
-           .option("inferSchema", False).option("encoding", "UTF-8").csv(landed_path))
+           .option("inferSchema", False).option("encoding", "UTF-8")
+           .option("enforceSchema", False).csv(landed_path))
     query = (format_sales(raw).writeStream.foreachBatch(merge_batch)
              .option("checkpointLocation", checkpoint_path)
              .trigger(availableNow=True).start())
