@@ -148,22 +148,28 @@ PROFILE_FIELDS = [
 ]
 
 
-def market_profiles(estimates: DataFrame, commune_code: str | None = None) -> DataFrame:
+def market_profiles(estimates: DataFrame, commune_code: str | None = None,
+                    as_json: bool = False) -> DataFrame:
     """AGG-8 + FLT-9: one row per commune with its segment list (sorted), the header
     name/department taken from the first segment in that order. A commune holds at most
-    a handful of segments (types x room buckets), so the collected list is bounded."""
+    a handful of segments (types x room buckets), so the collected list is bounded.
+    ``as_json=True`` returns the list as JSON text (NULL fields dropped, ISO dates)."""
     df = estimates if commune_code is None else estimates.filter(F.col("commune_code") == commune_code)
     fields = [c for c in PROFILE_FIELDS if c in df.columns]
     seg = F.struct(*[F.col(c) for c in fields],
                    *([X.iso_date("computation_date").alias("computation_date")]
                      if "computation_date" in df.columns else []))
     first = F.struct("property_type", "rooms_bucket", "commune_name", "department_code")
-    return df.groupBy("commune_code").agg(
+    out = df.groupBy("commune_code").agg(
         F.min_by("commune_name", first).alias("commune_name"),
         F.min_by("department_code", first).alias("department_code"),
         F.count(F.lit(1)).alias("segment_count"),
         F.sort_array(F.collect_list(seg)).alias("segments"),
     )
+    if as_json:
+        # The endpoint's shape: a JSON list of segment objects, NULL fields dropped.
+        out = out.withColumn("segments", F.to_json("segments"))
+    return out
 
 
 def quote(estimates: DataFrame, commune_code: str, property_type: str, rooms_bucket: str,

@@ -201,3 +201,19 @@ def test_absurd_price_does_not_fail_the_job(spark):
     for method in ("sketch", "approx", "exact"):
         r = MKT.segment_stats(df, method=method).first()
         assert r.transaction_count == 3 and r.avg_price_m2 == 200.0 and r.q75_price_m2 == 1e300
+
+
+def test_market_profile_json_drops_nulls(spark):
+    import json
+    est = P.estimates(spark, SF_SMALL)
+    prof = VAL.market_profiles(est, as_json=True).collect()
+    by_code = {}
+    for r in est.collect():
+        by_code.setdefault(r.commune_code, []).append(r)
+    for p in prof:
+        segs = json.loads(p.segments)
+        assert len(segs) == p.segment_count == len(by_code[p.commune_code])
+        for seg in segs:
+            assert None not in seg.values() and seg["computation_date"] == "2024-12-31"
+        missing_rent = sum(1 for r in by_code[p.commune_code] if r.rent_m2 is None)
+        assert sum(1 for seg in segs if "rent_m2" not in seg) == missing_rent
