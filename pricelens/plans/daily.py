@@ -68,8 +68,7 @@ def run_daily(spark: SparkSession, raw_root: str, lake_root: str, computation_da
                                                  partition_by=["year"], stage="formatted_sales")
     counts["raw_sales"] = int(obs_sales.get.get("rows", 0))
 
-    raw_rents = R.read_landed_csv(spark, f"{raw_root}/rents", sep=R.detect_delimiter(spark, f"{raw_root}/rents"),
-                                  snapshot=snapshot)
+    raw_rents = R.read_csv_detected(spark, f"{raw_root}/rents", snapshot=snapshot)  # delimiter per file
     counts["formatted_rents"] = SK.write_parquet(FMT.format_rents(raw_rents, rent_source_year),
                                                  f"{fmt_root}/rents", partition_by=["source_year"],
                                                  stage="formatted_rents")
@@ -135,8 +134,7 @@ def run_daily_incremental(spark: SparkSession, raw_root: str, lake_root: str, co
     counts["segments"] = SK.write_parquet(state, f"{state_root}/as_of={computation_date}", stage="state")
     merged = spark.read.parquet(state_root).filter(F.col("as_of") == F.lit(computation_date).cast("date"))
 
-    sep = R.detect_delimiter(spark, f"{raw_root}/rents")
-    rents = FMT.format_rents(R.read_landed_csv(spark, f"{raw_root}/rents", sep=sep, snapshot="latest"),
+    rents = FMT.format_rents(R.read_csv_detected(spark, f"{raw_root}/rents", snapshot="latest"),
                              rent_source_year)
     raw_rates = R.read_json_records(spark, f"{raw_root}/rates", rates_schema or C.RAW_RATES,
                                     multiline=rates_json_array)

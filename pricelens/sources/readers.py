@@ -147,6 +147,30 @@ def detect_delimiter(spark: SparkSession, path: str) -> str:
     return ";" if row is not None and (row["s"] or 0) > (row["c"] or 0) else ","
 
 
+def read_csv_detected(spark: SparkSession, path: str, snapshot: str = "all") -> DataFrame:
+    """SRC-5 per file: each landed file is read with the delimiter sniffed from its own
+    text, files sharing a delimiter in one scan, the groups unioned by name. Only the
+    list of (file, delimiter) pairs -- one row per file -- reaches the driver."""
+    per_file = delimiter_counts(spark, path).select("file", "delimiter").collect()
+    groups: dict[str, list[str]] = {}
+    for row in per_file:
+        groups.setdefault(row["delimiter"], []).append(row["file"])
+    frames = []
+    for sep, files in sorted(groups.items()):
+        reader = (spark.read.option("header", True).option("inferSchema", False)
+                  .option("sep", sep).option("encoding", "UTF-8").option("basePath", path))
+        frames.append(reader.csv(files))
+    if not frames:
+        return read_landed_csv(spark, path, snapshot=snapshot)
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f, allowMissingColumns=True)
+    if snapshot == "latest" and "ingestion_date" in out.columns:
+        newest = partition_values(spark, path).agg(F.max("ingestion_date")).scalar()
+        out = out.filter(F.col("ingestion_date") == newest)
+    return out
+
+
 # ── JSON ────────────────────────────────────────────────────────────────────────
 
 def read_json_records(spark: SparkSession, path: str, schema: T.StructType = C.RAW_RATES,

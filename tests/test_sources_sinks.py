@@ -154,3 +154,16 @@ def test_header_normalisation_and_contracts(spark):
     assert est.filter(C.confidence_violation()).count() == 1
     conformed = C.conform(est, C.ESTIMATES)
     assert conformed.columns == list(C.ESTIMATE_COLUMNS)
+
+
+def test_read_csv_detected_per_file(spark, tmp_out):
+    p = tmp_out + "/rents"
+    a = spark.createDataFrame([("01001", "15,8")], ["code_commune", "loyer_m2_appartement"])
+    b = spark.createDataFrame([("01002", "12.5")], ["code_commune", "loyer_m2_appartement"])
+    SK.land_csv(a, p, "2024-12-30", sep=";")
+    SK.land_csv(b, p, "2024-12-31", sep=",")
+    rows = sorted((r.code_commune, r.loyer_m2_appartement, str(r.ingestion_date))
+                  for r in R.read_csv_detected(spark, p).collect())
+    assert rows == [("01001", "15,8", "2024-12-30"), ("01002", "12.5", "2024-12-31")]
+    latest = R.read_csv_detected(spark, p, snapshot="latest").collect()
+    assert [r.code_commune for r in latest] == ["01002"]
