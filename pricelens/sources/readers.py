@@ -159,7 +159,10 @@ def read_csv_detected(spark: SparkSession, path: str, snapshot: str = "all") ->
     for sep, files in sorted(groups.items()):
         reader = (spark.read.option("header", True).option("inferSchema", False)
                   .option("sep", sep).option("encoding", "UTF-8").option("basePath", path))
-        frames.append(reader.csv(files))
+        cols = [c for c in reader.csv(files).columns if c != "ingestion_date"]
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in cols])
+        # As in read_landed_csv: every file's header is checked, never read by position.
+        frames.append(reader.schema(schema).option("enforceSchema", False).csv(files))
     if not frames:
         return read_landed_csv(spark, path, snapshot=snapshot)
     out = frames[0]
