@@ -85,25 +85,27 @@ def segment_stats(sales: DataFrame, exact: bool = False, method: str = "sketch")
     )
 
 
-def segment_sketches(sales: DataFrame) -> DataFrame:
+def segment_sketches(sales: DataFrame, extra_keys=()) -> DataFrame:
     """Mergeable per-segment state: a KLL sketch of price/m2, the sale count, the exact
     cent sum and the priced-sale count. Built in two levels (per segment and map-task
     salt, then per segment), so a hot segment is merged by many reducers first.
 
     States of disjoint sales merge with ``merge_segment_sketches``: a day's new sales
-    can be folded into a stored state without re-reading the history."""
+    can be folded into a stored state without re-reading the history. ``extra_keys``
+    split each segment's state further (e.g. by period) in the same single pass."""
+    keys = [*KEYS, *extra_keys]
     salted = sales.withColumn("_salt", F.spark_partition_id() % SALT_BUCKETS)
-    level1 = salted.groupBy(*KEYS, "_salt").agg(
+    level1 = salted.groupBy(*keys, "_salt").agg(
         F.kll_sketch_agg_double("price_per_m2", SKETCH_K).alias("_sk"),
         _transaction_count(sales).alias("_cnt"),
         F.sum(F.col("price_per_m2").try_cast(CENTS)).alias("_sum"),
         F.count(F.col("price_per_m2").try_cast(CENTS)).alias("_n"),
     )
-    return _merge_level(level1, "_cnt")
+    return _merge_level(level1, "_cnt", keys)
 
 
-def _merge_level(df: DataFrame, count_col: str) -> DataFrame:
-    return df.groupBy(*KEYS).agg(
+def _merge_level(df: DataFrame, count_col: str, keys=None) -> DataFrame:
+    return df.groupBy(*(keys or KEYS)).agg(
         F.kll_merge_agg_double("_sk", SKETCH_K).alias("_sk"),
         F.sum(count_col).alias("transaction_count"),
         F.sum("_sum").cast("decimal(38,2)").alias("_sum"),
@@ -112,10 +114,12 @@ def _merge_level(df: DataFrame, count_col: str) -> DataFrame:
 
 
 def merge_segment_sketches(*states: DataFrame) -> DataFrame:
-    """Fold several ``segment_sketches`` states (of disjoint sales) into one."""
-    union = states[0]
+    """Fold several ``segment_sketches`` states (of disjoint sales) into one; extra key
+    columns of the inputs are merged away."""
+    cols = [*KEYS, "_sk", "transaction_count", "_sum", "_n"]
+    union = states[0].select(*cols)
     for st in states[1:]:
-        union = union.unionByName(st)
+        union = union.unionByName(st.select(*cols))
     return _merge_level(union, "transaction_count")
 
 
@@ -212,6 +216,12 @@ def enrich(combined: DataFrame, computation_date) -> DataFrame:
 def fair_price_estimates(sales: DataFrame, rents: DataFrame, rates: DataFrame,
                          computation_date, exact: bool = False, method: str = "sketch") -> DataFrame:
     """The usage table: 16 columns per segment, one lazy lineage (combine + enrich fused)."""
-    seg = segment_stats(sales, exact=exact, method=method)
-    seg = attach_rate(attach_rent(seg, rents), rates)
+    return estimates_from_segments(segment_stats(sales, exact=exact, method=method), rents, rates,
+                                   computation_date)
+
+
+def estimates_from_segments(segments: DataFrame, rents: DataFrame, rates: DataFrame,
+                            computation_date) -> DataFrame:
+    """Segment statistics -> the 16-column usage table (rent, rate, enrichment)."""
+    seg = attach_rate(attach_rent(segments, rents), rates)
     return C.select_present(enrich(seg, computation_date), C.ESTIMATE_COLUMNS)

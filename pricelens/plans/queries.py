@@ -209,13 +209,20 @@ def fair_price_estimates(spark, sf_dir):
 
 def estimates_history(spark, sf_dir) -> DataFrame:
     """Two runs in one table: today's over all sales, and an earlier run that only saw
-    sales up to its own date (as a dynamic-overwrite table would hold them)."""
-    sales = P.formatted_sales(spark, sf_dir)
+    sales up to its own date (as a dynamic-overwrite table would hold them).
+
+    One pass over the sales: segment state split by period, the earlier run read off
+    the early part, today's run off the merge of both parts."""
+    sales = P.formatted_sales(spark, sf_dir).withColumn(
+        "_early", F.coalesce(F.col("year") <= EARLIER_RUN_LAST_YEAR, F.lit(False)))
     rents, rates = P.formatted_rents(spark, sf_dir), P.formatted_rates(spark, sf_dir)
-    now = MKT.fair_price_estimates(sales, rents, rates, P.COMPUTATION_DATE)
-    earlier = MKT.fair_price_estimates(sales.filter(F.col("year") <= EARLIER_RUN_LAST_YEAR), rents,
-                                       rates.filter(F.col("rate_date") <= F.lit(EARLIER_RUN_DATE).cast("date")),
-                                       EARLIER_RUN_DATE)
+    state = MKT.segment_sketches(sales, extra_keys=["_early"])
+    now = MKT.estimates_from_segments(MKT.stats_from_sketches(MKT.merge_segment_sketches(state)),
+                                      rents, rates, P.COMPUTATION_DATE)
+    early_stats = MKT.stats_from_sketches(state.filter(F.col("_early")).drop("_early"))
+    earlier = MKT.estimates_from_segments(
+        early_stats, rents, rates.filter(F.col("rate_date") <= F.lit(EARLIER_RUN_DATE).cast("date")),
+        EARLIER_RUN_DATE)
     return now.unionByName(earlier)
 
 
