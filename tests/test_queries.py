@@ -8,9 +8,14 @@ import math
 import duckdb
 import pytest
 
+import os
+
 import __spark_entry__ as E
 from tests.conftest import SF_SMALL
 
+# PRICELENS_TEST_SF=/root/testdata/sf0.01 repeats the driver's correctness scale.
+SF = os.environ.get("PRICELENS_TEST_SF", SF_SMALL)
+
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
           "pages benchmark labels conversations").split()
 
@@ -19,7 +24,7 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 def con():
     c = duckdb.connect()
     for t in TABLES:
-        c.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
+        c.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     return c
 
 
@@ -38,7 +43,7 @@ def test_entry_smoke(spark):
 
 @pytest.mark.parametrize("name", sorted(E.queries()))
 def test_query_matches_oracle(spark, con, name):
-    df = E.queries()[name](spark, SF_SMALL)
+    df = E.queries()[name](spark, SF)
     cols = sorted(df.columns)
     got = collections.Counter(tuple(norm(r[c]) for c in cols) for r in df.collect())
     sql = E.oracle_sql().get(name)
