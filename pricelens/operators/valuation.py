@@ -148,12 +148,13 @@ PROFILE_FIELDS = [
 ]
 
 
-def market_profiles(estimates: DataFrame, commune_code: str | None = None,
-                    as_json: bool = False) -> DataFrame:
+def market_profiles(estimates: DataFrame, commune_code=None, as_json: bool = False) -> DataFrame:
     """AGG-8 + FLT-9: one row per commune with its segment list (sorted), the header
     name/department taken from the first segment in that order. A commune holds at most
     a handful of segments (types x room buckets), so the collected list is bounded.
-    ``as_json=True`` returns the list as JSON text (NULL fields dropped, ISO dates)."""
+    ``commune_code`` (text or a Column, e.g. a scalar subquery) keeps one commune; none
+    found gives no row. ``as_json=True`` returns the list as JSON text (NULL fields
+    dropped, ISO dates)."""
     df = estimates if commune_code is None else estimates.filter(F.col("commune_code") == commune_code)
     fields = [c for c in PROFILE_FIELDS if c in df.columns]
     seg = F.struct(*[F.col(c) for c in fields],

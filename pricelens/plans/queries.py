@@ -368,10 +368,10 @@ def market_profile(spark, sf_dir):
     return VAL.market_profiles(P.estimates(spark, sf_dir))
 
 
-def market_profile_rows(spark, sf_dir):
+def market_profile_rows(spark, sf_dir, commune_code=None):
     """The profiles flattened: one row per listed segment, with its commune's header
     (name, department, segment count), so the content is checkable row by row."""
-    prof = VAL.market_profiles(P.estimates(spark, sf_dir))
+    prof = VAL.market_profiles(P.estimates(spark, sf_dir), commune_code)
     return prof.select(
         "commune_code", F.col("commune_name").alias("profile_name"),
         F.col("department_code").alias("profile_department"), "segment_count",
@@ -379,6 +379,13 @@ def market_profile_rows(spark, sf_dir):
         "commune_code", "profile_name", "profile_department", "segment_count", "segment_pos", "s.*")
 
 
+def market_profile_lookup(spark, sf_dir):
+    """FLT-9: one commune's profile -- the commune with the smallest code in the data,
+    chosen by a scalar subquery -- flattened."""
+    code = P.estimates(spark, sf_dir).agg(F.min("commune_code")).scalar()
+    return market_profile_rows(spark, sf_dir, commune_code=code)
+
+
 def documents(spark, sf_dir):
     return SK.documents(P.estimates(spark, sf_dir))
 
@@ -403,5 +410,5 @@ QUERIES: dict[str, Query] = {f.__name__: f for f in [
     segment_yield, segment_confidence, fair_price_estimates, estimates_latest,
     estimates_roundtrip, landing_roundtrip, sales_incremental, sales_deduplicated, daily_run, daily_incremental, segment_stats_streamed, contract_violations,
     listing_ranges, listing_verdicts, listing_unmatched, verdict_summary,
-    communes, commune_count, market_profile, market_profile_rows, documents, documents_parsed,
+    communes, commune_count, market_profile, market_profile_rows, market_profile_lookup, documents, documents_parsed,
 ]}
