@@ -29,3 +29,16 @@ def test_daily_then_value_communes_profiles_export(spark, tmp_out):
     res = cli.main(["daily-incremental", "--raw-root", raw, "--lake-root", tmp_out + "/lake2",
                     "--date", "2024-12-31"], spark=spark)
     assert res["estimates"] == 100
+
+
+def test_value_parquet_listings_exact_bounds(spark, tmp_out):
+    from pricelens.plans import daily as P
+    est = tmp_out + "/est"
+    SK.write_parquet(P.estimates(spark, SF_SMALL), est, partition_by=["computation_date"])
+    listings = tmp_out + "/listings"
+    FX.listings(spark, SF_SMALL).write.parquet(listings)
+    res = cli.main(["value", "--estimates", est, "--listings", listings, "--out", tmp_out + "/v",
+                    "--bounds", "exact"], spark=spark)
+    out = spark.read.parquet(tmp_out + "/v")
+    assert res["listings"] == out.count() == spark.read.parquet(listings).count()
+    assert {r.status for r in out.select("status").distinct().collect()} == {"OK", "NO_REFERENCE"}

@@ -167,3 +167,15 @@ def test_read_csv_detected_per_file(spark, tmp_out):
     assert rows == [("01001", "15,8", "2024-12-30"), ("01002", "12.5", "2024-12-31")]
     latest = R.read_csv_detected(spark, p, snapshot="latest").collect()
     assert [r.code_commune for r in latest] == ["01002"]
+
+
+def test_conform_casts_fills_and_drops(spark):
+    df = spark.createDataFrame([("01001", "12", "x", "2024-12-31")],
+                               ["commune_code", "transaction_count", "extra", "computation_date"])
+    out = C.conform(df, C.ESTIMATES)
+    assert out.columns == list(C.ESTIMATE_COLUMNS)
+    r = out.first()
+    assert r.transaction_count == 12 and r.median_price_m2 is None
+    assert str(r.computation_date) == "2024-12-31"
+    bad = C.conform(spark.createDataFrame([("abc",)], ["transaction_count"]), C.ESTIMATES).first()
+    assert bad.transaction_count is None  # malformed -> NULL, not an error
