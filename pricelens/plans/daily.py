@@ -42,9 +42,9 @@ def estimates(spark: SparkSession, sf_dir: str, exact: bool = False,
 
 
 def run_daily(spark: SparkSession, raw_root: str, lake_root: str, computation_date: str,
-                 ingestion_date: str, snapshot: str = "all", rates_schema=None,
-                 rent_source_year: int | None = None, years=None, departments=None,
-                 rates_json_array: bool = False) -> dict[str, int]:
+              ingestion_date: str, snapshot: str = "all", rates_schema=None,
+              rent_source_year: int | None = None, years=None, departments=None,
+              rates_json_array: bool = False) -> dict[str, int]:
     """The daily run over landed files: raw -> formatted layer -> usage table.
 
     ``raw_root`` holds ``dvf/`` and ``rents/`` (CSV landings) and ``rates/`` (JSON
@@ -96,9 +96,9 @@ def run_daily_incremental(spark: SparkSession, raw_root: str, lake_root: str, co
 
     Only the sales landed since the newest stored state (older than this run) are
     formatted; their mergeable segment state (KLL sketches, counts, exact sums) is folded
-    into that stored state, and the result is written as a new ``as_of=`` version (an input is never
-    overwritten, and a failed run leaves the previous version intact). Rents and rates
-    are small and are formatted from their newest landing. The usage table is then
+    into that stored state, and the result is written as a new ``as_of=`` version (an
+    input is never overwritten, and a failed run leaves the previous version intact).
+    Rents and rates are small and are formatted from their newest landing. The usage table is then
     derived from the merged state. Equal to ``run_daily`` over all landings when each
     landing holds new sales (a replayed landing is new data to this run, as it is to
     ``run_daily``).
@@ -132,15 +132,14 @@ def run_daily_incremental(spark: SparkSession, raw_root: str, lake_root: str, co
     # Each version is its own ``as_of=`` folder: the write target is never among the
     # files the merge reads (SNK-2 guard), and a rerun of the same date replaces it.
     counts["segments"] = SK.write_parquet(state, f"{state_root}/as_of={computation_date}", stage="state")
-    merged = spark.read.parquet(state_root).filter(F.col("as_of") == F.lit(computation_date).cast("date"))
+    merged = spark.read.parquet(f"{state_root}/as_of={computation_date}")
 
     rents = FMT.format_rents(R.read_csv_detected(spark, f"{raw_root}/rents", snapshot="latest"),
                              rent_source_year)
     raw_rates = R.read_json_records(spark, f"{raw_root}/rates", rates_schema or C.RAW_RATES,
                                     multiline=rates_json_array)
     rates = FMT.format_rates(raw_rates, ingestion_date)
-    seg = MKT.attach_rate(MKT.attach_rent(MKT.stats_from_sketches(merged.drop("as_of")), rents), rates)
-    est = C.select_present(MKT.enrich(seg, computation_date), C.ESTIMATE_COLUMNS)
+    est = MKT.estimates_from_segments(MKT.stats_from_sketches(merged), rents, rates, computation_date)
     counts["estimates"] = SK.write_parquet(est, usage, partition_by=["computation_date"], dynamic=True,
                                            stage="estimates")
     return counts
