@@ -90,6 +90,6 @@ def segment_stats_from_state(spark: SparkSession, state_root: str):
     from pyspark.sql import functions as F
 
     from pricelens.operators import market as MKT
-    state = spark.read.parquet(state_root)
-    newest = state.agg(F.max("batch")).scalar()
-    return MKT.stats_from_sketches(state.filter(F.col("batch") == newest).drop("batch"))
+    from pricelens.sources.readers import partition_values
+    newest = partition_values(spark, state_root).agg(F.max("batch")).first()[0]  # a listing
+    return MKT.stats_from_sketches(spark.read.parquet(f"{state_root}/batch={newest}"))
