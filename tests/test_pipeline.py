@@ -86,3 +86,20 @@ def test_daily_run_reads_json_array_rate_files(spark, tmp_out):
     assert counts["formatted_rates"] == 2
     usage = spark.read.parquet(tmp_out + "/lake/usage/fair_price_estimates")
     assert {r.latest_rate_value for r in usage.select("latest_rate_value").collect()} == {3.2}
+
+
+def test_daily_run_scope(spark, tmp_out):
+    from pricelens.operators import formatting as FMT
+    from pricelens.operators import market as MKT
+    raw = tmp_out + "/raw"
+    SK.land_csv(FX.raw_sales(spark, SF_SMALL), raw + "/dvf", "2024-12-31")
+    SK.land_csv(FX.raw_rents(spark, SF_SMALL), raw + "/rents", "2024-12-31", sep=";")
+    SK.land_json(FX.raw_rates(spark, SF_SMALL).select(*C.RAW_RATES.fieldNames()), raw + "/rates", "2024-12-31")
+    P.run_daily(spark, raw, tmp_out + "/lake", "2024-12-31", "2024-12-31", years=[1996, 1997], departments=["1"])
+    usage = spark.read.parquet(tmp_out + "/lake/usage/fair_price_estimates")
+    scoped = FMT.scope_sales(P.formatted_sales(spark, SF_SMALL), [1996, 1997], ["1"])
+    want = {(r.commune_code, r.property_type, r.rooms_bucket, r.transaction_count)
+            for r in MKT.segment_stats(scoped).collect()}
+    got = {(r.commune_code, r.property_type, r.rooms_bucket, r.transaction_count) for r in usage.collect()}
+    assert got == want and len(got) > 0
+    assert {r.department_code for r in usage.collect()} == {"1"}
