@@ -15,7 +15,7 @@ shuffle-written.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from pricelens.session import shared_dir
@@ -32,7 +32,9 @@ def materialize(df: DataFrame) -> DataFrame:
 
 def size_checked_side(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> tuple[DataFrame, bool]:
     """Materialise ``df``; return it broadcast-hinted when it has at most ``max_rows``
-    rows (and whether the hint was given)."""
-    m = materialize(df)
-    small = m.count() <= max_rows
+    rows (and whether the hint was given). The row count is observed while the
+    checkpoint is written, so the check costs no extra pass."""
+    obs = Observation("size_check")
+    m = materialize(df.observe(obs, F.count(F.lit(1)).alias("rows")))
+    small = int(obs.get.get("rows", 0)) <= max_rows
     return (F.broadcast(m) if small else m), small

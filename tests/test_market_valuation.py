@@ -217,3 +217,11 @@ def test_market_profile_json_drops_nulls(spark):
             assert None not in seg.values() and seg["computation_date"] == "2024-12-31"
         missing_rent = sum(1 for r in by_code[p.commune_code] if r.rent_m2 is None)
         assert sum(1 for seg in segs if "rent_m2" not in seg) == missing_rent
+
+
+def test_size_check_counts_while_checkpointing(spark):
+    from pricelens.operators import joins as J
+    df = spark.range(1234).withColumn("x", F.col("id") * 2)
+    m, small = J.size_checked_side(df, 1000)
+    assert not small and m.count() == 1234
+    assert J.size_checked_side(df, 2000)[1]
