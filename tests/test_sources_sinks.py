@@ -179,3 +179,21 @@ def test_conform_casts_fills_and_drops(spark):
     assert str(r.computation_date) == "2024-12-31"
     bad = C.conform(spark.createDataFrame([("abc",)], ["transaction_count"]), C.ESTIMATES).first()
     assert bad.transaction_count is None  # malformed -> NULL, not an error
+
+
+def test_sdmx_edge_cases(spark):
+    docs = spark.createDataFrame([
+        # two series, one without observations, one with an empty value list and a bad index
+        (json.dumps({"data": {
+            "dataSets": [{"series": {"0:0": {"observations": {"0": [2.5], "1": [], "x": [9.0]}},
+                                     "0:1": {}}}],
+            "structure": {"dimensions": {"observation": [
+                {"id": "TIME_PERIOD", "values": [{"id": "2024-01-01"}, {"id": "2024-01-02"}]}]}}}}),
+         "ESTR", "ECB"),
+        # no dataSets at all
+        (json.dumps({"data": {"structure": {"dimensions": {"observation": [
+            {"id": "TIME_PERIOD", "values": [{"id": "2024-01-01"}]}]}}}}), "ESTR", "ECB"),
+        (None, "ESTR", "ECB"),
+    ], "json string, rate_type string, source string")
+    rows = [tuple(r) for r in R.parse_sdmx(docs).collect()]
+    assert rows == [("2024-01-01", 2.5, "ESTR", "ECB")]
