@@ -85,28 +85,31 @@ def segment_stats(sales: DataFrame, exact: bool = False, method: str = "sketch")
     )
 
 
-def segment_sketches(sales: DataFrame, extra_keys=()) -> DataFrame:
+def segment_sketches(sales: DataFrame, extra_keys=(), salt_buckets: int = SALT_BUCKETS,
+                     sketch_k: int = SKETCH_K) -> DataFrame:
     """Mergeable per-segment state: a KLL sketch of price/m2, the sale count, the exact
     cent sum and the priced-sale count. Built in two levels (per segment and map-task
     salt, then per segment), so a hot segment is merged by many reducers first.
 
     States of disjoint sales merge with ``merge_segment_sketches``: a day's new sales
     can be folded into a stored state without re-reading the history. ``extra_keys``
-    split each segment's state further (e.g. by period) in the same single pass."""
+    split each segment's state further (e.g. by period) in the same single pass;
+    ``salt_buckets`` (about the square root of the map-task count is a good size) and
+    ``sketch_k`` tune the merge fan-in and the exactness threshold."""
     keys = [*KEYS, *extra_keys]
-    salted = sales.withColumn("_salt", F.spark_partition_id() % SALT_BUCKETS)
+    salted = sales.withColumn("_salt", F.spark_partition_id() % salt_buckets)
     level1 = salted.groupBy(*keys, "_salt").agg(
-        F.kll_sketch_agg_double("price_per_m2", SKETCH_K).alias("_sk"),
+        F.kll_sketch_agg_double("price_per_m2", sketch_k).alias("_sk"),
         _transaction_count(sales).alias("_cnt"),
         F.sum(F.col("price_per_m2").try_cast(CENTS)).alias("_sum"),
         F.count(F.col("price_per_m2").try_cast(CENTS)).alias("_n"),
     )
-    return _merge_level(level1, "_cnt", keys)
+    return _merge_level(level1, "_cnt", keys, sketch_k)
 
 
-def _merge_level(df: DataFrame, count_col: str, keys=None) -> DataFrame:
+def _merge_level(df: DataFrame, count_col: str, keys=None, sketch_k: int = SKETCH_K) -> DataFrame:
     return df.groupBy(*(keys or KEYS)).agg(
-        F.kll_merge_agg_double("_sk", SKETCH_K).alias("_sk"),
+        F.kll_merge_agg_double("_sk", sketch_k).alias("_sk"),
         F.sum(count_col).alias("transaction_count"),
         F.sum("_sum").cast("decimal(38,2)").alias("_sum"),
         F.sum("_n").alias("_n"),
