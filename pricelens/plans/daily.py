@@ -11,12 +11,16 @@ with one write, so the read-back / temp-directory / move dance disappears.
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import DataFrame, SparkSession
 
 from pricelens.operators import formatting as FMT
 from pricelens.operators import market as MKT
 from pricelens.sources import fixtures as FX
 
+log = logging.getLogger(__name__)
+
 # Fixed run parameters so results are reproducible (dates are arguments, never today()).
 COMPUTATION_DATE = "2024-12-31"
 INGESTION_DATE = "2024-12-31"
@@ -63,21 +67,35 @@ def run_daily(spark: SparkSession, raw_root: str, lake_root: str, computation_da
     counts: dict[str, int] = {}
     fmt_root, usage = f"{lake_root}/formatted", f"{lake_root}/usage/fair_price_estimates"
 
-    raw_sales, obs_sales = SK.counted(R.read_landed_csv(spark, f"{raw_root}/dvf", snapshot=snapshot), "raw_sales")
-    counts["formatted_sales"] = SK.write_parquet(FMT.format_sales(raw_sales), f"{fmt_root}/sales",
-                                                 partition_by=["year"], stage="formatted_sales")
-    counts["raw_sales"] = int(obs_sales.get.get("rows", 0))
-
-    raw_rents = R.read_csv_detected(spark, f"{raw_root}/rents", snapshot=snapshot)  # delimiter per file
-    counts["formatted_rents"] = SK.write_parquet(FMT.format_rents(raw_rents, rent_source_year),
-                                                 f"{fmt_root}/rents", partition_by=["source_year"],
-                                                 stage="formatted_rents")
-
-    raw_rates = R.read_json_records(spark, f"{raw_root}/rates", rates_schema or C.RAW_RATES,
-                                    multiline=rates_json_array)
-    counts["formatted_rates"] = SK.write_parquet(FMT.format_rates(raw_rates, ingestion_date),
-                                                 f"{fmt_root}/rates", partition_by=["rate_date"],
-                                                 stage="formatted_rates")
+    def landed(read):
+        """SRC-9: a source with no landed rows (or no folder yet) is skipped -- nothing is
+        written and its previous formatted table stays in place."""
+        try:
+            df = read()
+        except Exception as exc:  # noqa: BLE001 - AnalysisException: no such folder
+            log.warning("no landed files: %s", exc)
+            return None
+        return df if R.has_rows(df) else None
+
+    raw_sales = landed(lambda: R.read_landed_csv(spark, f"{raw_root}/dvf", snapshot=snapshot))
+    if raw_sales is not None:
+        raw_sales, obs_sales = SK.counted(raw_sales, "raw_sales")
+        counts["formatted_sales"] = SK.write_parquet(FMT.format_sales(raw_sales), f"{fmt_root}/sales",
+                                                     partition_by=["year"], stage="formatted_sales")
+        counts["raw_sales"] = int(obs_sales.get.get("rows", 0))
+
+    raw_rents = landed(lambda: R.read_csv_detected(spark, f"{raw_root}/rents", snapshot=snapshot))
+    if raw_rents is not None:  # delimiter sniffed per file
+        counts["formatted_rents"] = SK.write_parquet(FMT.format_rents(raw_rents, rent_source_year),
+                                                     f"{fmt_root}/rents", partition_by=["source_year"],
+                                                     stage="formatted_rents")
+
+    raw_rates = landed(lambda: R.read_json_records(spark, f"{raw_root}/rates", rates_schema or C.RAW_RATES,
+                                                   multiline=rates_json_array))
+    if raw_rates is not None:
+        counts["formatted_rates"] = SK.write_parquet(FMT.format_rates(raw_rates, ingestion_date),
+                                                     f"{fmt_root}/rates", partition_by=["rate_date"],
+                                                     stage="formatted_rates")
 
     # FLT-13: the configured scope; on the year-partitioned table it prunes partitions.
     sales = FMT.scope_sales(spark.read.parquet(f"{fmt_root}/sales"), years, departments)

@@ -103,3 +103,17 @@ def test_daily_run_scope(spark, tmp_out):
     got = {(r.commune_code, r.property_type, r.rooms_bucket, r.transaction_count) for r in usage.collect()}
     assert got == want and len(got) > 0
     assert {r.department_code for r in usage.collect()} == {"1"}
+
+
+def test_daily_run_skips_sources_without_landings(spark, tmp_out):
+    raw = tmp_out + "/raw"
+    SK.land_csv(FX.raw_sales(spark, SF_SMALL), raw + "/dvf", "2024-12-31")
+    SK.land_csv(FX.raw_rents(spark, SF_SMALL), raw + "/rents", "2024-12-31", sep=";")
+    SK.land_json(FX.raw_rates(spark, SF_SMALL).select(*C.RAW_RATES.fieldNames()), raw + "/rates", "2024-12-31")
+    P.run_daily(spark, raw, tmp_out + "/lake", "2024-12-31", "2024-12-31")
+    # Next day only the rates folder is new; the sales and rents roots are empty/missing.
+    raw2 = tmp_out + "/raw2"
+    SK.land_json(FX.raw_rates(spark, SF_SMALL).select(*C.RAW_RATES.fieldNames()), raw2 + "/rates", "2025-01-01")
+    counts = P.run_daily(spark, raw2, tmp_out + "/lake", "2025-01-01", "2025-01-01")
+    assert "formatted_sales" not in counts and "formatted_rents" not in counts
+    assert counts["segments"] == 100  # the formatted sales and rents of the day before
