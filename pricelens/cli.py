@@ -58,6 +58,7 @@ def main(argv=None, spark: SparkSession | None = None) -> dict:
     d.add_argument("--years", type=int, nargs="*")
     d.add_argument("--departments", nargs="*")
     d.add_argument("--rates-json-array", action="store_true", help="rate files are JSON arrays")
+    d.add_argument("--fallback-rate", type=float, help="rate used when no rate file was landed")
 
     v = sub.add_parser("value", help="classify a table of listings")
     v.add_argument("--estimates", required=True)
@@ -88,7 +89,7 @@ def main(argv=None, spark: SparkSession | None = None) -> dict:
         result = D.run_daily(spark, args.raw_root, args.lake_root, args.date, args.date,
                              snapshot=args.snapshot, rent_source_year=args.rent_source_year,
                              years=args.years, departments=args.departments,
-                             rates_json_array=args.rates_json_array)
+                             rates_json_array=args.rates_json_array, fallback_rate=args.fallback_rate)
     else:
         est = R.read_estimates(spark, args.estimates)
         if args.cmd == "value":

@@ -48,7 +48,9 @@ def estimates(spark: SparkSession, sf_dir: str, exact: bool = False,
 def run_daily(spark: SparkSession, raw_root: str, lake_root: str, computation_date: str,
               ingestion_date: str, snapshot: str = "all", rates_schema=None,
               rent_source_year: int | None = None, years=None, departments=None,
-              rates_json_array: bool = False) -> dict[str, int]:
+              rates_json_array: bool = False, fallback_rate: float | None = None,
+              fallback_rate_type: str | None = None,
+              fallback_source: str | None = None) -> dict[str, int]:
     """The daily run over landed files: raw -> formatted layer -> usage table.
 
     ``raw_root`` holds ``dvf/`` and ``rents/`` (CSV landings) and ``rates/`` (JSON
@@ -57,7 +59,8 @@ def run_daily(spark: SparkSession, raw_root: str, lake_root: str, computation_da
     (sales by year, rents by edition, rates by date) and read back, which cuts the
     lineage between stages; the usage table is written by computation date with dynamic
     overwrite, so earlier runs stay next to it. ``years`` / ``departments`` scope the
-    sales that feed the segments. Returns the row count of every stage,
+    sales that feed the segments; ``fallback_rate`` stands in when no rate was landed.
+    Returns the row count of every stage,
     gathered by ``observe`` on the writes (no extra passes).
     """
     from pricelens import contracts as C
@@ -92,6 +95,12 @@ def run_daily(spark: SparkSession, raw_root: str, lake_root: str, computation_da
 
     raw_rates = landed(lambda: R.read_json_records(spark, f"{raw_root}/rates", rates_schema or C.RAW_RATES,
                                                    multiline=rates_json_array))
+    if raw_rates is None and fallback_rate is not None:
+        # SRC-10: no rate observations -> one fallback row dated the ingestion date.
+        empty = spark.createDataFrame([], C.RAW_RATES)
+        raw_rates = R.with_fallback_row(empty, ingestion_date, fallback_rate,
+                                        fallback_rate_type or R.FALLBACK_RATE_TYPE,
+                                        fallback_source or R.FALLBACK_SOURCE)
     if raw_rates is not None:
         counts["formatted_rates"] = SK.write_parquet(FMT.format_rates(raw_rates, ingestion_date),
                                                      f"{fmt_root}/rates", partition_by=["rate_date"],

@@ -23,14 +23,11 @@ from pricelens.sources import sdmx as SD
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Fixed values of the scoped-run and fallback examples.
+# Fixed values of the scoped-run examples.
 SCOPE_YEARS = [1996, 1997, 1998]
 SCOPE_DEPARTMENTS = ["1", "3"]
 EARLIER_RUN_DATE = "1998-12-31"
 EARLIER_RUN_LAST_YEAR = 1998
-FALLBACK_RATE = 3.9
-FALLBACK_RATE_TYPE = "ESTR"
-FALLBACK_SOURCE = "ECB Data Portal"
 LAST_N_RATES = 30
 
 
@@ -136,8 +133,8 @@ def rate_latest(spark, sf_dir):
 
 
 def rates_fallback(spark, sf_dir):
-    return R.with_fallback_row(FX.raw_rates(spark, sf_dir), P.INGESTION_DATE, FALLBACK_RATE,
-                               FALLBACK_RATE_TYPE, FALLBACK_SOURCE)
+    return R.with_fallback_row(FX.raw_rates(spark, sf_dir), P.INGESTION_DATE, R.FALLBACK_RATE,
+                               R.FALLBACK_RATE_TYPE, R.FALLBACK_SOURCE)
 
 
 def rates_sdmx(spark, sf_dir):

@@ -31,6 +31,10 @@ RENT_ALIASES = {
 SALES_WHITELIST = list(C.RAW_SALES_COLUMNS)
 TIME_DIMENSION = "TIME_PERIOD"
 FALLBACK_SUFFIX = " (fallback)"
+# The rate series used when the rate service returns nothing.
+FALLBACK_RATE = 3.9
+FALLBACK_RATE_TYPE = "ESTR"
+FALLBACK_SOURCE = "ECB Data Portal"
 
 
 # ── headers ─────────────────────────────────────────────────────────────────────

@@ -117,3 +117,15 @@ def test_daily_run_skips_sources_without_landings(spark, tmp_out):
     counts = P.run_daily(spark, raw2, tmp_out + "/lake", "2025-01-01", "2025-01-01")
     assert "formatted_sales" not in counts and "formatted_rents" not in counts
     assert counts["segments"] == 100  # the formatted sales and rents of the day before
+
+
+def test_daily_run_fallback_rate(spark, tmp_out):
+    raw = tmp_out + "/raw"
+    SK.land_csv(FX.raw_sales(spark, SF_SMALL), raw + "/dvf", "2024-12-31")
+    SK.land_csv(FX.raw_rents(spark, SF_SMALL), raw + "/rents", "2024-12-31", sep=";")
+    counts = P.run_daily(spark, raw, tmp_out + "/lake", "2024-12-31", "2024-12-31", fallback_rate=3.9)
+    assert counts["formatted_rates"] == 1
+    rates = spark.read.parquet(tmp_out + "/lake/formatted/rates").collect()
+    assert [(r.rate_value, r.rate_type, str(r.rate_date)) for r in rates] == [(3.9, "ESTR", "2024-12-31")]
+    usage = spark.read.parquet(tmp_out + "/lake/usage/fair_price_estimates")
+    assert {r.latest_rate_value for r in usage.collect()} == {3.9}
