@@ -48,6 +48,7 @@ def main(argv=None, spark: SparkSession | None = None) -> dict:
     inc.add_argument("--date", required=True, help="computation and ingestion date, yyyy-MM-dd")
     inc.add_argument("--rent-source-year", type=int)
     inc.add_argument("--rates-json-array", action="store_true", help="rate files are JSON arrays")
+    inc.add_argument("--fallback-rate", type=float, help="rate used when no rate file was landed")
 
     d = sub.add_parser("daily", help="landed files -> formatted layer -> usage table")
     d.add_argument("--raw-root", required=True)
@@ -84,7 +85,8 @@ def main(argv=None, spark: SparkSession | None = None) -> dict:
     if args.cmd == "daily-incremental":
         result = D.run_daily_incremental(spark, args.raw_root, args.lake_root, args.date, args.date,
                                          rent_source_year=args.rent_source_year,
-                                         rates_json_array=args.rates_json_array)
+                                         rates_json_array=args.rates_json_array,
+                                         fallback_rate=args.fallback_rate)
     elif args.cmd == "daily":
         result = D.run_daily(spark, args.raw_root, args.lake_root, args.date, args.date,
                              snapshot=args.snapshot, rent_source_year=args.rent_source_year,

@@ -45,6 +45,18 @@ def estimates(spark: SparkSession, sf_dir: str, exact: bool = False,
                                     formatted_rates(spark, sf_dir), computation_date, exact=exact)
 
 
+def _landed(read):
+    """SRC-9: a source with no landed rows (or no folder yet) gives None, so the caller
+    skips it -- nothing is written for it and earlier results stay in place."""
+    from pricelens.sources import readers as R
+    try:
+        df = read()
+    except Exception as exc:  # noqa: BLE001 - AnalysisException: no such folder
+        log.warning("no landed files: %s", exc)
+        return None
+    return df if R.has_rows(df) else None
+
+
 def run_daily(spark: SparkSession, raw_root: str, lake_root: str, computation_date: str,
               ingestion_date: str, snapshot: str = "all", rates_schema=None,
               rent_source_year: int | None = None, years=None, departments=None,
@@ -70,30 +82,20 @@ def run_daily(spark: SparkSession, raw_root: str, lake_root: str, computation_da
     counts: dict[str, int] = {}
     fmt_root, usage = f"{lake_root}/formatted", f"{lake_root}/usage/fair_price_estimates"
 
-    def landed(read):
-        """SRC-9: a source with no landed rows (or no folder yet) is skipped -- nothing is
-        written and its previous formatted table stays in place."""
-        try:
-            df = read()
-        except Exception as exc:  # noqa: BLE001 - AnalysisException: no such folder
-            log.warning("no landed files: %s", exc)
-            return None
-        return df if R.has_rows(df) else None
-
-    raw_sales = landed(lambda: R.read_landed_csv(spark, f"{raw_root}/dvf", snapshot=snapshot))
+    raw_sales = _landed(lambda: R.read_landed_csv(spark, f"{raw_root}/dvf", snapshot=snapshot))
     if raw_sales is not None:
         raw_sales, obs_sales = SK.counted(raw_sales, "raw_sales")
         counts["formatted_sales"] = SK.write_parquet(FMT.format_sales(raw_sales), f"{fmt_root}/sales",
                                                      partition_by=["year"], stage="formatted_sales")
         counts["raw_sales"] = int(obs_sales.get.get("rows", 0))
 
-    raw_rents = landed(lambda: R.read_csv_detected(spark, f"{raw_root}/rents", snapshot=snapshot))
+    raw_rents = _landed(lambda: R.read_csv_detected(spark, f"{raw_root}/rents", snapshot=snapshot))
     if raw_rents is not None:  # delimiter sniffed per file
         counts["formatted_rents"] = SK.write_parquet(FMT.format_rents(raw_rents, rent_source_year),
                                                      f"{fmt_root}/rents", partition_by=["source_year"],
                                                      stage="formatted_rents")
 
-    raw_rates = landed(lambda: R.read_json_records(spark, f"{raw_root}/rates", rates_schema or C.RAW_RATES,
+    raw_rates = _landed(lambda: R.read_json_records(spark, f"{raw_root}/rates", rates_schema or C.RAW_RATES,
                                                    multiline=rates_json_array))
     if raw_rates is None and fallback_rate is not None:
         # SRC-10: no rate observations -> one fallback row dated the ingestion date.
@@ -118,7 +120,8 @@ def run_daily(spark: SparkSession, raw_root: str, lake_root: str, computation_da
 def run_daily_incremental(spark: SparkSession, raw_root: str, lake_root: str, computation_date: str,
                           ingestion_date: str, rates_schema=None,
                           rent_source_year: int | None = None,
-                          rates_json_array: bool = False) -> dict[str, int]:
+                          rates_json_array: bool = False,
+                          fallback_rate: float | None = None) -> dict[str, int]:
     """The daily run in time proportional to the new data.
 
     Only the sales landed since the newest stored state (older than this run) are
@@ -148,23 +151,35 @@ def run_daily_incremental(spark: SparkSession, raw_root: str, lake_root: str, co
         newest = None
     # Every landing after the state being built on, up to this run (a missed day is
     # folded in by the next run); the predicate prunes ``ingestion_date=`` folders.
-    landed = R.read_landed_csv(spark, f"{raw_root}/dvf").filter(F.col("ingestion_date") <= run_date)
-    if newest is not None:
-        landed = landed.filter(F.col("ingestion_date") > F.lit(newest.isoformat()).cast("date"))
-    state = MKT.segment_sketches(FMT.format_sales(landed))
+    def new_landings():
+        df = R.read_landed_csv(spark, f"{raw_root}/dvf").filter(F.col("ingestion_date") <= run_date)
+        if newest is not None:
+            df = df.filter(F.col("ingestion_date") > F.lit(newest.isoformat()).cast("date"))
+        return df
+
+    fresh = _landed(new_landings)
+    state = MKT.segment_sketches(FMT.format_sales(fresh)) if fresh is not None else None
     if newest is not None:
         # Read that version's folder only, so this run's own folder is never an input.
         previous = spark.read.parquet(f"{state_root}/as_of={newest.isoformat()}")
-        state = MKT.merge_segment_sketches(previous, state)
+        state = previous if state is None else MKT.merge_segment_sketches(previous, state)
+    if state is None:
+        raise ValueError(f"no sales landed under {raw_root}/dvf and no stored segment state")
     # Each version is its own ``as_of=`` folder: the write target is never among the
     # files the merge reads (SNK-2 guard), and a rerun of the same date replaces it.
     counts["segments"] = SK.write_parquet(state, f"{state_root}/as_of={computation_date}", stage="state")
     merged = spark.read.parquet(f"{state_root}/as_of={computation_date}")
 
-    rents = FMT.format_rents(R.read_csv_detected(spark, f"{raw_root}/rents", snapshot="latest"),
-                             rent_source_year)
-    raw_rates = R.read_json_records(spark, f"{raw_root}/rates", rates_schema or C.RAW_RATES,
-                                    multiline=rates_json_array)
+    raw_rents = _landed(lambda: R.read_csv_detected(spark, f"{raw_root}/rents", snapshot="latest"))
+    rents = (FMT.format_rents(raw_rents, rent_source_year) if raw_rents is not None
+             else spark.createDataFrame([], C.RENTS))  # no rent file: rents stay NULL
+    raw_rates = _landed(lambda: R.read_json_records(spark, f"{raw_root}/rates", rates_schema or C.RAW_RATES,
+                                                    multiline=rates_json_array))
+    if raw_rates is None:
+        raw_rates = spark.createDataFrame([], C.RAW_RATES)
+        if fallback_rate is not None:
+            raw_rates = R.with_fallback_row(raw_rates, ingestion_date, fallback_rate, R.FALLBACK_RATE_TYPE,
+                                            R.FALLBACK_SOURCE)
     rates = FMT.format_rates(raw_rates, ingestion_date)
     est = MKT.estimates_from_segments(MKT.stats_from_sketches(merged), rents, rates, computation_date)
     counts["estimates"] = SK.write_parquet(est, usage, partition_by=["computation_date"], dynamic=True,

@@ -129,3 +129,16 @@ def test_daily_run_fallback_rate(spark, tmp_out):
     assert [(r.rate_value, r.rate_type, str(r.rate_date)) for r in rates] == [(3.9, "ESTR", "2024-12-31")]
     usage = spark.read.parquet(tmp_out + "/lake/usage/fair_price_estimates")
     assert {r.latest_rate_value for r in usage.collect()} == {3.9}
+
+
+def test_incremental_day_without_new_sales_carries_state(spark, tmp_out):
+    raw_root, lake = tmp_out + "/raw", tmp_out + "/lake"
+    SK.land_csv(FX.raw_sales(spark, SF_SMALL), raw_root + "/dvf", "2024-12-30")
+    SK.land_csv(FX.raw_rents(spark, SF_SMALL), raw_root + "/rents", "2024-12-30", sep=";")
+    P.run_daily_incremental(spark, raw_root, lake, "2024-12-30", "2024-12-30", fallback_rate=3.9)
+    counts = P.run_daily_incremental(spark, raw_root, lake, "2024-12-31", "2024-12-31", fallback_rate=3.9)
+    assert counts["segments"] == counts["estimates"] == 100
+    usage = spark.read.parquet(lake + "/usage/fair_price_estimates")
+    day1 = {tuple(r[:15]) for r in usage.filter("computation_date = '2024-12-30'").collect()}
+    day2 = {tuple(r[:15]) for r in usage.filter("computation_date = '2024-12-31'").collect()}
+    assert day1 == day2 and {r[12] for r in day2} == {3.9}
