@@ -55,3 +55,9 @@ def test_query_matches_oracle(spark, con, name):
     idx = {c: i for i, c in enumerate(rel.columns)}
     want = collections.Counter(tuple(norm(r[idx[c]]) for c in cols) for r in rel.fetchall())
     assert got == want
+
+
+def test_every_query_has_an_oracle_or_is_documented_rows_only():
+    rows_only = {"market_profile", "documents"}
+    assert set(E.queries()) - set(E.oracle_sql()) == rows_only
+    assert set(E.oracle_sql()) <= set(E.queries())
