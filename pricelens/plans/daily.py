@@ -144,11 +144,11 @@ def run_daily_incremental(spark: SparkSession, raw_root: str, lake_root: str, co
     counts: dict[str, int] = {}
 
     run_date = F.lit(computation_date).cast("date")
-    try:
-        versions = R.partition_values(spark, state_root).select("as_of")  # a listing, no reads
-        newest = versions.filter(F.col("as_of") < run_date).agg(F.max("as_of")).first()[0]
-    except Exception:  # noqa: BLE001 - first run: no stored state yet
-        newest = None
+    SK.ensure_folder(spark, state_root)  # so the first run lists an empty folder
+    listing = R.partition_values(spark, state_root)  # a listing, no reads
+    newest = None
+    if "as_of" in listing.columns:  # absent until a first version is written
+        newest = listing.filter(F.col("as_of") < run_date).agg(F.max("as_of")).first()[0]
     # Every landing after the state being built on, up to this run (a missed day is
     # folded in by the next run); the predicate prunes ``ingestion_date=`` folders.
     def new_landings():

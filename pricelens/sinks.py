@@ -87,3 +87,10 @@ def write_documents(df: DataFrame, path: str, index: str = DEFAULT_INDEX) -> int
     out, obs = counted(docs, "documents")
     out.write.mode("overwrite").text(path)
     return int(obs.get.get("rows", 0))
+
+
+def ensure_folder(spark, path: str) -> None:
+    """Create ``path`` if it does not exist, on any file system Spark writes to: an empty
+    hidden ``_created`` marker (ignored by every Spark reader) is written inside it, once."""
+    spark.range(0).selectExpr("cast(id as string) as value").write.mode("ignore").text(
+        f"{path.rstrip('/')}/_created")

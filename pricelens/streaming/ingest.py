@@ -45,12 +45,11 @@ def format_landed_sales(spark: SparkSession, landed_path: str, formatted_path: s
 def _newest_version(spark: SparkSession, state_root: str, below: int):
     """The newest ``batch=`` version of the state older than ``below`` (None if none)."""
     from pyspark.sql import functions as F
-    try:
-        from pricelens.sources.readers import partition_values
-        versions = partition_values(spark, state_root).select("batch")  # a listing, no reads
-    except Exception:  # noqa: BLE001 - no state written yet
+    from pricelens.sources.readers import partition_values
+    listing = partition_values(spark, state_root)  # a listing, no reads
+    if "batch" not in listing.columns:  # no version written yet
         return None
-    return versions.filter(F.col("batch") < below).agg(F.max("batch")).first()[0]
+    return listing.filter(F.col("batch") < below).agg(F.max("batch")).first()[0]
 
 
 def update_segment_state(spark: SparkSession, landed_path: str, state_root: str,
@@ -65,7 +64,9 @@ def update_segment_state(spark: SparkSession, landed_path: str, state_root: str,
     this call (from the progress log).
     """
     from pricelens.operators import market as MKT
-    from pricelens.sinks import write_parquet
+    from pricelens.sinks import ensure_folder, write_parquet
+
+    ensure_folder(spark, state_root)  # so the first batch lists an empty folder
 
     def merge_batch(batch, batch_id: int) -> None:
         state = MKT.segment_sketches(batch)
