@@ -6,9 +6,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pricelens.llm.common import table
+import public_tokenizers
+
+from pricelens.llm.common import new_path, table
 from pricelens.llm.exact_dedup import exact_dedup
+from pricelens.llm.packing import pack
 from pricelens.llm.quality_rules import quality_rules
+from pricelens.llm.simhash import simhash_dedup
+from pricelens.llm.token_counts import token_counts
+
+
+def op1_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), max_len=2048, end_id=0)
+
+
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_dedup(table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
 
 
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,11 +29,20 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """With a cache of its own, empty at first: every distinct text is a miss, encoded once."""
+    return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                        new_path(spark, "token-cache"), limit=1024)
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"), keep="largest")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_pack": op1_pack,
+    "op4_simhash": op4_simhash,
     "op6_quality_rules": op6_quality_rules,
+    "op9_token_counts": op9_token_counts,
     "op10_exact_dedup": op10_exact_dedup,
 }
