@@ -11,9 +11,11 @@ import public_tokenizers
 from pricelens.llm.common import new_path, table
 from pricelens.llm.exact_dedup import exact_dedup
 from pricelens.llm.packing import pack
+from pricelens.llm.quality_classifier import ratings_of, score, train
 from pricelens.llm.quality_rules import quality_rules
 from pricelens.llm.simhash import simhash_dedup
 from pricelens.llm.token_counts import token_counts
+from pricelens.llm.toxicity import toxicity
 
 
 def op1_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,6 +26,15 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup(table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.3)
+
+
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return score(docs, train(docs, ratings_of(table(spark, sf_dir, "labels")), grades=3))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -42,7 +53,9 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pack": op1_pack,
     "op4_simhash": op4_simhash,
+    "op5_toxicity": op5_toxicity,
     "op6_quality_rules": op6_quality_rules,
+    "op7_quality_classifier": op7_quality_classifier,
     "op9_token_counts": op9_token_counts,
     "op10_exact_dedup": op10_exact_dedup,
 }
