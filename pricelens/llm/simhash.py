@@ -215,27 +215,28 @@ def links(classes: DataFrame, max_bits: int = MAX_BITS, block: int = BLOCK) -> D
 def components(edges: DataFrame) -> DataFrame:
     """``node`` and ``component`` (least node reachable) of every node that has a link.
 
-    Alternating large-star and small-star steps. A node's least neighbour is aggregated
-    on the map side and joined back, so a node with very many links is never one task's
-    group; the steps end when a step changes nothing.
+    Alternating large-star and small-star steps, one written table a round. A node's least
+    neighbour is aggregated on the map side and joined back, so a node with very many
+    links is never one task's group. The rounds end when the links are stars: every node
+    but a centre has one link, to a centre that is no other's leaf. Each step keeps the
+    components and links every leaf to a smaller node, so centres are the least nodes.
     """
-    edges = written(edges.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).where("u != v").distinct(),
-                    "links")
+    edges = edges.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).where("u != v")
     while True:
         both = edges.unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("m", "u"))
-        large = both.join(least, "u").where("v > u").select(F.col("m").alias("u"), "v").where("u != v").distinct()
-        large = written(large, "large-star")
-        down = large.select(F.col("v").alias("u"), F.col("u").alias("v"))  # from a node to its smaller neighbours
-        least = down.groupBy("u").agg(F.min("v").alias("m"))
-        small = (down.join(least, "u").select(F.col("m").alias("u"), "v")
-                 .unionAll(least.select(F.col("m").alias("u"), F.col("u").alias("v"))).where("u != v").distinct())
-        new = written(small, "small-star")
-        same = [x.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first() for x in (edges, new)]
-        edges = new
-        if tuple(same[0]) == tuple(same[1]):
-            break
-    return edges.groupBy("v").agg(F.min("u").alias("component")).withColumnRenamed("v", "node")
+        # From a node's larger neighbours to the least node beside it, itself included.
+        large = both.join(least, "u").where("v > u").select("m", F.col("v").alias("n"))
+        least = large.groupBy("n").agg(F.min("m").alias("c"))
+        # From a node and its smaller neighbours to the least of those.
+        small = (large.join(least, "n").select(F.col("c").alias("u"), F.col("m").alias("v"))
+                 .unionAll(least.select(F.col("c").alias("u"), F.col("n").alias("v"))))
+        edges = written(small.where("u != v").distinct(), "stars")
+        roles = edges.select(F.col("v").alias("x"), F.lit(1).alias("leaf"), F.lit(0).alias("centre")).unionAll(
+            edges.select(F.col("u").alias("x"), F.lit(0).alias("leaf"), F.lit(1).alias("centre")))
+        roles = roles.groupBy("x").agg(F.sum("leaf").alias("leaf"), F.max("centre").alias("centre"))
+        if roles.where("leaf + centre > 1").isEmpty():
+            return edges.select(F.col("v").alias("node"), F.col("u").alias("component"))
 
 
 def simhash_dedup(docs: DataFrame, shingle: int = 3, max_bits: int = MAX_BITS, id_col: str = "doc_id",
