@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import public_tokenizers
 
+from pricelens.llm.bpe import digests, encode_decode
 from pricelens.llm.common import new_path, table
 from pricelens.llm.exact_dedup import exact_dedup
 from pricelens.llm.packing import pack
@@ -22,6 +23,11 @@ def op1_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), max_len=2048, end_id=0)
 
 
+def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digests(encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
+                                 public_tokenizers.PATTERN))
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup(table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
 
@@ -52,6 +58,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pack": op1_pack,
+    "op3_bpe": op3_bpe,
     "op4_simhash": op4_simhash,
     "op5_toxicity": op5_toxicity,
     "op6_quality_rules": op6_quality_rules,
