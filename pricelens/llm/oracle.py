@@ -31,6 +31,31 @@ k AS (SELECT *, NOT base_failed AND coalesce(word_chars / n_words BETWEEN 2 AND
 ORACLE: dict[str, str] = {
     "op6_quality_rules": f"""WITH {MEASURED}
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept FROM k""",
+    "op8_warc_revisits": r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, 1700000000 + page_id * 60 AS s, page_id % 4 AS k,
+             regexp_replace(regexp_replace(trim(url), '#.*$', ''), '^[A-Za-z][A-Za-z0-9+.-]*://', '') AS bare FROM pages
+           WHERE page_id IS NOT NULL),
+u AS (SELECT *, regexp_replace(lower(regexp_extract(bare, '^([^/?]*)', 1)), '^www\.|:(80|443)$', '', 'g') AS host,
+             regexp_replace(regexp_extract(bare, '^[^/?]*([^?]*)', 1), '/+$', '') AS path,
+             list_sort(list_filter(string_split(regexp_extract(bare, '\?(.*)$', 1), '&'),
+               lambda x: x <> '' AND NOT regexp_matches(x, '^(utm_[^=]*|ref|fbclid|gclid)(=|$)'))) AS q FROM p),
+c AS (SELECT *, host || path || CASE WHEN len(q) > 0 THEN '?' || array_to_string(q, '&') ELSE '' END AS site FROM u),
+r AS (SELECT v.page_id, v.site, v.k AS vk, v.s + 86400 AS vs, v.html AS vhtml,
+             (SELECT max(struct_pack(s := f.s, id := 'r' || f.page_id)) FROM c f WHERE f.site = v.site AND f.s < v.s + 86400) AS hit
+      FROM c v),
+j AS (SELECT r.*, o.page_id AS oid, o.html AS ohtml, o.k AS ok, o.s AS os FROM r LEFT JOIN c o ON 'r' || o.page_id = r.hit.id),
+d AS (SELECT *, coalesce(
+        CASE WHEN vk IN (0, 2) AND ok <> 3 THEN (vk = 0 AND md5(vhtml) = md5(ohtml)) END,
+        CASE WHEN vk = 1 AND ok <> 3 THEN vs = os + 86400 END,
+        sha256(vhtml) = sha256(ohtml)) AS agree FROM j)
+SELECT page_id, site AS canonical_url,
+       CASE WHEN oid IS NULL THEN 'no_response' WHEN agree THEN 'resolved' ELSE 'mismatch' END AS outcome,
+       oid AS response_page_id,
+       CASE WHEN agree THEN CASE WHEN vk = 0 THEN 'W/"' || md5(vhtml) || '"' WHEN vk = 2 THEN '"changed"'
+            WHEN ok <> 3 THEN '"' || md5(ohtml) || '"' END END AS etag,
+       CASE WHEN agree THEN strftime(to_timestamp(vs) AT TIME ZONE 'UTC', '%Y-%m-%dT%H:%M:%SZ') END AS date,
+       CASE WHEN agree THEN 'text/html' END AS content_type, CASE WHEN agree THEN sha256(ohtml) END AS body_sha256
+FROM d""",
     "op10_exact_dedup": """
 WITH n AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
            FROM documents),

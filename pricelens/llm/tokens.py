@@ -66,13 +66,21 @@ class JsonEncoder:
                 return self.fast.encode_to_numpy(text, allowed_special="all")
             except ValueError:  # its pattern engine gave up on a very long run of white space
                 pass
+        return np.array(self._library().encode(text, add_special_tokens=False).ids, dtype=np.uint32)
+
+    def decode(self, ids: np.ndarray) -> str:
+        if self.fast is not None:
+            return self.fast.decode_bytes(ids.tolist()).decode("utf-8")
+        return self._library().decode(ids.tolist(), skip_special_tokens=False)
+
+    def _library(self):
         if self._slow is None:
             from tokenizers import Tokenizer
 
             self._slow = Tokenizer.from_file(self.path)
             self._slow.no_truncation()
             self._slow.no_padding()
-        return np.array(self._slow.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
+        return self._slow
 
 
 class PieceEncoder:
