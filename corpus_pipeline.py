@@ -1,36 +1,76 @@
-"""The corpus pipeline: quality rules, then exact deduplication; each stage rereads what the last one kept."""
+"""The corpus pipeline: rules, classifier, exact and near deduplication, packing.
+
+Every stage works on all rows its predecessor kept; all but the last return the columns
+of the documents they got. ``run`` writes each stage's result as Parquet to the shared
+folder and reads it again for the next.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricelens.llm.common import new_path, table
 from pricelens.llm.exact_dedup import exact_dedup
+from pricelens.llm.packing import pack
+from pricelens.llm.quality_classifier import ratings_of, score, train
 from pricelens.llm.quality_rules import quality_rules
+from pricelens.llm.simhash import simhash_dedup
 
-#: SQL cannot express the classifier's fit; the stages are tested one by one.
+#: SQL cannot express the classifier's fit; the stages are tested against brute force one by one.
 ORACLE_SQL = None
 
 
-def _only(docs: DataFrame, kept_ids: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is in ``kept_ids`` (column ``id``); a null id matches a null id."""
-    return docs.join(kept_ids, docs["doc_id"].eqNullSafe(kept_ids["id"]), "left_semi")
+def _one_row_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose doc_id is in ``ids`` (column ``kept_id``), one row an id.
+
+    Rows without a doc_id can't be named by a group, so they all stay.
+    """
+    columns = docs.columns
+    named = docs.where("doc_id is not null").join(ids, docs["doc_id"] == ids["kept_id"], "left_semi")
+    return named.dropDuplicates(["doc_id"]).select(*columns).unionByName(docs.where("doc_id is null"))
 
 
 def rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules keep."""
     return quality_rules(docs, carry=True).where("kept").select("row.*")
 
 
+def classifier_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier keeps; it is fitted on rated rows of the whole table, poor ones included."""
+    model = train(table(spark, sf_dir, "documents"), ratings_of(table(spark, sf_dir, "labels")), grades=3)
+    return score(docs, model, carry=True).where("kept").select("row.*")
+
+
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _only(docs, exact_dedup(docs, keep="largest").where("kept").select(F.col("doc_id").alias("id")))
+    """One document of each group of equal texts."""
+    kept = exact_dedup(docs, keep="largest").where("kept")
+    return _one_row_of(docs, kept.select(F.col("doc_id").alias("kept_id")))
+
+
+def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, the one with the least id, of each component of near copies."""
+    found = simhash_dedup(docs, shingle=3, max_bits=3)
+    return _one_row_of(docs, found.where("doc_id = component_id").select(F.col("doc_id").alias("kept_id")))
+
+
+def pack_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents' pieces in sequences of 2048 tokens."""
+    return pack(docs, public_tokenizers.path("byte_bpe_50k.json"), max_len=2048, end_id=0)
 
 
-STAGES = [("quality_rules", rules_stage), ("exact_dedup", exact_stage)]
+STAGES = [
+    ("quality_rules", rules_stage),
+    ("quality_classifier", classifier_stage),
+    ("exact_dedup", exact_stage),
+    ("simhash_dedup", near_stage),
+    ("pack", pack_stage),
+]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages over ``documents``, each written as Parquet and read again by the next."""
+    """The pipeline over ``documents``: one row per piece of a document that is left."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         path = new_path(spark, name)

@@ -98,10 +98,9 @@ def measured(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = rows.withColumn("unsure", F.expr(
         f"size(w) >= {1 << position_bits} or exists(transform(same, (x, i) -> i > 0 and "
         f"shiftright(x, {position_bits}) = shiftright(get(same, i - 1), {position_bits}) and ({apart})), x -> x)"))
-    by_words = ("filter(array(sort_array(transform(slice(w, 1, greatest(size(w) - 2, 0)), (x, i) -> "
-                "struct(x as a, get(w, i + 1) as b, get(w, i + 2) as c, i as p)))), x -> true)")
-    exact = (f"flatten(transform({by_words}, s -> "
-             + _beside("struct({0}.a, {0}.b, {0}.c)") + "))")
+    by_words = ("sort_array(transform(slice(w, 1, greatest(size(w) - 2, 0)), (x, i) -> "
+                "struct(x as a, get(w, i + 1) as b, get(w, i + 2) as c, i as p)))")
+    exact = f"flatten(transform(array({by_words}), s -> {_beside('struct({0}.a, {0}.b, {0}.c)')}))"
     capitals = F.length(F.regexp_replace("text", r"\P{Lu}+", ""))
     return rows.select(
         "doc_id", *carried,
@@ -135,7 +134,9 @@ def judged(counts: DataFrame, rules: tuple[Rule, ...] = RULES, base: tuple[Rule,
     names = F.filter(F.array(*[F.when(fails(r), F.lit(r.name)) for r in both]), lambda x: x.isNotNull())
     judged_ = counts.withColumn("failed", names)
     any_of = lambda rs: F.arrays_overlap("failed", F.array(*[F.lit(r.name) for r in rs]))
-    return judged_.select("*", any_of(base).alias("base_failed"), (F.size("failed") == 0).alias("kept"))
+    out = judged_.select("*", any_of(base).alias("base_failed"), (F.size("failed") == 0).alias("kept"))
+    # One row from each row: a filter on the verdict stays above the counts instead of repeating them.
+    return out.select(F.inline(F.array(F.struct("*"))))
 
 
 def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -145,4 +146,4 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     Null text counts as empty: all counts zero, base_failed, not kept. A null id stays
     null; repeated rows give repeated results; an empty table gives an empty result.
     """
-    return judged(measured(docs, id_col, text_col), rules)
+    return judged(measured(docs, id_col, text_col, carry=carry), rules)
