@@ -1,8 +1,8 @@
 """Chat formatting over prefix trees: shared turns once, depth first.
 
-Template. A turn is ``<|role|>text<|end|>``. Inside a role or text a backslash is doubled,
-``<|`` becomes ``<\\|`` and ``|>`` becomes ``|\\>``, so no text can write a control string
-and every text can be read back.
+Template. A turn is ``<|role|>text<|end|>``. Inside a role or text a backslash is written
+``\\\\``, ``<`` is ``\\l``, ``|`` is ``\\p`` and ``>`` is ``\\g``, so only the template writes control strings and
+every text can be read back.
 
 Tree. A turn's node is its whole path (a hash over all turns up to it), so conversations
 that share initial turns share nodes; a tree is what starts with the same first turn.
@@ -38,17 +38,18 @@ from pricelens.llm.tokens import encoder
 #: Turn numbers that fall into one block of a conversation.
 BLOCK = 1024
 LOSS_ROLE = "assistant"
-_SEGMENT = re.compile(r"<\|(.*?)\|>(.*)<\|end\|>", re.DOTALL)
+_SEGMENT = re.compile(r"<\|([^|]*)\|>([^<]*)<\|end\|>")
+_PLAIN = {"\\": "\\", "l": "<", "p": "|", "g": ">"}
 
 
 def escape(text: Column) -> Column:
-    for control, safe in (("\\", "\\\\"), ("<|", "<\\|"), ("|>", "|\\>")):
-        text = F.replace(text, F.lit(control), F.lit(safe))
+    for mark, plain in _PLAIN.items():
+        text = F.replace(text, F.lit(plain), F.lit("\\" + mark))
     return text
 
 
 def unescape(text: str) -> str:
-    return re.sub(r"\\(.)", r"\1", text, flags=re.DOTALL) if "\\" in text else text
+    return re.sub(r"\\(.)", lambda m: _PLAIN[m[1]], text) if "\\" in text else text
 
 
 def parse(segment: str) -> tuple[str, str]:

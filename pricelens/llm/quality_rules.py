@@ -109,8 +109,8 @@ def measured(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.regexp_count("text", F.lit(SYMBOLS)).cast("long").alias("n_symbols"),
         F.size("lines").cast("long").alias("n_lines"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
-        F.when(F.size("same") == 0, F.lit(0))
-         .when(F.col("unsure"), F.expr(_covered("{0}.p", exact)))
+        F.when(F.col("unsure"), F.expr(_covered("{0}.p", exact)))
+         .when(F.size("same") == 0, F.lit(0))
          .otherwise(F.expr(_covered(f"({{0}} & {mask}L)", "same"))).cast("long").alias("n_repeat_words"),
         F.size(F.filter("w", lambda x: F.lower(x).isin(stops))).cast("long").alias("n_stop_words"),
         capitals.cast("long").alias("n_upper"),
