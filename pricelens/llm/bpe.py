@@ -9,8 +9,8 @@ One narrow stage, no shuffle:
    one character a token; every step looks up all neighbouring pairs in one literal map
    (the value of a scalar subquery, hashed into buckets since a Spark map is searched
    linearly) and replaces the pair of least rank by its merged token;
-3. the numbers are replaced by the words' ids, which are joined; decoding concatenates
-   the ids' binary pieces.
+3. each word's ids are decoded by concatenating their binary pieces; then the numbers of
+   a text are replaced by the words' ids and by their decoded bytes, which are joined.
 
 One step replaces all occurrences of the pair, the library the leftmost first; the map
 holds one pair a token, the library merges any two neighbours whose bytes are a token and
@@ -25,9 +25,9 @@ A word of over ``FOLDED`` bytes (a fold costs the square of its length) is merge
 
 from __future__ import annotations
 
+import hashlib
 import heapq
-import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +35,7 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from pricelens.llm.common import texts
 from pricelens.llm.tokens import read_ranks
@@ -66,12 +67,17 @@ def merges(ranks: dict[bytes, int]) -> list[tuple[int, int, int]]:
     return out
 
 
+def _bucket(pair: Column) -> Column:
+    return F.hash(pair).bitwiseAND(F.lit(BUCKETS - 1))
+
+
 def merge_literal(spark: SparkSession, ranks: dict[bytes, int]) -> Column:
-    """The merges as one value: an array of small maps from a pair to its token; a pair's bucket is its CRC-32."""
+    """The merges as one value: an array of small maps from a pair to its token, by the pair's hash."""
+    pairs = spark.createDataFrame([(token_char(a) + token_char(b), token_char(c)) for a, b, c in merges(ranks)],
+                                  "pair string, token string")
     buckets: list[dict[str, str]] = [{} for _ in range(BUCKETS)]
-    for left, right, merged in merges(ranks):
-        pair = token_char(left) + token_char(right)
-        buckets[zlib.crc32(pair.encode()) % BUCKETS][pair] = token_char(merged)
+    for row in pairs.select(_bucket(F.col("pair")).alias("bucket"), "pair", "token").collect():  # a row for each token
+        buckets[row["bucket"]][row["pair"]] = row["token"]
     kind = T.StructType([T.StructField("merges", T.ArrayType(T.MapType(T.StringType(), T.StringType())))])
     return spark.createDataFrame([(buckets,)], kind).scalar()
 
@@ -81,7 +87,7 @@ def encoded(word: Column, literal: Column, ranks: dict[bytes, int]) -> Column:
 
     def made(tokens: Column, i: Column) -> Column:  # what the i-th pair becomes, null for no token
         pair = F.substring(tokens, i, F.lit(2))
-        return F.element_at(F.get(literal, F.pmod(F.crc32(pair.cast("binary")), F.lit(BUCKETS)).cast("int")), pair)
+        return F.element_at(F.get(literal, _bucket(pair)), pair)
 
     def step(state: Column, _: Column) -> Column:
         tokens = state["tokens"]
@@ -133,15 +139,27 @@ def merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return [ranks[word[i:end[i]]] for i in range(n) if alive[i]]
 
 
+#: What ``encode_decode`` returns of a text: everything, or lengths and digests (lowercase hex).
+WHOLE = "ids binary, decoded binary", lambda ids, decoded: (ids, decoded)
+DIGESTS = "n_tokens long, ids_sha256 string, decoded_sha256 string", lambda ids, decoded: (
+    len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(decoded).hexdigest())
+#: Bytes of ids and text that are turned into rows at a time (more only for one long text).
+OUT_BYTES = 4 << 20
+
+
 def encode_decode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text",
-                  folded: int = FOLDED) -> DataFrame:
+                  folded: int = FOLDED, each: tuple[str, Callable[[bytes, bytes], tuple]] = WHOLE) -> DataFrame:
     """One row per input row: doc_id, ids (binary, little-endian unsigned 32-bit), decoded (binary).
 
+    ``each`` (a schema and a function of ids and decoded bytes) makes other columns of
+    them where they arise, so that they need not be moved.
+
     Each match of ``pattern`` is encoded by itself, without special tokens. Null text
     counts as empty (no ids). Repeated rows and null ids stay as they are; an empty table
     gives an empty result.
     """
     spark = docs.sparkSession
+    out_schema = T._parse_datatype_string(f"doc_id long, {each[0]}")
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = regex.compile(pattern).findall
@@ -182,30 +200,36 @@ def encode_decode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str =
         for word, rank in ranks.items():
             pieces[rank] = word
         ids_of: list[bytes] = []
+        text_of: list[bytes] = []
+        names = ["doc_id", *(c.split()[0] for c in each[0].split(", "))]
+        kinds = to_arrow_schema(out_schema)
+
+        def rows(done: list[tuple]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, kinds.field(n).type) for c, n in zip(zip(*done, strict=True), names, strict=True)], names)
+
         for b in batches:
             words, long, fresh = b.column("ids"), b.column("long"), b.column("fresh").to_pylist()
-            docs_, out_ids, out_text = [], [], []
-            for i, (doc, refs) in enumerate(zip(b.column("doc_id").to_pylist(), b.column("refs").to_pylist(), strict=True)):
+            done, held = [], 0
+            for i, (doc, refs) in enumerate(zip(b.column("doc_id").to_pylist(), b.column("refs"), strict=True)):
                 if words[i].is_valid:
                     if fresh[i]:
-                        ids_of = []
-                    of = [x or "" for x in words[i].values.to_pylist()]
-                    flat = (np.frombuffer("".join(of).encode("utf-32-le"), "<u4") - 0x10000).astype("<u4").tobytes()
-                    ends = (4 * np.cumsum([0, *map(len, of)])).tolist()
-                    known = len(ids_of)
-                    ids_of.extend(map(flat.__getitem__, map(slice, ends[:-1], ends[1:])))
-                    unmerged = long[i].values
+                        ids_of, text_of = [], []
+                    known, unmerged = len(ids_of), long[i].values
+                    ids_of.extend((np.frombuffer((x or "").encode("utf-32-le"), "<u4") - 0x10000).astype("<u4").tobytes()
+                                  for x in words[i].values.to_pylist())
                     for k in np.nonzero(unmerged.is_valid().to_numpy(zero_copy_only=False))[0].tolist():
                         ids_of[known + k] = np.array(merge_long(unmerged[k].as_py(), ranks), dtype="<u4").tobytes()
+                    text_of.extend(b"".join(map(pieces.__getitem__, np.frombuffer(x, "<u4").tolist())) for x in ids_of[known:])
                     continue
-                body = b"".join(map(ids_of.__getitem__, np.frombuffer(refs, np.int32).tolist()))
-                docs_.append(doc)
-                out_ids.append(body)
-                out_text.append(b"".join(map(pieces.__getitem__, np.frombuffer(body, "<u4").tolist())))
-            if docs_:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(docs_, pa.int64()), pa.array(out_ids, pa.binary()), pa.array(out_text, pa.binary())],
-                    ["doc_id", "ids", "decoded"])
+                numbers = np.frombuffer(refs.as_py(), np.int32).tolist()
+                body, text = b"".join(map(ids_of.__getitem__, numbers)), b"".join(map(text_of.__getitem__, numbers))
+                done.append((doc, *each[1](body, text)))
+                held += len(body) + len(text)
+                if held >= OUT_BYTES:
+                    yield rows(done)
+                    done, held = [], 0
+            if done:
+                yield rows(done)
 
     groups = texts(docs, id_col, text_col).mapInArrow(split, "words array<binary>, fresh boolean, doc_id long, refs binary")
     # Rows of texts carry no copy of the map.
@@ -214,11 +238,4 @@ def encode_decode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str =
     short = F.transform("words", lambda w: encoded(F.when(F.length(w) <= folded, w), F.col("merges"), ranks))
     long = F.transform("words", lambda w: F.when(F.length(w) > folded, w))
     return held.select("fresh", "doc_id", "refs", long.alias("long"), short.alias("ids")).mapInArrow(
-        joined, "doc_id long, ids binary, decoded binary")
-
-
-def digests(encoded_docs: DataFrame) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256 and decoded_sha256 (lowercase hex) of encoded texts."""
-    return encoded_docs.select(
-        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"))
+        joined, out_schema)

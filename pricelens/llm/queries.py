@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from pricelens.llm.bpe import digests, encode_decode
+from pricelens.llm.bpe import DIGESTS, encode_decode
 from pricelens.llm.chat import format_chats, read_back
 from pricelens.llm.common import new_path, table, written
 from pricelens.llm.exact_dedup import exact_dedup
@@ -36,8 +36,8 @@ def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return digests(encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
-                                 public_tokenizers.PATTERN))
+    return encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
+                         public_tokenizers.PATTERN, each=DIGESTS)
 
 
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
