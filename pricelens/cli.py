@@ -47,7 +47,8 @@ def main(argv=None, spark: SparkSession | None = None) -> dict:
     inc.add_argument("--lake-root", required=True)
     inc.add_argument("--date", required=True, help="computation and ingestion date, yyyy-MM-dd")
     inc.add_argument("--rent-source-year", type=int)
-    inc.add_argument("--rates-json-array", action="store_true", help="rate files are JSON arrays")
+    inc.add_argument("--rates-json-array", action=argparse.BooleanOptionalAction,
+                     help="rate files are JSON arrays (default: told by their first line)")
     inc.add_argument("--fallback-rate", type=float, help="rate used when no rate file was landed")
 
     d = sub.add_parser("daily", help="landed files -> formatted layer -> usage table")
@@ -58,7 +59,8 @@ def main(argv=None, spark: SparkSession | None = None) -> dict:
     d.add_argument("--rent-source-year", type=int)
     d.add_argument("--years", type=int, nargs="*")
     d.add_argument("--departments", nargs="*")
-    d.add_argument("--rates-json-array", action="store_true", help="rate files are JSON arrays")
+    d.add_argument("--rates-json-array", action=argparse.BooleanOptionalAction,
+                   help="rate files are JSON arrays (default: told by their first line)")
     d.add_argument("--fallback-rate", type=float, help="rate used when no rate file was landed")
 
     v = sub.add_parser("value", help="classify a table of listings")
@@ -72,6 +74,7 @@ def main(argv=None, spark: SparkSession | None = None) -> dict:
         p = sub.add_parser(name, help=help_)
         p.add_argument("--estimates", required=True)
         p.add_argument("--out", required=True)
+        p.add_argument("--date", help="computation date of the run to show (default: the newest)")
         if name == "profiles":
             p.add_argument("--commune")
         if name == "export":
@@ -98,12 +101,12 @@ def main(argv=None, spark: SparkSession | None = None) -> dict:
             out = VAL.value_listings(_read_table(spark, args.listings), est, bounds=args.bounds)
             result = {"listings": SK.write_parquet(out, args.out, stage="verdicts")}
         elif args.cmd == "communes":
-            result = {"communes": SK.write_parquet(VAL.list_communes(est), args.out, stage="communes")}
+            result = {"communes": SK.write_parquet(VAL.list_communes(est, args.date), args.out, stage="communes")}
         elif args.cmd == "profiles":
-            result = {"communes": SK.write_parquet(VAL.market_profiles(est, args.commune), args.out,
+            result = {"communes": SK.write_parquet(VAL.market_profiles(est, args.commune, computation_date=args.date), args.out,
                                                    stage="profiles")}
         else:
-            result = {"documents": SK.write_documents(est, args.out, args.index)}
+            result = {"documents": SK.write_documents(est, args.out, args.index, args.date)}
     print(json.dumps(result))
     return result
 

@@ -4,9 +4,10 @@ The valuation join has one side (the estimates: one row per market segment) whos
 is bounded by the number of segments, not by sales volume -- but that bound comes from
 the domain, not from the data. So the side is materialised once with a reliable
 checkpoint (into the cluster's shared ``spark.checkpoint.dir``; this also cuts its
-lineage, so a lost executor never recomputes the aggregation), counted, and hinted for
-broadcast only when the count is within ``BROADCAST_MAX_ROWS``. Above that the join is
-left to a shuffle join, where AQE splits skewed keys.
+lineage, so a lost executor never recomputes the aggregation), measured, and hinted for
+broadcast only when rows and bytes are within ``BROADCAST_MAX_ROWS`` and
+``BROADCAST_MAX_BYTES``. Above that the join is left to a shuffle join, where AQE splits
+skewed keys.
 
 Without the hint, the static planner cannot know that an aggregate of a huge table is
 small; AQE would switch to a broadcast only after the large side had already been
@@ -20,8 +21,8 @@ from pyspark.sql import functions as F
 
 from pricelens.session import shared_dir
 
-# About 150 bytes per estimates row: 1M rows is a ~150 MB broadcast at most.
 BROADCAST_MAX_ROWS = 1_000_000
+BROADCAST_MAX_BYTES = 128 << 20
 
 
 def materialize(df: DataFrame) -> DataFrame:
@@ -30,11 +31,16 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def size_checked_side(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> tuple[DataFrame, bool]:
-    """Materialise ``df``; return it broadcast-hinted when it has at most ``max_rows``
-    rows (and whether the hint was given). The row count is observed while the
-    checkpoint is written, so the check costs no extra pass."""
+def size_checked_side(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
+                      max_bytes: int = BROADCAST_MAX_BYTES) -> tuple[DataFrame, bool]:
+    """Materialise ``df``; return it broadcast-hinted when it has at most ``max_rows`` rows
+    and ``max_bytes`` bytes (and whether the hint was given). Rows and bytes are observed
+    while the checkpoint is written, so the check costs no extra pass; without the
+    observation there is no hint."""
     obs = Observation("size_check")
-    m = materialize(df.observe(obs, F.count(F.lit(1)).alias("rows")))
-    small = int(obs.get.get("rows", 0)) <= max_rows
+    strings = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in df.schema.fields if f.dataType.typeName() == "string"]
+    width = sum(strings, F.lit(16 + 8 * len(df.columns)))
+    m = materialize(df.observe(obs, F.count(F.lit(1)).alias("rows"), F.sum(width).alias("bytes")))
+    seen = obs.get
+    small = "rows" in seen and int(seen["rows"]) <= max_rows and int(seen.get("bytes") or 0) <= max_bytes
     return (F.broadcast(m) if small else m), small

@@ -1,12 +1,11 @@
 """Market operators: formatted sales/rents/rates -> per-segment estimates.
 
-Plan shape (checked with ``explain``, see docs/PLANS.md): the segment aggregate is
-partial on the map side and merged in two levels -- per (segment, map-task salt), then
-per segment -- so a segment holding a third of all sales reaches no single reducer from
-every task; the rent and rate sides are aggregates of bounded size joined by AQE's
-size-checked broadcast; the latest rate is a scalar subquery, not a driver round trip.
-The same statistics are available as a mergeable state (``segment_sketches``) so new
-sales can be folded into stored results without re-reading history.
+Segment statistics come from a histogram: the number of sales per (segment, price). It is
+aggregated on the map side, so a segment holding a third of all sales is spread over its
+prices; it merges by addition, so new sales fold into stored results without re-reading
+history; and its quantiles are exact and the same on every run, at every size. The rent
+and rate sides are aggregates of bounded size joined by AQE's size-checked broadcast; the
+latest rate is a scalar subquery, not a driver round trip.
 """
 
 from __future__ import annotations
@@ -21,9 +20,11 @@ from pricelens.operators.formatting import latest_rates_per_type
 KEYS = list(C.SEGMENT_KEYS)
 QUANTILES = (0.25, 0.5, 0.75)
 # Cents as an exact decimal: averages are computed on it so the mean does not depend
-# on the order in which partial sums are combined. A value too large for it (a
-# malformed price) is left out of the mean rather than failing the job under ANSI.
+# on the order in which partial sums are combined. A price too large for it (a
+# malformed one) enters the mean as a double.
 CENTS = "decimal(28,2)"
+# Price bins per factor e of the price: a bin is 0.4 % wide.
+BINS_PER_E = 256
 # percentile_approx accuracy: relative rank error 1/accuracy; groups smaller than this
 # are answered exactly (an element of the input, like percentile_disc).
 APPROX_ACCURACY = 10000
@@ -37,9 +38,23 @@ SKETCH_K = 10000
 SALT_BUCKETS = 256
 
 
-def _mean_cents(sum_dec, n):
-    """Exact decimal mean, HALF_UP to cents; NULL when there is nothing to average."""
-    return F.round(F.try_divide(sum_dec, n.cast("decimal(20,0)")), 2).cast("double")
+def _mean(in_range, beyond, n):
+    """Mean of all priced sales, HALF_UP to cents; NULL when there is nothing to average.
+
+    ``in_range``: exact decimal sum; ``beyond``: double sum of the prices too large for it
+    (NULL when there are none, and then the division is exact too)."""
+    exact = F.round(F.try_divide(in_range, n.cast("decimal(20,0)")), 2).cast("double")
+    mixed = F.round((F.coalesce(in_range.cast("double"), F.lit(0.0)) + beyond) / n, 2)
+    return F.when(beyond.isNull(), exact).otherwise(F.when(n > 0, mixed))
+
+
+def _sums(price, weight=None):
+    """The two sums that ``_mean`` takes, over rows or over rows with a weight."""
+    cents = price.try_cast(CENTS)
+    large = F.when(cents.isNull(), price)
+    if weight is not None:
+        cents, large = cents * weight, large * weight
+    return F.sum(cents).cast("decimal(38,2)"), F.sum(large)
 
 
 def _transaction_count(sales: DataFrame):
@@ -48,47 +63,122 @@ def _transaction_count(sales: DataFrame):
     return F.count("sale_id").alias("transaction_count")
 
 
-def segment_stats(sales: DataFrame, exact: bool = False, method: str = "sketch") -> DataFrame:
+def segment_stats(sales: DataFrame, exact: bool = False, method: str = "exact") -> DataFrame:
     """AGG-1…5: count, median, mean, q25 and q75 of price/m2 per segment (rounded to 2).
 
     Quantiles are ``percentile_disc`` values (the smallest price whose cumulative share
-    reaches q); the methods differ only in how they scale:
-
-    * ``"sketch"`` (default): mergeable KLL sketches aggregated in two levels -- per
-      (segment, map-task salt), then per segment. Exact up to ``SKETCH_K`` sales per
-      segment; a segment holding a third of all sales is merged by ``SALT_BUCKETS``
-      reducers in parallel instead of one reducer receiving a buffer from every task.
-    * ``"approx"``: one ``percentile_approx`` call (the reference's function), partial
-      and final aggregation in one shuffle; the final merge of a hot segment takes one
-      buffer per map task in a single reducer.
-    * ``"exact"`` (or ``exact=True``): exact at any size, from a pre-aggregated
-      (segment, price) histogram, so a hot segment is bounded by its number of distinct
-      prices, never by its row count.
+    reaches q). Methods:
+
+    * ``"exact"`` (default): from the (segment, price) histogram; exact and repeatable at
+      any size. The target ranks are found among price bins, then inside one bin each, so
+      no task holds all prices of a segment.
+    * ``"sketch"``: mergeable KLL sketches in two levels; exact up to ``SKETCH_K`` sales
+      per segment, approximate and not repeatable beyond.
+    * ``"approx"``: one ``percentile_approx`` call (the reference's function); the final
+      merge of a hot segment takes one buffer per map task in a single reducer.
     """
     if exact or method == "exact":
-        return _segment_stats_exact(sales)
+        return stats_from_histogram(segment_histogram(sales))
     if method == "sketch":
-        return _segment_stats_sketch(sales)
+        return stats_from_sketches(segment_sketches(sales))
     q = F.percentile_approx("price_per_m2", list(QUANTILES), APPROX_ACCURACY)
+    in_range, beyond = _sums(F.col("price_per_m2"))
     agg = sales.groupBy(*KEYS).agg(
-        _transaction_count(sales),
-        q.alias("_q"),
-        F.sum(F.col("price_per_m2").try_cast(CENTS)).alias("_sum"),
-        F.count(F.col("price_per_m2").try_cast(CENTS)).alias("_n"),
-    )
+        _transaction_count(sales), q.alias("_q"), in_range.alias("_sum"), beyond.alias("_beyond"),
+        F.count("price_per_m2").alias("_n"))
     return agg.select(
         *KEYS, "transaction_count",
         F.round(F.col("_q")[1], 2).alias("median_price_m2"),
-        _mean_cents(F.col("_sum"), F.col("_n")).alias("avg_price_m2"),
+        _mean(F.col("_sum"), F.col("_beyond"), F.col("_n")).alias("avg_price_m2"),
         F.round(F.col("_q")[0], 2).alias("q25_price_m2"),
         F.round(F.col("_q")[2], 2).alias("q75_price_m2"),
     )
 
 
+def segment_histogram(sales: DataFrame, extra_keys=()) -> DataFrame:
+    """Mergeable per-segment state: one row per (segment, price/m2) with its sale-id count
+    and its row count (a NULL price is a row of its own, for the count only).
+
+    States of disjoint sales merge with ``merge_histograms``. ``extra_keys`` split the
+    state further (e.g. by period) in the same single pass."""
+    return sales.groupBy(*KEYS, *extra_keys, "price_per_m2").agg(
+        F.count("sale_id").alias("_ids"), F.count(F.lit(1)).alias("_rows"))
+
+
+def merge_histograms(*states: DataFrame) -> DataFrame:
+    """Several ``segment_histogram`` states (of disjoint sales) as one; extra key columns
+    of the inputs are merged away."""
+    cols = [*KEYS, "price_per_m2", "_ids", "_rows"]
+    union = states[0].select(*cols)
+    for st in states[1:]:
+        union = union.unionByName(st.select(*cols))
+    return union.groupBy(*KEYS, "price_per_m2").agg(F.sum("_ids").alias("_ids"), F.sum("_rows").alias("_rows"))
+
+
+def _price_bin(price):
+    """A number that never falls as the price rises; NaN is above everything, NULL below."""
+    size = F.floor(F.log(F.abs(price)) * BINS_PER_E) + F.lit(1_000_000)
+    return (F.when(F.isnan(price), F.lit(10_000_000)).when(price > 0, size).when(price < 0, -size)
+            .when(price == 0, F.lit(0)).otherwise(F.lit(-10_000_000)).cast("long"))
+
+
+def stats_from_histogram(state: DataFrame) -> DataFrame:
+    """AGG-2…5 read off a histogram (same columns as ``segment_stats``).
+
+    Per segment and price bin the counts are summed (at most some thousand bins a
+    segment); running sums over the bins give the bin of each target rank; running sums
+    over that bin's prices alone give the price."""
+    price = F.col("price_per_m2")
+    priced = F.when(price.isNotNull(), F.col("_rows")).otherwise(F.lit(0))
+    in_range, beyond = _sums(price, F.col("_rows"))
+    binned = state.withColumn("_bin", _price_bin(price))
+    bins = binned.groupBy(*KEYS, "_bin").agg(
+        F.sum("_ids").alias("_ids"), F.sum(priced).alias("_c"), in_range.alias("_sum"), beyond.alias("_beyond"))
+    total = bins.groupBy(*KEYS).agg(
+        F.sum("_ids").alias("transaction_count"), F.sum("_c").alias("_n"),
+        F.sum("_sum").cast("decimal(38,2)").alias("_sum"), F.sum("_beyond").alias("_beyond"))
+
+    running = Window.partitionBy(*KEYS).orderBy("_bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    whole = Window.partitionBy(*KEYS)
+    cum = bins.select(
+        *KEYS, "_bin", "_c", F.sum("_c").over(running).alias("_cum"), F.sum("_c").over(whole).alias("_n"))
+    rank = lambda q: F.ceil(F.col("_n") * F.lit(q))
+    hit = F.filter(F.array(*[F.when((F.col("_cum") >= rank(q)) & (F.col("_cum") - F.col("_c") < rank(q)),
+                                    F.struct(F.lit(i).alias("i"), (rank(q) - F.col("_cum") + F.col("_c")).alias("r")))
+                             for i, q in enumerate(QUANTILES)]), lambda x: x.isNotNull())
+    # The bins that hold a target rank (at most three a segment), each with the ranks inside it.
+    targets = cum.select(*[F.col(k).alias(f"_t_{k}") for k in KEYS], F.col("_bin").alias("_t_bin"), hit.alias("_hits")).where(
+        F.size("_hits") > 0)
+    cond = F.col("_bin") == F.col("_t_bin")
+    for k in KEYS:
+        cond = cond & F.col(k).eqNullSafe(F.col(f"_t_{k}"))
+    # ``_ids`` is read here too, and no filter goes below the histogram: Spark computes it once for all uses.
+    inside = binned.join(targets, cond).select(
+        *KEYS, "_bin", "price_per_m2", F.when(F.col("_ids") >= 0, F.col("_rows")).alias("_rows"), "_hits")
+    in_bin = Window.partitionBy(*KEYS, "_bin").orderBy("price_per_m2").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    inside = inside.withColumn("_cum", F.sum("_rows").over(in_bin))
+    inside = inside.select(*KEYS, "price_per_m2", F.filter("_hits", lambda h: (
+        h["r"] <= F.col("_cum")) & (h["r"] > F.col("_cum") - F.col("_rows"))).alias("_hits"))
+    quantile = lambda i: F.max(F.when(F.exists("_hits", lambda h: h["i"] == i), F.round("price_per_m2", 2)))
+    found = inside.where(F.size("_hits") > 0).groupBy(*[F.col(k).alias(f"_f_{k}") for k in KEYS]).agg(
+        *[quantile(i).alias(f"_q{i}") for i in range(len(QUANTILES))])
+    cond = F.lit(True)
+    for k in KEYS:
+        cond = cond & F.col(k).eqNullSafe(F.col(f"_f_{k}"))
+    return total.join(found, cond, "left").select(
+        *KEYS, "transaction_count",
+        F.col("_q1").alias("median_price_m2"),
+        _mean(F.col("_sum"), F.col("_beyond"), F.col("_n")).alias("avg_price_m2"),
+        F.col("_q0").alias("q25_price_m2"),
+        F.col("_q2").alias("q75_price_m2"),
+    )
+
+
 def segment_sketches(sales: DataFrame, extra_keys=(), salt_buckets: int = SALT_BUCKETS,
                      sketch_k: int = SKETCH_K) -> DataFrame:
-    """Mergeable per-segment state: a KLL sketch of price/m2, the sale count, the exact
-    cent sum and the priced-sale count. Built in two levels (per segment and map-task
+    """Mergeable per-segment state of a fixed size: a KLL sketch of price/m2, the sale
+    count, the cent sums and the priced-sale count. Built in two levels (per segment and map-task
     salt, then per segment), so a hot segment is merged by many reducers first.
 
     States of disjoint sales merge with ``merge_segment_sketches``: a day's new sales
@@ -98,11 +188,11 @@ def segment_sketches(sales: DataFrame, extra_keys=(), salt_buckets: int = SALT_B
     ``sketch_k`` tune the merge fan-in and the exactness threshold."""
     keys = [*KEYS, *extra_keys]
     salted = sales.withColumn("_salt", F.spark_partition_id() % salt_buckets)
+    in_range, beyond = _sums(F.col("price_per_m2"))
     level1 = salted.groupBy(*keys, "_salt").agg(
         F.kll_sketch_agg_double("price_per_m2", sketch_k).alias("_sk"),
-        _transaction_count(sales).alias("_cnt"),
-        F.sum(F.col("price_per_m2").try_cast(CENTS)).alias("_sum"),
-        F.count(F.col("price_per_m2").try_cast(CENTS)).alias("_n"),
+        _transaction_count(sales).alias("_cnt"), in_range.alias("_sum"), beyond.alias("_beyond"),
+        F.count("price_per_m2").alias("_n"),
     )
     return _merge_level(level1, "_cnt", keys, sketch_k)
 
@@ -112,6 +202,7 @@ def _merge_level(df: DataFrame, count_col: str, keys=None, sketch_k: int = SKETC
         F.kll_merge_agg_double("_sk", sketch_k).alias("_sk"),
         F.sum(count_col).alias("transaction_count"),
         F.sum("_sum").cast("decimal(38,2)").alias("_sum"),
+        F.sum("_beyond").alias("_beyond"),
         F.sum("_n").alias("_n"),
     )
 
@@ -119,7 +210,7 @@ def _merge_level(df: DataFrame, count_col: str, keys=None, sketch_k: int = SKETC
 def merge_segment_sketches(*states: DataFrame) -> DataFrame:
     """Fold several ``segment_sketches`` states (of disjoint sales) into one; extra key
     columns of the inputs are merged away."""
-    cols = [*KEYS, "_sk", "transaction_count", "_sum", "_n"]
+    cols = [*KEYS, "_sk", "transaction_count", "_sum", "_beyond", "_n"]
     union = states[0].select(*cols)
     for st in states[1:]:
         union = union.unionByName(st.select(*cols))
@@ -134,43 +225,12 @@ def stats_from_sketches(state: DataFrame) -> DataFrame:
     return state.select(
         *KEYS, "transaction_count",
         quantile(0.5).alias("median_price_m2"),
-        _mean_cents(F.col("_sum"), F.col("_n")).alias("avg_price_m2"),
+        _mean(F.col("_sum"), F.col("_beyond"), F.col("_n")).alias("avg_price_m2"),
         quantile(0.25).alias("q25_price_m2"),
         quantile(0.75).alias("q75_price_m2"),
     )
 
 
-def _segment_stats_sketch(sales: DataFrame) -> DataFrame:
-    return stats_from_sketches(segment_sketches(sales))
-
-
-def _segment_stats_exact(sales: DataFrame) -> DataFrame:
-    # One pass: a (segment, price) histogram that also carries the sale-id count, so
-    # the transaction count needs no second scan. NULL prices keep their own bucket for
-    # the count but weigh nothing in the quantiles and the mean.
-    hist = sales.groupBy(*KEYS, "price_per_m2").agg(
-        F.count("sale_id").alias("_ids"), F.count(F.lit(1)).alias("_rows"))
-    hist = hist.withColumn("_c", F.when(F.col("price_per_m2").isNotNull(), F.col("_rows")).otherwise(F.lit(0)))
-    running = Window.partitionBy(*KEYS).orderBy("price_per_m2").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    whole = Window.partitionBy(*KEYS)
-    hist = hist.withColumns({"_cum": F.sum("_c").over(running), "_n": F.sum("_c").over(whole)})
-
-    def disc(q):
-        reached = F.col("price_per_m2").isNotNull() & (F.col("_cum") >= F.ceil(F.col("_n") * F.lit(q)))
-        return F.round(F.min(F.when(reached, F.col("price_per_m2"))), 2)
-
-    return hist.groupBy(*KEYS).agg(
-        F.sum("_ids").alias("transaction_count"),
-        disc(0.5).alias("median_price_m2"),
-        _mean_cents(F.sum(F.col("price_per_m2").try_cast(CENTS) * F.col("_c")),
-                    F.sum(F.when(F.col("price_per_m2").try_cast(CENTS).isNotNull(), F.col("_c")))
-                    ).alias("avg_price_m2"),
-        disc(0.25).alias("q25_price_m2"),
-        disc(0.75).alias("q75_price_m2"),
-    )
-
-
 def latest_rents(rents: DataFrame) -> DataFrame:
     """WIN-2: the newest edition per commune (deterministic tie-break on the values)."""
     w = Window.partitionBy("commune_code").orderBy(
@@ -217,7 +277,7 @@ def enrich(combined: DataFrame, computation_date) -> DataFrame:
 
 
 def fair_price_estimates(sales: DataFrame, rents: DataFrame, rates: DataFrame,
-                         computation_date, exact: bool = False, method: str = "sketch") -> DataFrame:
+                         computation_date, exact: bool = False, method: str = "exact") -> DataFrame:
     """The usage table: 16 columns per segment, one lazy lineage (combine + enrich fused)."""
     return estimates_from_segments(segment_stats(sales, exact=exact, method=method), rents, rates,
                                    computation_date)

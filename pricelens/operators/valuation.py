@@ -1,10 +1,11 @@
 """Valuation operators: classify whole tables of listings against the estimates.
 
 The reference answers one listing per request; here one plan values any number of
-listings. The estimates side is one row per segment; it is materialised, counted and
-broadcast when within ``BROADCAST_MAX_ROWS`` (``operators/joins.py``), so the listing
-side is never shuffled; above the threshold Spark falls back to a shuffled join on the
-three lookup keys, with AQE's skew-join splitting for a hot segment.
+listings. Building the plan starts no job. The estimates side is one row per segment: a
+stored table is broadcast by its file size; ``prepared_reference`` writes and measures a
+computed one first and hints the broadcast only within limits (``operators/joins.py``), so
+the listing side is never shuffled. Beyond the limits Spark joins by shuffle on the three
+lookup keys, with AQE's skew-join splitting for a hot segment.
 """
 
 from __future__ import annotations
@@ -47,14 +48,30 @@ def latest_estimates(estimates: DataFrame) -> DataFrame:
     return estimates.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
 
 
+def latest_run(estimates: DataFrame, computation_date=None) -> DataFrame:
+    """The rows of one run: of ``computation_date``, by default of the newest run stored
+    (a scalar subquery). A table without computation dates is one run."""
+    if "computation_date" not in estimates.columns:
+        return estimates
+    if computation_date is not None:
+        return estimates.filter(F.col("computation_date") == F.lit(computation_date).cast("date"))
+    newest = estimates.agg(F.max("computation_date")).scalar()
+    return estimates.filter(F.col("computation_date").eqNullSafe(newest))
+
+
+def _positive(name: str):
+    """Above zero and not NaN, which Spark orders above every number; the first half reaches the scan."""
+    return (F.col(name) > 0) & ~F.isnan(name)
+
+
 def valid_listings(listings: DataFrame) -> DataFrame:
     """FLT-11: surface and asked price strictly positive."""
-    return listings.filter((F.col("surface_m2") > 0) & (F.col("asked_price") > 0))
+    return listings.filter(_positive("surface_m2") & _positive("asked_price"))
 
 
 def invalid_listings(listings: DataFrame) -> DataFrame:
-    """FLT-11 rejects (NULL surface or price counts as invalid)."""
-    ok = (F.col("surface_m2") > 0) & (F.col("asked_price") > 0)
+    """FLT-11 rejects (a NULL or NaN surface or price counts as invalid)."""
+    ok = _positive("surface_m2") & _positive("asked_price")
     return listings.filter(~F.coalesce(ok, F.lit(False)))
 
 
@@ -79,8 +96,14 @@ def _reference(estimates: DataFrame) -> DataFrame:
     )
 
 
-def value_listings(listings: DataFrame, estimates: DataFrame, bounds: str = "quote",
-                   broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def prepared_reference(estimates: DataFrame, broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """The lookup side of a valuation, written once (one job) and broadcast if it is small;
+    pass it as ``reference`` to value any number of listing tables."""
+    return size_checked_side(_reference(estimates), broadcast_max_rows)[0]
+
+
+def value_listings(listings: DataFrame, estimates: DataFrame | None = None, bounds: str = "quote",
+                   reference: DataFrame | None = None) -> DataFrame:
     """JOIN-3 + PRJ-21…23 + FLT-10/11: every valid listing with its fair range, label and
     segment facts; listings without a segment get status NO_REFERENCE and NULL facts.
 
@@ -89,7 +112,7 @@ def value_listings(listings: DataFrame, estimates: DataFrame, bounds: str = "quo
     """
     extra = [c for c in listings.columns if c not in {"commune_code", "property_type", "rooms_bucket",
                                                       "surface_m2", "asked_price"}]
-    ref, _ = size_checked_side(_reference(estimates), broadcast_max_rows)
+    ref = _reference(estimates) if reference is None else reference
     j = valid_listings(listings).join(ref, on=LOOKUP, how="left")
     low_x = X.fair_bound("_q25", "surface_m2", whole_euros=False)
     high_x = X.fair_bound("_q75", "surface_m2", whole_euros=False)
@@ -116,10 +139,10 @@ def value_listings(listings: DataFrame, estimates: DataFrame, bounds: str = "quo
     )
 
 
-def unmatched_listings(listings: DataFrame, estimates: DataFrame,
-                       broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def unmatched_listings(listings: DataFrame, estimates: DataFrame | None = None,
+                       reference: DataFrame | None = None) -> DataFrame:
     """JOIN-5: valid listings with no segment (left anti join on the lookup keys)."""
-    ref, _ = size_checked_side(estimates.select(*LOOKUP).distinct(), broadcast_max_rows)
+    ref = (estimates if reference is None else reference).select(*LOOKUP).distinct()
     return valid_listings(listings).join(ref, on=LOOKUP, how="left_anti")
 
 
@@ -128,15 +151,15 @@ def verdict_summary(valued: DataFrame) -> DataFrame:
     return valued.groupBy("status", "label").agg(F.count(F.lit(1)).alias("n_listings"))
 
 
-def list_communes(estimates: DataFrame) -> DataFrame:
-    """AGG-6 + SET-3 + TOP-3: distinct (code, name, department), by name (NULLs last)."""
-    return (estimates.select("commune_code", "commune_name", "department_code").distinct()
+def list_communes(estimates: DataFrame, computation_date=None) -> DataFrame:
+    """AGG-6 + SET-3 + TOP-3: distinct (code, name, department) of one run, by name (NULLs last)."""
+    return (latest_run(estimates, computation_date).select("commune_code", "commune_name", "department_code").distinct()
             .orderBy(F.asc_nulls_last("commune_name"), F.asc("commune_code"), F.asc_nulls_last("department_code")))
 
 
-def commune_count(estimates: DataFrame) -> DataFrame:
-    """AGG-7: how many distinct (code, name, department) rows there are (NULLs included)."""
-    return (estimates.select("commune_code", "commune_name", "department_code").distinct()
+def commune_count(estimates: DataFrame, computation_date=None) -> DataFrame:
+    """AGG-7: how many distinct (code, name, department) rows one run has (NULLs included)."""
+    return (latest_run(estimates, computation_date).select("commune_code", "commune_name", "department_code").distinct()
             .agg(F.count(F.lit(1)).alias("commune_count")))
 
 
@@ -148,14 +171,17 @@ PROFILE_FIELDS = [
 ]
 
 
-def market_profiles(estimates: DataFrame, commune_code=None, as_json: bool = False) -> DataFrame:
+def market_profiles(estimates: DataFrame, commune_code=None, as_json: bool = False,
+                    computation_date=None) -> DataFrame:
     """AGG-8 + FLT-9: one row per commune with its segment list (sorted), the header
-    name/department taken from the first segment in that order. A commune holds at most
-    a handful of segments (types x room buckets), so the collected list is bounded.
+    name/department taken from the first segment in that order. Only one run is listed
+    (``latest_run``), in which a commune holds at most a handful of segments (types x room
+    buckets), so the collected list is bounded.
     ``commune_code`` (text or a Column, e.g. a scalar subquery) keeps one commune; none
     found gives no row. ``as_json=True`` returns the list as JSON text (NULL fields
     dropped, ISO dates)."""
-    df = estimates if commune_code is None else estimates.filter(F.col("commune_code") == commune_code)
+    df = latest_run(estimates, computation_date)
+    df = df if commune_code is None else df.filter(F.col("commune_code") == commune_code)
     fields = [c for c in PROFILE_FIELDS if c in df.columns]
     seg = F.struct(*[F.col(c) for c in fields],
                    *([X.iso_date("computation_date").alias("computation_date")]

@@ -14,6 +14,7 @@ from __future__ import annotations
 import logging
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from pricelens.operators import formatting as FMT
 from pricelens.operators import market as MKT
@@ -45,30 +46,64 @@ def estimates(spark: SparkSession, sf_dir: str, exact: bool = False,
                                     formatted_rates(spark, sf_dir), computation_date, exact=exact)
 
 
-def _landed(read):
-    """SRC-9: a source with no landed rows (or no folder yet) gives None, so the caller
-    skips it -- nothing is written for it and earlier results stay in place."""
+def _landed(spark: SparkSession, path: str, read):
+    """SRC-9: a source with no folder yet or no landed rows gives None, so the caller skips
+    it -- nothing is written for it and earlier results stay in place. Any other trouble
+    (permissions, a folder without ``ingestion_date=`` parts, a broken file) is raised."""
     from pricelens.sources import readers as R
-    try:
-        df = read()
-    except Exception as exc:  # noqa: BLE001 - AnalysisException: no such folder
-        log.warning("no landed files: %s", exc)
+    if not R.path_exists(spark, path):
+        log.warning("nothing landed under %s", path)
         return None
+    df = read()
     return df if R.has_rows(df) else None
 
 
+def _until(df: DataFrame, run_date: str) -> DataFrame:
+    """Landings up to the run date; the predicate prunes ``ingestion_date=`` folders."""
+    if "ingestion_date" not in df.columns:
+        return df
+    return df.filter(F.col("ingestion_date") <= F.lit(run_date).cast("date"))
+
+
+def _rates(spark: SparkSession, raw_root: str, ingestion_date: str, schema, array: bool | None,
+           fallback_rate: float | None, fallback_rate_type: str | None = None,
+           fallback_source: str | None = None) -> DataFrame | None:
+    """WIN-1 over the formatted rate landings up to the run date: one row per rate type.
+
+    SRC-10: without a usable rate the fallback row dated the ingestion date stands in;
+    without a fallback, no landed rows give None, and rows of which none is usable raise
+    (a misread file must not pass for a day without rates)."""
+    from pricelens import contracts as C
+    from pricelens.sources import readers as R
+    path = f"{raw_root}/rates"
+    raw = _landed(spark, path, lambda: _until(R.read_json_records(
+        spark, path, schema or C.RAW_RATES, multiline=array), ingestion_date))
+    if raw is not None:
+        rates = FMT.latest_rates_per_type(FMT.format_rates(raw, ingestion_date))
+        if R.has_rows(rates):
+            return rates
+        if fallback_rate is None:
+            raise ValueError(f"{path}: rows landed, but no usable rate among them")
+    if fallback_rate is None:
+        return None
+    one = R.with_fallback_row(spark.createDataFrame([], C.RAW_RATES), ingestion_date, fallback_rate,
+                              fallback_rate_type or R.FALLBACK_RATE_TYPE, fallback_source or R.FALLBACK_SOURCE)
+    return FMT.latest_rates_per_type(FMT.format_rates(one, ingestion_date))
+
+
 def run_daily(spark: SparkSession, raw_root: str, lake_root: str, computation_date: str,
               ingestion_date: str, snapshot: str = "all", rates_schema=None,
               rent_source_year: int | None = None, years=None, departments=None,
-              rates_json_array: bool = False, fallback_rate: float | None = None,
+              rates_json_array: bool | None = None, fallback_rate: float | None = None,
               fallback_rate_type: str | None = None,
               fallback_source: str | None = None) -> dict[str, int]:
     """The daily run over landed files: raw -> formatted layer -> usage table.
 
     ``raw_root`` holds ``dvf/`` and ``rents/`` (CSV landings) and ``rates/`` (JSON
-    landings: records one per line, or JSON-array files with ``rates_json_array``), each
-    in ``ingestion_date=`` folders. Each formatted table is written once
-    (sales by year, rents by edition, rates by date) and read back, which cuts the
+    landings: arrays or one record per line, told apart by their first line unless
+    ``rates_json_array`` says which), each in ``ingestion_date=`` folders, of which those up
+    to ``ingestion_date`` are read. Each formatted table is written once (sales by year,
+    rents by edition, the newest rate of each type) and read back, which cuts the
     lineage between stages; the usage table is written by computation date with dynamic
     overwrite, so earlier runs stay next to it. ``years`` / ``departments`` scope the
     sales that feed the segments; ``fallback_rate`` stands in when no rate was landed.
@@ -82,31 +117,25 @@ def run_daily(spark: SparkSession, raw_root: str, lake_root: str, computation_da
     counts: dict[str, int] = {}
     fmt_root, usage = f"{lake_root}/formatted", f"{lake_root}/usage/fair_price_estimates"
 
-    raw_sales = _landed(lambda: R.read_landed_csv(spark, f"{raw_root}/dvf", snapshot=snapshot))
+    raw_sales = _landed(spark, f"{raw_root}/dvf", lambda: _until(
+        R.read_landed_csv(spark, f"{raw_root}/dvf", snapshot=snapshot), ingestion_date))
     if raw_sales is not None:
         raw_sales, obs_sales = SK.counted(raw_sales, "raw_sales")
         counts["formatted_sales"] = SK.write_parquet(FMT.format_sales(raw_sales), f"{fmt_root}/sales",
                                                      partition_by=["year"], stage="formatted_sales")
         counts["raw_sales"] = int(obs_sales.get.get("rows", 0))
 
-    raw_rents = _landed(lambda: R.read_csv_detected(spark, f"{raw_root}/rents", snapshot=snapshot))
+    raw_rents = _landed(spark, f"{raw_root}/rents", lambda: _until(
+        R.read_csv_detected(spark, f"{raw_root}/rents", snapshot=snapshot), ingestion_date))
     if raw_rents is not None:  # delimiter sniffed per file
         counts["formatted_rents"] = SK.write_parquet(FMT.format_rents(raw_rents, rent_source_year),
                                                      f"{fmt_root}/rents", partition_by=["source_year"],
                                                      stage="formatted_rents")
 
-    raw_rates = _landed(lambda: R.read_json_records(spark, f"{raw_root}/rates", rates_schema or C.RAW_RATES,
-                                                   multiline=rates_json_array))
-    if raw_rates is None and fallback_rate is not None:
-        # SRC-10: no rate observations -> one fallback row dated the ingestion date.
-        empty = spark.createDataFrame([], C.RAW_RATES)
-        raw_rates = R.with_fallback_row(empty, ingestion_date, fallback_rate,
-                                        fallback_rate_type or R.FALLBACK_RATE_TYPE,
-                                        fallback_source or R.FALLBACK_SOURCE)
-    if raw_rates is not None:
-        counts["formatted_rates"] = SK.write_parquet(FMT.format_rates(raw_rates, ingestion_date),
-                                                     f"{fmt_root}/rates", partition_by=["rate_date"],
-                                                     stage="formatted_rates")
+    rates = _rates(spark, raw_root, ingestion_date, rates_schema, rates_json_array, fallback_rate,
+                   fallback_rate_type, fallback_source)
+    if rates is not None:
+        counts["formatted_rates"] = SK.write_parquet(rates, f"{fmt_root}/rates", stage="formatted_rates")
 
     # FLT-13: the configured scope; on the year-partitioned table it prunes partitions.
     sales = FMT.scope_sales(spark.read.parquet(f"{fmt_root}/sales"), years, departments)
@@ -120,27 +149,24 @@ def run_daily(spark: SparkSession, raw_root: str, lake_root: str, computation_da
 def run_daily_incremental(spark: SparkSession, raw_root: str, lake_root: str, computation_date: str,
                           ingestion_date: str, rates_schema=None,
                           rent_source_year: int | None = None,
-                          rates_json_array: bool = False,
+                          rates_json_array: bool | None = None,
                           fallback_rate: float | None = None) -> dict[str, int]:
-    """The daily run in time proportional to the new data.
-
-    Only the sales landed since the newest stored state (older than this run) are
-    formatted; their mergeable segment state (KLL sketches, counts, exact sums) is folded
-    into that stored state, and the result is written as a new ``as_of=`` version (an
-    input is never overwritten, and a failed run leaves the previous version intact).
-    Rents and rates are small and are formatted from their newest landing. The usage table is then
-    derived from the merged state. Equal to ``run_daily`` over all landings when each
-    landing holds new sales (a replayed landing is new data to this run, as it is to
-    ``run_daily``).
+    """The daily run in time proportional to the new sales; equal to ``run_daily`` over all
+    landings up to the run date.
+
+    The newest stored state older than this run is the segment histogram of the landed
+    sales files that are recorded beside it. Files landed since -- whatever date their
+    folder bears, so late landings too -- are formatted and their histogram is added; state
+    and file record are written as a new ``as_of=`` version (an input is never overwritten,
+    and a failed run leaves the previous version intact). All rent editions and rate
+    landings up to the run date are read: both are small.
     """
-    from pyspark.sql import functions as F
-
     from pricelens import contracts as C
     from pricelens import sinks as SK
     from pricelens.sources import readers as R
 
-    state_root = f"{lake_root}/state/segments"
-    usage = f"{lake_root}/usage/fair_price_estimates"
+    state_root, files_root = f"{lake_root}/state/segments", f"{lake_root}/state/files"
+    usage, sales_root = f"{lake_root}/usage/fair_price_estimates", f"{raw_root}/dvf"
     counts: dict[str, int] = {}
 
     run_date = F.lit(computation_date).cast("date")
@@ -149,39 +175,40 @@ def run_daily_incremental(spark: SparkSession, raw_root: str, lake_root: str, co
     newest = None
     if "as_of" in listing.columns:  # absent until a first version is written
         newest = listing.filter(F.col("as_of") < run_date).agg(F.max("as_of")).first()[0]
-    # Every landing after the state being built on, up to this run (a missed day is
-    # folded in by the next run); the predicate prunes ``ingestion_date=`` folders.
-    def new_landings():
-        df = R.read_landed_csv(spark, f"{raw_root}/dvf").filter(F.col("ingestion_date") <= run_date)
-        if newest is not None:
-            df = df.filter(F.col("ingestion_date") > F.lit(newest.isoformat()).cast("date"))
-        return df
 
-    fresh = _landed(new_landings)
-    state = MKT.segment_sketches(FMT.format_sales(fresh)) if fresh is not None else None
+    landed = spark.createDataFrame([], "path string")
+    if R.path_exists(spark, sales_root):
+        landed = _until(R.partition_values(spark, sales_root), ingestion_date).select("path")
+    known = None if newest is None else spark.read.parquet(f"{files_root}/as_of={newest.isoformat()}")
+    new = landed if known is None else landed.join(known, "path", "left_anti")
+    paths = [r["path"] for r in new.collect()]  # the names of files landed since the last run
+    state = None
+    if paths:
+        fresh = R.read_landed_csv(spark, sales_root, files=paths)
+        state = MKT.segment_histogram(FMT.format_sales(fresh))
     if newest is not None:
         # Read that version's folder only, so this run's own folder is never an input.
         previous = spark.read.parquet(f"{state_root}/as_of={newest.isoformat()}")
-        state = previous if state is None else MKT.merge_segment_sketches(previous, state)
+        state = previous if state is None else MKT.merge_histograms(previous, state)
     if state is None:
-        raise ValueError(f"no sales landed under {raw_root}/dvf and no stored segment state")
+        raise ValueError(f"no sales landed under {sales_root} and no stored segment state")
+    # The file record first: a version counts once its state is there.
+    held = spark.createDataFrame([(p,) for p in paths], "path string")
+    held = held if known is None else held.unionByName(known.select("path"))
+    SK.write_parquet(held, f"{files_root}/as_of={computation_date}", stage="files")
     # Each version is its own ``as_of=`` folder: the write target is never among the
     # files the merge reads (SNK-2 guard), and a rerun of the same date replaces it.
-    counts["segments"] = SK.write_parquet(state, f"{state_root}/as_of={computation_date}", stage="state")
+    counts["state"] = SK.write_parquet(state, f"{state_root}/as_of={computation_date}", stage="state")
     merged = spark.read.parquet(f"{state_root}/as_of={computation_date}")
 
-    raw_rents = _landed(lambda: R.read_csv_detected(spark, f"{raw_root}/rents", snapshot="latest"))
+    raw_rents = _landed(spark, f"{raw_root}/rents", lambda: _until(
+        R.read_csv_detected(spark, f"{raw_root}/rents"), ingestion_date))
     rents = (FMT.format_rents(raw_rents, rent_source_year) if raw_rents is not None
              else spark.createDataFrame([], C.RENTS))  # no rent file: rents stay NULL
-    raw_rates = _landed(lambda: R.read_json_records(spark, f"{raw_root}/rates", rates_schema or C.RAW_RATES,
-                                                    multiline=rates_json_array))
-    if raw_rates is None:
-        raw_rates = spark.createDataFrame([], C.RAW_RATES)
-        if fallback_rate is not None:
-            raw_rates = R.with_fallback_row(raw_rates, ingestion_date, fallback_rate, R.FALLBACK_RATE_TYPE,
-                                            R.FALLBACK_SOURCE)
-    rates = FMT.format_rates(raw_rates, ingestion_date)
-    est = MKT.estimates_from_segments(MKT.stats_from_sketches(merged), rents, rates, computation_date)
+    rates = _rates(spark, raw_root, ingestion_date, rates_schema, rates_json_array, fallback_rate)
+    if rates is None:
+        rates = spark.createDataFrame([], C.RATES)
+    est = MKT.estimates_from_segments(MKT.stats_from_histogram(merged), rents, rates, computation_date)
     counts["estimates"] = SK.write_parquet(est, usage, partition_by=["computation_date"], dynamic=True,
                                            stage="estimates")
     return counts

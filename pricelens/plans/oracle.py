@@ -101,12 +101,12 @@ def _rent_side(status: str, name: str) -> str:
          replace(CAST(CAST(CAST(sum(CAST(o_totalprice AS DECIMAL(12,2))) AS DOUBLE) / count(*) / 10000
                       AS DECIMAL(18,2)) AS VARCHAR), '.', ',') AS r
   FROM orders JOIN customer ON o_custkey = c_custkey
-  WHERE o_orderstatus = '{status}'
+  WHERE o_orderstatus IN ({status})
   GROUP BY 1, 2
 )"""
 
 
-RAW_RENTS = _rent_side("F", "rent_apt") + "," + _rent_side("O", "rent_house") + """,
+RAW_RENTS = _rent_side("'F', 'P'", "rent_apt") + "," + _rent_side("'O'", "rent_house") + """,
 raw_rents AS (
   SELECT lpad(coalesce(a.k, h.k), 5, '0') AS code_commune,
          a.r AS loyer_m2_appartement,
@@ -281,6 +281,11 @@ _EARLY = [
 ]
 
 
+def _documents(runs: str) -> str:
+    fields = EST_COLS.replace("computation_date", "strftime(computation_date, '%Y-%m-%d') AS computation_date")
+    return f"SELECT 'fair_price_estimates' AS _index, {fields} FROM {runs}"
+
+
 ORACLE: dict[str, str] = {
     "sales_parse": _with([RAW_SALES, TYPED], "SELECT * FROM typed"),
     "sales_filtered": _with([RAW_SALES, TYPED, REASON],
@@ -322,6 +327,11 @@ ORACLE: dict[str, str] = {
     "segment_stats_approx": _with(SALES_BASE + [SEGMENTS], "SELECT * FROM segments"),
     "segment_stats_merged": _with(SALES_BASE + [SEGMENTS], "SELECT * FROM segments"),
     "segment_stats_streamed": _with(SALES_BASE + [SEGMENTS], "SELECT * FROM segments"),
+    "segment_stats_sketch": _with(SALES_BASE + [SEGMENTS], "SELECT * FROM segments"),
+    "segment_stats_hot": _with(SALES_BASE + [
+        "sales_hot AS (SELECT * REPLACE ('all' AS commune_code, 'all' AS commune_name, 'all' AS department_code, "
+        "'all' AS property_type, 'all' AS rooms_bucket) FROM sales)",
+        SEGMENTS.replace("FROM sales", "FROM sales_hot")], "SELECT * FROM segments"),
     "segment_stats_exact": _with(SALES_BASE + [SEGMENTS], "SELECT * FROM segments"),
     "segment_rent": _with(SALES_BASE + [SEGMENTS, RAW_RENTS, RENTS, RENTS_LATEST, SEG_RENT],
                           "SELECT * FROM seg_rent"),
@@ -350,10 +360,10 @@ ORACLE: dict[str, str] = {
     "daily_incremental": _with(EST_BASE, "SELECT * FROM est"),
     "sales_deduplicated": _with(SALES_BASE, "SELECT DISTINCT * FROM sales"),
     "contract_violations": _with(EST_BASE, """
-        SELECT 0 AS missing_columns, 0 AS type_mismatches,
-               count(*) FILTER (WHERE fair_price_confidence IS NULL
-                                OR fair_price_confidence NOT IN ('LOW', 'MEDIUM', 'HIGH')) AS confidence_violations
-        FROM est"""),
+        SELECT CAST(count(*) FILTER (WHERE column_name IN ('avg_price_m2', 'q75_price_m2')) AS INTEGER) AS missing_columns,
+               CAST(count(*) FILTER (WHERE column_name = 'rent_m2') AS INTEGER) AS type_mismatches,
+               (SELECT count(*) FROM est WHERE transaction_count % 3 <> 1) AS confidence_violations
+        FROM (SELECT unnest(['""" + "', '".join(EST_COLS.split(", ")) + """']) AS column_name)"""),
     "listing_ranges": _with(EST_BASE + [LISTINGS, REF, VERDICTS], """
         SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, estimated_fair_price, low_fair_price,
                high_fair_price FROM verdicts WHERE status = 'OK'"""),
@@ -393,9 +403,32 @@ ORACLE: dict[str, str] = {
         FROM est WHERE commune_code = (SELECT min(commune_code) FROM est)
         WINDOW w AS (PARTITION BY commune_code ORDER BY property_type NULLS FIRST, rooms_bucket NULLS FIRST, commune_name NULLS FIRST, department_code NULLS FIRST, transaction_count NULLS FIRST, median_price_m2 NULLS FIRST, avg_price_m2 NULLS FIRST, q25_price_m2 NULLS FIRST, q75_price_m2 NULLS FIRST, rent_m2 NULLS FIRST, estimated_gross_yield NULLS FIRST, latest_rate_value NULLS FIRST, market_liquidity_score NULLS FIRST, fair_price_confidence NULLS FIRST, computation_date NULLS FIRST
                      ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)"""),
-    "documents_parsed": _with(EST_BASE, f"""
-        SELECT 'fair_price_estimates' AS _index, {EST_COLS.replace('computation_date',
-               "strftime(computation_date, '%Y-%m-%d') AS computation_date")} FROM est"""),
+    "documents_parsed": _with(EST_BASE, _documents("est")),
     "commune_count": _with(EST_BASE, "SELECT count(*) AS commune_count FROM "
                                      "(SELECT DISTINCT commune_code, commune_name, department_code FROM est)"),
 }
+
+_MIXED = """mixed AS (
+  SELECT * REPLACE (CASE l_partkey % 7 WHEN 1 THEN CAST('nan' AS DOUBLE) WHEN 2 THEN 0 WHEN 3 THEN NULL ELSE surface_m2 END AS surface_m2,
+                    CASE l_partkey % 7 WHEN 4 THEN CAST('nan' AS DOUBLE) WHEN 5 THEN -asked_price ELSE asked_price END AS asked_price)
+  FROM listings)"""
+_VALID = ("surface_m2 > 0 AND NOT isnan(surface_m2) AND asked_price > 0 AND NOT isnan(asked_price)")
+ORACLE |= {
+    "rates_fallback_empty": _with([RAW_RATES], """
+        SELECT '2024-12-31' AS date, CAST(3.9 AS DOUBLE) AS rate_value, 'ESTR' AS rate_type,
+               'ECB Data Portal' || ' (fallback)' AS source
+        WHERE NOT EXISTS (SELECT 1 FROM raw_rates WHERE rate_type = 'no such type')"""),
+    "rates_json_array": ORACLE["rates_json_roundtrip"],
+    "estimates_json_snapshot": ORACLE["fair_price_estimates"],
+    "daily_incremental_late": ORACLE["daily_incremental"],
+    "daily_incremental_rents": ORACLE["daily_incremental"],
+    "communes_run": ORACLE["communes"],
+    "market_profile_run": ORACLE["market_profile_rows"],
+    "documents_run": ORACLE["documents_parsed"],
+    "documents_earlier_run": _with(EST_BASE + _EARLY, _documents("est_early")),
+    "listing_invalid": _with(EST_BASE + [LISTINGS, _MIXED], f"""
+        SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, commune_code, property_type, rooms_bucket
+        FROM mixed WHERE NOT coalesce({_VALID}, false)"""),
+    "listing_verdicts_valid": _with(EST_BASE + [LISTINGS, _MIXED, REF, VERDICTS.replace("FROM listings l", "FROM (SELECT * FROM mixed WHERE "
+                                    + _VALID + ") l")], "SELECT * FROM verdicts"),
+}

@@ -66,20 +66,20 @@ def rooms_bucket_counts(spark, sf_dir):
 
 
 def sales_union_years(spark, sf_dir):
-    """SRC-4 + SET-1 + SRC-12: land one pipe-delimited file set per sale year -- the
+    """SRC-4 + SET-1 + SRC-12: land pipe-delimited files by sale year in one folder -- the
     earlier years with one column order, the later ones reversed, each with a column
-    outside the whitelist -- then read every file set by its own header and union by
-    name. Every row is landed and read back."""
+    outside the whitelist -- then read every file by its own header and union by name.
+    Every row is landed and read back."""
     raw = FX.raw_sales(spark, sf_dir).withColumn(
         "_year", F.substring("date_mutation", 1, 4)).withColumn("id_parcelle", F.lit("x"))
     root = scratch_path(spark, "dvf-years")
     cols = list(C.RAW_SALES_COLUMNS)
     early = F.coalesce(F.col("_year") <= str(EARLIER_RUN_LAST_YEAR), F.lit(False))
     (raw.select(*cols, "id_parcelle", "_year").filter(early)
-     .write.partitionBy("_year").option("header", True).option("sep", "|").csv(root + "/early"))
+     .write.partitionBy("_year").option("header", True).option("sep", "|").csv(root + "/all"))
     (raw.select("id_parcelle", *cols[::-1], "_year").filter(~early)
-     .write.partitionBy("_year").option("header", True).option("sep", "|").csv(root + "/late"))
-    paths = [root + "/early", root + "/late", root + "/missing-department"]
+     .write.partitionBy("_year").option("header", True).option("sep", "|").mode("append").csv(root + "/all"))
+    paths = [root + "/all", root + "/missing-department"]
     union = R.read_whitelisted_csv(spark, paths, sep="|")
     return FMT.parse_sales(union)
 
@@ -137,6 +137,28 @@ def rates_fallback(spark, sf_dir):
                                R.FALLBACK_RATE_TYPE, R.FALLBACK_SOURCE)
 
 
+def rates_fallback_empty(spark, sf_dir):
+    """SRC-10 + PRJ-25 with nothing to read: no event has this type, so the row stands in."""
+    none = FX.raw_rates(spark, sf_dir).filter(F.col("rate_type") == "no such type")
+    return R.with_fallback_row(none, P.INGESTION_DATE, R.FALLBACK_RATE, R.FALLBACK_RATE_TYPE, R.FALLBACK_SOURCE)
+
+
+def rates_json_array(spark, sf_dir):
+    """SRC-2 in the reference's form: rates landed as indented JSON arrays, one for each
+    type and block of events, read back without being told so."""
+    path = scratch_path(spark, "rates-arrays")
+    cols = C.RAW_RATES.fieldNames()
+    raw = FX.raw_rates(spark, sf_dir)
+    lines = raw.groupBy("rate_type", F.floor(F.col("event_id") / 256).alias("block")).agg(
+        F.collect_list(F.to_json(F.struct(*[F.col(c) for c in cols]))).alias("records")).select(
+        F.concat(F.lit("[\n  "), F.array_join(F.transform("records", lambda x: F.replace(x, F.lit(","), F.lit(",\n    "))),
+                                              ",\n  "), F.lit("\n]")).alias("value"), "rate_type", "block")
+    # One array a file: each group is its own folder.
+    lines.write.partitionBy("rate_type", "block").text(path)
+    back = R.read_json_records(spark, path, C.RAW_RATES).select(*cols)
+    return FMT.format_rates(back, P.INGESTION_DATE)
+
+
 def rates_sdmx(spark, sf_dir):
     docs = SD.pack_sdmx(FX.raw_rates_detailed(spark, sf_dir))
     return R.parse_sdmx(docs)
@@ -165,15 +187,27 @@ def segment_stats_merged(spark, sf_dir):
     history) and one over the later sales (the new landing)."""
     sales = P.formatted_sales(spark, sf_dir)
     old = F.col("year") <= EARLIER_RUN_LAST_YEAR
-    history = MKT.segment_sketches(sales.filter(old))
-    new = MKT.segment_sketches(sales.filter(~old))
-    return MKT.stats_from_sketches(MKT.merge_segment_sketches(history, new))
+    history = MKT.segment_histogram(sales.filter(old))
+    new = MKT.segment_histogram(sales.filter(~old))
+    return MKT.stats_from_histogram(MKT.merge_histograms(history, new))
 
 
 def segment_stats_exact(spark, sf_dir):
     return MKT.segment_stats(P.formatted_sales(spark, sf_dir), exact=True)
 
 
+def segment_stats_sketch(spark, sf_dir):
+    return MKT.segment_stats(P.formatted_sales(spark, sf_dir), method="sketch")
+
+
+def segment_stats_hot(spark, sf_dir):
+    """All sales in one segment (more than any sketch holds exactly): quantiles stay exact."""
+    hot = P.formatted_sales(spark, sf_dir)
+    for k in MKT.KEYS:
+        hot = hot.withColumn(k, F.lit("all"))
+    return MKT.segment_stats(hot)
+
+
 def segment_rent(spark, sf_dir):
     return MKT.attach_rent(MKT.segment_stats(P.formatted_sales(spark, sf_dir)), P.formatted_rents(spark, sf_dir))
 
@@ -213,10 +247,10 @@ def estimates_history(spark, sf_dir) -> DataFrame:
     sales = P.formatted_sales(spark, sf_dir).withColumn(
         "_early", F.coalesce(F.col("year") <= EARLIER_RUN_LAST_YEAR, F.lit(False)))
     rents, rates = P.formatted_rents(spark, sf_dir), P.formatted_rates(spark, sf_dir)
-    state = MKT.segment_sketches(sales, extra_keys=["_early"])
-    now = MKT.estimates_from_segments(MKT.stats_from_sketches(MKT.merge_segment_sketches(state)),
+    state = MKT.segment_histogram(sales, extra_keys=["_early"])
+    now = MKT.estimates_from_segments(MKT.stats_from_histogram(MKT.merge_histograms(state)),
                                       rents, rates, P.COMPUTATION_DATE)
-    early_stats = MKT.stats_from_sketches(state.filter(F.col("_early")).drop("_early"))
+    early_stats = MKT.stats_from_histogram(state.filter(F.col("_early")).drop("_early"))
     earlier = MKT.estimates_from_segments(
         early_stats, rents, rates.filter(F.col("rate_date") <= F.lit(EARLIER_RUN_DATE).cast("date")),
         EARLIER_RUN_DATE)
@@ -235,6 +269,18 @@ def estimates_roundtrip(spark, sf_dir):
     return R.read_estimates(spark, path)
 
 
+def estimates_json_snapshot(spark, sf_dir):
+    """SRC-11's second choice: the estimates as a JSON array for each commune, read with
+    the contract where there is no Parquet."""
+    path = scratch_path(spark, "estimates-json")
+    est = P.estimates(spark, sf_dir)
+    record = F.to_json(F.struct(*est.columns), {"dateFormat": "yyyy-MM-dd"})
+    arrays = est.groupBy(F.col("commune_code").alias("file")).agg(F.collect_list(record).alias("r")).select(
+        F.concat(F.lit("[\n"), F.array_join("r", ",\n"), F.lit("\n]")).alias("value"), "file")
+    arrays.write.partitionBy("file").text(path)
+    return R.read_estimates(spark, path + "-parquet", path).select(*C.ESTIMATE_COLUMNS)
+
+
 def landing_roundtrip(spark, sf_dir):
     """SNK-3 then SRC-1 + SRC-9: land raw sales as CSV in an ingestion-date folder,
     read the folder back as text, guard emptiness, and format it."""
@@ -308,9 +354,48 @@ def daily_incremental(spark, sf_dir):
     return usage.filter(F.col("computation_date") == F.lit(P.COMPUTATION_DATE).cast("date"))
 
 
+def _incremental(spark, sf_dir, name, first, second, first_rents, second_rents):
+    """Two incremental runs; (rows, landing date) of the sales and rents landed before each."""
+    from pyspark.sql import types as T
+    root = scratch_path(spark, name)
+    raw_root, lake = root + "/raw", root + "/lake"
+    schema = T.StructType(C.RAW_RATES.fields + [T.StructField("ts", T.TimestampNTZType()),
+                                                T.StructField("event_id", T.LongType())])
+    SK.land_json(FX.raw_rates(spark, sf_dir), raw_root + "/rates", "2024-12-29")
+    for (sales, landed), (rents, edition), run in ((first, first_rents, "2024-12-30"),
+                                                   (second, second_rents, P.COMPUTATION_DATE)):
+        SK.land_csv(sales, raw_root + "/dvf", landed)
+        SK.land_csv(rents, raw_root + "/rents", edition, sep=";")
+        P.run_daily_incremental(spark, raw_root, lake, run, run, rates_schema=schema)
+    usage = R.read_estimates(spark, lake + "/usage/fair_price_estimates")
+    return usage.filter(F.col("computation_date") == F.lit(P.COMPUTATION_DATE).cast("date"))
+
+
+def daily_incremental_late(spark, sf_dir):
+    """A landing that arrives late: after the first run, whose state is dated 12-30, more
+    sales land under an older date. They are folded in."""
+    raw = FX.raw_sales(spark, sf_dir)
+    early = F.coalesce(F.substring("date_mutation", 1, 4) <= str(EARLIER_RUN_LAST_YEAR), F.lit(False))
+    rents = FX.raw_rents(spark, sf_dir)
+    half = F.pmod(F.crc32("code_commune"), F.lit(2)) == 0
+    return _incremental(spark, sf_dir, "lake-late", (raw.filter(early), "2024-12-30"), (raw.filter(~early), "2024-12-28"),
+                        (rents.filter(half), "2024-12-30"), (rents.filter(~half), "2024-12-31"))
+
+
+def daily_incremental_rents(spark, sf_dir):
+    """Rent editions spread over landings: communes that only the older landing holds keep
+    their rents."""
+    raw = FX.raw_sales(spark, sf_dir)
+    early = F.coalesce(F.substring("date_mutation", 1, 4) <= str(EARLIER_RUN_LAST_YEAR), F.lit(False))
+    rents = FX.raw_rents(spark, sf_dir)
+    half = F.col("code_commune") < "01012"
+    return _incremental(spark, sf_dir, "lake-rents", (raw.filter(early), "2024-12-30"), (raw.filter(~early), "2024-12-31"),
+                        (rents.filter(half), "2024-12-29"), (rents.filter(~half), "2024-12-31"))
+
+
 def segment_stats_streamed(spark, sf_dir):
     """Segment statistics kept by a file stream: two landings, each followed by an
-    ``availableNow`` run that merges the new files' sketches into the stored state."""
+    ``availableNow`` run that merges the new files' histogram into the stored state."""
     from pricelens.streaming.ingest import segment_stats_from_state, update_segment_state
     root = scratch_path(spark, "segment-state")
     landed, state, ckpt = root + "/landed", root + "/state", root + "/checkpoint"
@@ -324,7 +409,12 @@ def segment_stats_streamed(spark, sf_dir):
 
 
 def contract_violations(spark, sf_dir):
-    est = P.estimates(spark, sf_dir)
+    """DQ-1 + DQ-2 on estimates that were tampered with: two columns are gone, one has
+    another type, and small segments bear a confidence outside the domain, or none."""
+    count = F.col("transaction_count")
+    est = P.estimates(spark, sf_dir).withColumn("fair_price_confidence", F.when(count % 3 == 0, "HIGHEST").when(
+        count % 3 == 1, F.col("fair_price_confidence"))).withColumn("rent_m2", F.col("rent_m2").cast("string")).drop(
+        "avg_price_m2", "q75_price_m2")
     missing = len(C.missing_columns(est, C.ESTIMATES))
     mismatched = len(C.type_mismatches(est, C.ESTIMATES))
     return est.agg(F.count_if(C.confidence_violation()).alias("confidence_violations")).select(
@@ -345,6 +435,27 @@ def listing_verdicts(spark, sf_dir):
     return VAL.value_listings(FX.listings(spark, sf_dir), P.estimates(spark, sf_dir))
 
 
+def _mixed_listings(spark, sf_dir):
+    """The listings, by part number with a NaN, zero, negative or missing surface or price."""
+    kind = F.col("l_partkey") % 7
+    nan = F.lit(float("nan"))
+    return FX.listings(spark, sf_dir).withColumns({
+        "surface_m2": F.when(kind == 1, nan).when(kind == 2, 0.0).when(kind == 3, F.lit(None).cast("double"))
+        .otherwise(F.col("surface_m2")),
+        "asked_price": F.when(kind == 4, nan).when(kind == 5, -F.col("asked_price")).otherwise(F.col("asked_price"))})
+
+
+def listing_invalid(spark, sf_dir):
+    """FLT-11: the listings that are not valued."""
+    return VAL.invalid_listings(_mixed_listings(spark, sf_dir)).select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "commune_code", "property_type", "rooms_bucket")
+
+
+def listing_verdicts_valid(spark, sf_dir):
+    """JOIN-3 over a table of which five sevenths must not be valued."""
+    return VAL.value_listings(_mixed_listings(spark, sf_dir), P.estimates(spark, sf_dir))
+
+
 def listing_unmatched(spark, sf_dir):
     return VAL.unmatched_listings(FX.listings(spark, sf_dir), P.estimates(spark, sf_dir))
 
@@ -361,6 +472,26 @@ def commune_count(spark, sf_dir):
     return VAL.commune_count(P.estimates(spark, sf_dir))
 
 
+def communes_run(spark, sf_dir):
+    """The newest run's communes, from a table that holds two runs."""
+    return VAL.list_communes(estimates_history(spark, sf_dir))
+
+
+def market_profile_run(spark, sf_dir):
+    """The newest run's profiles, flattened, from a table that holds two runs."""
+    return _profile_rows(VAL.market_profiles(estimates_history(spark, sf_dir)))
+
+
+def documents_run(spark, sf_dir):
+    """The newest run's export, parsed back, from a table that holds two runs."""
+    return _parsed_documents(SK.documents(estimates_history(spark, sf_dir)))
+
+
+def documents_earlier_run(spark, sf_dir):
+    """An earlier run's export, by its date."""
+    return _parsed_documents(SK.documents(estimates_history(spark, sf_dir), computation_date=EARLIER_RUN_DATE))
+
+
 def market_profile(spark, sf_dir):
     return VAL.market_profiles(P.estimates(spark, sf_dir))
 
@@ -368,7 +499,10 @@ def market_profile(spark, sf_dir):
 def market_profile_rows(spark, sf_dir, commune_code=None):
     """The profiles flattened: one row per listed segment, with its commune's header
     (name, department, segment count), so the content is checkable row by row."""
-    prof = VAL.market_profiles(P.estimates(spark, sf_dir), commune_code)
+    return _profile_rows(VAL.market_profiles(P.estimates(spark, sf_dir), commune_code))
+
+
+def _profile_rows(prof):
     return prof.select(
         "commune_code", F.col("commune_name").alias("profile_name"),
         F.col("department_code").alias("profile_department"), "segment_count",
@@ -379,7 +513,8 @@ def market_profile_rows(spark, sf_dir, commune_code=None):
 def market_profile_lookup(spark, sf_dir):
     """FLT-9: one commune's profile -- the commune with the smallest code in the data,
     chosen by a scalar subquery -- flattened."""
-    code = P.estimates(spark, sf_dir).agg(F.min("commune_code")).scalar()
+    # The smallest code comes from the sales themselves: the estimates are built once.
+    code = P.formatted_sales(spark, sf_dir).agg(F.min("commune_code")).scalar()
     return market_profile_rows(spark, sf_dir, commune_code=code)
 
 
@@ -390,10 +525,13 @@ def documents(spark, sf_dir):
 def documents_parsed(spark, sf_dir):
     """The export read back: every document parsed with the estimates contract (dates
     as their ISO text), so the exported content is checked field by field."""
+    return _parsed_documents(SK.documents(P.estimates(spark, sf_dir)))
+
+
+def _parsed_documents(docs):
     from pyspark.sql import types as T
     schema = T.StructType([f if f.name != "computation_date" else T.StructField(f.name, T.StringType())
                            for f in C.ESTIMATES.fields])
-    docs = SK.documents(P.estimates(spark, sf_dir))
     return docs.select("_index", F.from_json("_source", schema).alias("d")).select("_index", "d.*")
 
 
@@ -401,11 +539,11 @@ QUERIES: dict[str, Query] = {f.__name__: f for f in [
     sales_parse, sales_filtered, sales_formatted, sales_reject_reasons, sales_by_year,
     sales_union_years, sales_scoped, rooms_bucket_counts,
     rents_merged, rents_formatted, rents_latest, delimiter_detect,
-    rates_formatted, rates_latest_per_type, rates_last_n, rate_latest, rates_fallback,
+    rates_formatted, rates_latest_per_type, rates_last_n, rate_latest, rates_fallback, rates_fallback_empty, rates_json_array,
     rates_sdmx, rates_json_roundtrip,
-    segment_stats, segment_stats_approx, segment_stats_merged, segment_stats_exact, segment_rent, segment_rate, segment_liquidity,
+    segment_stats, segment_stats_approx, segment_stats_merged, segment_stats_exact, segment_stats_sketch, segment_stats_hot, segment_rent, segment_rate, segment_liquidity,
     segment_yield, segment_confidence, fair_price_estimates, estimates_latest,
-    estimates_roundtrip, landing_roundtrip, sales_incremental, sales_deduplicated, daily_run, daily_incremental, segment_stats_streamed, contract_violations,
-    listing_ranges, listing_verdicts, listing_unmatched, verdict_summary,
-    communes, commune_count, market_profile, market_profile_rows, market_profile_lookup, documents, documents_parsed,
+    estimates_roundtrip, estimates_json_snapshot, landing_roundtrip, sales_incremental, sales_deduplicated, daily_run, daily_incremental, daily_incremental_late, daily_incremental_rents, segment_stats_streamed, contract_violations,
+    listing_ranges, listing_verdicts, listing_verdicts_valid, listing_invalid, listing_unmatched, verdict_summary,
+    communes, communes_run, market_profile_run, documents_run, documents_earlier_run, commune_count, market_profile, market_profile_rows, market_profile_lookup, documents, documents_parsed,
 ]}

@@ -66,23 +66,26 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
+_LOCAL_DIRS: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder for written intermediate tables and checkpoints.
 
-    On a cluster this is ``spark.checkpoint.dir`` as configured by the cluster (a
-    shared file system visible to every executor). Only when it is unset -- tests and
-    local runs -- is a fresh scratch folder created and registered.
+    On a cluster this is ``spark.checkpoint.dir`` as configured by the cluster (a shared
+    file system visible to every executor); without it this raises. Only a local session
+    gets a scratch folder of its own, the same one for every call.
     """
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
-    if conf_dir:
-        return conf_dir.rstrip("/")
-    ctx_dir = spark.sparkContext.getCheckpointDir()
-    if ctx_dir:
-        return ctx_dir.rstrip("/")
-    local = tempfile.mkdtemp(prefix="pricelens-ckpt-")
-    spark.sparkContext.setCheckpointDir(local)
-    spark.conf.set("spark.checkpoint.dir", local)
-    return local
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if configured:
+        return configured.rstrip("/")
+    sc = spark.sparkContext
+    if not sc.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    if sc.applicationId not in _LOCAL_DIRS:
+        _LOCAL_DIRS[sc.applicationId] = tempfile.mkdtemp(prefix="pricelens-ckpt-")
+        sc.setCheckpointDir(_LOCAL_DIRS[sc.applicationId])
+    return _LOCAL_DIRS[sc.applicationId]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

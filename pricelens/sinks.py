@@ -11,6 +11,8 @@ import logging
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from pricelens.operators.valuation import latest_run
+
 log = logging.getLogger(__name__)
 
 DEFAULT_INDEX = "fair_price_estimates"
@@ -30,12 +32,25 @@ def _norm(p: str) -> str:
     return p
 
 
+def input_roots(df: DataFrame) -> list[str]:
+    """The root paths of the files a plan reads (folders as given to the reader, not their files)."""
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+    roots = []
+    for i in range(leaves.size()):
+        leaf = leaves.apply(i)
+        if leaf.getClass().getSimpleName() == "LogicalRelation" and hasattr(relation := leaf.relation(), "location"):
+            paths = relation.location().rootPaths()
+            roots += [paths.apply(k).toString() for k in range(paths.size())]
+    return roots
+
+
 def guard_not_input(df: DataFrame, path: str) -> None:
     """SNK-2: refuse to overwrite a dataset the plan is reading (Spark would delete the
-    input before reading it). Checked from the plan's file listing, not the data."""
+    input before reading it). Checked from the plan's root paths, not its file listing."""
     target = _norm(path) + "/"
-    for f in df.inputFiles():
-        if _norm(f).startswith(target):
+    for root in input_roots(df):
+        root = _norm(root) + "/"
+        if root.startswith(target) or target.startswith(root):
             raise ValueError(f"refusing to overwrite {path}: it is an input of this plan")
 
 
@@ -73,15 +88,17 @@ def land_json(df: DataFrame, path: str, ingestion_date, stage: str = "land_json"
     return int(obs.get.get("rows", 0))
 
 
-def documents(df: DataFrame, index: str = DEFAULT_INDEX) -> DataFrame:
-    """SNK-5 + PRJ-24: one JSON document per row, NULL fields dropped, dates as
-    ``yyyy-MM-dd``, with the target index name attached."""
+def documents(df: DataFrame, index: str = DEFAULT_INDEX, computation_date=None) -> DataFrame:
+    """SNK-5 + PRJ-24: one JSON document per row of one run (``latest_run``), NULL fields
+    dropped, dates as ``yyyy-MM-dd``, with the target index name attached."""
+    df = latest_run(df, computation_date)
     return df.select(F.lit(index).alias("_index"),
                      F.to_json(F.struct(*df.columns), {"dateFormat": "yyyy-MM-dd"}).alias("_source"))
 
 
-def write_documents(df: DataFrame, path: str, index: str = DEFAULT_INDEX) -> int:
-    """Bulk-loadable export: newline-delimited ``{"_index":…, "_source":{…}}`` records."""
+def write_documents(df: DataFrame, path: str, index: str = DEFAULT_INDEX, computation_date=None) -> int:
+    """Bulk-loadable export of one run: newline-delimited ``{"_index":…, "_source":{…}}`` records."""
+    df = latest_run(df, computation_date)
     record = F.struct(F.lit(index).alias("_index"), F.struct(*df.columns).alias("_source"))
     docs = df.select(F.to_json(record, {"dateFormat": "yyyy-MM-dd"}).alias("value"))
     out, obs = counted(docs, "documents")

@@ -24,8 +24,8 @@ RAW_TYPE_BY_FLAG = {"A": "Appartement", "R": "MAISON"}
 RAW_TYPE_DEFAULT = "Dépendance"
 LISTING_TYPE_BY_FLAG = {"A": "Apartment", "R": "House"}
 LISTING_TYPE_DEFAULT = "Office"
-RENT_STATUS_APARTMENT = "F"
-RENT_STATUS_HOUSE = "O"
+RENT_STATUS_APARTMENT = ("F", "P")
+RENT_STATUS_HOUSE = ("O",)
 RENT_DIVISOR = 10000
 RATES_SOURCE = "events"
 OPEN_LINE_STATUS = "O"
@@ -79,14 +79,14 @@ def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def rent_side(spark: SparkSession, sf_dir: str, status: str, code_header: str,
+def rent_side(spark: SparkSession, sf_dir: str, status: tuple[str, ...], code_header: str,
               rent_header: str, year_header: str = "annee") -> DataFrame:
     """One rent indicator file: mean order total / 10000 per (nation, order year) for
-    orders of one status, with its own header spelling (so alias resolution has work)."""
+    orders of some statuses, with its own header spelling (so alias resolution has work)."""
     orders = sf_table(spark, sf_dir, "orders").select("o_custkey", "o_orderstatus", "o_totalprice",
                                                       "o_orderdate")
     cust = sf_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    df = (orders.filter(F.col("o_orderstatus") == status)
+    df = (orders.filter(F.col("o_orderstatus").isin(*status))
           .join(cust, orders.o_custkey == cust.c_custkey)
           .groupBy(_commune_text(F.col("c_nationkey")).alias(code_header),
                    F.year("o_orderdate").alias(year_header))

@@ -70,23 +70,25 @@ def resolve_aliases(df: DataFrame, aliases: dict, required=()) -> DataFrame:
 # ── CSV ─────────────────────────────────────────────────────────────────────────
 
 def read_landed_csv(spark: SparkSession, path: str, sep: str = ",", snapshot: str = "all",
-                    schema: T.StructType | None = None) -> DataFrame:
+                    schema: T.StructType | None = None, files: list[str] | None = None) -> DataFrame:
     """SRC-1: header on, no inference (all text), every ``ingestion_date=`` folder; every
     file's header is checked against the columns (mismatch -> error, not misreading).
 
     ``snapshot="latest"`` keeps only the newest ingestion date: a scalar subquery over the
     file listing (no file is read for it) that also prunes the scan to that folder.
+    ``files`` reads these files of the landing only.
     """
     reader = (spark.read.option("header", True).option("inferSchema", False)
-              .option("sep", sep).option("encoding", "UTF-8"))
+              .option("sep", sep).option("encoding", "UTF-8").option("basePath", path))
+    source = path if files is None else files
     if schema is None:
         # Column names come from one file's header; with them as an explicit schema and
         # enforceSchema off, Spark checks every file's header against it, so a landing
         # with reordered columns fails loudly instead of being read by position.
-        first = reader.csv(path)
+        first = reader.csv(source if files is None else files[0])
         schema = T.StructType([T.StructField(c, T.StringType()) for c in first.columns
                                if c != "ingestion_date"])
-    df = reader.schema(schema).option("enforceSchema", False).csv(path)
+    df = reader.schema(schema).option("enforceSchema", False).csv(source)
     if snapshot == "latest" and "ingestion_date" in df.columns:
         newest = partition_values(spark, path).agg(F.max("ingestion_date")).scalar()
         df = df.filter(F.col("ingestion_date") == newest)
@@ -100,32 +102,65 @@ def partition_values(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").load(path).drop("content")
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there; any other trouble with the storage is raised."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def _file_path() -> Column:
+    """The path of a row's file, as readers take it (the metadata column holds a URI)."""
+    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+
+
+def header_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(file, header): the first line of every text file under ``path``."""
+    lines = spark.read.option("encoding", "UTF-8").option("recursiveFileLookup", True).text(path).select(
+        _file_path().alias("file"), F.col("_metadata.file_block_start").alias("at"), "value",
+        F.monotonically_increasing_id().alias("n"))
+    first = lines.filter(F.col("at") == 0).groupBy("file").agg(F.min_by("value", "n").alias("header"))
+    return first.select("file", F.regexp_replace("header", "^\uFEFF|\r$", "").alias("header"))
+
+
 def read_whitelisted_csv(spark: SparkSession, paths, whitelist=SALES_WHITELIST, sep: str = "|",
-                         tolerant: bool = True) -> DataFrame:
-    """SRC-4 + SET-1 + SRC-12: read each file with its own header, keep only whitelisted
-    columns that exist, and union the files by name (missing columns -> NULL).
-
-    Files are read separately because a single multi-file CSV scan maps columns by
-    position. A missing or unreadable file is skipped with a log line when ``tolerant``;
-    a file without any whitelisted column raises (a wrong delimiter would otherwise
-    yield an empty frame silently).
+                         tolerant: bool = True, skipped: list | None = None) -> DataFrame:
+    """SRC-4 + SET-1 + SRC-12: read each file by its own header, keep only whitelisted
+    columns that exist, and union by name (missing columns -> NULL).
+
+    A multi-file CSV scan maps columns by position, so files are grouped by their header
+    line: one scan per distinct header, whatever folders the files lie in. When
+    ``tolerant``, a path that does not exist and a file without any whitelisted column are
+    skipped whole, logged, and appended to ``skipped``; otherwise, and if no file has one
+    (a wrong delimiter), this raises. A file that breaks half-way always raises.
     """
-    frames = []
+    skipped = [] if skipped is None else skipped
+    groups: dict[str, list[str]] = {}
+    found = 0
     for p in ([paths] if isinstance(paths, str) else list(paths)):
-        try:
-            df = (spark.read.option("header", True).option("inferSchema", False)
-                  .option("sep", sep).option("mode", "PERMISSIVE")
-                  .option("ignoreCorruptFiles", tolerant).option("ignoreMissingFiles", tolerant).csv(p))
-            keep = [c for c in df.columns if c in set(whitelist)]
-        except Exception as exc:  # noqa: BLE001 - AnalysisException for a missing path
+        if not path_exists(spark, p):
             if not tolerant:
-                raise
-            log.warning("skipping %s: %s", p, exc)
+                raise FileNotFoundError(p)
+            skipped.append(p)
             continue
-        if not keep:
-            raise ValueError(f"{p}: no whitelisted column among {df.columns} (wrong delimiter?)")
-        frames.append(df.select(*keep))
+        for row in header_lines(spark, p).collect():  # a short row for each file
+            found += 1
+            groups.setdefault(row["header"], []).append(row["file"])
+    frames = []
+    for header, files in sorted(groups.items()):
+        df = (spark.read.option("header", True).option("inferSchema", False).option("sep", sep)
+              .option("encoding", "UTF-8").option("mode", "PERMISSIVE").csv(sorted(files)))
+        keep = [c for c in df.columns if c in set(whitelist)]
+        if keep:
+            frames.append(df.select(*keep))
+        elif tolerant:
+            skipped += files
+        else:
+            raise ValueError(f"{files[0]}: no whitelisted column among {df.columns} (wrong delimiter?)")
+    for p in skipped:
+        log.warning("skipping %s", p)
     if not frames:
+        if found:
+            raise ValueError(f"no whitelisted column in any of {found} files (wrong delimiter?)")
         return spark.createDataFrame([], T.StructType([T.StructField(c, T.StringType()) for c in whitelist]))
     out = frames[0]
     for f in frames[1:]:
@@ -137,7 +172,7 @@ def delimiter_counts(spark: SparkSession, path: str) -> DataFrame:
     """SRC-5 as a distributed count: occurrences of ``;`` and ``,`` per file, and the
     delimiter a sniffer would choose (``;`` only if strictly more frequent)."""
     lines = spark.read.option("encoding", "UTF-8").text(path).select(
-        F.col("_metadata.file_path").alias("file"), F.col("value"))
+        _file_path().alias("file"), F.col("value"))
     n_semi = F.sum(F.length("value") - F.length(F.translate("value", ";", "")))
     n_comma = F.sum(F.length("value") - F.length(F.translate("value", ",", "")))
     agg = lines.groupBy("file").agg(n_semi.alias("n_semicolon"), n_comma.alias("n_comma"),
@@ -153,8 +188,9 @@ def detect_delimiter(spark: SparkSession, path: str) -> str:
 
 def read_csv_detected(spark: SparkSession, path: str, snapshot: str = "all") -> DataFrame:
     """SRC-5 per file: each landed file is read with the delimiter sniffed from its own
-    text, files sharing a delimiter in one scan, the groups unioned by name. Only the
-    list of (file, delimiter) pairs -- one row per file -- reaches the driver."""
+    text, files sharing a delimiter in one scan, the groups unioned by name. The list of
+    (file, delimiter) pairs reaches the driver: one row per rent file, of which a landing
+    has a handful."""
     per_file = delimiter_counts(spark, path).select("file", "delimiter").collect()
     groups: dict[str, list[str]] = {}
     for row in per_file:
@@ -180,10 +216,18 @@ def read_csv_detected(spark: SparkSession, path: str, snapshot: str = "all") ->
 
 # ── JSON ────────────────────────────────────────────────────────────────────────
 
+def is_json_array(spark: SparkSession, path: str) -> bool:
+    """Whether the JSON files under ``path`` hold arrays: from the first line that has text."""
+    first = spark.read.text(path).filter(F.trim("value") != "").select(F.ltrim("value").alias("v")).first()
+    return first is not None and first["v"].lstrip("\ufeff").startswith("[")
+
+
 def read_json_records(spark: SparkSession, path: str, schema: T.StructType = C.RAW_RATES,
-                      multiline: bool = True) -> DataFrame:
-    """SRC-2: a JSON array of flat records (``multiline``) or JSON lines, fixed schema;
-    a field missing from a record reads as NULL."""
+                      multiline: bool | None = None) -> DataFrame:
+    """SRC-2: a JSON array of flat records (``multiline``, indented or not) or JSON lines,
+    fixed schema; a field missing from a record reads as NULL. By default the first line
+    of the landing tells which."""
+    multiline = is_json_array(spark, path) if multiline is None else multiline
     return spark.read.schema(schema).option("multiLine", multiline).json(path)
 
 
@@ -233,21 +277,14 @@ def parse_sdmx(docs: DataFrame, json_col: str = "json", rate_type: Column | str
 
 # ── Parquet / estimates ─────────────────────────────────────────────────────────
 
-def read_parquet(spark: SparkSession, path: str) -> DataFrame:
-    """SRC-3: Parquet with partition discovery (``year=``, ``computation_date=`` ...)."""
-    return spark.read.parquet(path)
-
-
 def read_estimates(spark: SparkSession, parquet_path: str | None, json_path: str | None = None) -> DataFrame:
-    """SRC-11: estimates from Parquet, else from a JSON snapshot read with the explicit
-    contract (so ``01001`` stays text), else an error."""
-    if parquet_path:
-        try:
-            return C.select_present(spark.read.parquet(parquet_path), C.ESTIMATE_COLUMNS)
-        except Exception as exc:  # noqa: BLE001 - missing path or no parquet files
-            log.info("no parquet estimates at %s (%s)", parquet_path, exc)
-    if json_path:
-        return spark.read.schema(C.ESTIMATES).json(json_path)
+    """SRC-3 + SRC-11: estimates from Parquet (with partition discovery), else from a JSON
+    snapshot, array or lines, read with the explicit contract (so ``01001`` stays text),
+    else an error. Only a missing path falls through; other trouble is raised."""
+    if parquet_path and path_exists(spark, parquet_path):
+        return C.select_present(spark.read.parquet(parquet_path), C.ESTIMATE_COLUMNS)
+    if json_path and path_exists(spark, json_path):
+        return read_json_records(spark, json_path, C.ESTIMATES)
     raise FileNotFoundError("no usage data found; run the pipeline first")
 
 

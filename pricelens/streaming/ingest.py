@@ -11,8 +11,11 @@ commit log (the sink is exactly-once).
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import SparkSession
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQueryListener
 
 from pricelens import contracts as C
 from pricelens.operators.formatting import format_sales
@@ -20,26 +23,61 @@ from pricelens.operators.formatting import format_sales
 LANDED_SALES = T.StructType(C.RAW_SALES.fields + [T.StructField("ingestion_date", T.DateType(), True)])
 
 
+class _Rows(StreamingQueryListener):
+    """Input rows over every progress record of a query (the query itself keeps only the last 100)."""
+
+    def __init__(self):
+        self.rows: dict[str, int] = {}
+        self.ended: dict[str, threading.Event] = {}
+
+    def _event(self, run: str) -> threading.Event:
+        return self.ended.setdefault(run, threading.Event())
+
+    def onQueryStarted(self, event):
+        pass
+
+    def onQueryProgress(self, event):
+        run = str(event.progress.runId)
+        self.rows[run] = self.rows.get(run, 0) + int(event.progress.numInputRows)
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryTerminated(self, event):  # comes after the last progress record
+        self._event(str(event.runId)).set()
+
+
+def _run(spark: SparkSession, writer) -> int:
+    """Start an ``availableNow`` query, wait for its end and return the rows it read."""
+    listener = _Rows()
+    spark.streams.addListener(listener)
+    try:
+        query = writer.start()
+        query.awaitTermination()
+        if not listener._event(str(query.runId)).wait(120):
+            raise TimeoutError("the query's end was not reported")
+        return listener.rows.get(str(query.runId), 0)
+    finally:
+        spark.streams.removeListener(listener)
+
+
 def format_landed_sales(spark: SparkSession, landed_path: str, formatted_path: str,
                         checkpoint_path: str, max_files_per_trigger: int | None = None) -> int:
     """Format every raw-sales CSV landed under ``landed_path`` since the last call and
     append it to the Parquet table at ``formatted_path`` (partitioned by ``year``).
-    Returns the number of landed rows read by this call (from the progress log)."""
+    Returns the number of landed rows read by this call (from its progress records)."""
     reader = (spark.readStream.schema(LANDED_SALES).option("header", True)
               .option("inferSchema", False).option("encoding", "UTF-8")
               .option("enforceSchema", False))  # every file's header is checked
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     raw = reader.csv(landed_path)
-    query = (format_sales(raw).writeStream.format("parquet")
-             .option("path", formatted_path)
-             .option("checkpointLocation", checkpoint_path)
-             .partitionBy("year")
-             .outputMode("append")
-             .trigger(availableNow=True)
-             .start())
-    query.awaitTermination()
-    return sum(int(p.get("numInputRows", 0)) for p in query.recentProgress)
+    return _run(spark, format_sales(raw).writeStream.format("parquet")
+                .option("path", formatted_path)
+                .option("checkpointLocation", checkpoint_path)
+                .partitionBy("year")
+                .outputMode("append")
+                .trigger(availableNow=True))
 
 
 def _newest_version(spark: SparkSession, state_root: str, below: int):
@@ -57,11 +95,11 @@ def update_segment_state(spark: SparkSession, landed_path: str, state_root: str,
     """Fold every sales file landed since the last call into the segment state.
 
     A file stream over the landing folder; each micro-batch is formatted, reduced to
-    mergeable segment sketches (``market.segment_sketches``) and merged with the newest
+    its segment histogram (``market.segment_histogram``) and merged with the newest
     state version, and the result is written as ``batch=<id>``. A retried batch rewrites
     its own version from the same predecessor, so the sink is idempotent; the stream's
     checkpoint makes every file count once. Returns the number of landed rows read by
-    this call (from the progress log).
+    this call (from its progress records).
     """
     from pricelens.operators import market as MKT
     from pricelens.sinks import ensure_folder, write_parquet
@@ -69,20 +107,18 @@ def update_segment_state(spark: SparkSession, landed_path: str, state_root: str,
     ensure_folder(spark, state_root)  # so the first batch lists an empty folder
 
     def merge_batch(batch, batch_id: int) -> None:
-        state = MKT.segment_sketches(batch)
+        state = MKT.segment_histogram(batch)
         prev = _newest_version(spark, state_root, batch_id)
         if prev is not None:
-            state = MKT.merge_segment_sketches(spark.read.parquet(f"{state_root}/batch={prev}"), state)
+            state = MKT.merge_histograms(spark.read.parquet(f"{state_root}/batch={prev}"), state)
         write_parquet(state, f"{state_root}/batch={batch_id}", stage="segment_state")
 
     raw = (spark.readStream.schema(LANDED_SALES).option("header", True)
            .option("inferSchema", False).option("encoding", "UTF-8")
            .option("enforceSchema", False).csv(landed_path))
-    query = (format_sales(raw).writeStream.foreachBatch(merge_batch)
-             .option("checkpointLocation", checkpoint_path)
-             .trigger(availableNow=True).start())
-    query.awaitTermination()
-    return sum(int(p.get("numInputRows", 0)) for p in query.recentProgress)
+    return _run(spark, format_sales(raw).writeStream.foreachBatch(merge_batch)
+                .option("checkpointLocation", checkpoint_path)
+                .trigger(availableNow=True))
 
 
 def segment_stats_from_state(spark: SparkSession, state_root: str):
@@ -93,4 +129,4 @@ def segment_stats_from_state(spark: SparkSession, state_root: str):
     from pricelens.operators import market as MKT
     from pricelens.sources.readers import partition_values
     newest = partition_values(spark, state_root).agg(F.max("batch")).first()[0]  # a listing
-    return MKT.stats_from_sketches(spark.read.parquet(f"{state_root}/batch={newest}"))
+    return MKT.stats_from_histogram(spark.read.parquet(f"{state_root}/batch={newest}"))

@@ -4,6 +4,8 @@ checked against brute-force Python computations on small fixtures."""
 import math
 import random
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from pricelens import contracts as C
@@ -149,10 +151,12 @@ def test_value_listings_shuffle_path_matches_broadcast_path(spark):
     est = P.estimates(spark, SF_SMALL)
     lst = FX.listings(spark, SF_SMALL)
     a = VAL.value_listings(lst, est)
-    b = VAL.value_listings(lst, est, broadcast_max_rows=0)  # above the limit: shuffle join
-    assert sorted(map(tuple, a.collect()), key=str) == sorted(map(tuple, b.collect()), key=str)
-    assert VAL.unmatched_listings(lst, est, broadcast_max_rows=0).count() == \
-        VAL.unmatched_listings(lst, est).count()
+    shuffled = VAL.prepared_reference(est, broadcast_max_rows=0)  # above the limit: shuffle join
+    hinted = VAL.prepared_reference(est)
+    for ref in (shuffled, hinted):
+        b = VAL.value_listings(lst, reference=ref)
+        assert sorted(map(tuple, a.collect()), key=str) == sorted(map(tuple, b.collect()), key=str)
+        assert VAL.unmatched_listings(lst, reference=ref).count() == VAL.unmatched_listings(lst, est).count()
 
 
 def test_exact_method_beyond_sketch_size(spark):
@@ -172,6 +176,42 @@ def test_exact_method_beyond_sketch_size(spark):
             assert abs(rank - q) < 0.01
 
 
+def test_exact_quantiles_of_a_hot_segment_repeat(spark):
+    n = 400_000
+    hot = spark.range(0, n, 1, 24).selectExpr(
+        "cast(id as string) sale_id", "'01001' commune_code", "'N' commune_name", "'1' department_code", "'House' property_type",
+        "if(id % 1000 = 0, null, '1 room') rooms_bucket", "cast(pmod(xxhash64(id), 400000) as double) / 100 + 1000 price_per_m2")
+    runs = [sorted(map(tuple, MKT.segment_stats(hot).collect()), key=str) for _ in range(3)]
+    assert runs[0] == runs[1] == runs[2]
+    for rooms, count, median, _, q25, q75 in [r[4:] for r in runs[0]]:
+        vals = [r[0] for r in hot.where(F.col("rooms_bucket").eqNullSafe(F.lit(rooms))).select("price_per_m2").collect()]
+        assert (count, median, q25, q75) == (len(vals), round(disc(vals, .5), 2), round(disc(vals, .25), 2), round(disc(vals, .75), 2))
+
+
+def test_histograms_of_odd_prices(spark):
+    prices = [0.0, -5.0, -5.5, 0.01, 1e-300, 1e300, float("nan"), 7.0, 7.0, 7.01]
+    df = sales_df(spark, [("House", "1 room", p) for p in prices])
+    got = MKT.segment_stats(df).first()
+    ranked = sorted(prices, key=lambda p: (p != p, p))
+    assert got.median_price_m2 == round(ranked[4], 2) and got.q25_price_m2 == ranked[2]
+    state = MKT.segment_histogram(df)
+    assert MKT.stats_from_histogram(MKT.merge_histograms(state, state)).first().transaction_count == 20
+
+
+def test_nan_listings_are_invalid(spark):
+    nan = float("nan")
+    rows = spark.createDataFrame([(1, 1.0, 1.0), (2, nan, 1.0), (3, 1.0, nan), (4, 0.0, 1.0), (5, None, 1.0)], "id long, surface_m2 double, asked_price double")
+    assert [r.id for r in VAL.valid_listings(rows).collect()] == [1]
+    assert sorted(r.id for r in VAL.invalid_listings(rows).collect()) == [2, 3, 4, 5]
+
+
+def test_consumers_see_one_run(spark):
+    est = _estimates(spark)
+    two = est.withColumn("computation_date", F.lit("2023-01-01").cast("date")).unionByName(est)
+    assert VAL.market_profiles(two).first().segment_count == VAL.market_profiles(est).first().segment_count
+    assert VAL.latest_run(two, "2023-01-01").count() == est.count()
+
+
 def test_quote_one_listing(spark):
     import pytest
     est = _estimates(spark)
@@ -200,7 +240,11 @@ def test_absurd_price_does_not_fail_the_job(spark):
     df = sales_df(spark, [("House", "1 room", 1e300), ("House", "1 room", 100.0), ("House", "1 room", 300.0)])
     for method in ("sketch", "approx", "exact"):
         r = MKT.segment_stats(df, method=method).first()
-        assert r.transaction_count == 3 and r.avg_price_m2 == 200.0 and r.q75_price_m2 == 1e300
+        # The mean is that of all prices, also of one too large for the exact decimal.
+        assert r.transaction_count == 3 and r.avg_price_m2 == pytest.approx(1e300 / 3) and r.q75_price_m2 == 1e300
+    df = sales_df(spark, [("House", "1 room", 1e27), ("House", "1 room", 100.0)])
+    for method in ("sketch", "approx", "exact"):
+        assert MKT.segment_stats(df, method=method).first().avg_price_m2 == pytest.approx(5e26)
 
 
 def test_market_profile_json_drops_nulls(spark):

@@ -1,5 +1,6 @@
 """The daily run over landed files, with stage counts."""
 
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pricelens import contracts as C
@@ -82,8 +83,8 @@ def test_daily_run_reads_json_array_rate_files(spark, tmp_out):
     with open(raw + "/rates/ingestion_date=2024-12-31/estr.json", "w") as fh:
         json.dump([{"date": "2024-11-20", "rate_value": 3.4, "rate_type": "ESTR", "source": "ECB"},
                    {"date": "2024-11-21", "rate_value": 3.2, "rate_type": "ESTR", "source": "ECB"}], fh, indent=2)
-    counts = P.run_daily(spark, raw, tmp_out + "/lake", "2024-12-31", "2024-12-31", rates_json_array=True)
-    assert counts["formatted_rates"] == 2
+    counts = P.run_daily(spark, raw, tmp_out + "/lake", "2024-12-31", "2024-12-31")
+    assert counts["formatted_rates"] == 1  # the newest of the one rate type
     usage = spark.read.parquet(tmp_out + "/lake/usage/fair_price_estimates")
     assert {r.latest_rate_value for r in usage.select("latest_rate_value").collect()} == {3.2}
 
@@ -137,8 +138,52 @@ def test_incremental_day_without_new_sales_carries_state(spark, tmp_out):
     SK.land_csv(FX.raw_rents(spark, SF_SMALL), raw_root + "/rents", "2024-12-30", sep=";")
     P.run_daily_incremental(spark, raw_root, lake, "2024-12-30", "2024-12-30", fallback_rate=3.9)
     counts = P.run_daily_incremental(spark, raw_root, lake, "2024-12-31", "2024-12-31", fallback_rate=3.9)
-    assert counts["segments"] == counts["estimates"] == 100
+    assert counts["estimates"] == 100
     usage = spark.read.parquet(lake + "/usage/fair_price_estimates")
     day1 = {tuple(r[:15]) for r in usage.filter("computation_date = '2024-12-30'").collect()}
     day2 = {tuple(r[:15]) for r in usage.filter("computation_date = '2024-12-31'").collect()}
     assert day1 == day2 and {r[12] for r in day2} == {3.9}
+
+
+def _landed_rates(spark, root, text, date="2024-12-31"):
+    spark.createDataFrame([(text,)], "value string").write.text(f"{root}/rates/ingestion_date={date}")
+
+
+def test_unusable_rates_are_not_a_day_without_rates(spark, tmp_out):
+    import pytest
+    raw = tmp_out + "/raw"
+    SK.land_csv(FX.raw_sales(spark, SF_SMALL), raw + "/dvf", "2024-12-31")
+    SK.land_csv(FX.raw_rents(spark, SF_SMALL), raw + "/rents", "2024-12-31", sep=";")
+    _landed_rates(spark, raw, '[\n  {"date": "not a date",\n "rate_value": 3.4, "rate_type": "ESTR"}\n]')
+    with pytest.raises(ValueError, match="no usable rate"):
+        P.run_daily(spark, raw, tmp_out + "/lake", "2024-12-31", "2024-12-31")
+    counts = P.run_daily(spark, raw, tmp_out + "/lake", "2024-12-31", "2024-12-31", fallback_rate=2.5)
+    assert counts["formatted_rates"] == 1
+
+
+def test_a_landing_folder_without_dates_is_read_too(spark, tmp_out):
+    raw = tmp_out + "/raw"
+    FX.raw_sales(spark, SF_SMALL).write.option("header", True).csv(raw + "/dvf")
+    for day in ("2024-12-30", "2024-12-31"):  # each file once
+        counts = P.run_daily_incremental(spark, raw, tmp_out + "/lake", day, day, fallback_rate=3.9)
+        assert counts["estimates"] == 100
+    usage = spark.read.parquet(tmp_out + "/lake/usage/fair_price_estimates")
+    assert {r.n for r in usage.groupBy("computation_date").sum("transaction_count").toDF("d", "n").collect()} == {3705}
+
+
+def test_incremental_rerun_and_late_landing_equal_the_full_run(spark, tmp_out):
+    raw, lake = tmp_out + "/raw", tmp_out + "/lake"
+    sales = FX.raw_sales(spark, SF_SMALL)
+    third = F.pmod(F.crc32("valeur_fonciere"), F.lit(3))
+    SK.land_csv(FX.raw_rents(spark, SF_SMALL), raw + "/rents", "2024-12-29", sep=";")
+    SK.land_csv(sales.filter(third == 0), raw + "/dvf", "2024-12-29")
+    P.run_daily_incremental(spark, raw, lake, "2024-12-29", "2024-12-29", fallback_rate=3.9)
+    SK.land_csv(sales.filter(third == 1), raw + "/dvf", "2024-12-31")
+    for _ in range(2):  # a rerun of the same day changes nothing
+        P.run_daily_incremental(spark, raw, lake, "2024-12-31", "2024-12-31", fallback_rate=3.9)
+    SK.land_csv(sales.filter(third == 2), raw + "/dvf", "2024-12-30")  # late
+    P.run_daily_incremental(spark, raw, lake, "2025-01-01", "2025-01-01", fallback_rate=3.9)
+    P.run_daily(spark, raw, tmp_out + "/full", "2025-01-01", "2025-01-01", fallback_rate=3.9)
+    read = lambda root: {tuple(r) for r in spark.read.parquet(root + "/usage/fair_price_estimates").filter(
+        "computation_date = '2025-01-01'").select(*C.ESTIMATE_COLUMNS).collect()}
+    assert read(lake) == read(tmp_out + "/full")

@@ -23,15 +23,33 @@ def q():
 
 
 def test_listing_side_is_never_shuffled(spark, q):
-    plan = final_plan(q["listing_verdicts"](spark, SF_SMALL))
+    from pricelens.operators import valuation as VAL
+    from pricelens.plans import daily as P
+    from pricelens.sources import fixtures as FX
+    reference = VAL.prepared_reference(P.estimates(spark, SF_SMALL))
+    plan = final_plan(VAL.value_listings(FX.listings(spark, SF_SMALL), reference=reference))
     tree = plan.split("+- == Initial Plan ==")[0]
     assert "Exchange" not in tree.replace("BroadcastExchange", "")
     assert "BroadcastHashJoin" in tree and "Scan ExistingRDD" in tree
     assert "EqualTo(l_linestatus,O)" in plan and "GreaterThan(l_quantity,0.0)" in plan
 
 
-def test_segment_quantiles_merge_in_two_levels(spark, q):
-    df = q["segment_stats"](spark, SF_SMALL)
+def test_building_a_valuation_starts_no_job(spark, q):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("building", "")
+    for name in ("listing_verdicts", "listing_ranges", "listing_unmatched", "verdict_summary"):
+        q[name](spark, SF_SMALL)
+    assert not tracker.getJobIdsForGroup("building")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_the_histogram_is_computed_once(spark, q):
+    tree = final_plan(q["segment_stats"](spark, SF_SMALL)).split("+- == Initial Plan ==")[0]
+    assert tree.count("Scan parquet") <= 4 and "ReusedExchange" in tree
+
+
+def test_sketches_merge_in_two_levels(spark, q):
+    df = q["segment_stats_sketch"](spark, SF_SMALL)
     logical = df._jdf.queryExecution().optimizedPlan().toString()
     assert "_salt" in logical and "kll_merge_agg_double" in logical
     assert "spark_partition_id" in logical.lower()

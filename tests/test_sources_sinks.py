@@ -117,7 +117,7 @@ def test_parquet_sink_partitions_and_guard(spark, tmp_out):
     df = spark.createDataFrame([("01001", "2024-12-31"), ("01002", "2024-12-30")], ["commune_code", "d"]) \
         .withColumn("computation_date", F.col("d").cast("date")).drop("d")
     assert SK.write_parquet(df, p, partition_by=["computation_date"]) == 2
-    back = R.read_parquet(spark, p)
+    back = spark.read.parquet(p)
     assert dict(back.dtypes)["computation_date"] == "date"
     with pytest.raises(ValueError):
         SK.write_parquet(back.filter(F.col("commune_code") == "01001"), p, partition_by=["computation_date"])
@@ -197,3 +197,31 @@ def test_sdmx_edge_cases(spark):
     ], "json string, rate_type string, source string")
     rows = [tuple(r) for r in R.parse_sdmx(docs).collect()]
     assert rows == [("2024-01-01", 2.5, "ESTR", "ECB")]
+
+
+def test_whitelisted_files_of_one_folder_keep_their_own_headers(spark, tmp_out):
+    folder = tmp_out + "/dvf"
+    for header, row in (("code_commune|nom_commune", "75056|Paris"), ("nom_commune|code_commune|x", "Nantes|44109|1"), ("odd|headers", "a|b")):
+        spark.createDataFrame([(header,), (row,)], "value string").coalesce(1).write.mode("append").text(folder)
+    skipped = []
+    got = R.read_whitelisted_csv(spark, [folder, tmp_out + "/none"], skipped=skipped)
+    assert {(r.code_commune, r.nom_commune) for r in got.collect()} == {("75056", "Paris"), ("44109", "Nantes")}
+    assert len(skipped) == 2 and tmp_out + "/none" in skipped
+    with pytest.raises(FileNotFoundError):
+        R.read_whitelisted_csv(spark, [tmp_out + "/none"], tolerant=False)
+
+
+def test_json_arrays_are_told_by_their_first_line(spark, tmp_out):
+    for name, text in (("a", '\n[\n {"date": "2024-01-01",\n  "rate_value": 1.5}\n]'), ("l", '{"date": "2024-01-01", "rate_value": 1.5}\n{"date": "2024-01-02"}')):
+        spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(f"{tmp_out}/{name}")
+    assert [r.rate_value for r in R.read_json_records(spark, tmp_out + "/a").collect()] == [1.5]
+    assert R.read_json_records(spark, tmp_out + "/l").count() == 2
+
+
+def test_guard_compares_roots(spark, tmp_out):
+    spark.range(3).write.parquet(tmp_out + "/t/part")
+    df = spark.read.parquet(tmp_out + "/t/part")
+    for target in ("/t", "/t/part", "/t/part/sub"):
+        with pytest.raises(ValueError):
+            SK.guard_not_input(df, tmp_out + target)
+    SK.guard_not_input(df, tmp_out + "/t/part2")

@@ -41,3 +41,12 @@ def test_streamed_segment_state_equals_batch_stats(spark, tmp_out):
     got = {tuple(r) for r in segment_stats_from_state(spark, state).collect()}
     want = {tuple(r) for r in MKT.segment_stats(P.formatted_sales(spark, SF_SMALL)).collect()}
     assert got == want
+
+
+def test_every_batch_counts(spark, tmp_out):
+    landed, table, ckpt = tmp_out + "/landed", tmp_out + "/sales", tmp_out + "/ckpt"
+    rows = spark.createDataFrame([ROW] * 104, C.RAW_SALES).repartition(104)
+    SK.land_csv(rows, landed, "2024-12-30")
+    files = len(spark.read.format("binaryFile").load(landed).select("path").collect())
+    assert format_landed_sales(spark, landed, table, ckpt, max_files_per_trigger=1) == 104
+    assert files > 1
