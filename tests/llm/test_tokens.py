@@ -5,6 +5,7 @@ from collections import Counter
 import numpy as np
 import public_tokenizers
 import pytest
+import regex
 import sentencepiece
 import tiktoken
 from pyspark.sql import functions as F
@@ -81,6 +82,16 @@ def test_encoding_is_the_librarys_and_decoding_returns_the_text(spark, odd, libr
     assert got == want
 
 
+def test_fast_splitting_finds_the_patterns_matches(spark):
+    whole, fast = regex.compile(public_tokenizers.PATTERN).findall, bpe.splitter(public_tokenizers.PATTERN)
+    r = random.Random(0)
+    texts = HARD + [x.text or "" for x in sf_table(spark, SF, "documents").select("text").collect()]
+    texts += ["".join(r.choice("aZé ÿŞ09_'stlmdreve\n\t\x0b\x1c\x1f\x85\xa0ªµ×÷!$|") for _ in range(r.randint(0, 30))) for _ in range(20_000)]
+    texts += [chr(c) + "a" + chr(c) + "1 " + chr(c) for c in range(0x250)]
+    for t in texts:
+        assert fast(t) == whole(t), repr(t)
+
+
 def test_whole_results(documents, library):
     got = encode_decode(documents([(1, "two words"), (2, None)]), RANKS, public_tokenizers.PATTERN).orderBy("doc_id").collect()
     assert [(np.frombuffer(r.ids, "<u4").tolist(), bytes(r.decoded)) for r in got] == [(library.encode("two words"), b"two words"), ([], b"")]
