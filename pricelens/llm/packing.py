@@ -146,7 +146,8 @@ def pack(docs: DataFrame, tokenizer_path: str, max_len: int = 2048, end_id: int
     runs, _ = best_fit_decreasing(histogram, max_len)
     before = F.sum("n").over(Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
     base = counts.select("length", "part", F.coalesce(before, F.lit(0)).alias("base"))
-    ranked = cut.join(base, ["length", "part"]).select(
+    # ``base`` grows with the number of partitions: never broadcast.
+    ranked = cut.join(base.hint("merge"), ["length", "part"]).select(
         "doc_id", "piece", "start", "length", "ids_crc32", (F.col("rank") + F.col("base")).alias("rank"))
 
     def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
