@@ -1,5 +1,7 @@
 """Command line: the jobs a user runs, each one Spark application.
 
+    python -m pricelens land     --raw-root R --date 2024-12-31 [--sales F ...]
+                                 [--apartment-rents F --house-rents F] [--rates F ...]
     python -m pricelens daily    --raw-root R --lake-root L --date 2024-12-31
     python -m pricelens daily-incremental --raw-root R --lake-root L --date 2024-12-31
     python -m pricelens value    --estimates E --listings X --out O [--bounds exact]
@@ -23,6 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pricelens import sinks as SK
 from pricelens.operators import valuation as VAL
 from pricelens.plans import daily as D
+from pricelens.plans import landing as L
 from pricelens.session import apply_conf
 from pricelens.sources import readers as R
 
@@ -42,6 +45,16 @@ def main(argv=None, spark: SparkSession | None = None) -> dict:
     ap.add_argument("--cluster-conf", action="store_true", help="apply CLUSTER_CONF to the session")
     sub = ap.add_subparsers(dest="cmd", required=True)
 
+    la = sub.add_parser("land", help="published files -> raw landing folders")
+    la.add_argument("--raw-root", required=True)
+    la.add_argument("--date", required=True, help="ingestion date, yyyy-MM-dd")
+    la.add_argument("--sales", nargs="*", help="department files or folders (pipe-delimited)")
+    la.add_argument("--apartment-rents")
+    la.add_argument("--house-rents")
+    la.add_argument("--rates", nargs="*", help="SDMX-JSON responses")
+    la.add_argument("--rate-type", default=R.FALLBACK_RATE_TYPE)
+    la.add_argument("--fallback-rate", type=float, default=R.FALLBACK_RATE)
+
     inc = sub.add_parser("daily-incremental", help="landings since the last state only, merged into stored segment state")
     inc.add_argument("--raw-root", required=True)
     inc.add_argument("--lake-root", required=True)
@@ -85,7 +98,20 @@ def main(argv=None, spark: SparkSession | None = None) -> dict:
     if args.cluster_conf:
         apply_conf(spark)
 
-    if args.cmd == "daily-incremental":
+    if args.cmd == "land":
+        if bool(args.apartment_rents) != bool(args.house_rents):
+            ap.error("--apartment-rents and --house-rents go together")
+        result = {}
+        if args.sales:
+            skipped: list[str] = []
+            result["sales"] = L.land_sales(spark, args.sales, args.raw_root, args.date, skipped=skipped)
+            result["sales_files_skipped"] = len(skipped)
+        if args.apartment_rents:
+            result["rents"] = L.land_rents(spark, args.apartment_rents, args.house_rents, args.raw_root, args.date)
+        if args.rates:
+            result["rates"] = L.land_rates(spark, args.rates, args.raw_root, args.date, args.rate_type,
+                                           fallback_rate=args.fallback_rate)
+    elif args.cmd == "daily-incremental":
         result = D.run_daily_incremental(spark, args.raw_root, args.lake_root, args.date, args.date,
                                          rent_source_year=args.rent_source_year,
                                          rates_json_array=args.rates_json_array,

@@ -309,13 +309,19 @@ def sales_incremental(spark, sf_dir):
 
 
 def daily_run(spark, sf_dir):
-    """The daily run end to end over files: land the three raw tables, format each into
-    the formatted layer, compute and write the usage table, read it back."""
+    """The daily run end to end over files: land published sales files (pipe-delimited) and
+    the two rent files through the landing jobs and the rates as JSON, format each into the
+    formatted layer, compute and write the usage table, read it back."""
     from pyspark.sql import types as T
+
+    from pricelens.plans import landing as L
     root = scratch_path(spark, "lake")
     raw_root = root + "/raw"
-    SK.land_csv(FX.raw_sales(spark, sf_dir), raw_root + "/dvf", P.INGESTION_DATE)
-    SK.land_csv(FX.raw_rents(spark, sf_dir), raw_root + "/rents", P.INGESTION_DATE, sep=";")
+    FX.raw_sales(spark, sf_dir).write.option("header", True).option("sep", "|").csv(root + "/published/sales")
+    for side, name in zip(FX.rent_sources(spark, sf_dir), ("apartments", "houses"), strict=True):
+        side.write.option("header", True).option("sep", ";").csv(f"{root}/published/{name}")
+    L.land_sales(spark, [root + "/published/sales"], raw_root, P.INGESTION_DATE)
+    L.land_rents(spark, root + "/published/apartments", root + "/published/houses", raw_root, P.INGESTION_DATE)
     SK.land_json(FX.raw_rates(spark, sf_dir), raw_root + "/rates", P.INGESTION_DATE)
     schema = T.StructType(C.RAW_RATES.fields + [T.StructField("ts", T.TimestampNTZType()),
                                                 T.StructField("event_id", T.LongType())])

@@ -1,5 +1,7 @@
 """The command-line jobs, run in-process on the test session."""
 
+import json
+
 from pricelens import cli
 from pricelens import contracts as C
 from pricelens import sinks as SK
@@ -42,3 +44,25 @@ def test_value_parquet_listings_exact_bounds(spark, tmp_out):
     out = spark.read.parquet(tmp_out + "/v")
     assert res["listings"] == out.count() == spark.read.parquet(listings).count()
     assert {r.status for r in out.select("status").distinct().collect()} == {"OK", "NO_REFERENCE"}
+
+
+def test_land_published_files(spark, tmp_out):
+    published, raw = tmp_out + "/published", tmp_out + "/raw"
+    FX.raw_sales(spark, SF_SMALL).write.option("header", True).option("sep", "|").csv(published + "/sales")
+    apartments, houses = FX.rent_sources(spark, SF_SMALL)
+    apartments.write.option("header", True).option("sep", ";").csv(published + "/apartments")
+    houses.write.option("header", True).option("sep", ",").option("quoteAll", True).csv(published + "/houses")
+    for name, doc in (("full", {"data": {
+            "dataSets": [{"series": {"0": {"observations": {"0": [3.4], "1": [3.2], "7": [9.9], "2": [None]}}}}],
+            "structure": {"dimensions": {"observation": [{"id": "TIME_PERIOD", "values": [
+                {"id": "2024-11-20"}, {"id": "2024-11-21"}, {"id": "2024-11-22"}]}]}}}}), ("none", {})):
+        spark.createDataFrame([(json.dumps(doc, indent=2),)], "value string").coalesce(1).write.text(f"{published}/{name}")
+    got = cli.main(["land", "--raw-root", raw, "--date", "2024-12-31", "--sales", published + "/sales", published + "/no-such",
+                    "--apartment-rents", published + "/apartments", "--house-rents", published + "/houses",
+                    "--rates", published + "/full"], spark=spark)
+    assert got == {"sales": FX.raw_sales(spark, SF_SMALL).count(), "sales_files_skipped": 1,
+                   "rents": FX.raw_rents(spark, SF_SMALL).count(), "rates": 2}
+    res = cli.main(["daily", "--raw-root", raw, "--lake-root", tmp_out + "/lake", "--date", "2024-12-31"], spark=spark)
+    assert res["segments"] == 100 and res["formatted_rates"] == 1
+    assert cli.main(["land", "--raw-root", tmp_out + "/raw2", "--date", "2024-12-31", "--rates", published + "/none"],
+                    spark=spark) == {"rates": 1}  # the fallback row
