@@ -157,6 +157,11 @@ def splitter(pattern: str) -> Callable[[str], list[str]]:
     return lambda text: whole(text) if _OTHER.search(text) else _FAST.findall(text)
 
 
+def _cut(whole: bytes, ends: np.ndarray) -> Iterator[bytes]:
+    at = ends.tolist()
+    return map(whole.__getitem__, map(slice, at[:-1], at[1:]))
+
+
 #: What ``encode_decode`` returns of a text: everything, or lengths and digests (lowercase hex).
 WHOLE = "ids binary, decoded binary", lambda ids, decoded: (ids, decoded)
 DIGESTS = "n_tokens long, ids_sha256 string, decoded_sha256 string", lambda ids, decoded: (
@@ -217,6 +222,7 @@ def encode_decode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str =
         pieces = [b""] * (max(ranks.values(), default=-1) + 1)
         for word, rank in ranks.items():
             pieces[rank] = word
+        piece_size = np.array([len(x) for x in pieces], dtype=np.int64)
         ids_of: list[bytes] = []
         text_of: list[bytes] = []
         names = ["doc_id", *(c.split()[0] for c in each[0].split(", "))]
@@ -233,11 +239,16 @@ def encode_decode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str =
                     if fresh[i]:
                         ids_of, text_of = [], []
                     known, unmerged = len(ids_of), long[i].values
-                    ids_of.extend((np.frombuffer((x or "").encode("utf-32-le"), "<u4") - 0x10000).astype("<u4").tobytes()
-                                  for x in words[i].values.to_pylist())
+                    tokens = [x or "" for x in words[i].values.to_pylist()]
+                    ends = np.cumsum([0, *map(len, tokens)])
+                    flat = (np.frombuffer("".join(tokens).encode("utf-32-le"), "<u4") - 0x10000).astype("<u4")
+                    ids_of.extend(_cut(flat.tobytes(), 4 * ends))
+                    at = np.cumsum(np.append(0, piece_size[flat]))
+                    text_of.extend(_cut(b"".join(map(pieces.__getitem__, flat.tolist())), at[ends]))
                     for k in np.nonzero(unmerged.is_valid().to_numpy(zero_copy_only=False))[0].tolist():
-                        ids_of[known + k] = np.array(merge_long(unmerged[k].as_py(), ranks), dtype="<u4").tobytes()
-                    text_of.extend(b"".join(map(pieces.__getitem__, np.frombuffer(x, "<u4").tolist())) for x in ids_of[known:])
+                        merged = merge_long(unmerged[k].as_py(), ranks)
+                        ids_of[known + k] = np.array(merged, dtype="<u4").tobytes()
+                        text_of[known + k] = b"".join(map(pieces.__getitem__, merged))
                     continue
                 numbers = np.frombuffer(refs.as_py(), np.int32).tolist()
                 body, text = b"".join(map(ids_of.__getitem__, numbers)), b"".join(map(text_of.__getitem__, numbers))
