@@ -43,9 +43,9 @@ from pricelens.llm.common import texts
 from pricelens.llm.tokens import read_ranks
 
 #: Words that a task knows at a time; bytes of word numbers between two rows of new words.
-WORDS, GROUP_BYTES = 1_000_000, 2 << 20
+WORDS, GROUP_BYTES = 1_250_000, 2 << 20
 #: Input splits that one task reads, so that fewer tasks fold the same word.
-SPLITS = 4
+SPLITS = 5
 FOLDED = 512
 BUCKETS = 1 << 16
 

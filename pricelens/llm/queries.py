@@ -37,7 +37,7 @@ def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Two Python stages and their word lists share an executor: small batches between them.
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", 16 << 20)
     return encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
                          public_tokenizers.PATTERN, each=DIGESTS)
 
