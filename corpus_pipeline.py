@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricelens.llm.common import new_path, table
+from pricelens.llm.common import new_path, table, text_key
 from pricelens.llm.exact_dedup import exact_dedup
 from pricelens.llm.packing import pack
 from pricelens.llm.quality_classifier import ratings_of, score, train
@@ -22,14 +22,25 @@ from pricelens.llm.simhash import simhash_dedup
 ORACLE_SQL = None
 
 
-def _one_row_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is in ``ids`` (column ``kept_id``), one row an id.
+def _one_row_of(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """One row of ``docs`` for each group of ``found`` (doc_id, text_key, group, keep_id a row).
 
-    Rows without a doc_id can't be named by a group, so they all stay.
+    It is a row with the group's ``keep_id``; of several, the one with the least text key,
+    then the least other columns. Rows of one doc_id in different groups are apart.
+    Rows without a doc_id go if their group has an id, and all stay if it has none.
     """
-    columns = docs.columns
-    named = docs.where("doc_id is not null").join(ids, docs["doc_id"] == ids["kept_id"], "left_semi")
-    return named.dropDuplicates(["doc_id"]).select(*columns).unionByName(docs.where("doc_id is null"))
+    others = [docs[c] for c in docs.columns if c not in ("doc_id", "text")]
+    tie = F.struct(docs["text"].isNull().alias("empty"), F.to_json(F.struct(F.lit(0).alias("_"), *others)).alias("others"))
+    rows = docs.select(docs["doc_id"].cast("long").alias("id"), text_key(docs["text"].cast("string")).alias("text_key"),
+                       tie.alias("tie"), F.struct(*[docs[c] for c in docs.columns]).alias("row"))
+    chosen = (found.where("doc_id = keep_id").groupBy("group").agg(F.min(F.struct("doc_id", "text_key")).alias("one"))
+              .select(F.col("one.doc_id").alias("id"), "one.text_key"))
+    # Repeated rows are reduced in the map tasks, before the join: a row repeated very often is no task's load.
+    named = (rows.where("id is not null").groupBy("id", "text_key").agg(F.min_by("row", "tie").alias("row"))
+             .join(chosen, ["id", "text_key"], "left_semi"))
+    gone = found.where("doc_id is null and keep_id is not null").select("text_key").distinct()
+    nameless = rows.where("id is null").join(gone, "text_key", "left_anti")
+    return named.select("row").unionByName(nameless.select("row")).select("row.*")
 
 
 def rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,14 +56,15 @@ def classifier_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts."""
-    kept = exact_dedup(docs, keep="largest").where("kept")
-    return _one_row_of(docs, kept.select(F.col("doc_id").alias("kept_id")))
+    found = exact_dedup(docs, keep="largest", keyed=True)
+    return _one_row_of(docs, found.select("doc_id", "text_key", F.col("text_sha256").alias("group"), "keep_id"))
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the one with the least id, of each component of near copies."""
-    found = simhash_dedup(docs, shingle=3, max_bits=3)
-    return _one_row_of(docs, found.where("doc_id = component_id").select(F.col("doc_id").alias("kept_id")))
+    """One document, one with the least id, of each component of near copies."""
+    found = simhash_dedup(docs, shingle=3, max_bits=3, keyed=True)
+    return _one_row_of(docs, found.select("doc_id", "text_key", F.col("component").alias("group"),
+                                          F.col("component_id").alias("keep_id")))
 
 
 def pack_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

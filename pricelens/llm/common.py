@@ -52,6 +52,11 @@ def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry
     )
 
 
+def text_key(text: Column | str) -> Column:
+    """SHA-256 of a text as it came (null: empty): with the doc_id it names a row up to its other columns."""
+    return F.unhex(F.sha2(F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit("")), 256))
+
+
 def words(text: Column) -> Column:
     """The words of a text, in order, as an array (empty for an empty text)."""
     return F.filter(F.split(text, SPACE), lambda w: w != "")

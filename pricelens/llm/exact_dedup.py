@@ -19,26 +19,35 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pricelens.llm.common import texts, written
+from pricelens.llm.common import text_key, texts, written
 
 
 def _ascii_lower(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        yield pa.RecordBatch.from_arrays([b.column(0), pc.ascii_lower(b.column(1))], ["doc_id", "norm"])
+        yield pa.RecordBatch.from_arrays([b.column(0), pc.ascii_lower(b.column(1)), *b.columns[2:]],
+                                         ["doc_id", "norm", *b.schema.names[2:]])
 
 
-def normalised(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lower: bool = True) -> DataFrame:
-    """``doc_id`` and ``norm``: the text (null: empty), lower-cased in A-Z only if ``lower``."""
+def normalised(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lower: bool = True,
+               keyed: bool = False) -> DataFrame:
+    """``doc_id`` and ``norm``: the text (null: empty), lower-cased in A-Z only if ``lower``.
+
+    With ``keyed`` also ``text_key``, the key of the text as it came.
+    """
     rows = texts(docs, id_col, text_col)
+    if keyed:
+        rows = rows.withColumn("text_key", text_key("text"))
     if not lower:
         return rows.withColumnRenamed("text", "norm")
-    return rows.mapInArrow(_ascii_lower, "doc_id long, norm string")
+    return rows.mapInArrow(_ascii_lower, "doc_id long, norm string" + (", text_key binary" if keyed else ""))
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "smallest",
-                lower: bool = True, content_hash=F.md5) -> DataFrame:
+                lower: bool = True, content_hash=F.md5, keyed: bool = False) -> DataFrame:
     """One row per input row: doc_id, keep_id, group_size, kept, text_sha256.
 
+    With ``keyed`` also ``text_key`` (see ``common.text_key``), which with doc_id finds the row again.
+
     ``keep`` names the id that stays of equal texts: ``smallest`` or ``largest``.
     ``content_hash`` maps a text column to the grouping hash (tests pass a weak one).
 
@@ -48,9 +57,11 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     same answer. An empty table gives an empty result.
     """
     pick = {"smallest": F.min, "largest": F.max}[keep]
+    key = ["text_key"] if keyed else []
     norm = normalised(docs, id_col, text_col, lower)
-    hashed = written(norm.select("doc_id", content_hash("norm").alias("h"), F.sha2("norm", 256).alias("text_sha256")),
-                     "hashes")
+    rows = normalised(docs, id_col, text_col, lower, keyed)
+    hashed = written(rows.select("doc_id", *key, content_hash("norm").alias("h"),
+                                 F.sha2("norm", 256).alias("text_sha256")), "hashes")
     groups = (norm.select("doc_id", content_hash("norm").alias("h"), "norm")
               .groupBy("h", "norm").agg(pick("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")))
     by_hash = written(groups.groupBy("h").agg(F.count(F.lit(1)).alias("texts"), F.min("keep_id").alias("keep_id"),
@@ -58,10 +69,10 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     out = hashed.join(by_hash.where("texts = 1").drop("texts"), "h")
     collided = by_hash.where("texts > 1").select("h")
     if not collided.isEmpty():
-        apart = norm.withColumn("h", content_hash("norm")).join(collided, "h", "left_semi")
+        apart = rows.withColumn("h", content_hash("norm")).join(collided, "h", "left_semi")
         exact = apart.groupBy("h", "norm").agg(pick("doc_id").alias("keep_id"),
                                                F.count(F.lit(1)).alias("group_size"))
         out = out.unionByName(apart.join(exact, ["h", "norm"]).select(
-            "h", "doc_id", F.sha2("norm", 256).alias("text_sha256"), "keep_id", "group_size"))
+            "h", "doc_id", *key, F.sha2("norm", 256).alias("text_sha256"), "keep_id", "group_size"))
     return out.select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"),
-                      "text_sha256")
+                      "text_sha256", *key)

@@ -40,7 +40,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pricelens.llm.common import texts, written
+from pricelens.llm.common import text_key, texts, written
 
 SEED = 42
 MAX_BITS = 3
@@ -77,16 +77,21 @@ def majority(hashes: np.ndarray) -> int:
     return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id`` and ``fp`` (the fingerprint's bits as a signed long) of every row."""
+def fingerprints(docs: DataFrame, shingle: int, id_col: str = "doc_id", text_col: str = "text",
+                 keyed: bool = False) -> DataFrame:
+    """``doc_id`` and ``fp`` (the fingerprint's bits as a signed long) of every row; with ``keyed`` also ``text_key``."""
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             raw = pc.cast(b.column(1), pa.binary())
             fps = np.fromiter((fingerprint(x.as_py(), shingle) for x in raw), np.uint64, len(raw))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64)), *b.columns[2:]],
+                                             ["doc_id", "fp", *b.schema.names[2:]])
 
-    return texts(docs, id_col, text_col).mapInArrow(hashed, "doc_id long, fp long")
+    rows = texts(docs, id_col, text_col)
+    if keyed:
+        rows = rows.withColumn("text_key", text_key("text"))
+    return rows.mapInArrow(hashed, "doc_id long, fp long" + (", text_key binary" if keyed else ""))
 
 
 @lru_cache(maxsize=1)
@@ -240,9 +245,13 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def simhash_dedup(docs: DataFrame, shingle: int = 3, max_bits: int = MAX_BITS, id_col: str = "doc_id",
-                  text_col: str = "text", block: int = BLOCK) -> DataFrame:
+                  text_col: str = "text", block: int = BLOCK, keyed: bool = False) -> DataFrame:
     """One row per input row: doc_id, fingerprint (16 hex digits), component_id.
 
+    With ``keyed`` also ``text_key`` (see ``common.text_key``), which with doc_id finds the
+    row again, and ``component``, a value of the component alone: components whose least
+    doc_id is the same repeated id differ in it.
+
     Texts link when their fingerprints differ in ``max_bits`` bits or fewer;
     ``component_id`` is the least doc_id reachable over links, the row's own included.
 
@@ -251,7 +260,7 @@ def simhash_dedup(docs: DataFrame, shingle: int = 3, max_bits: int = MAX_BITS, i
     same answer. A null doc_id gets its component's id, null only if the component's
     texts all lack one. An empty table gives an empty result.
     """
-    fps = written(fingerprints(docs, shingle, id_col, text_col), "fingerprints")
+    fps = written(fingerprints(docs, shingle, id_col, text_col, keyed), "fingerprints")
     classes = written(fps.groupBy("fp").agg(F.min("doc_id").alias("least")), "classes")
     # A class is known by its fingerprint (any class, also one without an id, links).
     found = components(links(classes.select("fp", F.col("fp").alias("node")), max_bits, block))
@@ -259,6 +268,6 @@ def simhash_dedup(docs: DataFrame, shingle: int = 3, max_bits: int = MAX_BITS, i
         "fp", "least", F.coalesce("component", "fp").alias("component"))
     placed = written(placed, "placed")
     ids = placed.groupBy("component").agg(F.min("least").alias("component_id"))
-    by_fp = placed.join(ids, "component").select("fp", "component_id")
+    by_fp = placed.join(ids, "component").select("fp", "component_id", *(["component"] if keyed else []))
     return fps.join(by_fp, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
-                                        "component_id")
+                                        "component_id", *(["text_key", "component"] if keyed else []))

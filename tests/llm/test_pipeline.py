@@ -50,6 +50,19 @@ def test_exact_and_near_stage_keep_one_of_each_group(spark, documents):
     assert sorted(str(r.doc_id) for r in C.near_stage(spark, exact, SF).collect()) == ["2", "4", "None", "None"]
 
 
+def test_rows_of_one_id_are_told_apart_by_their_texts(spark, documents):
+    base = " ".join(f"w{i}" for i in range(3000))
+    docs = documents([(5, "A"), (5, "B"), (9, "a"), (None, "b"), (None, "alone"), (3, base), (3, base + " end"),
+                      (3, "far from it"), (3, "far from it"), (None, base + " End"), (6, base.upper())])
+    exact = C.exact_stage(spark, docs, SF)
+    want = [("3", base), ("3", "far from it"), ("3", base + " end"), ("5", "B"), ("6", base.upper()), ("9", "a"), ("None", "alone")]
+    got = sorted((str(r.doc_id), r.text) for r in exact.collect())
+    assert got == sorted(x for x in want if x != ("3", base))
+    near = [(str(r.doc_id), r.text) for r in C.near_stage(spark, docs.where("length(text) > 1"), SF).collect()]
+    assert Counter(i for i, _ in near) == {"3": 2, "None": 1}
+    assert ("3", "far from it") in near and ("None", "alone") in near
+
+
 def test_run_is_its_stages(spark):
     docs = sf_table(spark, SF, "documents")
     left = {r.doc_id: r.text for r in docs.collect()}
