@@ -7,7 +7,8 @@ the tail probability of ``select_grade`` is ``min_tail`` or more.
 
 Features of a word are hashed from its lower-cased form, its shape (runs of capitals,
 small letters, digits, other signs) and its last three characters; they count by their
-share of the text's words. The text's length and its share of distinct words are hashed
+share of the text's words. All pieces of three characters of a word of over ``LONG``
+(a line without spaces, say) share one more such count. The text's length and its share of distinct words are hashed
 features too. Labels are never features.
 
 The fit uses a bounded, deterministic sample: the ``max_labelled`` rated ids that come
@@ -37,7 +38,10 @@ BITS = 18
 MAX_LABELLED = 6000
 #: Words whose score a worker remembers.
 REMEMBERED = 300_000
+#: Characters of a word from which on its pieces are features too.
+LONG = 64
 _SHAPE = re.compile(r"([^\W\d_]+)|(\d+)|([\W_]+)")
+_REPEATED = re.compile(r"(.{1,4}?)\1{2,}", re.DOTALL)
 
 
 def _slot(feature: str) -> int:
@@ -45,17 +49,24 @@ def _slot(feature: str) -> int:
 
 
 def _shape(word: str) -> str:
+    """The marks of the whole word's runs; over eight marks, what repeats counts as if it came twice."""
     def kind(m: re.Match) -> str:
         if m[1]:
             return "A" if m[1].isupper() else "T" if m[1][:1].isupper() else "a"
-        return "9" if m[2] else m[3][:2]
+        return "9" if m[2] else _REPEATED.sub(r"\1\1", m[3])
 
-    return "".join(kind(m) for m in _SHAPE.finditer(word[:64]))[:8]
+    marks = "".join(kind(m) for m in _SHAPE.finditer(word))
+    return _REPEATED.sub(r"\1\1", marks) if len(marks) > 8 else marks
 
 
-def word_slots(word: str) -> tuple[int, int, int]:
+def word_values(word: str) -> list[tuple[int, float]]:
+    """Slots of a word's features and their values."""
     low = word.lower()
-    return _slot("w " + low), _slot("s " + _shape(word)), _slot("e " + low[-3:])
+    out = [(_slot("w " + low), 1.0), (_slot("s " + _shape(word)), 1.0), (_slot("e " + low[-3:]), 1.0)]
+    if len(low) > LONG:
+        pieces = Counter(low[i:i + 3] for i in range(len(low) - 2))
+        out += [(_slot("p " + p), n / (len(low) - 2)) for p, n in pieces.items()]
+    return out
 
 
 def text_slots(n_words: int, n_distinct: int) -> tuple[int, int]:
@@ -69,8 +80,8 @@ def features(text: str) -> tuple[np.ndarray, np.ndarray]:
     values: dict[int, float] = {}
     counts = Counter(found)
     for word, n in counts.items():
-        for slot in word_slots(word):
-            values[slot] = values.get(slot, 0.0) + n / len(found)
+        for slot, value in word_values(word):
+            values[slot] = values.get(slot, 0.0) + value * n / len(found)
     for slot in text_slots(len(found), len(counts)):
         values[slot] = values.get(slot, 0.0) + 1.0
     slots = np.array(sorted(values), dtype=np.int32)
@@ -176,7 +187,7 @@ class _Scores(dict):
     def __missing__(self, word: str) -> float:
         if len(self) >= REMEMBERED:
             self.clear()
-        out = self[word] = math.fsum(float(self.weights[s]) for s in word_slots(word))
+        out = self[word] = math.fsum(v * float(self.weights[s]) for s, v in word_values(word))
         return out
 
 

@@ -60,6 +60,22 @@ def test_scoring_odd_rows(spark, odd, documents):
     assert Q.train(odd, ratings, grades=3).thresholds.shape == (2,)
 
 
+def test_long_words_count_whole():
+    slots = lambda w: {s for s, _ in Q.word_values(w)}
+    assert Q._shape("a" * 64 + "1-B2") != Q._shape("a" * 64) and Q._shape("a1" * 4 + "-") != Q._shape("a1" * 4 + "+")
+    assert Q._shape("日本、" * 50) == Q._shape("日本、" * 900) and Q._shape("don't") == "a'a"
+    line = "始" * 200 + "中間" + "終" * 200
+    assert {Q._slot("p 始中間"), Q._slot("p 中間終")} <= slots(line) and Q._slot("p lon") not in slots("long")
+    found, values = Q.features(line)
+    assert abs(values.sum() - 6) < 1e-4  # word, shape, end, all pieces together, length, distinct words
+    # Lines told apart only by what stands inside them.
+    r = random.Random(1)
+    rows = [(g, "".join(r.choice(("甲乙丙", "子丑寅")[g]) for _ in range(300)) + "末末末") for g in [r.randrange(2) for _ in range(300)]]
+    model = Q.fit([(g, *Q.features(t)) for g, t in rows[:200]], grades=2)
+    tails = model.tails(np.array([float(model.weights[s] @ v) for s, v in (Q.features(t) for _, t in rows[200:])]))[:, 0]
+    assert ((tails > 0.5) == np.array([g for g, _ in rows[200:]])).all()
+
+
 # Toxicity.
 
 def all_paths(unary, moves):
