@@ -62,4 +62,20 @@ WITH n AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVW
 g AS (SELECT t, max(doc_id) AS keep_id, count(*) AS group_size FROM n GROUP BY t)
 SELECT n.doc_id, g.keep_id, g.group_size, n.doc_id IS NOT DISTINCT FROM g.keep_id AS kept, sha256(n.t) AS text_sha256
 FROM n JOIN g ON n.t = g.t""",
+    "op12_lexical_search": r"""
+WITH items AS (SELECT DISTINCT item_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+               FROM benchmark),
+q AS (SELECT item_id, t, term, count(*) AS q
+      FROM (SELECT *, unnest(regexp_extract_all(t, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM items) GROUP BY ALL),
+d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(
+             translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ts FROM documents),
+c AS (SELECT count(*)::BIGINT AS n, sum(len(ts))::BIGINT AS l FROM d WHERE len(ts) > 0),
+p AS (SELECT rid, term, count(*)::BIGINT AS tf FROM (SELECT rid, unnest(ts) AS term FROM d) GROUP BY ALL),
+w AS (SELECT term, floor(1000 * ln((2 * n + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM p, c GROUP BY term, n),
+s AS (SELECT item_id, t, rid, doc_id,
+             sum(q * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * len(ts) * n) // l))))::BIGINT AS score
+      FROM q JOIN w USING (term) JOIN p USING (term) JOIN d USING (rid), c GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY item_id, t ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM r WHERE rank <= 20""",
 }

@@ -12,7 +12,10 @@ import public_tokenizers
 from pricelens.llm.bpe import DIGESTS, encode_decode
 from pricelens.llm.chat import format_chats, read_back
 from pricelens.llm.common import new_path, table, written
+from pricelens.llm.conversation_repair import damage, digests, repair
 from pricelens.llm.exact_dedup import exact_dedup
+from pricelens.llm.language_id import identify_languages, learn
+from pricelens.llm.lexical_search import search
 from pricelens.llm.packing import pack
 from pricelens.llm.quality_classifier import ratings_of, score, train
 from pricelens.llm.quality_rules import quality_rules
@@ -80,6 +83,22 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"), keep="largest")
 
 
+def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return identify_languages(docs, learn(docs))
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=20)
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation, damaged by its rows' hashes, repaired."""
+    convs = table(spark, sf_dir, "conversations")
+    return digests(*repair(damage(convs), originals=convs.select("conv_id"))).select(
+        "conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pack": op1_pack,
     "op2_chat": op2_chat,
@@ -91,4 +110,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc_revisits": op8_warc_revisits,
     "op9_token_counts": op9_token_counts,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_language_id": op11_language_id,
+    "op12_lexical_search": op12_lexical_search,
+    "op13_conversation_repair": op13_conversation_repair,
 }
