@@ -4,10 +4,10 @@ import random
 import zlib
 
 import pytest
+import regex
 from pyspark.sql import functions as F
 
-from pricelens.llm.language_id import (automata, count_phrases, has_letter, identify, identify_languages, learn, normalised,
-                                       sample, suffix_automaton)
+from pricelens.llm.language_id import Automaton, automata, identify, identify_languages, learn, normalised, sample
 
 
 def phrases_by_search(text, known):
@@ -24,28 +24,29 @@ def phrases_by_search(text, known):
 @pytest.mark.parametrize("seed", range(40))
 def test_phrases_are_longest_matches(seed):
     r = random.Random(seed)
-    known = "".join(r.choice("ab c"[:r.randint(1, 4)]) for _ in range(r.randint(1, 80)))
-    text = "".join(r.choice("ab cxé") for _ in range(r.randint(0, 200)))
-    assert count_phrases(text, suffix_automaton(known)) == phrases_by_search(text, known)
+    known = "".join(r.choice("ab cé"[:r.randint(1, 5)]) for _ in range(r.randint(1, 80))).encode()
+    texts = ["".join(r.choice("ab cxéß") for _ in range(r.randint(0, 200))).encode() for _ in range(r.choice([0, 3, 100]))]
+    assert Automaton(known).count_phrases(texts).tolist() == [phrases_by_search(t, known) for t in texts]
 
 
-def test_automaton_holds_all_substrings_and_no_other():
-    known = "abcbcaabcbb"
-    start = suffix_automaton(known)
-    for s in {a + b + c for a in "abc" for b in ["", *"abc"] for c in ["", *"abc"]}:
-        state = start
-        for ch in s:
-            state = state.get(ch) if state is not None else None
-        assert (state is not None) == (s in known)
+def test_all_bytes():
+    known = bytes(range(256)) * 2
+    assert Automaton(known).count_phrases([known, known[::-1], b""]).tolist() == [1, phrases_by_search(known[::-1], known), 0]
+
+
+def has_letter(text):
+    return regex.search(r"\p{L}", text) is not None
 
 
 def test_normalised():
-    assert normalised("Ab3c--Dé\n\nx") == "ab c dé x" and not has_letter("12 ½ _-") and has_letter("３é")
+    for t in ["Ab3c--Dé\n\nx", "x", "--x", "x--", "１x２", "नमस्ते दुनिया 12", "日本語。テキスト", "A\x00B\u2028C"]:
+        assert normalised(t).decode() == regex.sub(r"[^\p{L}\p{M}]+", " ", t.lower())
+    assert normalised("12 ½ _-") == normalised("") == b""
 
 
 def test_ties_go_to_the_least_language():
-    starts = automata({"b": "same text", "a": "same text"})
-    assert identify("same", starts, 3.0) == ("a", 0.5, 1 / 4)
+    known = automata({"b": b"same text", "a": b"same text"})
+    assert identify(["same"], known, 3.0) == [("a", 0.5, 1 / 4)]
 
 
 LANGS = {"xx": "foo bar baz qux", "yy": "lorem ipsum dolor sit"}
@@ -81,7 +82,7 @@ def test_sample_is_bounded_and_repeatable(spark):
 
 
 def test_odd_rows(spark, odd):
-    samples = LANGS
+    samples = {k: v.encode() for k, v in LANGS.items()}
     got = identify_languages(odd, samples)
     assert got.columns[:4] == ["doc_id", "held_out", "lang_pred", "score"]
     rows = got.collect()
