@@ -32,8 +32,9 @@ REJECT_DATE = "invalid_date"
 REJECT_TYPE = "not_residential"
 
 
-def _typed_sales(raw: DataFrame) -> DataFrame:
-    """PRJ-1 ... PRJ-6: rename what is present, then parse every field leniently."""
+def _typed_sales(raw: DataFrame, keep=()) -> DataFrame:
+    """PRJ-1 ... PRJ-6: rename what is present, then parse every field leniently. ``keep``: columns
+    carried along as they are."""
     df = raw.withColumnsRenamed({k: v for k, v in SALES_RENAMES.items() if k in raw.columns})
     for needed in SALES_RENAMES.values():
         if needed not in df.columns:
@@ -47,6 +48,7 @@ def _typed_sales(raw: DataFrame) -> DataFrame:
         F.col("commune_name").cast("string").alias("commune_name"),
         F.col("department_code").cast("string").alias("department_code"),
         F.col("property_type_raw"),
+        *keep,
     )
 
 
@@ -55,8 +57,9 @@ def parse_sales(raw: DataFrame) -> DataFrame:
     return _typed_sales(raw)
 
 
-def format_sales(raw: DataFrame, dedup: bool = False) -> DataFrame:
-    """Raw sales -> the 12-column formatted sales (PRJ-1…12, FLT-1…4).
+def format_sales(raw: DataFrame, dedup: bool = False, keep=()) -> DataFrame:
+    """Raw sales -> the 12-column formatted sales (PRJ-1…12, FLT-1…4), with the ``keep`` columns
+    of the raw rows at the end.
 
     Reading every ingestion date counts a sale once per landing that holds it (the
     reference's behaviour, kept by default). ``dedup=True`` drops identical formatted
@@ -64,12 +67,12 @@ def format_sales(raw: DataFrame, dedup: bool = False) -> DataFrame:
     id formula leaves out type and rooms and distinct sales can share it. The drop is a
     hash aggregate with a map-side pre-aggregation, so a heavily replayed row is reduced
     in every task before the shuffle."""
-    out = _format_sales(raw)
+    out = _format_sales(raw, keep)
     return out.dropDuplicates() if dedup else out
 
 
-def _format_sales(raw: DataFrame) -> DataFrame:
-    df = _typed_sales(raw).filter(
+def _format_sales(raw: DataFrame, keep=()) -> DataFrame:
+    df = _typed_sales(raw, keep).filter(
         X.is_positive("sale_price") & X.is_positive("surface_m2")
         & F.col("sale_date").isNotNull() & X.is_residential("property_type_raw"))
     return df.select(
@@ -82,6 +85,7 @@ def _format_sales(raw: DataFrame) -> DataFrame:
         X.rooms_bucket("rooms").alias("rooms_bucket"),
         "sale_price",
         X.price_per_m2("sale_price", "surface_m2").alias("price_per_m2"),
+        *keep,
     )
 
 

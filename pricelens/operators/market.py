@@ -1,11 +1,14 @@
 """Market operators: formatted sales/rents/rates -> per-segment estimates.
 
-Segment statistics come from a histogram: the number of sales per (segment, price). It is
-aggregated on the map side, so a segment holding a third of all sales is spread over its
-prices; it merges by addition, so new sales fold into stored results without re-reading
-history; and its quantiles are exact and the same on every run, at every size. The rent
-and rate sides are aggregates of bounded size joined by AQE's size-checked broadcast; the
-latest rate is a scalar subquery, not a driver round trip.
+Segment statistics take one pass over the sales, which leaves a narrow written table: a row per
+sale with its segment, price bin and price, no shuffle. Counts per bin come from it by a
+map-side aggregate (a segment has some thousand bins at most); they give counts, means and the
+bin of each quantile. Only the prices of those bins, at most three a segment, are then looked at
+one by one. So a segment holding a third of all sales is never in one task, quantiles are exact
+and the same on every run, and counts add up over tables: new sales join stored ones, and
+sales that were withdrawn enter with negative counts. The rent and rate sides are aggregates of
+bounded size joined by AQE's size-checked broadcast; the latest rate is a scalar subquery, not
+a driver round trip.
 """
 
 from __future__ import annotations
@@ -16,6 +19,7 @@ from pyspark.sql import functions as F
 from pricelens import contracts as C
 from pricelens.functions import exprs as X
 from pricelens.operators.formatting import latest_rates_per_type
+from pricelens.operators.joins import size_checked_side, written
 
 KEYS = list(C.SEGMENT_KEYS)
 QUANTILES = (0.25, 0.5, 0.75)
@@ -23,8 +27,8 @@ QUANTILES = (0.25, 0.5, 0.75)
 # on the order in which partial sums are combined. A price too large for it (a
 # malformed one) enters the mean as a double.
 CENTS = "decimal(28,2)"
-# Price bins per factor e of the price: a bin is 0.4 % wide.
-BINS_PER_E = 256
+# Price bins per factor e of the price: a bin is 3 % wide.
+BINS_PER_E = 32
 # percentile_approx accuracy: relative rank error 1/accuracy; groups smaller than this
 # are answered exactly (an element of the input, like percentile_disc).
 APPROX_ACCURACY = 10000
@@ -69,9 +73,9 @@ def segment_stats(sales: DataFrame, exact: bool = False, method: str = "exact")
     Quantiles are ``percentile_disc`` values (the smallest price whose cumulative share
     reaches q). Methods:
 
-    * ``"exact"`` (default): from the (segment, price) histogram; exact and repeatable at
-      any size. The target ranks are found among price bins, then inside one bin each, so
-      no task holds all prices of a segment.
+    * ``"exact"`` (default): from counts per price bin, then the prices of the bins that hold
+      a quantile; exact and repeatable at any size. Writes the narrow table of prices
+      (``segment_histogram``) and starts the jobs that find those bins.
     * ``"sketch"``: mergeable KLL sketches in two levels; exact up to ``SKETCH_K`` sales
       per segment, approximate and not repeatable beyond.
     * ``"approx"``: one ``percentile_approx`` call (the reference's function); the final
@@ -95,24 +99,36 @@ def segment_stats(sales: DataFrame, exact: bool = False, method: str = "exact")
     )
 
 
-def segment_histogram(sales: DataFrame, extra_keys=()) -> DataFrame:
-    """Mergeable per-segment state: one row per (segment, price/m2) with its sale-id count
-    and its row count (a NULL price is a row of its own, for the count only).
+def segment_counts(sales: DataFrame) -> DataFrame:
+    """AGG-1 + AGG-2 alone: sales per segment, one aggregate, for callers that need no prices."""
+    return sales.groupBy(*KEYS).agg(_transaction_count(sales))
+
+
+#: A histogram's columns beside the segment: price bin, price, sale ids and rows counted.
+HISTOGRAM = ["_bin", "price_per_m2", "_ids", "_rows"]
+
 
-    States of disjoint sales merge with ``merge_histograms``. ``extra_keys`` split the
-    state further (e.g. by period) in the same single pass."""
-    return sales.groupBy(*KEYS, *extra_keys, "price_per_m2").agg(
-        F.count("sale_id").alias("_ids"), F.count(F.lit(1)).alias("_rows"))
+def histogram_rows(sales: DataFrame, extra_keys=()) -> DataFrame:
+    """One row per sale with its segment, price bin, price and counts (a NULL price is counted
+    only). Counts add: rows of several tables may be put together, negative ones taken off."""
+    return sales.select(
+        *KEYS, *extra_keys, _price_bin(F.col("price_per_m2")).alias("_bin"), "price_per_m2",
+        F.when(F.col("sale_id").isNotNull(), 1).otherwise(0).cast("long").alias("_ids"), F.lit(1).cast("long").alias("_rows"))
+
+
+def segment_histogram(sales: DataFrame, extra_keys=()) -> DataFrame:
+    """``histogram_rows`` written once to the shared folder: the only pass over the sales, without
+    a shuffle. ``extra_keys`` split it further (e.g. by period) in the same pass."""
+    return written(histogram_rows(sales, extra_keys), "segment-prices")
 
 
 def merge_histograms(*states: DataFrame) -> DataFrame:
-    """Several ``segment_histogram`` states (of disjoint sales) as one; extra key columns
-    of the inputs are merged away."""
-    cols = [*KEYS, "price_per_m2", "_ids", "_rows"]
+    """Several histograms (of disjoint sales) as one; extra key columns are left out."""
+    cols = [*KEYS, *HISTOGRAM]
     union = states[0].select(*cols)
     for st in states[1:]:
         union = union.unionByName(st.select(*cols))
-    return union.groupBy(*KEYS, "price_per_m2").agg(F.sum("_ids").alias("_ids"), F.sum("_rows").alias("_rows"))
+    return union
 
 
 def _price_bin(price):
@@ -122,39 +138,65 @@ def _price_bin(price):
             .when(price == 0, F.lit(0)).otherwise(F.lit(-10_000_000)).cast("long"))
 
 
-def stats_from_histogram(state: DataFrame) -> DataFrame:
-    """AGG-2…5 read off a histogram (same columns as ``segment_stats``).
-
-    Per segment and price bin the counts are summed (at most some thousand bins a
-    segment); running sums over the bins give the bin of each target rank; running sums
-    over that bin's prices alone give the price."""
+def price_bins(rows: DataFrame) -> DataFrame:
+    """Counts and exact sums per (segment, price bin) of histogram rows: a map-side aggregate whose
+    result is as long as the number of bins in use."""
     price = F.col("price_per_m2")
-    priced = F.when(price.isNotNull(), F.col("_rows")).otherwise(F.lit(0))
     in_range, beyond = _sums(price, F.col("_rows"))
-    binned = state.withColumn("_bin", _price_bin(price))
-    bins = binned.groupBy(*KEYS, "_bin").agg(
-        F.sum("_ids").alias("_ids"), F.sum(priced).alias("_c"), in_range.alias("_sum"), beyond.alias("_beyond"))
-    total = bins.groupBy(*KEYS).agg(
-        F.sum("_ids").alias("transaction_count"), F.sum("_c").alias("_n"),
-        F.sum("_sum").cast("decimal(38,2)").alias("_sum"), F.sum("_beyond").alias("_beyond"))
+    large = F.when(price.isNotNull() & price.try_cast(CENTS).isNull(), F.col("_rows")).otherwise(0)
+    return rows.groupBy(*KEYS, "_bin").agg(
+        F.sum("_ids").alias("_ids"), F.sum("_rows").alias("_all"),
+        F.sum(F.when(price.isNotNull(), F.col("_rows")).otherwise(0)).alias("_c"),
+        in_range.alias("_sum"), beyond.alias("_beyond"), F.sum(large).alias("_large"))
+
 
+def merge_bins(*tables: DataFrame) -> DataFrame:
+    """Bins of several tables added up."""
+    union = tables[0]
+    for t in tables[1:]:
+        union = union.unionByName(t)
+    return union.groupBy(*KEYS, "_bin").agg(
+        *[F.sum(c).alias(c) for c in ("_ids", "_all", "_c")], F.sum("_sum").cast("decimal(38,2)").alias("_sum"),
+        F.sum("_beyond").alias("_beyond"), F.sum("_large").alias("_large"))
+
+
+def _same_segment(prefix: str):
+    """A segment's columns, NULLs included, against the prefixed ones."""
+    cond = F.lit(True)
+    for k in KEYS:
+        cond = cond & F.col(k).eqNullSafe(F.col(f"{prefix}{k}"))
+    return cond
+
+
+def target_bins(bins: DataFrame) -> DataFrame:
+    """The bins that hold a target rank, at most three a segment, each with the ranks inside it.
+    ``bins`` has one row per (segment, bin)."""
     running = Window.partitionBy(*KEYS).orderBy("_bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    whole = Window.partitionBy(*KEYS)
-    cum = bins.select(
-        *KEYS, "_bin", "_c", F.sum("_c").over(running).alias("_cum"), F.sum("_c").over(whole).alias("_n"))
+    cum = bins.select(*KEYS, "_bin", "_c", F.sum("_c").over(running).alias("_cum"),
+                      F.sum("_c").over(Window.partitionBy(*KEYS)).alias("_n"))
     rank = lambda q: F.ceil(F.col("_n") * F.lit(q))
     hit = F.filter(F.array(*[F.when((F.col("_cum") >= rank(q)) & (F.col("_cum") - F.col("_c") < rank(q)),
                                     F.struct(F.lit(i).alias("i"), (rank(q) - F.col("_cum") + F.col("_c")).alias("r")))
                              for i, q in enumerate(QUANTILES)]), lambda x: x.isNotNull())
-    # The bins that hold a target rank (at most three a segment), each with the ranks inside it.
-    targets = cum.select(*[F.col(k).alias(f"_t_{k}") for k in KEYS], F.col("_bin").alias("_t_bin"), hit.alias("_hits")).where(
+    return cum.select(*[F.col(k).alias(f"_t_{k}") for k in KEYS], F.col("_bin").alias("_t_bin"), hit.alias("_hits")).where(
         F.size("_hits") > 0)
-    cond = F.col("_bin") == F.col("_t_bin")
-    for k in KEYS:
-        cond = cond & F.col(k).eqNullSafe(F.col(f"_t_{k}"))
-    # ``_ids`` is read here too, and no filter goes below the histogram: Spark computes it once for all uses.
-    inside = binned.join(targets, cond).select(
-        *KEYS, "_bin", "price_per_m2", F.when(F.col("_ids") >= 0, F.col("_rows")).alias("_rows"), "_hits")
+
+
+def stats_from_bins(bins: DataFrame, prices) -> DataFrame:
+    """AGG-2…5 (same columns as ``segment_stats``) from stored bins, one row per (segment, bin), and
+    the rows of a histogram: ``prices``, or a function that gives them for a table of target bins.
+
+    The target bins are written and measured; within the limits of ``operators/joins.py`` they are broadcast,
+    so prices outside them never leave the scan."""
+    total = bins.groupBy(*KEYS).agg(
+        F.sum("_ids").alias("transaction_count"), F.sum("_all").alias("_all"), F.sum("_c").alias("_n"),
+        F.sum("_sum").cast("decimal(38,2)").alias("_sum"), F.sum("_beyond").alias("_beyond"),
+        F.sum("_large").alias("_large")).where(F.col("_all") > 0)
+    total = total.withColumn("_beyond", F.when(F.col("_large") > 0, F.col("_beyond")))
+    targets, _ = size_checked_side(target_bins(bins), name="target-bins")
+    rows = prices(targets) if callable(prices) else prices
+    inside = rows.join(targets, (F.col("_bin") == F.col("_t_bin")) & _same_segment("_t_")).groupBy(
+        *KEYS, "_bin", "price_per_m2", "_hits").agg(F.sum("_rows").alias("_rows")).where(F.col("_rows") > 0)
     in_bin = Window.partitionBy(*KEYS, "_bin").orderBy("price_per_m2").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     inside = inside.withColumn("_cum", F.sum("_rows").over(in_bin))
@@ -163,10 +205,7 @@ def stats_from_histogram(state: DataFrame) -> DataFrame:
     quantile = lambda i: F.max(F.when(F.exists("_hits", lambda h: h["i"] == i), F.round("price_per_m2", 2)))
     found = inside.where(F.size("_hits") > 0).groupBy(*[F.col(k).alias(f"_f_{k}") for k in KEYS]).agg(
         *[quantile(i).alias(f"_q{i}") for i in range(len(QUANTILES))])
-    cond = F.lit(True)
-    for k in KEYS:
-        cond = cond & F.col(k).eqNullSafe(F.col(f"_f_{k}"))
-    return total.join(found, cond, "left").select(
+    return total.join(found, _same_segment("_f_"), "left").select(
         *KEYS, "transaction_count",
         F.col("_q1").alias("median_price_m2"),
         _mean(F.col("_sum"), F.col("_beyond"), F.col("_n")).alias("avg_price_m2"),
@@ -175,6 +214,12 @@ def stats_from_histogram(state: DataFrame) -> DataFrame:
     )
 
 
+def stats_from_histogram(state: DataFrame) -> DataFrame:
+    """AGG-2…5 read off a written histogram (same columns as ``segment_stats``): its bins are
+    written too, then read twice; the histogram is read for its bins and for the target bins' prices."""
+    return stats_from_bins(written(price_bins(state), "segment-bins"), state)
+
+
 def segment_sketches(sales: DataFrame, extra_keys=(), salt_buckets: int = SALT_BUCKETS,
                      sketch_k: int = SKETCH_K) -> DataFrame:
     """Mergeable per-segment state of a fixed size: a KLL sketch of price/m2, the sale

@@ -2,8 +2,8 @@
 
 ``estimates`` is the whole computation as one lazy lineage over the driver's tables;
 ``run_daily`` runs it over landed files with a written formatted layer and stage
-counts; ``run_daily_incremental`` processes only the landings since the stored segment
-state.
+counts; ``run_daily_incremental`` processes what changed among the landings since its
+stored state.
 
 Steps 4 and 5 of the reference (combine, then enrich in place) fuse into one plan
 with one write, so the read-back / temp-directory / move dance disappears.
@@ -123,7 +123,7 @@ def run_daily(spark: SparkSession, raw_root: str, lake_root: str, computation_da
         raw_sales, obs_sales = SK.counted(raw_sales, "raw_sales")
         counts["formatted_sales"] = SK.write_parquet(FMT.format_sales(raw_sales), f"{fmt_root}/sales",
                                                      partition_by=["year"], stage="formatted_sales")
-        counts["raw_sales"] = int(obs_sales.get.get("rows", 0))
+        counts["raw_sales"] = SK.rows_of(obs_sales)
 
     raw_rents = _landed(spark, f"{raw_root}/rents", lambda: _until(
         R.read_csv_detected(spark, f"{raw_root}/rents", snapshot=snapshot), ingestion_date))
@@ -150,56 +150,48 @@ def run_daily_incremental(spark: SparkSession, raw_root: str, lake_root: str, co
                           ingestion_date: str, rates_schema=None,
                           rent_source_year: int | None = None,
                           rates_json_array: bool | None = None,
-                          fallback_rate: float | None = None) -> dict[str, int]:
-    """The daily run in time proportional to the new sales; equal to ``run_daily`` over all
+                          fallback_rate: float | None = None, compact_after: int = 30) -> dict[str, int]:
+    """The daily run over what changed among the landed sales files; equal to ``run_daily`` over all
     landings up to the run date.
 
-    The newest stored state older than this run is the segment histogram of the landed
-    sales files that are recorded beside it. Files landed since -- whatever date their
-    folder bears, so late landings too -- are formatted and their histogram is added; state
-    and file record are written as a new ``as_of=`` version (an input is never overwritten,
-    and a failed run leaves the previous version intact). All rent editions and rate
-    landings up to the run date are read: both are small.
+    The state is a log (``operators/segment_log.py``) that records the landed files it holds. Files
+    landed since -- whatever date their folder bears, so late landings too -- are formatted and their
+    counts appended; files that are gone, as after landing a date again, are withdrawn. What is written
+    grows with these files, what is read with them, the bins and the price folders that hold a
+    quantile. Every ``compact_after`` runs the log is folded into a base, one pass over all price rows.
+    A rerun of the last date replaces its run; an earlier date than the last raises. A landing root
+    without any file changes nothing. All rent editions and rate landings up to the run date are
+    read: both are small.
     """
     from pricelens import contracts as C
     from pricelens import sinks as SK
+    from pricelens.operators import segment_log as LOG
     from pricelens.sources import readers as R
 
-    state_root, files_root = f"{lake_root}/state/segments", f"{lake_root}/state/files"
-    usage, sales_root = f"{lake_root}/usage/fair_price_estimates", f"{raw_root}/dvf"
+    root, sales_root = f"{lake_root}/state/segments", f"{raw_root}/dvf"
+    usage = f"{lake_root}/usage/fair_price_estimates"
     counts: dict[str, int] = {}
 
-    run_date = F.lit(computation_date).cast("date")
-    SK.ensure_folder(spark, state_root)  # so the first run lists an empty folder
-    listing = R.partition_values(spark, state_root)  # a listing, no reads
-    newest = None
-    if "as_of" in listing.columns:  # absent until a first version is written
-        newest = listing.filter(F.col("as_of") < run_date).agg(F.max("as_of")).first()[0]
-
-    landed = spark.createDataFrame([], "path string")
+    old = LOG.state(spark, root, before=computation_date)
+    known = MKT.written(old.files(), "known-files")
+    new, gone = [], known.limit(0)
     if R.path_exists(spark, sales_root):
-        landed = _until(R.partition_values(spark, sales_root), ingestion_date).select("path")
-    known = None if newest is None else spark.read.parquet(f"{files_root}/as_of={newest.isoformat()}")
-    new = landed if known is None else landed.join(known, "path", "left_anti")
-    paths = [r["path"] for r in new.collect()]  # the names of files landed since the last run
-    state = None
-    if paths:
-        fresh = R.read_landed_csv(spark, sales_root, files=paths)
-        state = MKT.segment_histogram(FMT.format_sales(fresh))
-    if newest is not None:
-        # Read that version's folder only, so this run's own folder is never an input.
-        previous = spark.read.parquet(f"{state_root}/as_of={newest.isoformat()}")
-        state = previous if state is None else MKT.merge_histograms(previous, state)
-    if state is None:
+        listing = MKT.written(R.landed_files(spark, sales_root), "landed-files")
+        new = _until(listing, ingestion_date).join(known, "file", "left_anti").select(
+            "file", "path").collect()  # the names of files landed since the last run
+        if R.has_rows(listing):
+            gone = known.join(listing, "file", "left_anti")
+    if not new and not old.runs:
         raise ValueError(f"no sales landed under {sales_root} and no stored segment state")
-    # The file record first: a version counts once its state is there.
-    held = spark.createDataFrame([(p,) for p in paths], "path string")
-    held = held if known is None else held.unionByName(known.select("path"))
-    SK.write_parquet(held, f"{files_root}/as_of={computation_date}", stage="files")
-    # Each version is its own ``as_of=`` folder: the write target is never among the
-    # files the merge reads (SNK-2 guard), and a rerun of the same date replaces it.
-    counts["state"] = SK.write_parquet(state, f"{state_root}/as_of={computation_date}", stage="state")
-    merged = spark.read.parquet(f"{state_root}/as_of={computation_date}")
+    changes = old.withdrawn(gone)
+    if new:
+        fresh = R.with_file(R.read_landed_csv(spark, sales_root, files=[r["path"] for r in new]))
+        sales = FMT.format_sales(fresh, keep=["_file"])
+        changes = changes.unionByName(MKT.histogram_rows(sales, ["_file"]).select(*LOG.ROWS))
+    files = spark.createDataFrame([(r["file"], 1) for r in new], "file long, sign int").unionByName(
+        gone.select("file", F.lit(-1).alias("sign")))
+    counts["state"] = LOG.append(spark, root, computation_date, changes, files)
+    now = LOG.state(spark, root, through=computation_date)
 
     raw_rents = _landed(spark, f"{raw_root}/rents", lambda: _until(
         R.read_csv_detected(spark, f"{raw_root}/rents"), ingestion_date))
@@ -208,7 +200,10 @@ def run_daily_incremental(spark: SparkSession, raw_root: str, lake_root: str, co
     rates = _rates(spark, raw_root, ingestion_date, rates_schema, rates_json_array, fallback_rate)
     if rates is None:
         rates = spark.createDataFrame([], C.RATES)
-    est = MKT.estimates_from_segments(MKT.stats_from_histogram(merged), rents, rates, computation_date)
+    est = MKT.estimates_from_segments(now.stats(), rents, rates, computation_date)
     counts["estimates"] = SK.write_parquet(est, usage, partition_by=["computation_date"], dynamic=True,
                                            stage="estimates")
+    # The newest run stays a delta, so that it can be run again; those before it are folded.
+    if len(old.runs) >= compact_after:
+        LOG.compact(spark, root, through=old.runs[-1][1])
     return counts

@@ -217,7 +217,7 @@ def segment_rate(spark, sf_dir):
 
 
 def segment_liquidity(spark, sf_dir):
-    seg = MKT.segment_stats(P.formatted_sales(spark, sf_dir))
+    seg = MKT.segment_counts(P.formatted_sales(spark, sf_dir))
     return seg.select(*MKT.KEYS, "transaction_count",
                       MKT.X.liquidity_score("transaction_count").alias("market_liquidity_score"))
 
@@ -229,7 +229,7 @@ def segment_yield(spark, sf_dir):
 
 
 def segment_confidence(spark, sf_dir):
-    seg = MKT.segment_stats(P.formatted_sales(spark, sf_dir))
+    seg = MKT.segment_counts(P.formatted_sales(spark, sf_dir))
     return seg.select(*MKT.KEYS, "transaction_count",
                       MKT.X.confidence("transaction_count").alias("fair_price_confidence"))
 
@@ -242,15 +242,15 @@ def estimates_history(spark, sf_dir) -> DataFrame:
     """Two runs in one table: today's over all sales, and an earlier run that only saw
     sales up to its own date (as a dynamic-overwrite table would hold them).
 
-    One pass over the sales: segment state split by period, the earlier run read off
-    the early part, today's run off the merge of both parts."""
+    One pass over the sales: one written histogram split by period, the earlier run read off
+    its early part, today's run off the whole."""
     sales = P.formatted_sales(spark, sf_dir).withColumn(
         "_early", F.coalesce(F.col("year") <= EARLIER_RUN_LAST_YEAR, F.lit(False)))
     rents, rates = P.formatted_rents(spark, sf_dir), P.formatted_rates(spark, sf_dir)
     state = MKT.segment_histogram(sales, extra_keys=["_early"])
     now = MKT.estimates_from_segments(MKT.stats_from_histogram(MKT.merge_histograms(state)),
                                       rents, rates, P.COMPUTATION_DATE)
-    early_stats = MKT.stats_from_histogram(state.filter(F.col("_early")).drop("_early"))
+    early_stats = MKT.stats_from_histogram(state.filter(F.col("_early")))
     earlier = MKT.estimates_from_segments(
         early_stats, rents, rates.filter(F.col("rate_date") <= F.lit(EARLIER_RUN_DATE).cast("date")),
         EARLIER_RUN_DATE)

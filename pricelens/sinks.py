@@ -24,6 +24,14 @@ def counted(df: DataFrame, stage: str) -> tuple[DataFrame, Observation]:
     return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
 
 
+def rows_of(obs: Observation) -> int:
+    """The rows that ``counted`` saw; a count that was lost is an error, not an empty stage."""
+    seen = obs.get
+    if "rows" not in seen:
+        raise RuntimeError("the row count of a stage was lost; its output cannot be vouched for")
+    return int(seen["rows"])
+
+
 def _norm(p: str) -> str:
     p = p.rstrip("/")
     for prefix in ("file://", "file:"):
@@ -66,7 +74,7 @@ def write_parquet(df: DataFrame, path: str, partition_by=(), mode: str = "overwr
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
-    n = int(obs.get.get("rows", 0))
+    n = rows_of(obs)
     log.info("%s: %d rows -> %s", stage, n, path)
     return n
 
@@ -77,7 +85,7 @@ def land_csv(df: DataFrame, path: str, ingestion_date, sep: str = ",", stage: st
     out, obs = counted(df.withColumn("ingestion_date", F.lit(str(ingestion_date))), stage)
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .option("header", True).option("sep", sep).partitionBy("ingestion_date").csv(path))
-    return int(obs.get.get("rows", 0))
+    return rows_of(obs)
 
 
 def land_json(df: DataFrame, path: str, ingestion_date, stage: str = "land_json") -> int:
@@ -85,7 +93,7 @@ def land_json(df: DataFrame, path: str, ingestion_date, stage: str = "land_json"
     out, obs = counted(df.withColumn("ingestion_date", F.lit(str(ingestion_date))), stage)
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("ingestion_date").json(path))
-    return int(obs.get.get("rows", 0))
+    return rows_of(obs)
 
 
 def documents(df: DataFrame, index: str = DEFAULT_INDEX, computation_date=None) -> DataFrame:
@@ -103,7 +111,7 @@ def write_documents(df: DataFrame, path: str, index: str = DEFAULT_INDEX, comput
     docs = df.select(F.to_json(record, {"dateFormat": "yyyy-MM-dd"}).alias("value"))
     out, obs = counted(docs, "documents")
     out.write.mode("overwrite").text(path)
-    return int(obs.get.get("rows", 0))
+    return rows_of(obs)
 
 
 def ensure_folder(spark, path: str) -> None:

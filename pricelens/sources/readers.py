@@ -113,6 +113,25 @@ def _file_path() -> Column:
     return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
 
 
+def _plain_path(path) -> Column:
+    """A path without its local scheme, which listings and metadata columns write differently."""
+    return F.regexp_replace(path, "^file:/+", "/")
+
+
+def landed_files(spark: SparkSession, path: str) -> DataFrame:
+    """One row per file under ``path`` from the listing: ``file`` (a number made of path, size and
+    modification time: a file that is written anew is another file), path, partition columns."""
+    files = partition_values(spark, path)
+    return files.select(F.xxhash64(_plain_path("path"), "length", "modificationTime").alias("file"),
+                        *[c for c in files.columns if c not in ("length", "modificationTime")])
+
+
+def with_file(df: DataFrame, name: str = "_file") -> DataFrame:
+    """``df``, which reads files, with each row's file as ``landed_files`` numbers it."""
+    meta = F.xxhash64(_plain_path(_file_path()), F.col("_metadata.file_size"), F.col("_metadata.file_modification_time"))
+    return df.select("*", meta.alias(name))
+
+
 def header_lines(spark: SparkSession, path: str) -> DataFrame:
     """(file, header): the first line of every text file under ``path``."""
     lines = spark.read.option("encoding", "UTF-8").option("recursiveFileLookup", True).text(path).select(

@@ -80,53 +80,41 @@ def format_landed_sales(spark: SparkSession, landed_path: str, formatted_path: s
                 .trigger(availableNow=True))
 
 
-def _newest_version(spark: SparkSession, state_root: str, below: int):
-    """The newest ``batch=`` version of the state older than ``below`` (None if none)."""
-    from pyspark.sql import functions as F
-    from pricelens.sources.readers import partition_values
-    listing = partition_values(spark, state_root)  # a listing, no reads
-    if "batch" not in listing.columns:  # no version written yet
-        return None
-    return listing.filter(F.col("batch") < below).agg(F.max("batch")).first()[0]
+def _batch_name(batch_id: int) -> str:
+    return f"{batch_id:012d}"
 
 
 def update_segment_state(spark: SparkSession, landed_path: str, state_root: str,
-                         checkpoint_path: str) -> int:
+                         checkpoint_path: str, max_files_per_trigger: int | None = None) -> int:
     """Fold every sales file landed since the last call into the segment state.
 
-    A file stream over the landing folder; each micro-batch is formatted, reduced to
-    its segment histogram (``market.segment_histogram``) and merged with the newest
-    state version, and the result is written as ``batch=<id>``. A retried batch rewrites
-    its own version from the same predecessor, so the sink is idempotent; the stream's
-    checkpoint makes every file count once. Returns the number of landed rows read by
-    this call (from its progress records).
+    A file stream over the landing folder; each micro-batch is formatted and its counts are
+    appended to the log (``operators/segment_log.py``) as a run named by the batch, so a batch
+    writes in proportion to its own sales. A retried batch replaces its run: the sink is
+    idempotent, and the stream's checkpoint makes every file count once. ``segment_log.compact`` folds
+    the log. Returns the number of landed rows read by this call (from its progress records).
     """
+    from pyspark.sql import functions as F
+
     from pricelens.operators import market as MKT
-    from pricelens.sinks import ensure_folder, write_parquet
+    from pricelens.operators import segment_log as LOG
 
-    ensure_folder(spark, state_root)  # so the first batch lists an empty folder
+    none = spark.createDataFrame([], "file long, sign int")  # the checkpoint knows the files
 
-    def merge_batch(batch, batch_id: int) -> None:
-        state = MKT.segment_histogram(batch)
-        prev = _newest_version(spark, state_root, batch_id)
-        if prev is not None:
-            state = MKT.merge_histograms(spark.read.parquet(f"{state_root}/batch={prev}"), state)
-        write_parquet(state, f"{state_root}/batch={batch_id}", stage="segment_state")
+    def append_batch(batch, batch_id: int) -> None:
+        rows = MKT.histogram_rows(batch).withColumn("_file", F.lit(0).cast("long"))
+        LOG.append(spark, state_root, _batch_name(batch_id), rows, none)
 
-    raw = (spark.readStream.schema(LANDED_SALES).option("header", True)
-           .option("inferSchema", False).option("encoding", "UTF-8")
-           .option("enforceSchema", False).csv(landed_path))
-    return _run(spark, format_sales(raw).writeStream.foreachBatch(merge_batch)
+    reader = (spark.readStream.schema(LANDED_SALES).option("header", True)
+              .option("inferSchema", False).option("encoding", "UTF-8").option("enforceSchema", False))
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return _run(spark, format_sales(reader.csv(landed_path)).writeStream.foreachBatch(append_batch)
                 .option("checkpointLocation", checkpoint_path)
                 .trigger(availableNow=True))
 
 
 def segment_stats_from_state(spark: SparkSession, state_root: str):
-    """Segment statistics from the newest state version (same columns as
-    ``market.segment_stats``)."""
-    from pyspark.sql import functions as F
-
-    from pricelens.operators import market as MKT
-    from pricelens.sources.readers import partition_values
-    newest = partition_values(spark, state_root).agg(F.max("batch")).first()[0]  # a listing
-    return MKT.stats_from_histogram(spark.read.parquet(f"{state_root}/batch={newest}"))
+    """Segment statistics from the stored state (same columns as ``market.segment_stats``)."""
+    from pricelens.operators import segment_log as LOG
+    return LOG.state(spark, state_root).stats()
