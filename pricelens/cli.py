@@ -61,7 +61,7 @@ def main(argv=None, spark: SparkSession | None = None) -> dict:
     inc.add_argument("--date", required=True, help="computation and ingestion date, yyyy-MM-dd")
     inc.add_argument("--rent-source-year", type=int)
     inc.add_argument("--rates-json-array", action=argparse.BooleanOptionalAction,
-                     help="rate files are JSON arrays (default: told by their first line)")
+                     help="rate files are JSON arrays (default: told file by file)")
     inc.add_argument("--fallback-rate", type=float, help="rate used when no rate file was landed")
 
     d = sub.add_parser("daily", help="landed files -> formatted layer -> usage table")
@@ -73,7 +73,7 @@ def main(argv=None, spark: SparkSession | None = None) -> dict:
     d.add_argument("--years", type=int, nargs="*")
     d.add_argument("--departments", nargs="*")
     d.add_argument("--rates-json-array", action=argparse.BooleanOptionalAction,
-                   help="rate files are JSON arrays (default: told by their first line)")
+                   help="rate files are JSON arrays (default: told file by file)")
     d.add_argument("--fallback-rate", type=float, help="rate used when no rate file was landed")
 
     v = sub.add_parser("value", help="classify a table of listings")
@@ -124,7 +124,8 @@ def main(argv=None, spark: SparkSession | None = None) -> dict:
     else:
         est = R.read_estimates(spark, args.estimates)
         if args.cmd == "value":
-            out = VAL.value_listings(_read_table(spark, args.listings), est, bounds=args.bounds)
+            out = VAL.value_listings(_read_table(spark, args.listings), bounds=args.bounds,
+                                     reference=VAL.prepared_reference(est))
             result = {"listings": SK.write_parquet(out, args.out, stage="verdicts")}
         elif args.cmd == "communes":
             result = {"communes": SK.write_parquet(VAL.list_communes(est, args.date), args.out, stage="communes")}

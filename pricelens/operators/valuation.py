@@ -1,11 +1,11 @@
 """Valuation operators: classify whole tables of listings against the estimates.
 
 The reference answers one listing per request; here one plan values any number of
-listings. Building the plan starts no job. The estimates side is one row per segment: a
-stored table is broadcast by its file size; ``prepared_reference`` writes and measures a
-computed one first and hints the broadcast only within limits (``operators/joins.py``), so
-the listing side is never shuffled. Beyond the limits Spark joins by shuffle on the three
-lookup keys, with AQE's skew-join splitting for a hot segment.
+listings. The estimates side is one row per segment: ``prepared_reference`` writes and measures
+it once and hints the broadcast only within limits (``operators/joins.py``), and then the
+listing side is not shuffled. Beyond the limits, and with ``estimates`` as they come, Spark
+chooses: a stored table is broadcast by its file size, else the join is by shuffle on the
+three lookup keys, with AQE's skew-join splitting for a hot segment.
 """
 
 from __future__ import annotations
@@ -142,7 +142,7 @@ def value_listings(listings: DataFrame, estimates: DataFrame | None = None, boun
 def unmatched_listings(listings: DataFrame, estimates: DataFrame | None = None,
                        reference: DataFrame | None = None) -> DataFrame:
     """JOIN-5: valid listings with no segment (left anti join on the lookup keys)."""
-    ref = (estimates if reference is None else reference).select(*LOOKUP).distinct()
+    ref = estimates.select(*LOOKUP).distinct() if reference is None else reference.select(*LOOKUP)
     return valid_listings(listings).join(ref, on=LOOKUP, how="left_anti")
 
 

@@ -38,9 +38,15 @@ def land_rates(spark: SparkSession, paths, raw_root: str, ingestion_date: str,
                rate_type: str = R.FALLBACK_RATE_TYPE, source: str = R.FALLBACK_SOURCE,
                fallback_rate: float | None = R.FALLBACK_RATE) -> int:
     """SRC-6 + SRC-10 + SNK-4: rate-service responses (one SDMX-JSON document a file) -> rate
-    records; a single fallback row dated the ingestion date if they hold none."""
-    docs = spark.read.text(paths, wholetext=True)
-    rates = R.parse_sdmx(docs, "value", F.lit(rate_type), F.lit(source))
+    records; a single fallback row dated the ingestion date if they hold none. ``paths`` of one
+    ``rate_type``, or a dict of paths by rate type: all land together, as one ingestion date."""
+    rates = None
+    for kind, where in (paths if isinstance(paths, dict) else {rate_type: paths}).items():
+        docs = spark.read.text(where, wholetext=True)
+        parsed = R.parse_sdmx(docs, "value", F.lit(kind), F.lit(source))
+        rates = parsed if rates is None else rates.unionByName(parsed)
+    if rates is None:
+        raise ValueError("no rate documents were named")
     if fallback_rate is not None:
         rates = R.with_fallback_row(rates, ingestion_date, fallback_rate, rate_type, source)
     return SK.land_json(rates, f"{raw_root}/rates", ingestion_date, stage="land_rates")

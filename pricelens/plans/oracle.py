@@ -431,4 +431,10 @@ ORACLE |= {
         FROM mixed WHERE NOT coalesce({_VALID}, false)"""),
     "listing_verdicts_valid": _with(EST_BASE + [LISTINGS, _MIXED, REF, VERDICTS.replace("FROM listings l", "FROM (SELECT * FROM mixed WHERE "
                                     + _VALID + ") l")], "SELECT * FROM verdicts"),
+    "daily_incremental_relanded": ORACLE["daily_incremental"],
+    "segment_stats_compacted": ORACLE["segment_stats"],
+    "rates_json_mixed": _with([RAW_RATES, RATES], """
+        SELECT rate_date, rate_value, rate_type, ingestion_date,
+               (SELECT count(*) FROM raw_rates WHERE event_id % 98 = 0) AS n_unreadable
+        FROM rates WHERE event_id % 98 <> 0"""),
 }

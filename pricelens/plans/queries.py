@@ -143,22 +143,44 @@ def rates_fallback_empty(spark, sf_dir):
     return R.with_fallback_row(none, P.INGESTION_DATE, R.FALLBACK_RATE, R.FALLBACK_RATE_TYPE, R.FALLBACK_SOURCE)
 
 
+#: Records in a landed JSON array.
+ARRAY_BLOCK = 8192
+
+
+def _rate_arrays(raw):
+    """Raw rates as indented JSON arrays: (value, rate_type, block), one array a row."""
+    record = F.struct("event_id", F.to_json(F.struct(*C.RAW_RATES.fieldNames()), {"pretty": "true"}).alias("r"))
+    return raw.groupBy("rate_type", F.floor(F.col("event_id") / ARRAY_BLOCK).alias("block")).agg(
+        F.array_sort(F.collect_list(record)).alias("records")).select(
+        F.concat(F.lit("[\n"), F.array_join("records.r", ",\n"), F.lit("\n]")).alias("value"), "rate_type", "block")
+
+
 def rates_json_array(spark, sf_dir):
     """SRC-2 in the reference's form: rates landed as indented JSON arrays, one for each
     type and block of events, read back without being told so."""
     path = scratch_path(spark, "rates-arrays")
-    cols = C.RAW_RATES.fieldNames()
-    raw = FX.raw_rates(spark, sf_dir)
-    lines = raw.groupBy("rate_type", F.floor(F.col("event_id") / 256).alias("block")).agg(
-        F.collect_list(F.to_json(F.struct(*[F.col(c) for c in cols]))).alias("records")).select(
-        F.concat(F.lit("[\n  "), F.array_join(F.transform("records", lambda x: F.replace(x, F.lit(","), F.lit(",\n    "))),
-                                              ",\n  "), F.lit("\n]")).alias("value"), "rate_type", "block")
-    # One array a file: each group is its own folder.
-    lines.write.partitionBy("rate_type", "block").text(path)
-    back = R.read_json_records(spark, path, C.RAW_RATES).select(*cols)
+    # One array a file.
+    _rate_arrays(FX.raw_rates(spark, sf_dir)).drop("rate_type", "block").write.option("maxRecordsPerFile", 1).text(path)
+    back = R.read_json_records(spark, path, C.RAW_RATES)
     return FMT.format_rates(back, P.INGESTION_DATE)
 
 
+def rates_json_mixed(spark, sf_dir):
+    """SRC-2 over a landing of both forms: one day records as lines, some of them cut off and unreadable, the
+    next day indented arrays. Every readable record comes back, with the number of unreadable ones."""
+    path = scratch_path(spark, "rates-mixed")
+    raw = FX.raw_rates(spark, sf_dir)
+    line = F.to_json(F.struct(*C.RAW_RATES.fieldNames()))
+    cut = F.when(F.col("event_id") % 98 == 0, F.substring(line, 1, 20)).otherwise(line)
+    raw.where("event_id % 2 = 0").select(cut.alias("value")).write.text(f"{path}/ingestion_date=2024-12-30")
+    _rate_arrays(raw.where("event_id % 2 <> 0")).drop("rate_type", "block").write.option("maxRecordsPerFile", 1).text(
+        f"{path}/ingestion_date={P.INGESTION_DATE}")
+    back = R.read_json_records(spark, path, C.RAW_RATES, corrupt="unreadable")
+    lost = R.count_unreadable(back, "unreadable").scalar()
+    return FMT.format_rates(back.where(F.col("unreadable").isNull()).drop("unreadable"), P.INGESTION_DATE).withColumn(
+        "n_unreadable", lost)
+
+
 def rates_sdmx(spark, sf_dir):
     docs = SD.pack_sdmx(FX.raw_rates_detailed(spark, sf_dir))
     return R.parse_sdmx(docs)
@@ -187,9 +209,8 @@ def segment_stats_merged(spark, sf_dir):
     history) and one over the later sales (the new landing)."""
     sales = P.formatted_sales(spark, sf_dir)
     old = F.col("year") <= EARLIER_RUN_LAST_YEAR
-    history = MKT.segment_histogram(sales.filter(old))
-    new = MKT.segment_histogram(sales.filter(~old))
-    return MKT.stats_from_histogram(MKT.merge_histograms(history, new))
+    both = MKT.segment_histogram(sales.withColumn("_old", F.coalesce(old, F.lit(False))), ["_old"])  # one pass
+    return MKT.stats_from_histogram(MKT.merge_histograms(both.filter("_old"), both.filter("not _old")))
 
 
 def segment_stats_exact(spark, sf_dir):
@@ -308,24 +329,40 @@ def sales_incremental(spark, sf_dir):
     return spark.read.parquet(table).select(*C.SALES.fieldNames())
 
 
-def daily_run(spark, sf_dir):
-    """The daily run end to end over files: land published sales files (pipe-delimited) and
-    the two rent files through the landing jobs and the rates as JSON, format each into the
-    formatted layer, compute and write the usage table, read it back."""
-    from pyspark.sql import types as T
-
+def _publish_sources(spark, sf_dir, root):
+    """The sources as they are published, under ``root``: pipe-delimited sales files, the two rent files,
+    and the rate service's SDMX-JSON documents by rate type (the last observation of each day).
+    Returns the rate documents' paths by rate type."""
+    FX.raw_sales(spark, sf_dir).write.option("header", True).option("sep", "|").csv(root + "/sales")
+    for side, name in zip(FX.rent_sources(spark, sf_dir), ("apartments", "houses"), strict=True):
+        side.write.option("header", True).option("sep", ";").csv(f"{root}/{name}")
+    daily = FX.raw_rates(spark, sf_dir).where("rate_value is not null").groupBy(
+        "rate_type", "source", F.col("date").alias("period")).agg(
+        F.max_by("rate_value", F.struct("ts", "event_id")).alias("rate_value"), F.max("event_id").alias("event_id"))
+    docs = SD.pack_sdmx(daily).select("rate_type", F.col("json").alias("value"))
+    docs.write.partitionBy("rate_type").option("maxRecordsPerFile", 1).text(root + "/rates")  # one document a file
+    types = docs.select("rate_type").distinct().collect()  # a handful of rate series
+    return {r["rate_type"]: f"{root}/rates/rate_type={r['rate_type']}" for r in types}
+
+
+def _land_published(spark, sf_dir, root):
+    """Publish the sources and run every landing job; returns the raw root."""
     from pricelens.plans import landing as L
+    published, raw_root = root + "/published", root + "/raw"
+    rate_paths = _publish_sources(spark, sf_dir, published)
+    L.land_sales(spark, [published + "/sales"], raw_root, P.INGESTION_DATE)
+    L.land_rents(spark, published + "/apartments", published + "/houses", raw_root, P.INGESTION_DATE)
+    L.land_rates(spark, rate_paths, raw_root, P.INGESTION_DATE)
+    return raw_root
+
+
+def daily_run(spark, sf_dir):
+    """The daily run end to end over files: land published sales files (pipe-delimited), the
+    two rent files and the rate service's documents through the landing jobs, format each into
+    the formatted layer, compute and write the usage table, read it back."""
     root = scratch_path(spark, "lake")
-    raw_root = root + "/raw"
-    FX.raw_sales(spark, sf_dir).write.option("header", True).option("sep", "|").csv(root + "/published/sales")
-    for side, name in zip(FX.rent_sources(spark, sf_dir), ("apartments", "houses"), strict=True):
-        side.write.option("header", True).option("sep", ";").csv(f"{root}/published/{name}")
-    L.land_sales(spark, [root + "/published/sales"], raw_root, P.INGESTION_DATE)
-    L.land_rents(spark, root + "/published/apartments", root + "/published/houses", raw_root, P.INGESTION_DATE)
-    SK.land_json(FX.raw_rates(spark, sf_dir), raw_root + "/rates", P.INGESTION_DATE)
-    schema = T.StructType(C.RAW_RATES.fields + [T.StructField("ts", T.TimestampNTZType()),
-                                                T.StructField("event_id", T.LongType())])
-    P.run_daily(spark, raw_root, root + "/lake", P.COMPUTATION_DATE, P.INGESTION_DATE, rates_schema=schema)
+    raw_root = _land_published(spark, sf_dir, root)
+    P.run_daily(spark, raw_root, root + "/lake", P.COMPUTATION_DATE, P.INGESTION_DATE)
     return R.read_estimates(spark, root + "/lake/usage/fair_price_estimates")
 
 
@@ -360,8 +397,9 @@ def daily_incremental(spark, sf_dir):
     return usage.filter(F.col("computation_date") == F.lit(P.COMPUTATION_DATE).cast("date"))
 
 
-def _incremental(spark, sf_dir, name, first, second, first_rents, second_rents):
-    """Two incremental runs; (rows, landing date) of the sales and rents landed before each."""
+def _incremental(spark, sf_dir, name, first, second, first_rents, second_rents, again=None):
+    """Two incremental runs; (rows, landing date) of the sales and rents landed before each, ``again``
+    of sales landed over an earlier date between them."""
     from pyspark.sql import types as T
     root = scratch_path(spark, name)
     raw_root, lake = root + "/raw", root + "/lake"
@@ -370,6 +408,8 @@ def _incremental(spark, sf_dir, name, first, second, first_rents, second_rents):
     SK.land_json(FX.raw_rates(spark, sf_dir), raw_root + "/rates", "2024-12-29")
     for (sales, landed), (rents, edition), run in ((first, first_rents, "2024-12-30"),
                                                    (second, second_rents, P.COMPUTATION_DATE)):
+        if again is not None and run == P.COMPUTATION_DATE:
+            SK.land_csv(again[0], raw_root + "/dvf", again[1])
         SK.land_csv(sales, raw_root + "/dvf", landed)
         SK.land_csv(rents, raw_root + "/rents", edition, sep=";")
         P.run_daily_incremental(spark, raw_root, lake, run, run, rates_schema=schema)
@@ -399,6 +439,37 @@ def daily_incremental_rents(spark, sf_dir):
                         (rents.filter(half), "2024-12-29"), (rents.filter(~half), "2024-12-31"))
 
 
+def daily_incremental_relanded(spark, sf_dir):
+    """A date landed again: the first landing of 12-30 holds wrong prices and sales that don't belong to
+    it; after the first run it is replaced, and more sales land. What the replaced files had
+    left in the state is withdrawn."""
+    raw = FX.raw_sales(spark, sf_dir)
+    early = F.coalesce(F.substring("date_mutation", 1, 4) <= str(EARLIER_RUN_LAST_YEAR), F.lit(False))
+    wrong = raw.filter(early | (F.col("code_commune") < "01004")).withColumn(
+        "valeur_fonciere", F.concat(F.lit("1"), "valeur_fonciere"))
+    rents = FX.raw_rents(spark, sf_dir)
+    return _incremental(spark, sf_dir, "lake-relanded", (wrong, "2024-12-30"), (raw.filter(~early), P.INGESTION_DATE),
+                        (rents, "2024-12-30"), (rents.limit(0), P.INGESTION_DATE), again=(raw.filter(early), "2024-12-30"))
+
+
+def segment_stats_compacted(spark, sf_dir):
+    """Segment statistics from a log of three runs, the first two folded into a base: the second
+    withdraws the first one's file and brings its sales anew."""
+    from pricelens.operators import segment_log as LOG
+    root = scratch_path(spark, "segment-log")
+    sales = P.formatted_sales(spark, sf_dir)
+    old = sales["year"] <= EARLIER_RUN_LAST_YEAR
+    rows = lambda df, file: MKT.histogram_rows(df).withColumn("_file", F.lit(file).cast("long"))
+    files = lambda *signed: spark.createDataFrame(signed, "file long, sign int")
+    LOG.append(spark, root, "1", rows(sales.withColumn("price_per_m2", F.col("price_per_m2") * 2), 1), files((1, 1)))
+    gone = files((1, -1)).select("file")
+    LOG.append(spark, root, "2", LOG.state(spark, root).withdrawn(gone).unionByName(rows(sales.filter(old), 2)),
+               files((1, -1), (2, 1)))
+    LOG.compact(spark, root)
+    LOG.append(spark, root, "3", rows(sales.filter(~old), 3), files((3, 1)))
+    return LOG.state(spark, root).stats()
+
+
 def segment_stats_streamed(spark, sf_dir):
     """Segment statistics kept by a file stream: two landings, each followed by an
     ``availableNow`` run that merges the new files' histogram into the stored state."""
@@ -430,15 +501,20 @@ def contract_violations(spark, sf_dir):
 
 # ── valuation ───────────────────────────────────────────────────────────────────
 
+def _reference(spark, sf_dir):
+    """The estimates as the lookup side of a valuation, written and measured."""
+    return VAL.prepared_reference(P.estimates(spark, sf_dir))
+
+
 def listing_ranges(spark, sf_dir):
-    valued = VAL.value_listings(FX.listings(spark, sf_dir), P.estimates(spark, sf_dir))
+    valued = VAL.value_listings(FX.listings(spark, sf_dir), reference=_reference(spark, sf_dir))
     return valued.filter(F.col("status") == VAL.STATUS_OK).select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
         "estimated_fair_price", "low_fair_price", "high_fair_price")
 
 
 def listing_verdicts(spark, sf_dir):
-    return VAL.value_listings(FX.listings(spark, sf_dir), P.estimates(spark, sf_dir))
+    return VAL.value_listings(FX.listings(spark, sf_dir), reference=_reference(spark, sf_dir))
 
 
 def _mixed_listings(spark, sf_dir):
@@ -459,11 +535,11 @@ def listing_invalid(spark, sf_dir):
 
 def listing_verdicts_valid(spark, sf_dir):
     """JOIN-3 over a table of which five sevenths must not be valued."""
-    return VAL.value_listings(_mixed_listings(spark, sf_dir), P.estimates(spark, sf_dir))
+    return VAL.value_listings(_mixed_listings(spark, sf_dir), reference=_reference(spark, sf_dir))
 
 
 def listing_unmatched(spark, sf_dir):
-    return VAL.unmatched_listings(FX.listings(spark, sf_dir), P.estimates(spark, sf_dir))
+    return VAL.unmatched_listings(FX.listings(spark, sf_dir), reference=_reference(spark, sf_dir))
 
 
 def verdict_summary(spark, sf_dir):
@@ -545,11 +621,11 @@ QUERIES: dict[str, Query] = {f.__name__: f for f in [
     sales_parse, sales_filtered, sales_formatted, sales_reject_reasons, sales_by_year,
     sales_union_years, sales_scoped, rooms_bucket_counts,
     rents_merged, rents_formatted, rents_latest, delimiter_detect,
-    rates_formatted, rates_latest_per_type, rates_last_n, rate_latest, rates_fallback, rates_fallback_empty, rates_json_array,
+    rates_formatted, rates_latest_per_type, rates_last_n, rate_latest, rates_fallback, rates_fallback_empty, rates_json_array, rates_json_mixed,
     rates_sdmx, rates_json_roundtrip,
     segment_stats, segment_stats_approx, segment_stats_merged, segment_stats_exact, segment_stats_sketch, segment_stats_hot, segment_rent, segment_rate, segment_liquidity,
     segment_yield, segment_confidence, fair_price_estimates, estimates_latest,
-    estimates_roundtrip, estimates_json_snapshot, landing_roundtrip, sales_incremental, sales_deduplicated, daily_run, daily_incremental, daily_incremental_late, daily_incremental_rents, segment_stats_streamed, contract_violations,
+    estimates_roundtrip, estimates_json_snapshot, landing_roundtrip, sales_incremental, sales_deduplicated, daily_run, daily_incremental, daily_incremental_late, daily_incremental_rents, daily_incremental_relanded, segment_stats_streamed, segment_stats_compacted, contract_violations,
     listing_ranges, listing_verdicts, listing_verdicts_valid, listing_invalid, listing_unmatched, verdict_summary,
     communes, communes_run, market_profile_run, documents_run, documents_earlier_run, commune_count, market_profile, market_profile_rows, market_profile_lookup, documents, documents_parsed,
 ]}

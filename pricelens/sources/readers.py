@@ -235,19 +235,49 @@ def read_csv_detected(spark: SparkSession, path: str, snapshot: str = "all") ->
 
 # ── JSON ────────────────────────────────────────────────────────────────────────
 
-def is_json_array(spark: SparkSession, path: str) -> bool:
-    """Whether the JSON files under ``path`` hold arrays: from the first line that has text."""
-    first = spark.read.text(path).filter(F.trim("value") != "").select(F.ltrim("value").alias("v")).first()
-    return first is not None and first["v"].lstrip("\ufeff").startswith("[")
+def json_forms(spark: SparkSession, path: str) -> DataFrame:
+    """(file, array): whether each JSON file under ``path`` holds an array or one record per line, from
+    its first line that has text; files without any are left out."""
+    lines = spark.read.option("recursiveFileLookup", True).text(path).select(
+        _file_path().alias("file"), F.regexp_replace("value", r"^[\s\uFEFF]+", "").alias("v"),
+        F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("at"))
+    return lines.where("v <> ''").groupBy("file").agg(F.min_by(F.col("v").startswith("["), "at").alias("array"))
 
 
 def read_json_records(spark: SparkSession, path: str, schema: T.StructType = C.RAW_RATES,
-                      multiline: bool | None = None) -> DataFrame:
-    """SRC-2: a JSON array of flat records (``multiline``, indented or not) or JSON lines,
-    fixed schema; a field missing from a record reads as NULL. By default the first line
-    of the landing tells which."""
-    multiline = is_json_array(spark, path) if multiline is None else multiline
-    return spark.read.schema(schema).option("multiLine", multiline).json(path)
+                      multiline: bool | None = None, corrupt: str | None = None) -> DataFrame:
+    """SRC-2: flat records of a fixed schema; a field missing from a record reads as NULL.
+
+    Each file is a JSON array (indented or not) or JSON lines; by default its first line with text tells,
+    and files of one form are one scan. ``multiline`` says so for all files without a look.
+    ``corrupt`` names a column that holds the text of what can't be read as a record (a line; a broken array
+    as a whole) and is NULL for records; without it such rows have NULL in every field."""
+    if corrupt is not None:
+        schema = T.StructType([*schema.fields, T.StructField(corrupt, T.StringType())])
+    reader = spark.read.schema(schema).option("columnNameOfCorruptRecord", corrupt or "_corrupt_record")
+
+    def scan(array: bool, files=None) -> DataFrame:
+        df = reader.option("multiLine", array)
+        return df.json(path) if files is None else df.option("basePath", path).json(files)
+
+    if multiline is not None:
+        return scan(multiline)
+    forms = json_forms(spark, path)
+    kinds = {r["array"] for r in forms.select("array").distinct().collect()}
+    if len(kinds) < 2:
+        return scan(True in kinds)
+    files: dict[bool, list[str]] = {True: [], False: []}
+    for r in forms.collect():  # names of files, only where both forms have landed
+        files[r["array"]].append(r["file"])
+    lines, arrays = scan(False, sorted(files[False])), scan(True, sorted(files[True]))
+    return lines.unionByName(arrays, allowMissingColumns=True)
+
+
+def count_unreadable(records: DataFrame, corrupt: str) -> DataFrame:
+    """One row, ``n_unreadable``: how many lines or arrays ``read_json_records(corrupt=...)`` could not read."""
+    # Spark refuses to scan for the corrupt column alone, so a field is looked at, whatever it holds.
+    field = F.coalesce(F.length(F.col(records.columns[0]).cast("string")) >= 0, F.lit(True))
+    return records.agg(F.count_if(F.col(corrupt).isNotNull() & field).alias("n_unreadable"))
 
 
 SDMX_SCHEMA = T.StructType([T.StructField("data", T.StructType([
