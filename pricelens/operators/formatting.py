@@ -7,7 +7,7 @@ opt-in de-duplication of replayed landings (map-side pre-aggregated).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from pricelens import contracts as C
@@ -30,6 +30,7 @@ REJECT_PRICE = "invalid_price"
 REJECT_SURFACE = "invalid_surface"
 REJECT_DATE = "invalid_date"
 REJECT_TYPE = "not_residential"
+REJECT_REASONS = (REJECT_PRICE, REJECT_SURFACE, REJECT_DATE, REJECT_TYPE)
 
 
 def _typed_sales(raw: DataFrame, keep=()) -> DataFrame:
@@ -75,6 +76,21 @@ def _format_sales(raw: DataFrame, keep=()) -> DataFrame:
     df = _typed_sales(raw, keep).filter(
         X.is_positive("sale_price") & X.is_positive("surface_m2")
         & F.col("sale_date").isNotNull() & X.is_residential("property_type_raw"))
+    return _formatted(df, keep)
+
+
+def format_sales_counted(raw: DataFrame) -> tuple[DataFrame, Observation]:
+    """``format_sales`` with the count of raw rows and of each reject reason (``rows``, ``OK`` and the
+    reasons), observed in the same pass when the result is written."""
+    obs = Observation("raw_sales")
+    reason = F.col("reject_reason")
+    typed = sales_reject_reason(raw).observe(obs, F.count(F.lit(1)).alias("rows"), *[
+        F.count_if(reason == r).alias(r) for r in (REJECT_OK, *REJECT_REASONS)])
+    return _formatted(typed.filter(reason == REJECT_OK)), obs
+
+
+def _formatted(df: DataFrame, keep=()) -> DataFrame:
+    """The 12 columns of typed sales that passed every rule."""
     return df.select(
         X.sale_id("sale_date", "commune_code", "sale_price", "surface_m2").alias("sale_id"),
         "sale_date",

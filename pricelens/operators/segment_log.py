@@ -31,8 +31,8 @@ from pricelens.sinks import ensure_folder
 from pricelens.sources.readers import partition_values
 
 #: Segment buckets, and price bins in a span: folders of the price rows.
-BUCKETS = 8
-SPAN = 16
+BUCKETS = 4
+SPAN = 32
 
 _KEYS = [f for f in C.ESTIMATES.fields if f.name in MKT.KEYS]
 _LONG, _DOUBLE = T.LongType(), T.DoubleType()

@@ -107,8 +107,8 @@ def run_daily(spark: SparkSession, raw_root: str, lake_root: str, computation_da
     lineage between stages; the usage table is written by computation date with dynamic
     overwrite, so earlier runs stay next to it. ``years`` / ``departments`` scope the
     sales that feed the segments; ``fallback_rate`` stands in when no rate was landed.
-    Returns the row count of every stage,
-    gathered by ``observe`` on the writes (no extra passes).
+    Returns the row count of every stage and reject reason,
+    gathered by ``observe`` on the writes (no extra passes); they are also stored in ``ledger``.
     """
     from pricelens import contracts as C
     from pricelens import sinks as SK
@@ -120,10 +120,12 @@ def run_daily(spark: SparkSession, raw_root: str, lake_root: str, computation_da
     raw_sales = _landed(spark, f"{raw_root}/dvf", lambda: _until(
         R.read_landed_csv(spark, f"{raw_root}/dvf", snapshot=snapshot), ingestion_date))
     if raw_sales is not None:
-        raw_sales, obs_sales = SK.counted(raw_sales, "raw_sales")
-        counts["formatted_sales"] = SK.write_parquet(FMT.format_sales(raw_sales), f"{fmt_root}/sales",
+        sales, obs_sales = FMT.format_sales_counted(raw_sales)
+        counts["formatted_sales"] = SK.write_parquet(sales, f"{fmt_root}/sales",
                                                      partition_by=["year"], stage="formatted_sales")
         counts["raw_sales"] = SK.rows_of(obs_sales)
+        for reason in FMT.REJECT_REASONS:
+            counts[f"rejected_sales:{reason}"] = int(obs_sales.get[reason])
 
     raw_rents = _landed(spark, f"{raw_root}/rents", lambda: _until(
         R.read_csv_detected(spark, f"{raw_root}/rents", snapshot=snapshot), ingestion_date))
@@ -143,9 +145,23 @@ def run_daily(spark: SparkSession, raw_root: str, lake_root: str, computation_da
                                    spark.read.parquet(f"{fmt_root}/rates"), computation_date)
     counts["segments"] = SK.write_parquet(est, usage, partition_by=["computation_date"], dynamic=True,
                                           stage="segments")
+    _write_ledger(spark, f"{lake_root}/ledger", computation_date, counts)
     return counts
 
 
+def _write_ledger(spark: SparkSession, path: str, computation_date: str, counts: dict[str, int]) -> None:
+    """AGG-9: the counts of a run as a table (stage, n_rows), one folder a date, after the invariant
+    raw = formatted + rejects by reason has been checked."""
+    from pricelens import sinks as SK
+    if "raw_sales" in counts:
+        rejected = sum(n for k, n in counts.items() if k.startswith("rejected_sales:"))
+        if counts["raw_sales"] != counts["formatted_sales"] + rejected:
+            raise RuntimeError(f"sales are not conserved: {counts}")
+    rows = spark.createDataFrame([(computation_date, k, n) for k, n in counts.items()],
+                                 "computation_date string, stage string, n_rows long")
+    SK.write_parquet(rows, path, partition_by=["computation_date"], dynamic=True, stage="ledger")
+
+
 def run_daily_incremental(spark: SparkSession, raw_root: str, lake_root: str, computation_date: str,
                           ingestion_date: str, rates_schema=None,
                           rent_source_year: int | None = None,

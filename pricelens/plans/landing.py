@@ -17,10 +17,14 @@ from pricelens.sources import readers as R
 
 def land_sales(spark: SparkSession, paths, raw_root: str, ingestion_date: str, sep: str = "|",
                skipped: list | None = None) -> int:
-    """SRC-4 + SET-1 + SNK-3: department files (pipe-delimited, each with its own header) ->
-    one landing of the whitelisted columns. Missing paths and files without any of them
-    are skipped whole and appended to ``skipped``."""
-    raw = R.read_whitelisted_csv(spark, paths, sep=sep, skipped=skipped)
+    """SRC-4 + SET-1 + SRC-12 + SNK-3: department files (pipe-delimited, each with its own header) ->
+    one landing of the whitelisted columns. Missing paths and bad files are skipped whole and
+    appended to ``skipped``; the lines that made files bad land in ``rejects/dvf`` (file, line,
+    reason) of the same ingestion date."""
+    skipped = [] if skipped is None else skipped
+    raw, rejects = R.read_quarantined_csv(spark, paths, sep=sep, skipped=skipped)
+    if skipped:
+        SK.land_json(rejects, f"{raw_root}/rejects/dvf", ingestion_date, stage="rejected_lines")
     for c in C.RAW_SALES_COLUMNS:
         if c not in raw.columns:
             raw = raw.withColumn(c, F.lit(None).cast("string"))

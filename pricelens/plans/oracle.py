@@ -437,4 +437,28 @@ ORACLE |= {
         SELECT rate_date, rate_value, rate_type, ingestion_date,
                (SELECT count(*) FROM raw_rates WHERE event_id % 98 = 0) AS n_unreadable
         FROM rates WHERE event_id % 98 <> 0"""),
+    "sales_quarantine": _with([RAW_SALES, TYPED], """
+        SELECT *, (SELECT count(*) FROM raw_sales WHERE code_departement = '2' AND valeur_fonciere = '') AS n_broken_lines
+        FROM typed WHERE department_code <> '2'"""),
+    "quality_rules_report": _with(EST_BASE, """
+        SELECT rule, n_violations, true AS examples_ok FROM (
+          SELECT unnest([{'rule': 'confidence_tier', 'n_violations': count(*) FILTER (transaction_count % 3 = 0)},
+                         {'rule': 'quartiles_ordered', 'n_violations': count(*) FILTER (transaction_count % 3 = 1)},
+                         {'rule': 'computation_date', 'n_violations': count(*) FILTER (transaction_count % 3 = 2)},
+                         {'rule': 'count_positive', 'n_violations': count(*) FILTER (transaction_count <= 0)},
+                         {'rule': 'price_positive', 'n_violations': count(*) FILTER (NOT median_price_m2 > 0)},
+                         {'rule': 'liquidity_range', 'n_violations': count(*) FILTER (NOT market_liquidity_score BETWEEN 0 AND 1)},
+                         {'rule': 'yield_not_negative', 'n_violations': count(*) FILTER (estimated_gross_yield < 0)},
+                         {'rule': 'commune_code', 'n_violations': count(*) FILTER (commune_code IS NULL OR length(commune_code) <> 5)}],
+                        recursive := true) FROM est)"""),
+    "estimates_published": _with(EST_BASE, "SELECT *, (SELECT count(*) FROM est) AS n_rejected FROM est"),
+    "daily_ledger": _with(EST_BASE + [REASON], """
+        SELECT stage, n_rows, '2024-12-31' AS computation_date FROM (
+          SELECT 'raw_sales' AS stage, count(*) AS n_rows FROM raw_sales
+          UNION ALL SELECT 'formatted_sales', count(*) FROM sales
+          UNION ALL SELECT 'rejected_sales:' || r, (SELECT count(*) FROM reasons WHERE reject_reason = r)
+                    FROM (SELECT unnest(['invalid_price', 'invalid_surface', 'invalid_date', 'not_residential']) AS r)
+          UNION ALL SELECT 'formatted_rents', count(*) FROM rents
+          UNION ALL SELECT 'formatted_rates', count(*) FROM rates_latest
+          UNION ALL SELECT 'segments', count(*) FROM est)"""),
 }

@@ -29,6 +29,7 @@ SCOPE_DEPARTMENTS = ["1", "3"]
 EARLIER_RUN_DATE = "1998-12-31"
 EARLIER_RUN_LAST_YEAR = 1998
 LAST_N_RATES = 30
+BROKEN_DEPARTMENT = "2"
 
 
 # ── sales ───────────────────────────────────────────────────────────────────────
@@ -84,6 +85,21 @@ def sales_union_years(spark, sf_dir):
     return FMT.parse_sales(union)
 
 
+def sales_quarantine(spark, sf_dir):
+    """SRC-12: a pipe-delimited file for each department, one of them broken (lines with a surplus field). It is left
+    out whole, the others land; every row carries the number of broken lines, which are in the rejects."""
+    from pricelens.plans import landing as L
+    root = scratch_path(spark, "dvf-broken")
+    raw, cols = FX.raw_sales(spark, sf_dir), list(C.RAW_SALES_COLUMNS)
+    broken = (F.col("code_departement") == BROKEN_DEPARTMENT) & (F.col("valeur_fonciere") == "")
+    line = F.concat(F.array_join(F.array(*cols), "|", ""), F.when(broken, "|surplus").otherwise(""))
+    (raw.select(line.alias("|".join(cols)), F.col("code_departement").alias("department")).repartition("department")
+     .write.partitionBy("department").option("header", True).option("sep", "\x01").option("quote", "").csv(root + "/files"))
+    L.land_sales(spark, [root + "/files", root + "/missing-department"], root + "/raw", P.INGESTION_DATE)
+    lines = spark.read.schema("file string, line long, reason string").json(root + "/raw/rejects/dvf").agg(F.count("reason")).scalar()
+    return FMT.parse_sales(R.read_landed_csv(spark, root + "/raw/dvf")).withColumn("n_broken_lines", lines)
+
+
 # ── rents ───────────────────────────────────────────────────────────────────────
 
 def rents_merged(spark, sf_dir):
@@ -499,6 +515,49 @@ def contract_violations(spark, sf_dir):
         "confidence_violations")
 
 
+def _tampered(est):
+    """Estimates of which many break a rule: by count modulo 3 an odd confidence, quartiles in wrong order, no date."""
+    kind = F.col("transaction_count") % 3
+    return est.withColumns({
+        "fair_price_confidence": F.when(kind == 0, "HIGHEST").otherwise(F.col("fair_price_confidence")),
+        "q25_price_m2": F.when(kind == 1, F.col("q75_price_m2") + 1).otherwise(F.col("q25_price_m2")),
+        "computation_date": F.when(kind != 2, F.col("computation_date"))})
+
+
+def quality_rules_report(spark, sf_dir):
+    """DQ-1…3 as a table of rules in one aggregate over tampered estimates: how many rows break each rule, and
+    whether the examples are a bounded set of distinct keys."""
+    from pricelens import quality as Q
+    found = Q.check(_tampered(P.estimates(spark, sf_dir)), Q.estimate_rules(), MKT.KEYS)
+    n = F.size("examples")
+    good = (n <= Q.EXAMPLES) & (n >= F.least("n_violations", F.lit(1))) & (F.size(F.array_distinct("examples")) == n)
+    return found.select("rule", "n_violations", good.alias("examples_ok"))
+
+
+def estimates_published(spark, sf_dir):
+    """Write, audit, publish: the first version passes; the second breaks rules and is not published, so
+    readers still see the first. ``n_rejected`` counts the rule violations that stopped the second."""
+    from pricelens import quality as Q
+    root = scratch_path(spark, "published-estimates")
+    est = MKT.written(P.estimates(spark, sf_dir), "estimates")
+    Q.publish(est, root, "1", Q.estimate_rules(), MKT.KEYS)
+    n = 0
+    try:
+        Q.publish(_tampered(est), root, "2", Q.estimate_rules(), MKT.KEYS)
+    except Q.AuditFailed as failed:
+        n = sum(rows for rows, _ in failed.broken.values())
+    return Q.read_published(spark, root).withColumn("n_rejected", F.lit(n).cast("long"))
+
+
+def daily_ledger(spark, sf_dir):
+    """AGG-9: the ledger of a daily run: rows read, rejected by reason, formatted and written, by stage."""
+    root = scratch_path(spark, "lake-ledger")
+    raw_root = _land_published(spark, sf_dir, root)
+    P.run_daily(spark, raw_root, root + "/lake", P.COMPUTATION_DATE, P.INGESTION_DATE)
+    return spark.read.parquet(root + "/lake/ledger").select(
+        "stage", "n_rows", F.col("computation_date").cast("string").alias("computation_date"))
+
+
 # ── valuation ───────────────────────────────────────────────────────────────────
 
 def _reference(spark, sf_dir):
@@ -619,13 +678,13 @@ def _parsed_documents(docs):
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in [
     sales_parse, sales_filtered, sales_formatted, sales_reject_reasons, sales_by_year,
-    sales_union_years, sales_scoped, rooms_bucket_counts,
+    sales_union_years, sales_quarantine, sales_scoped, rooms_bucket_counts,
     rents_merged, rents_formatted, rents_latest, delimiter_detect,
     rates_formatted, rates_latest_per_type, rates_last_n, rate_latest, rates_fallback, rates_fallback_empty, rates_json_array, rates_json_mixed,
     rates_sdmx, rates_json_roundtrip,
     segment_stats, segment_stats_approx, segment_stats_merged, segment_stats_exact, segment_stats_sketch, segment_stats_hot, segment_rent, segment_rate, segment_liquidity,
     segment_yield, segment_confidence, fair_price_estimates, estimates_latest,
-    estimates_roundtrip, estimates_json_snapshot, landing_roundtrip, sales_incremental, sales_deduplicated, daily_run, daily_incremental, daily_incremental_late, daily_incremental_rents, daily_incremental_relanded, segment_stats_streamed, segment_stats_compacted, contract_violations,
+    estimates_roundtrip, estimates_json_snapshot, landing_roundtrip, sales_incremental, sales_deduplicated, daily_run, daily_incremental, daily_incremental_late, daily_incremental_rents, daily_incremental_relanded, segment_stats_streamed, segment_stats_compacted, contract_violations, quality_rules_report, estimates_published, daily_ledger,
     listing_ranges, listing_verdicts, listing_verdicts_valid, listing_invalid, listing_unmatched, verdict_summary,
     communes, communes_run, market_profile_run, documents_run, documents_earlier_run, commune_count, market_profile, market_profile_rows, market_profile_lookup, documents, documents_parsed,
 ]}

@@ -8,8 +8,9 @@ from the schema alone, so no file content passes through the driver.
 from __future__ import annotations
 
 import logging
+import re
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -132,59 +133,111 @@ def with_file(df: DataFrame, name: str = "_file") -> DataFrame:
     return df.select("*", meta.alias(name))
 
 
-def header_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(file, header): the first line of every text file under ``path``."""
-    lines = spark.read.option("encoding", "UTF-8").option("recursiveFileLookup", True).text(path).select(
-        _file_path().alias("file"), F.col("_metadata.file_block_start").alias("at"), "value",
-        F.monotonically_increasing_id().alias("n"))
-    first = lines.filter(F.col("at") == 0).groupBy("file").agg(F.min_by("value", "n").alias("header"))
-    return first.select("file", F.regexp_replace("header", "^\uFEFF|\r$", "").alias("header"))
-
-
-def read_whitelisted_csv(spark: SparkSession, paths, whitelist=SALES_WHITELIST, sep: str = "|",
-                         tolerant: bool = True, skipped: list | None = None) -> DataFrame:
-    """SRC-4 + SET-1 + SRC-12: read each file by its own header, keep only whitelisted
-    columns that exist, and union by name (missing columns -> NULL).
-
-    A multi-file CSV scan maps columns by position, so files are grouped by their header
-    line: one scan per distinct header, whatever folders the files lie in. When
-    ``tolerant``, a path that does not exist and a file without any whitelisted column are
-    skipped whole, logged, and appended to ``skipped``; otherwise, and if no file has one
-    (a wrong delimiter), this raises. A file that breaks half-way always raises.
-    """
+#: Why a file, or a line of it, is not taken.
+BAD_HEADER = "no_whitelisted_column"
+BAD_FIELDS = "too_many_fields"
+BAD_TEXT = "not_utf8"
+
+
+def _text_lines(spark: SparkSession, paths, sep: str) -> DataFrame:
+    """file, at (block and order in it), value, n_fields of every line of text files; quoted separators don't count."""
+    unquoted = F.regexp_replace("value", '"([^"]|"")*"', "")
+    return spark.read.option("encoding", "UTF-8").option("recursiveFileLookup", True).text(paths).select(
+        _file_path().alias("file"),
+        F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("n")).alias("at"),
+        F.regexp_replace("value", "^\uFEFF|\r$", "").alias("value")).withColumn(
+        "n_fields", F.length(unquoted) - F.length(F.translate(unquoted, sep, "")) + 1)
+
+
+def file_verdicts(lines: DataFrame, whitelist, sep: str) -> DataFrame:
+    """file, header (column names), reason (NULL: the file is good): one aggregate over all lines.
+
+    A file is bad as a whole if its first line names no whitelisted column, a line has more fields than
+    that line, or a line is not UTF-8."""
+    text = lines.where(F.trim("value") != "")
+    per_file = text.groupBy("file").agg(
+        F.min_by(F.struct("value", "n_fields"), "at").alias("first"), F.max("n_fields").alias("widest"),
+        F.max(F.contains("value", F.lit("\uFFFD"))).alias("broken_text"))
+    header = F.transform(F.split("first.value", re.escape(sep), -1), lambda c: F.regexp_replace(c, '^"|"$', ""))
+    known = F.size(F.array_intersect(F.col("header"), F.array(*[F.lit(c) for c in whitelist]))) > 0
+    return per_file.withColumn("header", header).select(
+        "file", "header", F.col("first.value").alias("header_line"), F.col("first.n_fields").alias("n_header"),
+        F.when(~known, BAD_HEADER).when(F.col("widest") > F.col("first.n_fields"), BAD_FIELDS)
+        .when(F.col("broken_text"), BAD_TEXT).alias("reason"))
+
+
+def read_quarantined_csv(spark: SparkSession, paths, whitelist=SALES_WHITELIST, sep: str = "|",
+                         tolerant: bool = True, skipped: list | None = None) -> tuple[DataFrame, DataFrame]:
+    """SRC-4 + SET-1 + SRC-12: (rows, rejects) of delimited files that each have their own header.
+
+    Rows: the whitelisted columns that a good file has, by name (a column missing from a file, and a field
+    missing at a line's end, is NULL). Rejects: file, line, reason for every line that made a file bad, and
+    line 1 of a file without a whitelisted column; a bad file is left out whole.
+
+    Two passes over the text and no list of files on the driver but of those left out, which are logged and
+    appended to ``skipped`` with the paths that don't exist: the first gives each file's verdict and header, the
+    second parses the lines of good files, whose headers meet them by broadcast behind a size check. A quoted
+    field may hold the separator, not a line break; a line that repeats its file's header is no row.
+    Unless ``tolerant``, a missing path or bad file raises; so do files of which none has a
+    whitelisted column (a wrong delimiter)."""
+    from pricelens.operators.joins import size_checked_side
     skipped = [] if skipped is None else skipped
-    groups: dict[str, list[str]] = {}
-    found = 0
-    for p in ([paths] if isinstance(paths, str) else list(paths)):
-        if not path_exists(spark, p):
+    found = [p for p in ([paths] if isinstance(paths, str) else list(paths)) if path_exists(spark, p) or skipped.append(p)]
+    if skipped and not tolerant:
+        raise FileNotFoundError(skipped[0])
+    empty = T.StructType([T.StructField(c, T.StringType()) for c in whitelist])
+    none = spark.createDataFrame([], "file string, line long, reason string")
+    if not found:
+        for p in skipped:
+            log.warning("skipping %s", p)
+        return spark.createDataFrame([], empty), none
+    lines = _text_lines(spark, found, sep)
+    verdicts, _ = size_checked_side(file_verdicts(lines, whitelist, sep), name="file-verdicts")
+    width, n_files, n_bad = verdicts.agg(F.max(F.when(F.col("reason").isNull(), F.size("header"))), F.count(F.lit(1)),
+                                         F.count("reason")).first()
+    bad = verdicts.where("reason is not null")
+    if n_bad:
+        for r in bad.select("file", "reason").collect():  # names of files that are left out
             if not tolerant:
-                raise FileNotFoundError(p)
-            skipped.append(p)
-            continue
-        for row in header_lines(spark, p).collect():  # a short row for each file
-            found += 1
-            groups.setdefault(row["header"], []).append(row["file"])
-    frames = []
-    for header, files in sorted(groups.items()):
-        df = (spark.read.option("header", True).option("inferSchema", False).option("sep", sep)
-              .option("encoding", "UTF-8").option("mode", "PERMISSIVE").csv(sorted(files)))
-        keep = [c for c in df.columns if c in set(whitelist)]
-        if keep:
-            frames.append(df.select(*keep))
-        elif tolerant:
-            skipped += files
-        else:
-            raise ValueError(f"{files[0]}: no whitelisted column among {df.columns} (wrong delimiter?)")
+                raise ValueError(f"{r['file']}: {r['reason']}")
+            skipped.append(r["file"])
     for p in skipped:
         log.warning("skipping %s", p)
-    if not frames:
-        if found:
-            raise ValueError(f"no whitelisted column in any of {found} files (wrong delimiter?)")
-        return spark.createDataFrame([], T.StructType([T.StructField(c, T.StringType()) for c in whitelist]))
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f, allowMissingColumns=True)
-    return out
+    if not width:
+        if n_files and not bad.where(F.col("reason") != BAD_HEADER).count():
+            raise ValueError(f"no whitelisted column in any of {n_files} files (wrong delimiter?)")
+        return spark.createDataFrame([], empty), _rejects(lines, bad) if n_bad else none
+    have = verdicts.where("reason is null").select(F.explode("header").alias("c")).where(
+        F.col("c").isin(*whitelist)).distinct().collect()
+    columns = [c for c in whitelist if c in {r["c"] for r in have}]
+    schema = ", ".join(f"c{i} string" for i in range(width))
+    fields = F.from_csv("value", schema, {"sep": sep})
+    good = verdicts.where("reason is null").select(F.col("file").alias("of"), "header", "header_line")
+    rows = lines.join(good, F.col("file") == F.col("of")).where((F.trim("value") != "") & (F.col("value") != F.col("header_line")))
+    parsed = rows.select("header", F.array(*[fields[f"c{i}"] for i in range(width)]).alias("v"))
+    at = lambda c: F.array_position("header", c)
+    out = parsed.select(*[F.when(at(c) > 0, F.try_element_at("v", at(c).cast("int"))).alias(c) for c in columns])
+    return out, _rejects(lines, bad) if n_bad else none
+
+
+def _rejects(lines: DataFrame, bad: DataFrame) -> DataFrame:
+    """file, line (from 1), reason of the lines that made files bad."""
+    mine = lines.join(bad.select(F.col("file").alias("of"), "reason", "n_header", "header_line"), F.col("file") == F.col("of"))
+    blocks = mine.groupBy("file", F.col("at.block").alias("block")).agg(F.min("at.n").alias("first"), F.count(F.lit(1)).alias("n"))
+    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    starts = blocks.select("file", "block", "first", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    wrong = (F.when(F.col("reason") == BAD_HEADER, F.col("value") == F.col("header_line"))
+             .when(F.col("reason") == BAD_FIELDS, F.col("n_fields") > F.col("n_header"))
+             .otherwise(F.contains("value", F.lit("\uFFFD"))))
+    hits = mine.where(wrong).select("file", F.col("at.block").alias("block"), F.col("at.n").alias("n"), "reason")
+    return hits.join(starts, ["file", "block"]).select(
+        "file", (F.col("before") + F.col("n") - F.col("first") + 1).alias("line"), "reason")
+
+
+def read_whitelisted_csv(spark: SparkSession, paths, whitelist=SALES_WHITELIST, sep: str = "|",
+                         tolerant: bool = True, skipped: list | None = None) -> DataFrame:
+    """The rows of ``read_quarantined_csv``."""
+    return read_quarantined_csv(spark, paths, whitelist, sep, tolerant, skipped)[0]
 
 
 def delimiter_counts(spark: SparkSession, path: str) -> DataFrame:
