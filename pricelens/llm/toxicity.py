@@ -14,7 +14,7 @@ on labelled documents that the field was not fitted on, turns them into a score.
 with a marginal of one half or more are the offending spans, with code-point offsets.
 
 The fit uses a bounded, deterministic sample of the labelled documents (``MAX_TOXIC``,
-``MAX_CLEAN``, ``MAX_TOKENS``) in one task; scoring is one narrow pass over all rows.
+``MAX_CLEAN``, ``TOKENS_EACH``) in one task; scoring is one narrow pass over all rows.
 """
 
 from __future__ import annotations
@@ -33,8 +33,9 @@ from pyspark.sql import functions as F
 from pricelens.llm.common import texts
 
 BITS = 18
-#: Labelled documents, and their tokens, that the fit reads at most.
-MAX_TOXIC, MAX_CLEAN, MAX_TOKENS = 1000, 2000, 1_000_000
+#: Labelled documents that the fit reads at most, and tokens of each: a longer one gives as many in ``PIECES`` runs.
+MAX_TOXIC, MAX_CLEAN, TOKENS_EACH = 1000, 2000, 1000
+PIECES = 4
 #: Words whose scores a worker remembers.
 REMEMBERED = 300_000
 #: Tokens of a chain in the fit, and tokens that are scored at a time (more only for one long text).
@@ -237,27 +238,45 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(4)) == 2, F.lit(False))
 
 
+def pieces(text: str, doc_id: int, each: int = TOKENS_EACH) -> str:
+    """A text of at most ``each`` tokens whole; of a longer one, a run from each of ``PIECES`` equal parts, at a place hashed
+    from the id."""
+    found = list(_TOKEN.finditer(text))
+    if len(found) <= each:
+        return text
+    out, part, run = [], len(found) / PIECES, max(1, each // PIECES)
+    for k in range(PIECES):
+        first, room = int(k * part), max(1, int((k + 1) * part) - int(k * part) - run + 1)
+        first += zlib.crc32(f"{doc_id}:{k}".encode()) % room
+        out.append(text[found[first].start():found[min(first + run, len(found)) - 1].end()])
+    return "\n".join(out)
+
+
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-          max_toxic: int = MAX_TOXIC, max_clean: int = MAX_CLEAN, max_tokens: int = MAX_TOKENS) -> Field:
-    """The field of ``labels`` (doc_id, toxic); an id labelled both ways counts as toxic."""
+          max_toxic: int = MAX_TOXIC, max_clean: int = MAX_CLEAN, tokens_each: int = TOKENS_EACH) -> Field:
+    """The field of ``labels`` (doc_id, toxic); an id labelled both ways counts as toxic.
+
+    A document's tokens are bounded where it is read (``pieces``), so a long one displaces no other and the task
+    that fits holds ``(max_toxic + max_clean) * tokens_each`` tokens at most."""
     known = labels.where("doc_id is not null and toxic is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(
         F.max("toxic").cast("int").alias("toxic"))
     first = lambda y, n: known.where(F.col("toxic") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
     sample = first(1, max_toxic).unionAll(first(0, max_clean))
     # At most max_toxic + max_clean rows of 12 bytes.
-    rows = texts(docs, id_col, text_col).join(F.broadcast(sample), "doc_id")
+    rows = texts(docs, id_col, text_col).join(F.broadcast(sample), "doc_id").select("doc_id", "text", "toxic")
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = [pieces(t.as_py(), d, tokens_each) for d, t in zip(b.column(0).to_pylist(), b.column(1), strict=True)]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, pa.string()), b.column(2)], b.schema.names)
+
+    rows = rows.mapInArrow(cut, "doc_id long, text string, toxic int")
     rows = rows.groupBy("doc_id").agg(F.min("text").alias("text"), F.min("toxic").alias("toxic"))
 
     def fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = sorted(((zlib.crc32(str(d).encode()), d, t, y) for b in batches for d, t, y in
                         zip(*(b.column(n).to_pylist() for n in ("doc_id", "text", "toxic")), strict=True)))
-        bounded, n = [], 0
-        for _, _, t, y in found:
-            size = len(_TOKEN.findall(t))
-            if n + size <= max_tokens:
-                bounded.append((t, y))
-                n += size
-        field = fit(bounded)
+        field = fit([(t, y) for _, _, t, y in found])
         yield pa.RecordBatch.from_arrays(
             [pa.array([field.weights.tobytes()], pa.binary()), pa.array([field.moves.ravel().tolist()], pa.list_(pa.float64())),
              pa.array([field.calibration.tolist()], pa.list_(pa.float64()))], ["weights", "moves", "calibration"])

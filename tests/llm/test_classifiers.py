@@ -148,7 +148,60 @@ def test_tagging_odd_rows(spark, odd, documents):
     assert T.tag(documents([]), field).collect() == []
 
 
-@pytest.mark.parametrize("most", [0, 500])
-def test_the_token_bound_holds(spark, most):
-    docs, labels = sf_table(spark, "/root/testdata/sf0.01", "documents"), sf_table(spark, "/root/testdata/sf0.01", "labels")
-    assert T.train(docs, labels, max_tokens=most).weights.shape == (1 << T.BITS,)
+def test_long_documents_give_pieces_and_displace_none(spark, documents):
+    text = " ".join(f"w{i}" for i in range(10_000))
+    cut = T.pieces(text, 5, 100)
+    assert cut == T.pieces(text, 5, 100) != T.pieces(text, 6, 100)
+    found = cut.split("\n")
+    assert [len(x.split()) for x in found] == [25] * 4 and all(x in text for x in found)
+    assert [int(x.split()[0][1:]) // 2500 for x in found] == [0, 1, 2, 3]  # one from each quarter, beginning to end
+    assert T.pieces("a b c", 1, 3) == "a b c" and len(T.pieces(text, 1, 1).split()) == 4 and T.pieces("", 1) == ""
+    docs = documents([(1, "bad " * 400_000)] + [(i, f"vile{i % 3} words here vile{i % 3}" if i % 2 else "fine words here now") for i in range(2, 60)])
+    labels = spark.createDataFrame([(i, int(i == 1 or i % 2)) for i in range(1, 60)], "doc_id long, toxic int")
+    field = T.train(docs, labels)
+    scores = {r.doc_id: r.score for r in T.tag(docs, field).collect()}
+    assert min(scores[i] for i in range(3, 60, 2)) > max(scores[i] for i in range(2, 60, 2))
+
+
+def test_document_scores_are_those_of_brute_force(spark, documents):
+    """Marginals by all label paths, aggregated and calibrated by hand, spans from the tokens that are likelier toxic."""
+    r = random.Random(4)
+    weights = np.zeros(1 << T.BITS, np.float32)
+    for w in ("vile", "awful", "nice", "the"):
+        for slot in T.own_slots(w):
+            weights[slot] += r.uniform(-1.5, 1.5)
+    field = T.Field(weights, np.array([[0.4, -0.8], [-0.6, 0.9]]), np.array([-1.0, 0.7, 1.3])[:T.fit([]).calibration.shape[0]])
+    texts = [(i, " ".join(r.choice(["vile", "awful", "nice", "the", "x"]) for _ in range(r.randint(1, 7)))) for i in range(12)]
+    got = {x.doc_id: x for x in T.tag(documents(texts), field).collect()}
+    for i, text in texts:
+        tokens = text.split()
+        unary = [sum(float(weights[s]) for s in T.own_slots(w)) for w in tokens]
+        mass, total = np.zeros(len(tokens)), 0.0
+        for path in itertools.product((0, 1), repeat=len(tokens)):
+            e = np.exp(sum(u for u, y in zip(unary, path, strict=True) if y) + sum(field.moves[a, b] for a, b in zip(path, path[1:])))
+            total += e
+            mass += e * np.array(path)
+        p = mass / total
+        evidence = T._evidence(p, np.array([0]), np.array([len(tokens)]))
+        want = 1 / (1 + np.exp(-float((evidence @ field.calibration)[0])))
+        assert abs(got[i].score - want) < 1e-6
+        assert [text[s.begin:s.end] for s in got[i].spans] == [w for w, q in zip(tokens, p, strict=True) if q >= 0.5]
+
+
+def test_first_step_follows_the_likelihoods_gradient():
+    """One step from zero: the step is g / sqrt(1e-6 + g^2) of each gradient g, which finite differences of the mean
+    log-likelihood give."""
+    r = np.random.default_rng(3)
+    rows = [(int(r.integers(0, 3)), np.array([5, 9, 11]), (r.normal(size=3) * 2e-3).astype(np.float32)) for _ in range(60)]
+
+    def likelihood(w):
+        cut = np.concatenate([[-np.inf], [0.0, 1.0], [np.inf]])  # thresholds at the start: 0, and a step of exp(0)
+        s = lambda x: 1 / (1 + np.exp(-x))
+        score = [sum(w.get(int(k), 0.0) * v for k, v in zip(slots, values, strict=True)) for _, slots, values in rows]
+        return np.mean([np.log(s(sc - cut[g]) - s(sc - cut[g + 1])) for sc, (g, _, _) in zip(score, rows, strict=True)])
+
+    model = Q.fit(rows, 3, epochs=1, batch=len(rows), rate=1.0, decay=0.0)
+    for slot in (5, 9, 11):
+        g = (likelihood({slot: 1e-3}) - likelihood({slot: -1e-3})) / 2e-3
+        assert abs(model.weights[slot] - g / np.sqrt(1e-6 + g * g)) < 1e-3
+    assert np.count_nonzero(model.weights) == 3
