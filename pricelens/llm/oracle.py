@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pricelens.llm.quality_rules import STOP_WORDS
+from pricelens.llm.quality_rules import LETTERS, STOP_WORDS
 
 _STOPS = ", ".join(f"'{w}'" for w in sorted({w for ws in STOP_WORDS.values() for w in ws}))
 
@@ -20,11 +20,12 @@ m AS (SELECT doc_id, t, len(w)::BIGINT AS n_words, length(array_to_string(w, '')
              len(lines)::BIGINT AS n_lines, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
              coalesce(n, 0)::BIGINT AS n_repeat_words,
              len(list_filter(w, lambda x: lower(x) IN (""" + _STOPS + r"""))) AS n_stop_words,
-             length(regexp_replace(t, '\P{Lu}+', '', 'g')) AS n_upper
+             length(regexp_replace(t, '\P{Lu}+', '', 'g')) AS n_upper,
+             length(regexp_replace(t, '[\P{L}""" + LETTERS + r"""]+', '', 'g')) AS n_other
       FROM d LEFT JOIN v USING (rid)),
 q AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m),
 k AS (SELECT *, NOT base_failed AND coalesce(word_chars / n_words BETWEEN 2 AND 15 AND n_symbols / n_words <= 0.2
-             AND n_stop_words / n_words >= 0.02 AND n_dup_lines / n_lines <= 0.5
+             AND (n_stop_words / n_words >= 0.02 OR 50 * n_other > word_chars) AND n_dup_lines / n_lines <= 0.5
              AND n_upper / word_chars <= 0.5, false) AS kept FROM q)
 """
 

@@ -32,14 +32,20 @@ STOP_WORDS = {
 }
 
 
+#: Letters of these languages. A text with more of others (a fiftieth of its word characters) is in a language without
+#: a list, which the rule of stop words does not judge.
+LETTERS = "A-Za-zÀÂÆÇÉÈÊËÎÏÔŒÙÛÜŸàâæçéèêëîïôœùûüÿÑÁÍÓÚñáíóúÄÖẞäößªº"
+
+
 @dataclass(frozen=True)
 class Rule:
-    """``value`` is SQL over the measured columns; it must lie in [least, most]."""
+    """``value`` is SQL over the measured columns; it must lie in [least, most], for texts ``where`` holds."""
 
     name: str
     value: str
     least: float | None = None
     most: float | None = None
+    where: str | None = None
 
 
 #: The base rules hold whatever the table says.
@@ -51,7 +57,7 @@ BASE = (
 RULES = (
     Rule("word_length", "word_chars / n_words", least=2.0, most=15.0),
     Rule("symbols", "n_symbols / n_words", most=0.2),
-    Rule("stop_words", "n_stop_words / n_words", least=0.02),
+    Rule("stop_words", "n_stop_words / n_words", least=0.02, where="50 * n_other_letters <= word_chars"),
     Rule("duplicate_lines", "n_dup_lines / n_lines", most=0.5),
     Rule("upper_case", "n_upper / word_chars", most=0.5),
 )
@@ -81,7 +87,8 @@ def measured(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     n_words, word_chars (code points in words), n_symbols, n_lines (lines with a word),
     n_dup_lines (those equal to an earlier line), n_repeat_words (words in 3-word windows
-    found twice or more, the first included), n_stop_words, n_upper (capitals in words).
+    found twice or more, the first included), n_stop_words, n_upper (capitals in words),
+    n_other_letters (letters beyond ``LETTERS``).
     With ``carry`` also ``row``, the struct of all input columns.
     """
     stops = sorted({w for ws in (STOP_WORDS if stop_words is None else stop_words).values() for w in ws})
@@ -114,6 +121,7 @@ def measured(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
          .otherwise(F.expr(_covered(f"({{0}} & {mask}L)", "same"))).cast("long").alias("n_repeat_words"),
         F.size(F.filter("w", lambda x: F.lower(x).isin(stops))).cast("long").alias("n_stop_words"),
         capitals.cast("long").alias("n_upper"),
+        F.length(F.regexp_replace("text", rf"[\P{{L}}{LETTERS}]+", "")).cast("long").alias("n_other_letters"),
     )
 
 
@@ -125,7 +133,8 @@ def fails(rule: Rule) -> Column:
         out = out | (value < F.lit(rule.least))
     if rule.most is not None:
         out = out | (value > F.lit(rule.most))
-    return F.coalesce(out, F.lit(True))
+    out = F.coalesce(out, F.lit(True))
+    return out if rule.where is None else out & F.coalesce(F.expr(rule.where), F.lit(True))
 
 
 def judged(counts: DataFrame, rules: tuple[Rule, ...] = RULES, base: tuple[Rule, ...] = BASE) -> DataFrame:

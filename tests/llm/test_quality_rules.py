@@ -45,6 +45,14 @@ def test_verdict(documents):
     assert got[6][2] == {"stop_words"}
 
 
+def test_stop_words_are_asked_of_listed_languages_only(documents):
+    russian = " ".join(f"слово{'абвгдежзик'[i % 10]}{'лмнопрстуф'[i // 10]} дом" for i in range(60))
+    polish = " ".join(f"żółw{'abcdefghij'[i % 10]}{'klmnoprstu'[i // 10]} łąka" for i in range(60))
+    mixed = " ".join(f"wood{i} слово{i}" if i == 0 else f"wood{i} word{i}" for i in range(90))
+    got = {r.doc_id: (r.kept, r.failed) for r in quality_rules(documents([(1, russian), (2, polish), (3, mixed)])).collect()}
+    assert got[1] == (True, []) and got[2] == (True, []) and got[3] == (False, ["stop_words"])
+
+
 def test_rows_are_carried_whole_and_a_filter_does_not_repeat_the_counts(documents):
     docs = documents([(1, "a b"), (None, None)])
     out = quality_rules(docs, carry=True)
