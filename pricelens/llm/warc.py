@@ -48,7 +48,7 @@ def _headers(block: Column) -> Column:
 def parse(records: DataFrame, column: str = "record") -> DataFrame:
     """record_id, kind, url, captured_at (seconds), digest, status, headers, body_sha256 of whole records.
 
-    A null or broken record gives null fields and no headers.
+    A null or broken record gives null fields and no headers. A body ends before the record's closing blank lines.
     """
     text = F.col(column).cast("string")
     parts = records.select(text.alias("t"), F.instr(text, "\r\n\r\n").alias("at"))
@@ -82,8 +82,11 @@ def resolve(records: DataFrame, span_seconds: int = SPAN_SECONDS, kept: tuple[st
     ``no_response``; only resolved rows have headers and a body digest. Of responses
     captured in the same second, the one with the greatest id counts; a response in the
     revisit's own second is not earlier. Revisits without a URL or time find no response;
-    repeated revisits get an answer each; an empty table gives an empty result.
+    repeated revisits get an answer each; an empty table gives an empty result. Responses without
+    an id are not candidates, since an answer could not name them. Only the columns that ``parse`` gives
+    are read; others, whatever their names, are left out.
     """
+    records = records.select("record_id", "kind", "url", "captured_at", "digest", "status", "headers", "body_sha256")
     rows = records.select("*", canonical_url(F.col("url")).alias("site"), F.floor(F.col("captured_at") / span_seconds).alias("span"))
     full = rows.where("kind = 'response' and status = 200 and site is not null and captured_at is not null and record_id is not null")
     full = full.select("site", "span", "captured_at", F.lit(True).alias("full"), "record_id")

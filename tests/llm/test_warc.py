@@ -72,3 +72,17 @@ def test_empty_tables(spark):
     assert resolve(spark.createDataFrame([], ROW)).collect() == []
     pages = spark.createDataFrame([(1, None, None), (None, "http://a", "x")], "page_id long, url string, html string")
     assert resolve(parse(records_of(pages))).first().outcome == "no_response"
+
+
+def test_clashing_columns_and_long_bodies(spark):
+    text = lambda kind, i, day, status, body: (
+        f"WARC/1.1\r\nWARC-Type: {kind}\r\nWARC-Record-ID: {i}\r\nWARC-Target-URI: http://a.org/x\r\nWARC-Date: 2024-01-0{day}T00:00:01Z\r\n\r\n"
+        f"HTTP/1.1 {status} X\r\nETag: \"a\"\r\n\r\n{body}\r\n\r\n")
+    rows = [(text("response", "r1", 1, 200, "long body " * 200_000),), (text("revisit", "v1", 3, 304, ""),), (text("response", "r2", 2, 404, "gone"),)]
+    records = parse(spark.createDataFrame(rows, "record string"))
+    for name in ("site", "span", "old", "full", "newest", "response_id", "outcome", "inside"):
+        records = records.withColumn(name, F.lit("clash"))
+    got = resolve(records).collect()
+    assert [(r.record_id, r.outcome, r.response_id) for r in got] == [("v1", "resolved", "r1")]
+    import hashlib
+    assert got[0].body_sha256 == hashlib.sha256(("long body " * 200_000).encode()).hexdigest()
