@@ -25,22 +25,19 @@ ORACLE_SQL = None
 def _one_row_of(docs: DataFrame, found: DataFrame) -> DataFrame:
     """One row of ``docs`` for each group of ``found`` (doc_id, text_key, group, keep_id a row).
 
-    It is a row with the group's ``keep_id``; of several, the one with the least text key,
-    then the least other columns. Rows of one doc_id in different groups are apart.
-    Rows without a doc_id go if their group has an id, and all stay if it has none.
+    It is a row with the group's ``keep_id`` (null if no row of the group has an id); of several, the one
+    with the least text key, then the least other columns. Rows of one doc_id in different groups are apart.
     """
     others = [docs[c] for c in docs.columns if c not in ("doc_id", "text")]
     tie = F.struct(docs["text"].isNull().alias("empty"), F.to_json(F.struct(F.lit(0).alias("_"), *others)).alias("others"))
     rows = docs.select(docs["doc_id"].cast("long").alias("id"), text_key(docs["text"].cast("string")).alias("text_key"),
                        tie.alias("tie"), F.struct(*[docs[c] for c in docs.columns]).alias("row"))
-    chosen = (found.where("doc_id = keep_id").groupBy("group").agg(F.min(F.struct("doc_id", "text_key")).alias("one"))
-              .select(F.col("one.doc_id").alias("id"), "one.text_key"))
+    chosen = (found.where("doc_id <=> keep_id").groupBy("group").agg(F.min(F.struct("doc_id", "text_key")).alias("one"))
+              .select(F.col("one.doc_id").alias("chosen_id"), F.col("one.text_key").alias("chosen_key")))
     # Repeated rows are reduced in the map tasks, before the join: a row repeated very often is no task's load.
-    named = (rows.where("id is not null").groupBy("id", "text_key").agg(F.min_by("row", "tie").alias("row"))
-             .join(chosen, ["id", "text_key"], "left_semi"))
-    gone = found.where("doc_id is null and keep_id is not null").select("text_key").distinct()
-    nameless = rows.where("id is null").join(gone, "text_key", "left_anti")
-    return named.select("row").unionByName(nameless.select("row")).select("row.*")
+    distinct = rows.groupBy("id", "text_key").agg(F.min_by("row", "tie").alias("row"))
+    return distinct.join(chosen, F.col("id").eqNullSafe(F.col("chosen_id")) & (F.col("text_key") == F.col("chosen_key")),
+                         "left_semi").select("row.*")
 
 
 def rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
