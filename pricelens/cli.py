@@ -7,7 +7,8 @@
     python -m pricelens value    --estimates E --listings X --out O [--bounds exact]
     python -m pricelens communes --estimates E --out O
     python -m pricelens profiles --estimates E --out O [--commune 44109]
-    python -m pricelens export   --estimates E --out O [--index NAME]
+    python -m pricelens export   --estimates E --out O [--index NAME] [--date D]
+                                 [--requests [--previous LAST_EXPORT]]
 
 The session comes from ``SparkSession.builder.getOrCreate()`` (the cluster supplies the
 master and the shared checkpoint folder); ``--cluster-conf`` applies the scale settings
@@ -23,6 +24,7 @@ import sys
 from pyspark.sql import DataFrame, SparkSession
 
 from pricelens import sinks as SK
+from pricelens.operators import export as EX
 from pricelens.operators import valuation as VAL
 from pricelens.plans import daily as D
 from pricelens.plans import landing as L
@@ -92,6 +94,8 @@ def main(argv=None, spark: SparkSession | None = None) -> dict:
             p.add_argument("--commune")
         if name == "export":
             p.add_argument("--index", default=SK.DEFAULT_INDEX)
+            p.add_argument("--requests", action="store_true", help="bulk requests bounded in bytes, a file each")
+            p.add_argument("--previous", help="with --requests: the folder of the last such export; only changes go out")
 
     args = ap.parse_args(argv)
     spark = spark or SparkSession.builder.appName(f"pricelens-{args.cmd}").getOrCreate()
@@ -132,6 +136,8 @@ def main(argv=None, spark: SparkSession | None = None) -> dict:
         elif args.cmd == "profiles":
             result = {"communes": SK.write_parquet(VAL.market_profiles(est, args.commune, computation_date=args.date), args.out,
                                                    stage="profiles")}
+        elif args.requests:
+            result = EX.export_changes(est, args.out, args.index, args.previous, args.date)
         else:
             result = {"documents": SK.write_documents(est, args.out, args.index, args.date)}
     print(json.dumps(result))

@@ -286,7 +286,52 @@ def _documents(runs: str) -> str:
     return f"SELECT 'fair_price_estimates' AS _index, {fields} FROM {runs}"
 
 
+_FIELDS = [c.strip() for c in EST_COLS.split(",")]
+_KEYS = _FIELDS[:5]
+
+
+def _json_text(fields) -> str:
+    """An object of the fields that are not NULL, dates as text; numbers here print alike in both engines."""
+    text = {"computation_date": "strftime(computation_date, '%Y-%m-%d')"}
+    parts = [f"""CASE WHEN {c} IS NOT NULL THEN '"{c}":' || CAST(to_json({text.get(c, c)}) AS VARCHAR) END""" for c in fields]
+    return "'{' || concat_ws(',', " + ", ".join(parts) + ") || '}'"
+
+
+def _keyed(name: str, rows: str) -> str:
+    content = [c for c in _FIELDS if c != "computation_date"]
+    return (f"{name} AS (SELECT sha256({_json_text(_KEYS)}) AS _id, {_json_text(_FIELDS)} AS _source, "
+            f"sha256({_json_text(content)}) AS digest FROM {rows})")
+
+
+_CHANGED = [f"""earlier AS (
+  SELECT * REPLACE (CASE WHEN transaction_count % 4 = 1 THEN median_price_m2 + 1 ELSE median_price_m2 END AS median_price_m2)
+  FROM (SELECT {EST_COLS} FROM est WHERE transaction_count % 4 <> 0))""",
+    """before_rows AS (SELECT * FROM earlier UNION ALL
+  SELECT * REPLACE ('unknown' AS rooms_bucket) FROM earlier WHERE transaction_count % 4 = 2)""",
+    _keyed("now_docs", "est"),
+    _keyed("before_each", "before_rows"),
+    "before_docs AS (SELECT _id, arg_max(digest, _source) AS digest FROM before_each GROUP BY _id)",
+    """changed AS (
+  SELECT coalesce(n._id, b._id) AS _id, CASE WHEN n._id IS NULL THEN 'delete' ELSE 'index' END AS action, n._source, n.digest
+  FROM now_docs n FULL OUTER JOIN before_docs b ON n._id = b._id
+  WHERE n.digest IS DISTINCT FROM b.digest)"""]
+
 ORACLE: dict[str, str] = {
+    "documents": _with(EST_BASE, f"SELECT 'fair_price_estimates' AS _index, {_json_text(_FIELDS)} AS _source FROM est"),
+    "documents_changed": _with(EST_BASE + _CHANGED, "SELECT _id, action, digest FROM changed"),
+    "documents_requests": _with(EST_BASE + _CHANGED, """
+        SELECT part, CAST(row_number() OVER (PARTITION BY part ORDER BY first_id) AS INTEGER) AS block,
+               n_documents, n_bytes, body_sha256
+        FROM (SELECT part, min(_id) AS first_id, count(*) AS n_documents, CAST(sum(size) AS BIGINT) AS n_bytes,
+                     sha256(string_agg(entry, '' ORDER BY _id)) AS body_sha256
+              FROM (SELECT *, coalesce(sum(CASE WHEN size <= 700 THEN size END) OVER w, 0) // 4900 AS by_bytes,
+                           coalesce(sum(CASE WHEN size <= 700 THEN 1 END) OVER w, 0) // 6 AS by_rows,
+                           CASE WHEN size > 700 THEN _id END AS alone
+                    FROM (SELECT left(_id, 1) AS part, _id, entry, strlen(entry) AS size
+                          FROM (SELECT _id, '{"' || action || '":{"_index":"fair_price_estimates","_id":"' || _id || '"}}' || chr(10)
+                                            || coalesce(_source || chr(10), '') AS entry FROM changed))
+                    WINDOW w AS (PARTITION BY part ORDER BY _id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+              GROUP BY part, by_bytes, by_rows, alone)"""),
     "sales_parse": _with([RAW_SALES, TYPED], "SELECT * FROM typed"),
     "sales_filtered": _with([RAW_SALES, TYPED, REASON],
                             "SELECT * EXCLUDE (reject_reason) FROM reasons WHERE reject_reason = 'OK'"),

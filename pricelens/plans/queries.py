@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from pricelens import contracts as C
 from pricelens import sinks as SK
+from pricelens.operators import export as EX
 from pricelens.operators import formatting as FMT
 from pricelens.operators import market as MKT
 from pricelens.operators import valuation as VAL
@@ -669,6 +670,30 @@ def documents_parsed(spark, sf_dir):
     return _parsed_documents(SK.documents(P.estimates(spark, sf_dir)))
 
 
+def _changed_documents(spark, sf_dir):
+    """What differs between the export of the estimates and one of a day before, which lacks some segments, has other
+    medians and one segment more for some, and only another date for the rest."""
+    est = MKT.written(P.estimates(spark, sf_dir), "estimates")
+    kind = F.col("transaction_count") % 4
+    earlier = est.filter(kind != 0).withColumns({
+        "median_price_m2": F.when(kind == 1, F.col("median_price_m2") + 1).otherwise(F.col("median_price_m2")),
+        "computation_date": F.date_sub("computation_date", 1)})
+    gone = earlier.filter(kind == 2).withColumn("rooms_bucket", F.lit("unknown"))
+    before = EX.keyed_documents(earlier.unionByName(gone), SK.DEFAULT_INDEX)
+    return EX.changed_documents(EX.keyed_documents(est, SK.DEFAULT_INDEX), before)
+
+
+def documents_changed(spark, sf_dir):
+    """SNK-5 for an index that holds an earlier run: new, changed and gone documents only."""
+    return _changed_documents(spark, sf_dir).select("_id", "action", "digest")
+
+
+def documents_requests(spark, sf_dir):
+    """The changed documents as bulk requests of at most 5,600 bytes and 6 documents, bodies as digests."""
+    requests = EX.bulk_requests(_changed_documents(spark, sf_dir), max_bytes=5600, max_documents=6, digits=1)
+    return requests.select("part", "block", "n_documents", "n_bytes", F.sha2("body", 256).alias("body_sha256"))
+
+
 def _parsed_documents(docs):
     from pyspark.sql import types as T
     schema = T.StructType([f if f.name != "computation_date" else T.StructField(f.name, T.StringType())
@@ -686,5 +711,5 @@ QUERIES: dict[str, Query] = {f.__name__: f for f in [
     segment_yield, segment_confidence, fair_price_estimates, estimates_latest,
     estimates_roundtrip, estimates_json_snapshot, landing_roundtrip, sales_incremental, sales_deduplicated, daily_run, daily_incremental, daily_incremental_late, daily_incremental_rents, daily_incremental_relanded, segment_stats_streamed, segment_stats_compacted, contract_violations, quality_rules_report, estimates_published, daily_ledger,
     listing_ranges, listing_verdicts, listing_verdicts_valid, listing_invalid, listing_unmatched, verdict_summary,
-    communes, communes_run, market_profile_run, documents_run, documents_earlier_run, commune_count, market_profile, market_profile_rows, market_profile_lookup, documents, documents_parsed,
+    communes, communes_run, market_profile_run, documents_run, documents_earlier_run, commune_count, market_profile, market_profile_rows, market_profile_lookup, documents, documents_parsed, documents_changed, documents_requests,
 ]}
