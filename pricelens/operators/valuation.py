@@ -5,7 +5,8 @@ listings. The estimates side is one row per segment: ``prepared_reference`` writ
 it once and hints the broadcast only within limits (``operators/joins.py``), and then the
 listing side is not shuffled. Beyond the limits, and with ``estimates`` as they come, Spark
 chooses: a stored table is broadcast by its file size, else the join is by shuffle on the
-three lookup keys, with AQE's skew-join splitting for a hot segment.
+three lookup keys, with AQE's skew-join splitting for a hot segment. Listings that are valued
+again and again against more segments than can be broadcast are stored by ``bucketed.py``.
 """
 
 from __future__ import annotations
@@ -18,6 +19,8 @@ from pricelens.functions import exprs as X
 from pricelens.operators.joins import BROADCAST_MAX_ROWS, size_checked_side
 
 LOOKUP = list(C.LOOKUP_KEYS)
+#: Copy number of a hot segment in stored tables (``operators/bucketed.py``).
+COPY = "_copy"
 STATUS_OK = "OK"
 STATUS_NO_REFERENCE = "NO_REFERENCE"
 DEFAULT_CONFIDENCE = "LOW"
@@ -75,7 +78,8 @@ def invalid_listings(listings: DataFrame) -> DataFrame:
     return listings.filter(~F.coalesce(ok, F.lit(False)))
 
 
-def _reference(estimates: DataFrame) -> DataFrame:
+def reference_rows(estimates: DataFrame) -> DataFrame:
+    """The newest estimate of each (commune, type, rooms), as the lookup side of a valuation."""
     est = latest_estimates(estimates)
     have = set(est.columns)
 
@@ -99,7 +103,7 @@ def _reference(estimates: DataFrame) -> DataFrame:
 def prepared_reference(estimates: DataFrame, broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """The lookup side of a valuation, written once (one job) and broadcast if it is small;
     pass it as ``reference`` to value any number of listing tables."""
-    return size_checked_side(_reference(estimates), broadcast_max_rows)[0]
+    return size_checked_side(reference_rows(estimates), broadcast_max_rows)[0]
 
 
 def value_listings(listings: DataFrame, estimates: DataFrame | None = None, bounds: str = "quote",
@@ -111,9 +115,10 @@ def value_listings(listings: DataFrame, estimates: DataFrame | None = None, boun
     ``bounds="exact"`` compares against the unrounded products.
     """
     extra = [c for c in listings.columns if c not in {"commune_code", "property_type", "rooms_bucket",
-                                                      "surface_m2", "asked_price"}]
-    ref = _reference(estimates) if reference is None else reference
-    j = valid_listings(listings).join(ref, on=LOOKUP, how="left")
+                                                      "surface_m2", "asked_price", COPY}]
+    ref = reference_rows(estimates) if reference is None else reference
+    on = [*LOOKUP, COPY] if COPY in ref.columns else LOOKUP
+    j = valid_listings(listings).join(ref, on=on, how="left")
     low_x = X.fair_bound("_q25", "surface_m2", whole_euros=False)
     high_x = X.fair_bound("_q75", "surface_m2", whole_euros=False)
     low = F.bround(low_x, 0)

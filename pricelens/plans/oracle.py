@@ -476,6 +476,11 @@ ORACLE |= {
         FROM mixed WHERE NOT coalesce({_VALID}, false)"""),
     "listing_verdicts_valid": _with(EST_BASE + [LISTINGS, _MIXED, REF, VERDICTS.replace("FROM listings l", "FROM (SELECT * FROM mixed WHERE "
                                     + _VALID + ") l")], "SELECT * FROM verdicts"),
+    "listing_verdicts_stored": _with(EST_BASE + [LISTINGS, """moved AS (
+        SELECT * REPLACE (CASE WHEN l_partkey % 3 = 0 THEN '01005' ELSE commune_code END AS commune_code,
+                          CASE WHEN l_partkey % 3 = 0 THEN 'House' WHEN l_partkey % 11 <> 1 THEN property_type END AS property_type,
+                          CASE WHEN l_partkey % 3 = 0 THEN '5+ rooms' ELSE rooms_bucket END AS rooms_bucket)
+        FROM listings)""", REF, VERDICTS.replace("FROM listings l", "FROM moved l")], "SELECT * FROM verdicts"),
     "daily_incremental_relanded": ORACLE["daily_incremental"],
     "segment_stats_compacted": ORACLE["segment_stats"],
     "rates_json_mixed": _with([RAW_RATES, RATES], """

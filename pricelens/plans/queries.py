@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from pricelens import contracts as C
 from pricelens import sinks as SK
+from pricelens.operators import bucketed as BK
 from pricelens.operators import export as EX
 from pricelens.operators import formatting as FMT
 from pricelens.operators import market as MKT
@@ -598,6 +599,25 @@ def listing_verdicts_valid(spark, sf_dir):
     return VAL.value_listings(_mixed_listings(spark, sf_dir), reference=_reference(spark, sf_dir))
 
 
+def stored_listings(spark, sf_dir, hot_rows=1000, buckets=16):
+    """The listings and the estimates as bucketed tables. A third of the listings is put into one segment and some
+    are without a type; a segment of over ``hot_rows`` listings is dealt over copies."""
+    hot, untyped = F.col("l_partkey") % 3 == 0, F.col("l_partkey") % 11 == 1
+    listings = FX.listings(spark, sf_dir).withColumns({
+        "commune_code": F.when(hot, "01005").otherwise(F.col("commune_code")),
+        "property_type": F.when(hot, "House").when(~untyped, F.col("property_type")),
+        "rooms_bucket": F.when(hot, "5+ rooms").otherwise(F.col("rooms_bucket"))})
+    root = scratch_path(spark, "stored")
+    name = root.rsplit("-", 1)[1]  # of its own for each call
+    return (BK.store_listings(listings, f"listings_{name}", root, buckets, hot_rows),
+            BK.store_reference(P.estimates(spark, sf_dir), f"reference_{name}", root + "/reference", root, buckets))
+
+
+def listing_verdicts_stored(spark, sf_dir):
+    """JOIN-3 beyond the broadcast limit: both sides bucketed alike, a hot segment in copies."""
+    return BK.value_stored(*stored_listings(spark, sf_dir))
+
+
 def listing_unmatched(spark, sf_dir):
     return VAL.unmatched_listings(FX.listings(spark, sf_dir), reference=_reference(spark, sf_dir))
 
@@ -710,6 +730,6 @@ QUERIES: dict[str, Query] = {f.__name__: f for f in [
     segment_stats, segment_stats_approx, segment_stats_merged, segment_stats_exact, segment_stats_sketch, segment_stats_hot, segment_rent, segment_rate, segment_liquidity,
     segment_yield, segment_confidence, fair_price_estimates, estimates_latest,
     estimates_roundtrip, estimates_json_snapshot, landing_roundtrip, sales_incremental, sales_deduplicated, daily_run, daily_incremental, daily_incremental_late, daily_incremental_rents, daily_incremental_relanded, segment_stats_streamed, segment_stats_compacted, contract_violations, quality_rules_report, estimates_published, daily_ledger,
-    listing_ranges, listing_verdicts, listing_verdicts_valid, listing_invalid, listing_unmatched, verdict_summary,
+    listing_ranges, listing_verdicts, listing_verdicts_valid, listing_verdicts_stored, listing_invalid, listing_unmatched, verdict_summary,
     communes, communes_run, market_profile_run, documents_run, documents_earlier_run, commune_count, market_profile, market_profile_rows, market_profile_lookup, documents, documents_parsed, documents_changed, documents_requests,
 ]}

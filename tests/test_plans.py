@@ -42,6 +42,49 @@ def test_registered_valuations_join_by_broadcast(spark, q, name):
     assert tree.count("Exchange") - tree.count("BroadcastExchange") == (name == "verdict_summary")
 
 
+def test_stored_valuations_exchange_nothing(spark):
+    """Both sides beyond the broadcast limit: no exchange at all, and no bucket holds the hot third of the listings."""
+    from pyspark.sql import functions as F
+    from pricelens.operators import bucketed as BK
+    from pricelens.plans import queries as Q
+    listings, reference = Q.stored_listings(spark, SF_SMALL, hot_rows=100)
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    for threshold in ("-1", limit):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        try:
+            for bounds in ("quote", "exact"):
+                tree = final_plan(BK.value_stored(listings, reference, bounds)).split("+- == Initial Plan ==")[0]
+                assert "SortMergeJoin" in tree and "Exchange" not in tree
+        finally:
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    n = listings.count()
+    hot = (F.col("commune_code") == "01005") & (F.col("property_type") == "House") & (F.col("rooms_bucket") == "5+ rooms")
+    assert listings.filter(hot).count() > n / 4
+    per_file = listings.groupBy(F.input_file_name()).count().toPandas()["count"]
+    assert per_file.max() < n / 4
+    copies = {r["_copy"]: r["n"] for r in listings.filter(hot).groupBy("_copy").agg(F.count("*").alias("n")).collect()}
+    assert len(copies) > 3 and max(copies.values()) <= 2 * 100
+    assert listings.filter("property_type is null").select("_copy").distinct().count() > 1
+
+
+def test_stored_tables_of_no_rows_and_equal_rows(spark, tmp_out):
+    from pricelens.operators import bucketed as BK
+    from pricelens.operators import valuation as VAL
+    from pricelens.plans import daily as P
+    est = P.estimates(spark, SF_SMALL)
+    kind = "commune_code string, property_type string, rooms_bucket string, surface_m2 double, asked_price double, note string"
+    top = est.orderBy(*VAL.LOOKUP).first()
+    row = (top.commune_code, top.property_type, top.rooms_bucket, 50.0, 100_000.0, "same")
+    for name, rows in (("none", []), ("same", [row] * 50 + [(None, "House", "2 rooms", 50.0, 1.0, "nowhere")] * 20)):
+        plain = spark.createDataFrame(rows, kind)
+        stored = BK.store_listings(plain, f"test_{name}", f"{tmp_out}/{name}", 4, hot_rows=10)
+        ref = BK.store_reference(est, f"test_{name}_ref", f"{tmp_out}/{name}-ref", f"{tmp_out}/{name}", 4)
+        got, want = BK.value_stored(stored, ref), VAL.value_listings(plain, est)
+        assert got.columns == want.columns
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+        assert stored.select("_copy").distinct().count() == (5 if rows else 0)
+
+
 def _scans_of(monkeypatch, table, build):
     """How many scans of ``table`` a query has in all plans that it runs: those that are written on the way, and its own."""
     from pricelens import sinks as SK
