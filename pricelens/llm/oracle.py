@@ -41,21 +41,26 @@ u AS (SELECT *, regexp_replace(lower(regexp_extract(bare, '^([^/?]*)', 1)), '^ww
              list_sort(list_filter(string_split(regexp_extract(bare, '\?(.*)$', 1), '&'),
                lambda x: x <> '' AND NOT regexp_matches(x, '^(utm_[^=]*|ref|fbclid|gclid)(=|$)'))) AS q FROM p),
 c AS (SELECT *, host || path || CASE WHEN len(q) > 0 THEN '?' || array_to_string(q, '&') ELSE '' END AS site FROM u),
-r AS (SELECT v.page_id, v.site, v.k AS vk, v.s + 86400 AS vs, v.html AS vhtml,
-             (SELECT max(struct_pack(s := f.s, id := 'r' || f.page_id)) FROM c f WHERE f.site = v.site AND f.s < v.s + 86400) AS hit
-      FROM c v),
-j AS (SELECT r.*, o.page_id AS oid, o.html AS ohtml, o.k AS ok, o.s AS os FROM r LEFT JOIN c o ON 'r' || o.page_id = r.hit.id),
-d AS (SELECT *, coalesce(
-        CASE WHEN vk IN (0, 2) AND ok <> 3 THEN (vk = 0 AND md5(vhtml) = md5(ohtml)) END,
-        CASE WHEN vk = 1 AND ok <> 3 THEN vs = os + 86400 END,
-        sha256(vhtml) = sha256(ohtml)) AS agree FROM j)
-SELECT page_id, site AS canonical_url,
-       CASE WHEN oid IS NULL THEN 'no_response' WHEN agree THEN 'resolved' ELSE 'mismatch' END AS outcome,
-       oid AS response_page_id,
-       CASE WHEN agree THEN CASE WHEN vk = 0 THEN 'W/"' || md5(vhtml) || '"' WHEN vk = 2 THEN '"changed"'
-            WHEN ok <> 3 THEN '"' || md5(ohtml) || '"' END END AS etag,
-       CASE WHEN agree THEN strftime(to_timestamp(vs) AT TIME ZONE 'UTC', '%Y-%m-%dT%H:%M:%SZ') END AS date,
-       CASE WHEN agree THEN 'text/html' END AS content_type, CASE WHEN agree THEN sha256(ohtml) END AS body_sha256
+f AS (SELECT 'r' || page_id AS rid, page_id, site, s, CASE WHEN k <> 3 THEN '"' || md5(html) || '"' END AS etag,
+             CASE WHEN k <> 3 THEN s - 86400 END AS modified, sha256(html) AS sha FROM c
+      UNION ALL SELECT 'o' || page_id, page_id, site, s - 3600, '"old"', NULL, sha256('old') FROM c WHERE page_id % 3 = 0
+      UNION ALL SELECT 'h' || page_id, page_id, 'hot.example.org/a', s, '"h' || page_id // 10 || '"', NULL, sha256('h' || page_id // 10)
+                FROM c WHERE page_id % 3 = 2),
+v AS (SELECT 'v' AS capture, page_id, site, s + 86400 AS s, CASE k WHEN 0 THEN 'W/"' || md5(html) || '"' WHEN 2 THEN '"changed"' END AS etag,
+             CASE WHEN k = 1 THEN s - 86400 END AS modified, sha256(html) AS sha FROM c
+      UNION ALL SELECT 'b', page_id, site, s - 7200, '"' || md5(html) || '"', NULL, sha256(html) FROM c WHERE page_id % 7 = 0
+      UNION ALL SELECT 'w', page_id, 'hot.example.org/a', s + 200, 'W/"h' || page_id // 10 || '"', NULL, sha256('h' || page_id // 10)
+                FROM c WHERE page_id % 3 = 2),
+r AS (SELECT v.*, (SELECT max(struct_pack(s := f.s, rid := f.rid)) FROM f WHERE f.site = v.site AND f.s < v.s) AS hit FROM v),
+d AS (SELECT r.capture, r.page_id, r.site, r.s, r.etag, f.rid, f.page_id AS oid, f.etag AS oetag, f.sha AS osha, coalesce(
+        regexp_replace(r.etag, '^W/', '') = f.etag, r.modified = f.modified, r.sha = f.sha) AS agree
+      FROM r LEFT JOIN f ON f.rid = r.hit.rid)
+SELECT page_id, capture, site AS canonical_url,
+       CASE WHEN rid IS NULL THEN 'no_response' WHEN agree THEN 'resolved' ELSE 'mismatch' END AS outcome,
+       oid AS response_page_id, left(rid, 1) AS response_capture,
+       CASE WHEN agree THEN coalesce(etag, oetag) END AS etag,
+       CASE WHEN agree THEN strftime(to_timestamp(s) AT TIME ZONE 'UTC', '%Y-%m-%dT%H:%M:%SZ') END AS date,
+       CASE WHEN agree THEN 'text/html' END AS content_type, CASE WHEN agree THEN osha END AS body_sha256
 FROM d""",
     "op10_exact_dedup": """
 WITH n AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t

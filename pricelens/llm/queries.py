@@ -64,11 +64,12 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Revisits of every page, written as WARC records, parsed and resolved."""
+    """Revisits of every page, and of one URL that a third of the pages share, written as WARC records, parsed and resolved."""
     found = resolve(written(parse(records_of(table(spark, sf_dir, "pages"))), "records"))
     return found.select(
-        F.expr("cast(substring(record_id, 2, 20) as bigint)").alias("page_id"), "canonical_url", "outcome",
-        F.expr("cast(substring(response_id, 2, 20) as bigint)").alias("response_page_id"),
+        F.expr("cast(substring(record_id, 2, 20) as bigint)").alias("page_id"), F.left("record_id", F.lit(1)).alias("capture"),
+        "canonical_url", "outcome", F.expr("cast(substring(response_id, 2, 20) as bigint)").alias("response_page_id"),
+        F.left("response_id", F.lit(1)).alias("response_capture"),
         F.col("headers")["etag"].alias("etag"), F.col("headers")["date"].alias("date"),
         F.col("headers")["content-type"].alias("content_type"), "body_sha256")
 

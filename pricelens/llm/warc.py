@@ -48,21 +48,27 @@ def _headers(block: Column) -> Column:
 def parse(records: DataFrame, column: str = "record") -> DataFrame:
     """record_id, kind, url, captured_at (seconds), digest, status, headers, body_sha256 of whole records.
 
-    A null or broken record gives null fields and no headers. A body ends before the record's closing blank lines.
+    A null or broken record gives null fields and no headers. The block has as many bytes as the record's
+    Content-Length says; if that is missing, no number or more than there is, it ends before the closing blank
+    lines. Headers end at the block's first blank line, the body is what the block holds after them.
     """
     text = F.col(column).cast("string")
     parts = records.select(text.alias("t"), F.instr(text, "\r\n\r\n").alias("at"))
     parts = parts.select(F.expr("substring(t, 1, at - 1)").alias("head"), F.expr("substring(t, at + 4, length(t))").alias("block"))
     parts = parts.select(_headers(F.col("head")).alias("w"), "block", F.instr("block", "\r\n\r\n").alias("at"))
-    http = F.expr("substring(block, 1, at - 1)")
-    body = F.regexp_replace(F.expr("substring(block, at + 4, length(block))"), "\r\n\r\n$", "")
+    there = F.octet_length("block")
+    told = F.col("w")["content-length"].try_cast("int")
+    size = F.when(told.between(0, there), told).otherwise(there - F.when(F.endswith("block", F.lit("\r\n\r\n")), 4).otherwise(0))
+    start = F.when(F.col("at") > 0, F.octet_length(F.expr("substring(block, 1, at + 3)"))).otherwise(0)
+    parts = parts.select("w", "block", F.expr("substring(block, 1, at - 1)").alias("http"), start.alias("start"), size.alias("size"))
+    body = F.expr("substring(cast(block as binary), start + 1, greatest(size - start, 0))")
     return parts.select(
         F.col("w")["warc-record-id"].alias("record_id"), F.col("w")["warc-type"].alias("kind"),
         F.col("w")["warc-target-uri"].alias("url"),
         F.unix_timestamp(F.try_to_timestamp(F.col("w")["warc-date"], F.lit("yyyy-MM-dd'T'HH:mm:ssX"))).alias("captured_at"),
         F.col("w")["warc-payload-digest"].alias("digest"), F.col("w")["warc-profile"].alias("profile"),
-        F.expr("try_cast(regexp_extract(block, '^HTTP/[0-9.]+ ([0-9]+)', 1) as int)").alias("status"),
-        _headers(http).alias("headers"), F.sha2(body, 256).alias("body_sha256"))
+        F.expr("try_cast(regexp_extract(substring(block, 1, 64), '^HTTP/[0-9.]+ ([0-9]+)', 1) as int)").alias("status"),
+        _headers(F.col("http")).alias("headers"), F.sha2(body, 256).alias("body_sha256"))
 
 
 def _agree(revisit: Column, response: Column) -> Column:
@@ -119,40 +125,50 @@ def resolve(records: DataFrame, span_seconds: int = SPAN_SECONDS, kept: tuple[st
 
 
 def records_of(pages: DataFrame) -> DataFrame:
-    """WARC records derived from pages: a response of each, and a later revisit of each.
+    """WARC records derived from pages; rows without a page_id have none (records are named by it).
 
-    A page's response is captured at its number in minutes. Its revisit comes a day later
-    under another spelling of the URL. By the page's number, the revisit repeats the entity
-    tag (weakly), repeats the date, has another tag, or has no validator but the digest.
+    r: the page's response, captured at its number in minutes. v: its revisit a day later under another spelling of
+    the URL. By the page's number, it repeats the entity tag (weakly), repeats the date, has another tag, or has no
+    validator but the digest. Some pages also have o: an older, other response; e: a 404 between response and
+    revisit, with the page's tag; b: a revisit before any response. Every third page adds h and w: a response and a
+    revisit of one and the same URL, which changes every ten pages.
     """
     line = lambda name, value: F.concat(F.lit(f"{name}: "), value, F.lit("\r\n"))
     at = lambda seconds: F.date_format(F.timestamp_seconds(seconds), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    quoted = lambda value: F.concat(F.lit('"'), value, F.lit('"'))
     rows = pages.where("page_id is not null").select(
         F.col("page_id").cast("long").alias("id"), "url", F.coalesce("html", F.lit("")).alias("html"),
         (F.col("page_id") * 60 + 1_700_000_000).alias("s"))
-    rows = rows.select("*", F.sha2("html", 256).alias("sha"), F.md5("html").alias("tag"), (F.col("id") % 4).alias("case"))
+    rows = rows.select("*", F.sha2("html", 256).alias("sha"), F.md5("html").alias("tag"), (F.col("id") % 4).alias("case"),
+                       F.concat(F.lit("h"), F.floor(F.col("id") / 10).cast("string")).alias("version"))
 
-    def record(kind: str, name: Column, url: Column, seconds: Column, extra: Column, block: Column) -> Column:
-        head = F.concat(F.lit("WARC/1.1\r\n"), line("WARC-Type", F.lit(kind)), line("WARC-Record-ID", name),
+    def record(name: str, kind: str, url: Column, seconds: Column, sha: Column, status: str, headers: Column, body: Column) -> Column:
+        http = F.concat(F.lit(f"HTTP/1.1 {status}\r\n"), line("Date", at(seconds)), headers, F.lit("\r\n"), body)
+        head = F.concat(F.lit("WARC/1.1\r\n"), line("WARC-Type", F.lit(kind)),
+                        line("WARC-Record-ID", F.concat(F.lit(name), F.col("id").cast("string"))),
                         F.coalesce(line("WARC-Target-URI", url), F.lit("")), line("WARC-Date", at(seconds)),
-                        line("WARC-Payload-Digest", F.concat(F.lit("sha256:"), "sha")), extra,
-                        line("Content-Length", F.octet_length(block).cast("string")), F.lit("\r\n"))
-        return F.concat(head, block, F.lit("\r\n\r\n"))
-
-    tag = F.concat(F.lit('"'), "tag", F.lit('"'))
-    date = at(F.col("s") - 86_400)
-    response = F.concat(F.lit("HTTP/1.1 200 OK\r\n"), line("Date", at(F.col("s"))), line("Content-Type", F.lit("text/html")),
-                        line("Content-Length", F.octet_length("html").cast("string")),
-                        F.when(F.col("case") != 3, F.concat(line("ETag", tag), line("Last-Modified", date))).otherwise(""),
-                        F.lit("\r\n"), "html")
-    later = F.col("s") + 86_400
-    other = F.when(F.col("case") == 0, line("ETag", F.concat(F.lit("W/"), tag))).when(
-        F.col("case") == 1, line("Last-Modified", date)).when(F.col("case") == 2, line("ETag", F.lit('"changed"'))).otherwise("")
-    revisit = F.concat(F.lit("HTTP/1.1 304 Not Modified\r\n"), line("Date", at(later)), line("Content-Type", F.lit("text/plain")),
-                       other, F.lit("\r\n"))
+                        line("WARC-Payload-Digest", F.concat(F.lit("sha256:"), sha)),
+                        line("WARC-Profile", F.lit(PROFILE)) if kind == "revisit" else F.lit(""),
+                        line("Content-Length", F.octet_length(http).cast("string")), F.lit("\r\n"))
+        return F.concat(head, http, F.lit("\r\n\r\n"))
+
+    none, html, plain = F.lit(""), line("Content-Type", F.lit("text/html")), line("Content-Type", F.lit("text/plain"))
+    s, case, sha, tag, version = F.col("s"), F.col("case"), F.col("sha"), quoted("tag"), quoted("version")
+    date = at(s - 86_400)
     spelled = F.concat(F.regexp_replace("url", "#.*$", ""), F.lit("#again"))
-    none = F.lit("")
+    own = F.when(case != 3, F.concat(line("ETag", tag), line("Last-Modified", date))).otherwise("")
+    other = F.when(case == 0, line("ETag", F.concat(F.lit("W/"), tag))).when(
+        case == 1, line("Last-Modified", date)).when(case == 2, line("ETag", F.lit('"changed"'))).otherwise("")
+    hot, hot_sha = F.lit("http://www.hot.example.org/a?utm_source=feed"), F.sha2("version", 256)
+    every = lambda n, rest, made: F.when(F.col("id") % n == rest, made)
+    length = line("Content-Length", F.octet_length("html").cast("string"))
     return rows.select(F.explode(F.array(
-        record("response", F.concat(F.lit("r"), F.col("id").cast("string")), F.col("url"), F.col("s"), none, response),
-        record("revisit", F.concat(F.lit("v"), F.col("id").cast("string")), spelled, later, line("WARC-Profile", F.lit(PROFILE)),
-               revisit))).alias("record"))
+        record("r", "response", F.col("url"), s, sha, "200 OK", F.concat(html, length, own), F.col("html")),
+        record("v", "revisit", spelled, s + 86_400, sha, "304 Not Modified", F.concat(plain, other), none),
+        every(3, 0, record("o", "response", F.col("url"), s - 3600, F.sha2(F.lit("old"), 256), "200 OK",
+                           F.concat(html, line("ETag", F.lit('"old"'))), F.lit("old"))),
+        every(5, 0, record("e", "response", F.col("url"), s + 43_200, sha, "404 Not Found", F.concat(html, line("ETag", tag)), none)),
+        every(7, 0, record("b", "revisit", spelled, s - 7200, sha, "304 Not Modified", line("ETag", tag), none)),
+        every(3, 2, record("h", "response", hot, s, hot_sha, "200 OK", F.concat(html, line("ETag", version)), F.col("version"))),
+        every(3, 2, record("w", "revisit", F.lit("https://HOT.example.org:443/a/#x"), s + 200, hot_sha, "304 Not Modified",
+                           line("ETag", F.concat(F.lit("W/"), version)), none)))).alias("record")).where("record is not null")

@@ -86,3 +86,27 @@ def test_clashing_columns_and_long_bodies(spark):
     assert [(r.record_id, r.outcome, r.response_id) for r in got] == [("v1", "resolved", "r1")]
     import hashlib
     assert got[0].body_sha256 == hashlib.sha256(("long body " * 200_000).encode()).hexdigest()
+
+
+def test_bodies_end_where_the_content_length_says(spark):
+    import hashlib
+    head = "WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: {}\r\n{}\r\n"
+    http = "HTTP/1.1 200 OK\r\nETag: é\r\n\r\n"
+    block = http + "naïve\r\n\r\n"  # a body that ends in blank lines itself
+    n = len(block.encode())
+    rows = [(head.format(name, length) + block + "\r\n\r\n",) for name, length in [
+        ("right", f"Content-Length: {n}\r\n"), ("none", ""), ("word", "Content-Length: many\r\n"), ("more", f"Content-Length: {n + 99}\r\n"),
+        ("less", f"Content-Length: {len((http + 'na').encode())}\r\n"), ("short", "Content-Length: 3\r\n"), ("minus", "Content-Length: -5\r\n")]]
+    got = {r.record_id: r for r in parse(spark.createDataFrame(rows, "record string")).collect()}
+    assert {r.status for r in got.values()} == {200} and all(r.headers == {"etag": "é"} for r in got.values())
+    want = {"right": "naïve\r\n\r\n", "none": "naïve\r\n\r\n", "word": "naïve\r\n\r\n", "more": "naïve\r\n\r\n", "less": "na", "short": "",
+            "minus": "naïve\r\n\r\n"}
+    assert {k: r.body_sha256 for k, r in got.items()} == {k: hashlib.sha256(v.encode()).hexdigest() for k, v in want.items()}
+
+
+def test_the_derived_records_hold_every_kind_of_capture(spark):
+    pages = spark.createDataFrame([(i, f"http://a{i}.org/p", f"body {i}") for i in range(70)], "page_id long, url string, html string")
+    got = resolve(parse(records_of(pages))).collect()
+    seen = Counter((r.record_id[0], r.outcome, (r.response_id or "-")[0]) for r in got)
+    assert set(seen) == {("v", "resolved", "r"), ("v", "mismatch", "r"), ("b", "no_response", "-"), ("w", "resolved", "h"), ("w", "mismatch", "h")}
+    assert len(got) == 70 + 10 + 23
