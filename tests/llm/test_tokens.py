@@ -133,3 +133,15 @@ def test_a_stored_count_is_used_and_another_version_is_not(spark, documents):
 
 def test_counting_an_empty_table(spark, documents):
     assert token_counts.token_counts(documents([]), JSON, new_path(spark, "cache")).collect() == []
+
+
+def test_very_long_texts_encode_as_in_the_library(documents, library):
+    r = random.Random(2)
+    words = ["".join(r.choice("etaoinshré日 ") for _ in range(r.randint(1, 12))) for _ in range(3000)]
+    text = " ".join(r.choice(words) for _ in range(200_000))
+    rows = [(1, text), (2, text[::-1]), (3, "x" * 1500 + text[:50_000]), (4, text)]
+    got = {x.doc_id: (x.n_tokens, x.ids_sha256, x.decoded_sha256) for x in encode_decode(
+        documents(rows), RANKS, public_tokenizers.PATTERN, each=DIGESTS).collect()}
+    for i, t in rows:
+        ids = np.array(library.encode_ordinary(t), dtype="<u4")
+        assert got[i] == (len(ids), hashlib.sha256(ids.tobytes()).hexdigest(), hashlib.sha256(t.encode()).hexdigest())
