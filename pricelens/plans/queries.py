@@ -117,17 +117,15 @@ def rents_latest(spark, sf_dir):
 
 
 def delimiter_detect(spark, sf_dir):
-    """SRC-5: land the rent table with ``;`` (values keep their decimal commas), sniff
-    the delimiter from the text, and read it back with the detected one."""
+    """SRC-5: land the rent table with ``;`` (values keep their decimal commas), sniff the delimiter and read
+    the rows back with it, all from one scan of the text."""
     path = scratch_path(spark, "rents-landed")
     SK.land_csv(FX.raw_rents(spark, sf_dir), path, P.INGESTION_DATE, sep=";")
-    counts = R.delimiter_counts(spark, path)
-    sep = R.detect_delimiter(spark, path)
-    back = R.read_landed_csv(spark, path, sep=sep)
-    n_rows = back.agg(F.count(F.lit(1)).alias("n_rows"))
-    fields = (spark.read.text(path)
-              .agg(F.max(F.size(F.split("value", sep, -1))).alias("fields_per_line")))
-    stats = counts.agg(F.sum("n_comma").alias("n_comma"))
+    lines = R.landed_lines(spark, path)
+    sep = R.detect_delimiter(spark, path, lines)
+    n_rows = R.read_csv_detected(spark, path, lines=lines).agg(F.count(F.lit(1)).alias("n_rows"))
+    fields = lines.agg(F.max(F.size(F.split("value", sep, -1))).alias("fields_per_line"))
+    stats = R.delimiter_counts(lines).agg(F.sum("n_comma").alias("n_comma"))
     return (stats.select(F.lit(sep).alias("delimiter"), "n_comma")
             .withColumns({"n_rows": n_rows.scalar(), "fields_per_line": fields.scalar()}))
 

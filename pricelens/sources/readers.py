@@ -140,13 +140,26 @@ BAD_TEXT = "not_utf8"
 
 
 def _text_lines(spark: SparkSession, paths, sep: str) -> DataFrame:
-    """file, at (block and order in it), value, n_fields of every line of text files; quoted separators don't count."""
+    """file, at (block and order in it), value, n_fields of every line of text files; quoted separators don't count.
+
+    The text is read here, once: the lines are written as Parquet and whatever is asked of them reads that."""
+    from pricelens.operators.joins import written
     unquoted = F.regexp_replace("value", '"([^"]|"")*"', "")
+    return written(_raw_lines(spark, paths).withColumn(
+        "n_fields", F.length(unquoted) - F.length(F.translate(unquoted, sep, "")) + 1), "lines")
+
+
+def _raw_lines(spark: SparkSession, paths) -> DataFrame:
+    """file, at, value (without byte order mark and carriage return) of every line of text files."""
     return spark.read.option("encoding", "UTF-8").option("recursiveFileLookup", True).text(paths).select(
         _file_path().alias("file"),
         F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("n")).alias("at"),
-        F.regexp_replace("value", "^\uFEFF|\r$", "").alias("value")).withColumn(
-        "n_fields", F.length(unquoted) - F.length(F.translate(unquoted, sep, "")) + 1)
+        F.regexp_replace("value", "^\uFEFF|\r$", "").alias("value"))
+
+
+def _header_names(fields: Column) -> Column:
+    """The names in a header line's fields, without their quotes."""
+    return F.transform(fields, lambda c: F.regexp_replace(c, '^"|"$', ""))
 
 
 def file_verdicts(lines: DataFrame, whitelist, sep: str) -> DataFrame:
@@ -158,7 +171,7 @@ def file_verdicts(lines: DataFrame, whitelist, sep: str) -> DataFrame:
     per_file = text.groupBy("file").agg(
         F.min_by(F.struct("value", "n_fields"), "at").alias("first"), F.max("n_fields").alias("widest"),
         F.max(F.contains("value", F.lit("\uFFFD"))).alias("broken_text"))
-    header = F.transform(F.split("first.value", re.escape(sep), -1), lambda c: F.regexp_replace(c, '^"|"$', ""))
+    header = _header_names(F.split("first.value", re.escape(sep), -1))
     known = F.size(F.array_intersect(F.col("header"), F.array(*[F.lit(c) for c in whitelist]))) > 0
     return per_file.withColumn("header", header).select(
         "file", "header", F.col("first.value").alias("header_line"), F.col("first.n_fields").alias("n_header"),
@@ -174,9 +187,10 @@ def read_quarantined_csv(spark: SparkSession, paths, whitelist=SALES_WHITELIST,
     missing at a line's end, is NULL). Rejects: file, line, reason for every line that made a file bad, and
     line 1 of a file without a whitelisted column; a bad file is left out whole.
 
-    Two passes over the text and no list of files on the driver but of those left out, which are logged and
-    appended to ``skipped`` with the paths that don't exist: the first gives each file's verdict and header, the
-    second parses the lines of good files, whose headers meet them by broadcast behind a size check. A quoted
+    One pass over the text, whose lines are written as Parquet (``_text_lines``), and no list of files on the
+    driver but of those left out, which are logged and appended to ``skipped`` with the paths that don't exist.
+    Verdicts and headers are an aggregate over the written lines; they meet the lines of good files by
+    broadcast behind a size check, and those are parsed. A quoted
     field may hold the separator, not a line break; a line that repeats its file's header is no row.
     Unless ``tolerant``, a missing path or bad file raises; so do files of which none has a
     whitelisted column (a wrong delimiter)."""
@@ -240,46 +254,63 @@ def read_whitelisted_csv(spark: SparkSession, paths, whitelist=SALES_WHITELIST,
     return read_quarantined_csv(spark, paths, whitelist, sep, tolerant, skipped)[0]
 
 
-def delimiter_counts(spark: SparkSession, path: str) -> DataFrame:
-    """SRC-5 as a distributed count: occurrences of ``;`` and ``,`` per file, and the
-    delimiter a sniffer would choose (``;`` only if strictly more frequent)."""
-    lines = spark.read.option("encoding", "UTF-8").text(path).select(
-        _file_path().alias("file"), F.col("value"))
-    n_semi = F.sum(F.length("value") - F.length(F.translate("value", ";", "")))
-    n_comma = F.sum(F.length("value") - F.length(F.translate("value", ",", "")))
-    agg = lines.groupBy("file").agg(n_semi.alias("n_semicolon"), n_comma.alias("n_comma"),
+def landed_lines(spark: SparkSession, path: str) -> DataFrame:
+    """file, at, value, n_semicolon, n_comma of every line of the text files under ``path``, which are read
+    here, once, and written as Parquet. Delimiters, headers and rows are all taken from it."""
+    from pricelens.operators.joins import written
+    times = lambda c: F.length("value") - F.length(F.translate("value", c, ""))
+    return written(_raw_lines(spark, path).withColumns({"n_semicolon": times(";"), "n_comma": times(",")}), "landed-lines")
+
+
+def delimiter_counts(lines: DataFrame) -> DataFrame:
+    """SRC-5 over ``landed_lines``: occurrences of ``;`` and ``,`` per file, and the delimiter a sniffer
+    would choose (``;`` only if strictly more frequent). The text itself is not read for it."""
+    agg = lines.groupBy("file").agg(F.sum("n_semicolon").alias("n_semicolon"), F.sum("n_comma").alias("n_comma"),
                                     F.count(F.lit(1)).alias("n_lines"))
     return agg.withColumn("delimiter", F.when(F.col("n_semicolon") > F.col("n_comma"), ";").otherwise(","))
 
 
-def detect_delimiter(spark: SparkSession, path: str) -> str:
+def detect_delimiter(spark: SparkSession, path: str, lines: DataFrame | None = None) -> str:
     """The delimiter for a landed text file or folder (one aggregated row is read)."""
-    row = delimiter_counts(spark, path).agg(F.sum("n_semicolon").alias("s"), F.sum("n_comma").alias("c")).first()
+    lines = landed_lines(spark, path) if lines is None else lines
+    row = lines.agg(F.sum("n_semicolon").alias("s"), F.sum("n_comma").alias("c")).first()
     return ";" if row is not None and (row["s"] or 0) > (row["c"] or 0) else ","
 
 
-def read_csv_detected(spark: SparkSession, path: str, snapshot: str = "all") -> DataFrame:
-    """SRC-5 per file: each landed file is read with the delimiter sniffed from its own
-    text, files sharing a delimiter in one scan, the groups unioned by name. The list of
-    (file, delimiter) pairs reaches the driver: one row per rent file, of which a landing
-    has a handful."""
-    per_file = delimiter_counts(spark, path).select("file", "delimiter").collect()
-    groups: dict[str, list[str]] = {}
-    for row in per_file:
-        groups.setdefault(row["delimiter"], []).append(row["file"])
-    frames = []
-    for sep, files in sorted(groups.items()):
-        reader = (spark.read.option("header", True).option("inferSchema", False)
-                  .option("sep", sep).option("encoding", "UTF-8").option("basePath", path))
-        cols = [c for c in reader.csv(files).columns if c != "ingestion_date"]
-        schema = T.StructType([T.StructField(c, T.StringType()) for c in cols])
-        # As in read_landed_csv: every file's header is checked, never read by position.
-        frames.append(reader.schema(schema).option("enforceSchema", False).csv(files))
-    if not frames:
+def read_csv_detected(spark: SparkSession, path: str, snapshot: str = "all", lines: DataFrame | None = None) -> DataFrame:
+    """SRC-5 per file: the rows of landed files, each by the delimiter and the header of its own text.
+
+    The text is read once (``landed_lines``, or ``lines`` of it). Columns go by their names, in any order and
+    letter case; a column that a file lacks, and a field that a line lacks, is NULL. The driver gets one row
+    for each different header, not the files. A quoted field may hold the delimiter, not a line break; blank
+    lines are no rows. Partition columns are those of the folder's listing."""
+    from pricelens.operators.joins import size_checked_side
+    lines = landed_lines(spark, path) if lines is None else lines
+    heads = lines.where(F.trim("value") != "").groupBy("file").agg(
+        F.min("at").alias("head"), F.min_by("value", "at").alias("line"))
+    fields = F.when(F.col("delimiter") == ";", F.split("line", ";", -1)).otherwise(F.split("line", ",", -1))
+    names = F.transform(_header_names(fields), lambda c, i: F.when(c == "", F.concat(F.lit("_c"), i.cast("string"))).otherwise(c))
+    files, _ = size_checked_side(delimiter_counts(lines).join(heads, "file").select(
+        F.col("file").alias("of"), "delimiter", "head", names.alias("names"), F.transform(names, F.lower).alias("header")),
+        name="file-headers")
+    layouts = sorted((tuple(r["names"]) for r in files.select("names").distinct().collect()), key=lambda n: (-len(n), n))
+    if not layouts:
         return read_landed_csv(spark, path, snapshot=snapshot)
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f, allowMissingColumns=True)
+    columns: dict[str, str] = {}
+    for name in (n for layout in layouts for n in layout):
+        columns.setdefault(name.lower(), name)
+    schema = ", ".join(f"c{i} string" for i in range(len(layouts[0])))
+    rows = lines.join(files, F.col("file") == F.col("of")).where((F.trim("value") != "") & (F.col("at") != F.col("head")))
+    by = lambda sep: F.from_csv("value", schema, {"sep": sep})
+    rows = rows.select("file", "header", F.when(F.col("delimiter") == ";", by(";")).otherwise(by(",")).alias("v"))
+    rows = rows.select("file", "header", F.array(*[F.col(f"v.c{i}") for i in range(len(layouts[0]))]).alias("v"))
+    found = lambda c: F.array_position("header", F.lit(c))
+    listed = [f for f in partition_values(spark, path).schema.fields
+              if f.name not in ("path", "modificationTime", "length") and f.name.lower() not in columns]
+    out = rows.select(
+        *[F.when(found(low) > 0, F.try_element_at("v", found(low).cast("int"))).alias(name) for low, name in columns.items()],
+        *[F.nullif(F.regexp_extract("file", f"/{re.escape(f.name)}=([^/]*)/", 1), F.lit("__HIVE_DEFAULT_PARTITION__"))
+          .cast(f.dataType).alias(f.name) for f in listed])
     if snapshot == "latest" and "ingestion_date" in out.columns:
         newest = partition_values(spark, path).agg(F.max("ingestion_date")).scalar()
         out = out.filter(F.col("ingestion_date") == newest)

@@ -169,6 +169,31 @@ def test_read_csv_detected_per_file(spark, tmp_out):
     assert [r.code_commune for r in latest] == ["01002"]
 
 
+def test_detected_columns_go_by_each_files_header(spark, tmp_out):
+    p = tmp_out + "/rents"
+    files = [("2024-12-29", 'code_commune;"loyer";annee', ["01001;15,8;2023", "", '01002;"a;b"', "01003;;2024;surplus"]),
+             ("2024-12-30", "ANNEE,code_commune", ["2022,02001"]), ("2024-12-31", "code_commune,,loyer", ["03001,x,7.5"])]
+    for day, header, lines in files:
+        spark.createDataFrame([(x,) for x in [header, *lines]], "value string").coalesce(1).write.text(f"{p}/ingestion_date={day}")
+    got = R.read_csv_detected(spark, p)
+    assert {c.lower() for c in got.columns} == {"code_commune", "loyer", "annee", "_c1", "ingestion_date"}
+    assert dict(got.dtypes)["ingestion_date"] == "date"
+    rows = {(r.code_commune, r.loyer, r._c1, r["annee"], str(r.ingestion_date)) for r in got.withColumnRenamed("ANNEE", "annee").collect()}
+    assert rows == {("01001", "15,8", None, "2023", "2024-12-29"), ("01002", "a;b", None, None, "2024-12-29"),
+                    ("01003", None, None, "2024", "2024-12-29"), ("02001", None, None, "2022", "2024-12-30"),
+                    ("03001", "7.5", "x", None, "2024-12-31")}
+
+
+def test_landed_text_is_scanned_once(spark, tmp_out):
+    """Delimiters, headers and rows come from the written lines; the landing's files are in none of their plans."""
+    p = tmp_out + "/rents"
+    SK.land_csv(spark.createDataFrame([("01001", "15,8")], ["code_commune", "loyer"]), p, "2024-12-30", sep=";")
+    lines = R.landed_lines(spark, p)
+    sales, _ = R.read_quarantined_csv(spark, [p], ["code_commune"], sep=";")
+    for df in (lines, R.delimiter_counts(lines), R.read_csv_detected(spark, p, lines=lines), sales):
+        assert df.count() and not [f for f in df.inputFiles() if "/rents/" in f]
+
+
 def test_conform_casts_fills_and_drops(spark):
     df = spark.createDataFrame([("01001", "12", "x", "2024-12-31")],
                                ["commune_code", "transaction_count", "extra", "computation_date"])
