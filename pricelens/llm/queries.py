@@ -39,10 +39,15 @@ def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # Two Python stages and their word lists share an executor: small batches between them.
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", 16 << 20)
-    return encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
-                         public_tokenizers.PATTERN, each=DIGESTS)
+    # Two Python stages and their word lists share an executor: small batches between them, in this query alone.
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, str(16 << 20))
+    try:
+        return written(encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
+                                     public_tokenizers.PATTERN, each=DIGESTS), "encoded")
+    finally:
+        spark.conf.set(setting, before)
 
 
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
