@@ -4,8 +4,9 @@ The cache is a Parquet folder of (tokenizer, content, n_tokens): the digest of t
 tokenizer version, the SHA-256 of the normalised content (UTF-8, null as empty; nothing
 that could change the count is altered) and the count. A run digests every text where it
 is read, looks the digests up, encodes each missing text once, appends the new counts and
-joins all counts back to the rows by digest. Ids and digests move; a text moves only if
-its count is missing.
+joins all counts back to the rows by digest. With no cache yet each distinct text moves
+once; with one, digests are looked up first and texts meet the missing digests by a join,
+so only those are encoded.
 """
 
 from __future__ import annotations

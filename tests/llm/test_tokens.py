@@ -145,3 +145,24 @@ def test_very_long_texts_encode_as_in_the_library(documents, library):
     for i, t in rows:
         ids = np.array(library.encode_ordinary(t), dtype="<u4")
         assert got[i] == (len(ids), hashlib.sha256(ids.tobytes()).hexdigest(), hashlib.sha256(t.encode()).hexdigest())
+
+
+def test_registered_queries_leave_the_session_and_use_the_cache(spark, monkeypatch):
+    """op3 puts its batch size back; op9's second run meets hits and misses and encodes each text once."""
+    from pricelens.llm import queries
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(setting)
+    queries.op3_bpe(spark, SF)
+    assert spark.conf.get(setting) == before
+    path = new_path(spark, "cache")
+    monkeypatch.setattr(queries, "new_path", lambda *_: path)
+    runs = []
+    monkeypatch.setattr(queries, "token_counts", lambda *a, **k: runs.append(
+        (spark.read.parquet(path).count() if runs else 0, token_counts.token_counts(*a, **k))) or runs[-1][1])
+    got = queries.op9_token_counts(spark, SF)
+    library = Tokenizer.from_file(JSON)
+    rows = [(r.doc_id, r.text or "") for r in sf_table(spark, SF, "documents").select("doc_id", "text").collect()]
+    n = [len(library.encode(t, add_special_tokens=False).ids) for _, t in rows]
+    assert counts(got) == Counter((i, len(t.encode()), k, k > 1024) for (i, t), k in zip(rows, n, strict=True))
+    distinct = len({t for _, t in rows})
+    assert 0 < runs[1][0] < distinct == spark.read.parquet(path).count()
