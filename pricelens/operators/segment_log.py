@@ -27,6 +27,7 @@ from pyspark.sql import types as T
 
 from pricelens import contracts as C
 from pricelens.operators import market as MKT
+from pricelens.operators.joins import size_checked_side
 from pricelens.sinks import ensure_folder
 from pricelens.sources.readers import partition_values
 
@@ -96,7 +97,9 @@ class State:
     def withdrawn(self, gone: DataFrame) -> DataFrame:
         """Rows (``ROWS``) that take back what the files ``gone`` (file) left in the state.
 
-        Only the runs that hold one of them are opened."""
+        Only the runs that hold one of them are opened. The files are broadcast behind a size check: dealt out
+        by file, all price rows of one file would meet in one task."""
+        gone, _ = size_checked_side(gone, name="files-gone")
         holding = self._read("files", _FILES).join(gone, "file", "left_semi").select("kind", "run").distinct().collect()
         runs = [(r["kind"], r["run"][1:]) for r in holding]
         rows = self._read("prices", _PRICES, runs).join(gone.withColumnRenamed("file", "_file"), "_file", "left_semi")

@@ -36,6 +36,16 @@ def size(path):
     return sum(os.path.getsize(os.path.join(d, f)) for d, _, fs in os.walk(path) for f in fs if f.endswith(".parquet"))
 
 
+def test_one_large_file_is_withdrawn_by_many_tasks(spark, tmp_out):
+    """The price rows of a file that is gone are not dealt out by file, which would put them in one task."""
+    root = tmp_out + "/log"
+    LOG.append(spark, root, "1", rows(sales(spark, [1.0, 2.0, 2.0]), 1), files(spark, (1, 1)))
+    back = LOG.state(spark, root).withdrawn(files(spark, (1, -1)).select("file"))
+    plan = back._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "hashpartitioning(_file" not in plan
+    assert sorted((r.price_per_m2, r._rows) for r in back.collect()) == [(1.0, -1), (2.0, -2)]
+
+
 def test_withdrawn_files_leave_nothing(spark, tmp_out):
     root = tmp_out + "/log"
     odd = [None, float("nan"), 1e300, -5.0, 0.0, 7.25, 7.25]
