@@ -32,6 +32,7 @@ EARLIER_RUN_DATE = "1998-12-31"
 EARLIER_RUN_LAST_YEAR = 1998
 LAST_N_RATES = 30
 BROKEN_DEPARTMENT = "2"
+OPEN_WRITERS = 128
 
 
 # ── sales ───────────────────────────────────────────────────────────────────────
@@ -95,8 +96,15 @@ def sales_quarantine(spark, sf_dir):
     raw, cols = FX.raw_sales(spark, sf_dir), list(C.RAW_SALES_COLUMNS)
     broken = (F.col("code_departement") == BROKEN_DEPARTMENT) & (F.col("valeur_fonciere") == "")
     line = F.concat(F.array_join(F.array(*cols), "|", ""), F.when(broken, "|surplus").otherwise(""))
-    (raw.select(line.alias("|".join(cols)), F.col("code_departement").alias("department")).repartition("department")
-     .write.partitionBy("department").option("header", True).option("sep", "\x01").option("quote", "").csv(root + "/files"))
+    # A department's file is written as its rows come; without open writers its task would sort all of them first.
+    setting = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, str(OPEN_WRITERS))
+    try:
+        (raw.select(line.alias("|".join(cols)), F.col("code_departement").alias("department")).repartition("department")
+         .write.partitionBy("department").option("header", True).option("sep", "\x01").option("quote", "").csv(root + "/files"))
+    finally:
+        spark.conf.set(setting, before)
     L.land_sales(spark, [root + "/files", root + "/missing-department"], root + "/raw", P.INGESTION_DATE)
     lines = spark.read.schema("file string, line long, reason string").json(root + "/raw/rejects/dvf").agg(F.count("reason")).scalar()
     return FMT.parse_sales(R.read_landed_csv(spark, root + "/raw/dvf")).withColumn("n_broken_lines", lines)

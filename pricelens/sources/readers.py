@@ -163,14 +163,20 @@ def _header_names(fields: Column) -> Column:
 
 
 def file_verdicts(lines: DataFrame, whitelist, sep: str) -> DataFrame:
-    """file, header (column names), reason (NULL: the file is good): one aggregate over all lines.
+    """file, header (column names), reason (NULL: the file is good): one aggregate over all lines, and the first
+    lines by their places. Numbers alone are gathered from all lines: text among them would have them sorted.
 
     A file is bad as a whole if its first line names no whitelisted column, a line has more fields than
     that line, or a line is not UTF-8."""
+    from pricelens.operators.joins import size_checked_side
     text = lines.where(F.trim("value") != "")
-    per_file = text.groupBy("file").agg(
-        F.min_by(F.struct("value", "n_fields"), "at").alias("first"), F.max("n_fields").alias("widest"),
-        F.max(F.contains("value", F.lit("\uFFFD"))).alias("broken_text"))
+    blocks = text.groupBy("file", F.col("at.block").alias("block")).agg(
+        F.min("at.n").alias("n"), F.max("n_fields").alias("widest"), F.max(F.contains("value", F.lit("\uFFFD"))).alias("broken_text"))
+    files, _ = size_checked_side(blocks.groupBy(F.col("file").alias("of")).agg(
+        F.min(F.struct("block", "n")).alias("head"), F.max("widest").alias("widest"), F.max("broken_text").alias("broken_text")),
+        name="file-heads")
+    here = (F.col("file") == F.col("of")) & (F.col("at.block") == F.col("head.block")) & (F.col("at.n") == F.col("head.n"))
+    per_file = text.join(files, here).select("file", F.struct("value", "n_fields").alias("first"), "widest", "broken_text")
     header = _header_names(F.split("first.value", re.escape(sep), -1))
     known = F.size(F.array_intersect(F.col("header"), F.array(*[F.lit(c) for c in whitelist]))) > 0
     return per_file.withColumn("header", header).select(
