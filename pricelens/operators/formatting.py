@@ -67,15 +67,13 @@ def format_sales(raw: DataFrame, dedup: bool = False, keep=()) -> DataFrame:
     rows, i.e. replayed landings; it does not merge on ``sale_id`` alone, because the
     id formula leaves out type and rooms and distinct sales can share it. The drop is a
     hash aggregate with a map-side pre-aggregation, so a heavily replayed row is reduced
-    in every task before the shuffle."""
-    out = _format_sales(raw, keep)
-    return out.dropDuplicates() if dedup else out
-
-
-def _format_sales(raw: DataFrame, keep=()) -> DataFrame:
+    in every task before the shuffle; it is over the parsed columns, of which the others (the id
+    among them) are then made once per distinct sale."""
     df = _typed_sales(raw, keep).filter(
         X.is_positive("sale_price") & X.is_positive("surface_m2")
         & F.col("sale_date").isNotNull() & X.is_residential("property_type_raw"))
+    if dedup:  # a type's spellings are one type
+        df = df.withColumn("property_type_raw", F.lower("property_type_raw")).dropDuplicates()
     return _formatted(df, keep)
 
 
