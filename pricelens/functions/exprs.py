@@ -37,8 +37,15 @@ def _c(c) -> Column:
 
 
 def strict_date(c, fmt: str = "yyyy-MM-dd") -> Column:
-    """Parse a date in exactly ``fmt``; anything else is NULL (PRJ-2)."""
-    return F.try_to_date(_c(c), fmt)
+    """Parse a date in exactly ``fmt``; anything else is NULL (PRJ-2).
+
+    A text that is what its cast date is written as has the default format; only others need the formatter."""
+    parsed = F.try_to_date(_c(c), fmt)
+    if fmt != "yyyy-MM-dd":
+        return parsed
+    text = _c(c).cast("string")
+    date = text.try_cast("date")
+    return F.when((F.length(text) == 10) & (date.cast("string") == text) & (text >= "0001"), date).otherwise(parsed)
 
 
 def decimal_comma_double(c) -> Column:

@@ -82,7 +82,8 @@ def write_parquet(df: DataFrame, path: str, partition_by=(), mode: str = "overwr
 def land_csv(df: DataFrame, path: str, ingestion_date, sep: str = ",", stage: str = "land_csv") -> int:
     """SNK-3: header CSV in an ``ingestion_date=`` partition (re-landing a date replaces
     only that date)."""
-    out, obs = counted(df.withColumn("ingestion_date", F.lit(str(ingestion_date))), stage)
+    out, obs = counted(df, stage)
+    out = out.withColumn("ingestion_date", F.lit(str(ingestion_date)))  # last: a constant that Spark sees needs no sort
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .option("header", True).option("sep", sep).partitionBy("ingestion_date").csv(path))
     return rows_of(obs)
@@ -90,7 +91,8 @@ def land_csv(df: DataFrame, path: str, ingestion_date, sep: str = ",", stage: st
 
 def land_json(df: DataFrame, path: str, ingestion_date, stage: str = "land_json") -> int:
     """SNK-4: JSON records (one per line) in an ``ingestion_date=`` partition."""
-    out, obs = counted(df.withColumn("ingestion_date", F.lit(str(ingestion_date))), stage)
+    out, obs = counted(df, stage)
+    out = out.withColumn("ingestion_date", F.lit(str(ingestion_date)))  # last: a constant that Spark sees needs no sort
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("ingestion_date").json(path))
     return rows_of(obs)

@@ -111,12 +111,18 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 def _file_path() -> Column:
     """The path of a row's file, as readers take it (the metadata column holds a URI)."""
-    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    path = F.col("_metadata.file_path")
+    return F.when(F.contains(path, F.lit("%")), F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))).otherwise(path)
+
+
+#: No path is longer: the length of what is left of one.
+MAX_PATH = 2**31 - 1
 
 
 def _plain_path(path) -> Column:
     """A path without its local scheme, which listings and metadata columns write differently."""
-    return F.regexp_replace(path, "^file:/+", "/")
+    path = F.col(path) if isinstance(path, str) else path
+    return F.when(F.startswith(path, F.lit("file:/")), F.concat(F.lit("/"), F.ltrim(F.substring(path, 7, MAX_PATH), F.lit("/")))).otherwise(path)
 
 
 def landed_files(spark: SparkSession, path: str) -> DataFrame:
