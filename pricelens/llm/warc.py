@@ -36,11 +36,16 @@ def canonical_url(url: Column) -> Column:
     return F.concat(host, path, F.when(F.size(query) > 0, F.concat(F.lit("?"), F.array_join(query, "&"))).otherwise(""))
 
 
-def _headers(block: Column) -> Column:
-    """Lower-cased names to values; lines without a colon are left out, the last of a repeated name holds."""
-    pairs = F.transform(F.filter(F.split(block, "\r\n"), lambda line: F.instr(line, ":") > 1), lambda line: F.struct(
+def _pairs(block: Column) -> Column:
+    """Lower-cased names and values of header lines, in order; lines without a colon are left out."""
+    return F.transform(F.filter(F.split(block, "\r\n"), lambda line: F.instr(line, ":") > 1), lambda line: F.struct(
         F.lower(F.trim(F.substring_index(line, ":", 1))).alias("key"),
         F.trim(F.substring(line, F.instr(line, ":") + 1, F.length(line))).alias("value")))
+
+
+def _headers(pairs: Column) -> Column:
+    """Names to values; the last of a repeated name holds. ``pairs`` is a column that is there already:
+    an expression would be worked out anew for each line."""
     last = F.filter(pairs, lambda p, i: ~F.exists(F.slice(pairs, i + 2, F.size(pairs)), lambda q: q["key"] == p["key"]))
     return F.map_from_entries(last)
 
@@ -55,12 +60,13 @@ def parse(records: DataFrame, column: str = "record") -> DataFrame:
     text = F.col(column).cast("string")
     parts = records.select(text.alias("t"), F.instr(text, "\r\n\r\n").alias("at"))
     parts = parts.select(F.expr("substring(t, 1, at - 1)").alias("head"), F.expr("substring(t, at + 4, length(t))").alias("block"))
-    parts = parts.select(_headers(F.col("head")).alias("w"), "block", F.instr("block", "\r\n\r\n").alias("at"))
+    parts = parts.select(_pairs(F.col("head")).alias("pairs"), "block")
+    parts = parts.select(_headers(F.col("pairs")).alias("w"), "block", F.instr("block", "\r\n\r\n").alias("at"))
     there = F.octet_length("block")
     told = F.col("w")["content-length"].try_cast("int")
     size = F.when(told.between(0, there), told).otherwise(there - F.when(F.endswith("block", F.lit("\r\n\r\n")), 4).otherwise(0))
     start = F.when(F.col("at") > 0, F.octet_length(F.expr("substring(block, 1, at + 3)"))).otherwise(0)
-    parts = parts.select("w", "block", F.expr("substring(block, 1, at - 1)").alias("http"), start.alias("start"), size.alias("size"))
+    parts = parts.select("w", "block", _pairs(F.expr("substring(block, 1, at - 1)")).alias("http"), start.alias("start"), size.alias("size"))
     body = F.expr("substring(cast(block as binary), start + 1, greatest(size - start, 0))")
     return parts.select(
         F.col("w")["warc-record-id"].alias("record_id"), F.col("w")["warc-type"].alias("kind"),

@@ -110,3 +110,12 @@ def test_the_derived_records_hold_every_kind_of_capture(spark):
     seen = Counter((r.record_id[0], r.outcome, (r.response_id or "-")[0]) for r in got)
     assert set(seen) == {("v", "resolved", "r"), ("v", "mismatch", "r"), ("b", "no_response", "-"), ("w", "resolved", "h"), ("w", "mismatch", "h")}
     assert len(got) == 70 + 10 + 23
+
+
+def test_header_lines_are_split_once(spark):
+    """The lines of a header block are a column before the last of a repeated name is looked for."""
+    df = spark.createDataFrame([("WARC/1.1\r\nA: 1\r\na: 2\r\nno colon\r\nB:x\r\n\r\nHTTP/1.1 200 OK\r\nC: 3\r\n\r\nbody\r\n\r\n",)], "record string")
+    out = parse(df)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(") == 2
+    assert out.first()["headers"] == {"c": "3"}
